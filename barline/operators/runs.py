@@ -128,12 +128,15 @@ def upsert_run(row: DataFrame, path: str) -> None:
 
 
 def ledger_row(spark: SparkSession, run_id: str, values: dict) -> DataFrame:
-    data = {f.name: values.get(f.name) for f in RUN_LEDGER.fields}
-    data["run_id"] = run_id
-    df = spark.createDataFrame([tuple(data[f.name] for f in RUN_LEDGER.fields)], RUN_LEDGER)
-    if values.get("execution_ts") is None:
-        df = df.withColumn("execution_ts", F.localtimestamp())
-    return conform(df, RUN_LEDGER)
+    """One ledger row; ``execution_ts`` defaults to the current time."""
+    from pyspark.sql import types as T
+    fields = [f for f in RUN_LEDGER.fields if f.name != "execution_ts"]
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+    data = {**{f.name: values.get(f.name) for f in fields}, "run_id": run_id}
+    df = spark.createDataFrame([tuple(data[f.name] for f in fields)], schema)
+    when = values.get("execution_ts")
+    ts = F.lit(when).cast("timestamp_ntz") if when is not None else F.localtimestamp()
+    return conform(df.withColumn("execution_ts", ts), RUN_LEDGER)
 
 
 def make_verdict(spark: SparkSession, values: dict) -> DataFrame:
