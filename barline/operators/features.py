@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from barline.functions import log_return, ratio_or_zero, safe_div, zscore_or_zero
 from barline.schemas import DEFAULT_SPEC, SeriesSpec
 
-_AGGS = {"avg": F.avg, "stddev": F.stddev_samp, "sum": F.sum, "max": F.max, "min": F.min}
+_AGGS = {"avg": "avg", "stddev": "stddev_samp", "sum": "sum", "max": "max", "min": "min"}
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,8 @@ class Rolling:
     rows: int | None
 
     def column(self, spec: SeriesSpec) -> Column:
-        return _AGGS[self.agg](F.expr(self.source)).over(spec.rows(None if self.rows is None else self.rows - 1))
+        frame = spec.rows_sql(None if self.rows is None else self.rows - 1)
+        return F.expr(f"{_AGGS[self.agg]}({self.source}) OVER {frame}")
 
 
 def level1(spec: SeriesSpec = DEFAULT_SPEC) -> list[Rolling]:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from barline.operators import backtest, clean, features, quality, risk, runs
 from barline.schemas import DEFAULT_SPEC, FEATURES
+from barline.session import staging_root
 from barline.sources import fingerprint
 from barline.sources.events import bars_from_events, read_events
 
@@ -47,13 +48,25 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     return risk.with_label(risk.with_crash_index(risk.with_var_proxy(f)))
 
 
-def final(spark: SparkSession, sf: str) -> DataFrame:
-    """The 27-column feature table, with the F1-chosen threshold attached as
-    a scalar subquery (computed once, no join)."""
-    s = scored(spark, sf)
+def scored_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
+    """The scored stage materialised in the shared checkpoint folder, so the
+    threshold sweep and the alert columns read it instead of recomputing
+    every window twice."""
+    staging_root(spark)
+    return scored(spark, sf).checkpoint(eager=True)
+
+
+def final_parts(spark: SparkSession, sf: str):
+    """``(feature table, threshold column)``: the 27-column table with the
+    F1-chosen threshold attached as a scalar subquery (computed once, no join)."""
+    s = scored_checkpoint(spark, sf)
     t = backtest.best_threshold(s).select("threshold").scalar()
-    out = s.withColumn("_t", t)
-    return risk.with_alerts(out, F.col("_t")).select(*FEATURES.fieldNames())
+    out = risk.with_alerts(s.withColumn("_t", t), F.col("_t")).select(*FEATURES.fieldNames())
+    return out, t
+
+
+def final(spark: SparkSession, sf: str) -> DataFrame:
+    return final_parts(spark, sf)[0]
 
 
 # ---- queries ------------------------------------------------------------------
@@ -187,8 +200,7 @@ def q_drift_test(spark, sf):
 
 
 def q_run_metrics(spark, sf):
-    f = final(spark, sf)
-    t = backtest.best_threshold(scored(spark, sf)).select("threshold").scalar()
+    f, t = final_parts(spark, sf)
     return runs.run_metrics(f, t)
 
 

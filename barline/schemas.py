@@ -145,6 +145,12 @@ class SeriesSpec:
         start = Window.unboundedPreceding if preceding is None else -preceding
         return self.window().rowsBetween(start, Window.currentRow)
 
+    def rows_sql(self, preceding: int | None) -> str:
+        """The same trailing frame as SQL text, for ``F.expr`` window columns."""
+        start = "UNBOUNDED PRECEDING" if preceding is None else f"{preceding} PRECEDING"
+        part = ", ".join(f"`{c}`" for c in self.group)
+        return f"(PARTITION BY {part} ORDER BY `{self.time}` ROWS BETWEEN {start} AND CURRENT ROW)"
+
     def key_cols(self) -> list[Column]:
         return [F.col(k) for k in self.keys]
 
