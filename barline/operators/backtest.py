@@ -86,7 +86,44 @@ def best(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return scored.withColumn("_rn", rn).filter("_rn = 1").drop("_rn")
 
 
+def best_per_group(df: DataFrame, by: Sequence[str], score: str = "crash_index", label: str = "true_crash",
+                   grid: Sequence[float] = DEFAULT_GRID, extra: Sequence[str] = ()) -> DataFrame:
+    """R16-R18 per group in ONE aggregation: per group and threshold the
+    conditional counts TP/FP, plus ``extra`` aggregate expressions (SQL text).
+    The best threshold is picked inside the row (``array_max`` over
+    ``(f1, -threshold)``), so there is no join and no second pass.
+
+    Output: ``(*by, *extra, threshold, tp, fp, fn, precision, recall, f1)``.
+    """
+    grid = sorted(float(t) for t in grid)
+    pos = f"`{label}` = 1"
+    aggs = [F.expr(e) for e in extra] + [F.expr(f"count_if({pos}) AS _P")]
+    for i, t in enumerate(grid):
+        hit = f"`{score}` > {_dbl(t)}"
+        aggs += [F.expr(f"count_if({hit} AND {pos}) AS _tp{i}"),
+                 F.expr(f"count_if({hit} AND NOT ({pos})) AS _fp{i}")]
+    per = df.groupBy(*by).agg(*aggs)
+
+    def ratio(num: str, den: str) -> str:
+        return f"CASE WHEN {den} > 0 THEN {num} / {den} ELSE 0.0D END"
+
+    cands = []
+    for i, t in enumerate(grid):
+        tp, fp, fn = f"_tp{i}", f"_fp{i}", f"(_P - _tp{i})"
+        p, r = ratio(tp, f"({tp} + {fp})"), ratio(tp, f"({tp} + {fn})")
+        f1 = ratio(f"2 * ({p}) * ({r})", f"(({p}) + ({r}))")
+        cands.append(f"named_struct('f1', {f1}, 'neg_t', -{_dbl(t)}, 'threshold', {_dbl(t)}, "
+                     f"'tp', CAST({tp} AS BIGINT), 'fp', CAST({fp} AS BIGINT), 'fn', CAST({fn} AS BIGINT), "
+                     f"'precision', {p}, 'recall', {r})")
+    internal = {"_P", *[f"_tp{i}" for i in range(len(grid))], *[f"_fp{i}" for i in range(len(grid))]}
+    names = [c for c in per.columns if c not in internal]
+    best_s = per.selectExpr(*[f"`{c}`" for c in names], f"array_max(array({', '.join(cands)})) AS _best")
+    return best_s.select(*names, *[F.col(f"_best.{c}").alias(c) for c in
+                                   ("threshold", "tp", "fp", "fn", "precision", "recall", "f1")])
+
+
 def best_threshold(df: DataFrame, score: str = "crash_index", label: str = "true_crash",
                    grid: Sequence[float] = DEFAULT_GRID) -> DataFrame:
-    """One row ``(threshold, tp, fp, fn, precision, recall, f1)``."""
-    return best(scores(confusion_sweep(df, score, label, grid)))
+    """One row ``(threshold, tp, fp, fn, precision, recall, f1)``, from a
+    single global aggregation."""
+    return best_per_group(df, (), score, label, grid)

@@ -42,19 +42,14 @@ def daily_runs(features: DataFrame, spec: SeriesSpec = DEFAULT_SPEC,
     """One run per ``(keys, day)``: the day's own threshold choice, alert rate
     and index statistics, as a day-by-day batch would record them."""
     by = spec.group
-    best = backtest.best(backtest.scores(backtest.confusion_sweep(features, grid=grid, by=by)), by=by)
-    stats = features.groupBy(*by).agg(
-        F.avg("crash_index").alias("_mean"), F.stddev_samp("crash_index").alias("_std"),
-        F.count(F.lit(1)).alias("analytics_rows"))
-    # Both sides have one row per group: an equi-join of two small aggregates.
+    best = backtest.best_per_group(features, by, grid=grid, extra=(
+        "avg(crash_index) AS _mean", "stddev_samp(crash_index) AS _std", "count(1) AS analytics_rows"))
     # Alerts at the chosen threshold are its tp + fp.
-    joined = stats.join(best.select(*by, "threshold", (F.col("tp") + F.col("fp")).alias("_alerts")),
-                        on=by, how="inner")
-    return joined.select(
+    return best.select(
         *by,
         "analytics_rows",
         F.round("threshold", digits).alias("optimal_threshold"),
-        F.round(F.col("_alerts") / F.col("analytics_rows"), digits).alias("alert_rate"),
+        F.round((F.col("tp") + F.col("fp")) / F.col("analytics_rows"), digits).alias("alert_rate"),
         F.round("_mean", digits).alias("crash_index_mean"),
         F.round("_std", digits).alias("crash_index_std"),
     )

@@ -125,6 +125,16 @@ def test_grouped_sweep(spark):
     assert best == {"a": 0.5, "b": 0.5}
 
 
+def test_best_per_group_equals_two_step(spark):
+    rows = [(g, (i * 37 % 61) / 10.0, int(i % 3 == 0)) for g in ("a", "b", "c") for i in range(40)]
+    rows += [("d", None, 1), ("d", 0.2, 0)]
+    df = spark.createDataFrame(rows, "g string, crash_index double, true_crash int")
+    two = {r.g: (r.threshold, r.tp, r.fp, r.fn, r.f1)
+           for r in backtest.best(backtest.scores(backtest.confusion_sweep(df, by=["g"])), by=["g"]).collect()}
+    one = {r.g: (r.threshold, r.tp, r.fp, r.fn, r.f1) for r in backtest.best_per_group(df, ["g"]).collect()}
+    assert one == two
+
+
 def test_severity_edges(spark):
     t = 1.0
     df = spark.createDataFrame([(t,), (1.5 * t,), (2 * t,), (2.0001,), (None,), (0.2,)], "crash_index double")
