@@ -44,17 +44,24 @@ def count_where(cond: Column) -> Column:
 
 
 def minute_floor(ts: ColumnOrName) -> Column:
-    """Truncate a timestamp_ntz to the minute, keeping the ntz type."""
-    return F.date_trunc("minute", col(ts)).cast("timestamp_ntz")
+    """Truncate a timestamp_ntz to the minute from its fields, with no time
+    zone involved (a cast through a zoned timestamp would move wall-clock
+    times inside a daylight-saving gap)."""
+    t = col(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.lit(0))
 
 
 def parse_bar_time(text: ColumnOrName, fmt: str = "yyyyMMdd HH:mm:ss", strict: bool = True) -> Column:
-    """Parse source text such as ``20080102 09:30:00``.  Runs of blanks are
-    collapsed first.  ``strict`` raises on a bad value (ANSI); otherwise NULL."""
+    """Parse source text such as ``20080102 09:30:00`` into timestamp_ntz.
+    Runs of blanks are collapsed first.  ``strict`` raises on a bad value
+    (ANSI); otherwise a bad value gives NULL.  No time zone is involved."""
     cleaned = F.regexp_replace(F.trim(col(text)), r"\s+", " ")
+    value = F.to_timestamp_ntz(cleaned, F.lit(fmt))
     if strict:
-        return F.to_timestamp_ntz(cleaned, F.lit(fmt))
-    return F.try_to_timestamp(cleaned, F.lit(fmt)).cast("timestamp_ntz")
+        return value
+    # validity is checked at a fixed offset, so no daylight-saving gap applies
+    ok = F.try_to_timestamp(F.concat(cleaned, F.lit(" +0000")), F.lit(fmt + " Z")).isNotNull()
+    return F.when(ok, value)
 
 
 def decimal_text(c: ColumnOrName, scale: int = 8) -> Column:

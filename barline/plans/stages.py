@@ -109,6 +109,7 @@ def ingest(spark: SparkSession, paths: Paths, csv_path: str | None = None, bars:
     rows as the input -> skip.  Otherwise overwrite the raw table (partitioned
     by day), check the read-back count and record the dataset in the ledger.
     """
+    read_obs = None
     if csv_path is not None:
         dataset_hash, input_rows = dataset_fingerprint(spark, csv_path)
         read_obs = Observation("csv_read")
@@ -126,7 +127,11 @@ def ingest(spark: SparkSession, paths: Paths, csv_path: str | None = None, bars:
             log.info("guardrail: raw table has %s rows >= input %s, skipping", existing, input_rows)
             return {"status": "skipped_covered", "dataset_hash": dataset_hash}
     out = conform(bars, RAW_BARS).withColumn("trade_date", F.to_date("trade_timestamp"))
-    counts = write_with_readback(spark, out, paths.raw, RAW_BARS, partition_by=["trade_date"], name="raw_write")
+    counts = write_with_readback(spark, out, paths.raw, RAW_BARS, partition_by=["trade_date"], name="raw_write",
+                                 rebalance=True)
+    if read_obs is not None:
+        counts["rows_read"] = read_obs.get["rows_read"]
+        counts["dropped_missing"] = counts["rows_read"] - counts["written"]
     rows_in = input_rows if input_rows is not None else counts["written"]
     entry = spark.createDataFrame([(dataset_hash, int(rows_in))], "dataset_hash string, row_count bigint")
     runs.ledger_entries(entry).write.mode("append").parquet(paths.ingestion_ledger)

@@ -17,15 +17,22 @@ from barline.schemas import DEFAULT_SPEC, SeriesSpec, conform
 
 
 def write_table(df: DataFrame, path: str, schema=None, mode: str = "overwrite",
-                partition_by: Sequence[str] = (), replace_all: bool = True, fmt: str = "parquet") -> None:
+                partition_by: Sequence[str] = (), replace_all: bool = True, fmt: str = "parquet",
+                rebalance: bool = False) -> None:
     """K1/K2/K7: conform to ``schema`` (by name) and write.  ``replace_all``
     truncates the whole table on overwrite; otherwise only the partitions
-    present in ``df`` are replaced."""
+    present in ``df`` are replaced.  ``rebalance`` (for input not clustered by
+    the partition columns) adds the REBALANCE hint: AQE groups rows of a
+    partition value into tasks of the advisory size, splitting a hot value
+    over several tasks and merging small ones, so each task writes few,
+    reasonably sized files."""
     out = df
     if schema is not None:
         conform(df, schema)  # fails on a missing column
         extra = [c for c in partition_by if c not in schema.fieldNames()]
         out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
+    if rebalance and partition_by:
+        out = out.hint("rebalance", *partition_by)
     w = out.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -35,12 +42,13 @@ def write_table(df: DataFrame, path: str, schema=None, mode: str = "overwrite",
 
 
 def write_with_readback(spark: SparkSession, df: DataFrame, path: str, schema=None,
-                        partition_by: Sequence[str] = (), name: str = "written") -> dict:
+                        partition_by: Sequence[str] = (), name: str = "written",
+                        rebalance: bool = False) -> dict:
     """K9: count rows while writing (an ``Observation``, no extra pass), then
     count the written table; both must agree."""
     obs = Observation(name)
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    write_table(observed, path, schema, partition_by=partition_by)
+    write_table(observed, path, schema, partition_by=partition_by, rebalance=rebalance)
     written = obs.get["rows"]
     readback = spark.read.parquet(path).count()
     if written != readback:

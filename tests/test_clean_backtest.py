@@ -149,3 +149,20 @@ def test_label_strict(spark):
     got = [r.true_crash for r in risk.with_label(df).collect()]
     assert got == [0, 1, 0]
     assert not math.isnan(0.0)
+
+
+def test_time_helpers_ignore_session_zone(spark):
+    import datetime as dt
+    from barline.functions import minute_floor, parse_bar_time
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 45), "20240310 02:30:45", "2024-99")],
+                                   "ts timestamp_ntz, a string, b string")
+        r = df.select(minute_floor("ts").alias("m"), parse_bar_time("a").alias("p"),
+                      parse_bar_time("a", strict=False).alias("q"),
+                      parse_bar_time("b", strict=False).alias("bad")).first()
+        assert r.m == dt.datetime(2024, 3, 10, 2, 30)
+        assert r.p == r.q == dt.datetime(2024, 3, 10, 2, 30, 45) and r.bad is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

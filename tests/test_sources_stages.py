@@ -131,6 +131,7 @@ def test_ingest_csv_and_row_guard(spark, tmp_root):
     paths = Paths(f"{tmp_root}/t")
     r = stages.ingest(spark, paths, csv_path=p)
     assert r["status"] == "ingested" and r["written"] == 20 and r["input_rows"] == 21
+    assert r["rows_read"] == 21 and r["dropped_missing"] == 1
     assert stages.ingest(spark, paths, csv_path=p)["status"] == "skipped_known"
     p2 = _write(f"{tmp_root}/in2.csv", "\n".join(lines[:10]) + "\n")
     assert stages.ingest(spark, paths, csv_path=p2, row_guard=True)["status"] == "skipped_covered"
