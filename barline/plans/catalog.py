@@ -20,53 +20,57 @@ from barline.sources.events import bars_from_events, read_events
 
 DIGITS = 6
 SPEC = DEFAULT_SPEC
+# Each event type as its own series: the keyed (multi-instrument) layout.
+KEYED = DEFAULT_SPEC.with_keys("event_type")
 
 
 def _r(c, digits: int = DIGITS):
-    return F.round(F.col(c) if isinstance(c, str) else c, digits)
+    """Rounded for comparison; ``+ 0.0`` turns a rounded -0.0 into 0.0."""
+    return F.round(F.col(c) if isinstance(c, str) else c, digits) + F.lit(0.0)
 
 
 # ---- shared stages (lazy) -----------------------------------------------------
 
-def raw_bars(spark: SparkSession, sf: str) -> DataFrame:
-    """Adapter output, one raw bar per event (with ``event_id``)."""
-    return bars_from_events(read_events(spark, sf))
+def raw_bars(spark: SparkSession, sf: str, spec=DEFAULT_SPEC) -> DataFrame:
+    """Adapter output, one raw bar per event (with ``event_id`` and the keys)."""
+    return bars_from_events(read_events(spark, sf), keys=spec.keys)
 
 
-def dedup_bars(spark: SparkSession, sf: str) -> DataFrame:
-    d = clean.deduplicate(raw_bars(spark, sf), SPEC, tiebreak=["event_id"]).drop("event_id")
-    return clean.with_trade_date(d, SPEC)
+def dedup_bars(spark: SparkSession, sf: str, spec=DEFAULT_SPEC) -> DataFrame:
+    d = clean.deduplicate(raw_bars(spark, sf, spec), spec, tiebreak=["event_id"]).drop("event_id")
+    return clean.with_trade_date(d, spec)
 
 
-def valid_bars(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.valid_bars(dedup_bars(spark, sf), SPEC)
+def valid_bars(spark: SparkSession, sf: str, spec=DEFAULT_SPEC) -> DataFrame:
+    return clean.valid_bars(dedup_bars(spark, sf, spec), spec)
 
 
-def scored(spark: SparkSession, sf: str) -> DataFrame:
+def scored(spark: SparkSession, sf: str, spec=DEFAULT_SPEC) -> DataFrame:
     """Features, VaR proxy, crash index and label (everything but the alert)."""
-    f = features.with_features(valid_bars(spark, sf), SPEC)
+    f = features.with_features(valid_bars(spark, sf, spec), spec)
     return risk.with_label(risk.with_crash_index(risk.with_var_proxy(f)))
 
 
-def scored_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
+def scored_checkpoint(spark: SparkSession, sf: str, spec=DEFAULT_SPEC) -> DataFrame:
     """The scored stage materialised in the shared checkpoint folder, so the
     threshold sweep and the alert columns read it instead of recomputing
     every window twice."""
     staging_root(spark)
-    return scored(spark, sf).checkpoint(eager=True)
+    return scored(spark, sf, spec).checkpoint(eager=True)
 
 
-def final_parts(spark: SparkSession, sf: str):
-    """``(feature table, threshold column)``: the 27-column table with the
-    F1-chosen threshold attached as a scalar subquery (computed once, no join)."""
-    s = scored_checkpoint(spark, sf)
+def final_parts(spark: SparkSession, sf: str, spec=DEFAULT_SPEC):
+    """``(feature table, threshold column)``: the 27-column table (plus keys)
+    with the F1-chosen threshold attached as a scalar subquery (computed
+    once, no join)."""
+    s = scored_checkpoint(spark, sf, spec)
     t = backtest.best_threshold(s).select("threshold").scalar()
-    out = risk.with_alerts(s.withColumn("_t", t), F.col("_t")).select(*FEATURES.fieldNames())
+    out = risk.with_alerts(s.withColumn("_t", t), F.col("_t")).select(*spec.keys, *FEATURES.fieldNames())
     return out, t
 
 
-def final(spark: SparkSession, sf: str) -> DataFrame:
-    return final_parts(spark, sf)[0]
+def final(spark: SparkSession, sf: str, spec=DEFAULT_SPEC) -> DataFrame:
+    return final_parts(spark, sf, spec)[0]
 
 
 # ---- queries ------------------------------------------------------------------
@@ -205,8 +209,7 @@ def q_run_metrics(spark, sf):
 
 
 def q_feature_table(spark, sf):
-    f = final(spark, sf)
-    return f.select(*[_r(c).alias(c) if t == "double" else F.col(c) for c, t in f.dtypes])
+    return _rounded(final(spark, sf))
 
 
 def q_verification_row(spark, sf):
@@ -228,6 +231,43 @@ def q_ingest_guardrail(spark, sf):
     return runs.guardrail_decisions(incoming, ledger, existing, by=["trade_date"])
 
 
+# ---- keyed series (one series per event type) ------------------------------------
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[_r(c).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def q_keyed_dedup_bars(spark, sf):
+    return dedup_bars(spark, sf, KEYED)
+
+
+def q_keyed_feature_table(spark, sf):
+    return _rounded(final(spark, sf, KEYED))
+
+
+def q_keyed_daily_runs(spark, sf):
+    return runs.daily_runs(scored(spark, sf, KEYED), KEYED)
+
+
+def q_keyed_drift_test(spark, sf):
+    d = runs.daily_runs(scored(spark, sf, KEYED), KEYED)
+    out = runs.drift_test(d, order="trade_date", by=list(KEYED.keys))
+    return out.select(*KEYED.keys, "trade_date", *runs.METRIC_NAMES,
+                      *[f"{m}_drift" for m in runs.METRIC_NAMES], "drift_detected")
+
+
+def q_keyed_gap_count(spark, sf):
+    return quality.gap_count(final(spark, sf, KEYED), KEYED)
+
+
+def q_keyed_table_checksum(spark, sf):
+    return quality.table_checksum(final(spark, sf, KEYED), KEYED)
+
+
+def q_keyed_verification_row(spark, sf):
+    return quality.verification_row(final(spark, sf, KEYED), KEYED)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_adapter": q_bars_adapter,
     "duplicate_keys": q_duplicate_keys,
@@ -269,4 +309,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_table": q_feature_table,
     "verification_row": q_verification_row,
     "ingest_guardrail": q_ingest_guardrail,
+    "keyed_dedup_bars": q_keyed_dedup_bars,
+    "keyed_feature_table": q_keyed_feature_table,
+    "keyed_daily_runs": q_keyed_daily_runs,
+    "keyed_drift_test": q_keyed_drift_test,
+    "keyed_gap_count": q_keyed_gap_count,
+    "keyed_table_checksum": q_keyed_table_checksum,
+    "keyed_verification_row": q_keyed_verification_row,
 }

@@ -16,30 +16,38 @@ D = 6  # rounding of float outputs, as in the catalog
 _GRID = ", ".join(f"({t!r})" for t in backtest.DEFAULT_GRID)
 
 
-def _w(rows: int | None) -> str:
+def _w(rows: int | None, keys: tuple[str, ...] = ()) -> str:
     start = "UNBOUNDED PRECEDING" if rows is None else f"{rows - 1} PRECEDING"
-    return f"(PARTITION BY trade_date ORDER BY trade_timestamp ROWS BETWEEN {start} AND CURRENT ROW)"
+    part = ", ".join(("trade_date", *keys))
+    return f"(PARTITION BY {part} ORDER BY trade_timestamp ROWS BETWEEN {start} AND CURRENT ROW)"
 
 
-BASE = f"""
+def base_sql(keys: tuple[str, ...] = ()) -> str:
+    """The CTE chain; ``keys`` are event columns that identify a series."""
+    ks = "".join(f", {k}" for k in keys)                 # ", k1, k2" after a column list
+    kp = "".join(f"{k}, " for k in keys)                 # "k1, k2, " before a column
+    sk = "".join(f", s.{k}" for k in keys)
+    on = "".join(f" AND s.{k} = b.{k}" for k in keys)
+    day = "trade_date" + ks
+    return f"""
 ev AS (
-  SELECT event_id, ts, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
+  SELECT event_id, ts, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k{ks} FROM events
 ),
 bars_raw AS (
-  SELECT event_id, trade_timestamp, open_price,
+  SELECT event_id{ks}, trade_timestamp, open_price,
          greatest(open_price, close_price) + (k % 3) * CAST(0.01 AS DOUBLE) AS high_price,
          least(open_price, close_price) - (k % 3) * CAST(0.01 AS DOUBLE) AS low_price,
          close_price, k AS volume, CAST(event_id % 100 AS INTEGER) AS bar_count,
          (open_price + close_price) / 2 AS average_price
   FROM (SELECT event_id, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS trade_timestamp,
-               value - (k % 5) * CAST(0.01 AS DOUBLE) AS open_price, value AS close_price, k
+               value - (k % 5) * CAST(0.01 AS DOUBLE) AS open_price, value AS close_price, k{ks}
         FROM ev) s
 ),
 bars AS (
-  SELECT trade_timestamp, open_price, high_price, low_price, close_price, volume, bar_count,
+  SELECT {kp}trade_timestamp, open_price, high_price, low_price, close_price, volume, bar_count,
          average_price, CAST(trade_timestamp AS DATE) AS trade_date
   FROM bars_raw
-  QUALIFY row_number() OVER (PARTITION BY trade_timestamp ORDER BY event_id) = 1
+  QUALIFY row_number() OVER (PARTITION BY {kp}trade_timestamp ORDER BY event_id) = 1
 ),
 valid AS (
   SELECT * FROM bars
@@ -47,7 +55,7 @@ valid AS (
     AND low_price >= 0 AND close_price >= 0
 ),
 lagged AS (
-  SELECT *, lag(close_price) OVER (PARTITION BY trade_date ORDER BY trade_timestamp) AS prev_close
+  SELECT *, lag(close_price) OVER (PARTITION BY {day} ORDER BY trade_timestamp) AS prev_close
   FROM valid
 ),
 ret AS (
@@ -71,14 +79,15 @@ l1 AS (
     avg(high_price - low_price) OVER w15 AS avg_range_15min,
     max(close_price) OVER wc AS rolling_peak
   FROM r
-  WINDOW w5 AS {_w(5)}, w15 AS {_w(15)}, w30 AS {_w(30)}, w60 AS {_w(60)}, wc AS {_w(None)}
+  WINDOW w5 AS {_w(5, keys)}, w15 AS {_w(15, keys)}, w30 AS {_w(30, keys)}, w60 AS {_w(60, keys)},
+         wc AS {_w(None, keys)}
 ),
 l2 AS (
   SELECT *,
     avg(volatility_30min) OVER w60 AS volatility_mean_60,
     stddev_samp(volatility_30min) OVER w60 AS volatility_std_60
   FROM l1
-  WINDOW w60 AS {_w(60)}
+  WINDOW w60 AS {_w(60, keys)}
 ),
 d1 AS (
   SELECT *,
@@ -128,27 +137,27 @@ final AS (
   FROM scored s, (SELECT threshold FROM best) b
 ),
 gaps AS (
-  SELECT trade_date, trade_timestamp, prev_timestamp FROM (
-    SELECT trade_date, trade_timestamp,
-           lag(trade_timestamp) OVER (PARTITION BY trade_date ORDER BY trade_timestamp) AS prev_timestamp
+  SELECT {kp}trade_date, trade_timestamp, prev_timestamp FROM (
+    SELECT {kp}trade_date, trade_timestamp,
+           lag(trade_timestamp) OVER (PARTITION BY {day} ORDER BY trade_timestamp) AS prev_timestamp
     FROM final) t
   WHERE prev_timestamp IS NOT NULL AND trade_timestamp - prev_timestamp > INTERVAL '1 minute'
 ),
 dups AS (
-  SELECT trade_timestamp FROM final GROUP BY trade_timestamp HAVING count(*) > 1
+  SELECT {kp}trade_timestamp FROM final GROUP BY {kp}trade_timestamp HAVING count(*) > 1
 ),
 day_grid AS (
-  SELECT s.trade_date, g.threshold,
+  SELECT s.trade_date{sk}, g.threshold,
     CAST(count(*) FILTER (WHERE s.crash_index > g.threshold AND s.true_crash = 1) AS BIGINT) AS tp,
     CAST(count(*) FILTER (WHERE s.crash_index > g.threshold AND s.true_crash <> 1) AS BIGINT) AS fp,
     CAST(count(*) FILTER (WHERE coalesce(s.crash_index > g.threshold, false) = false
                            AND s.true_crash = 1) AS BIGINT) AS fn
   FROM grid g CROSS JOIN scored s
-  GROUP BY s.trade_date, g.threshold
+  GROUP BY s.trade_date{sk}, g.threshold
 ),
 day_best AS (
   SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY trade_date ORDER BY f1 DESC, threshold ASC) AS rn
+    SELECT *, row_number() OVER (PARTITION BY {day} ORDER BY f1 DESC, threshold ASC) AS rn
     FROM (SELECT *, CASE WHEN p + rc > 0 THEN 2 * p * rc / (p + rc) ELSE 0.0 END AS f1
           FROM (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p,
                           CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS rc
@@ -156,24 +165,27 @@ day_best AS (
   WHERE rn = 1
 ),
 daily AS (
-  SELECT s.trade_date, s.analytics_rows,
+  SELECT s.trade_date{sk}, s.analytics_rows,
     round(b.threshold, 4) AS optimal_threshold,
     round((b.tp + b.fp) / s.analytics_rows, 4) AS alert_rate,
     round(s.m, 4) AS crash_index_mean,
     round(s.sd, 4) AS crash_index_std
-  FROM (SELECT trade_date, avg(crash_index) AS m, stddev_samp(crash_index) AS sd,
-               count(*) AS analytics_rows FROM scored GROUP BY trade_date) s
-  JOIN day_best b ON s.trade_date = b.trade_date
+  FROM (SELECT {day}, avg(crash_index) AS m, stddev_samp(crash_index) AS sd,
+               count(*) AS analytics_rows FROM scored GROUP BY {day}) s
+  JOIN day_best b ON s.trade_date = b.trade_date{on}
 )
 """
 
 
-def _q(select: str) -> str:
-    return "WITH " + BASE.strip() + "\n" + select.strip()
+BASE = base_sql()
+
+
+def _q(select: str, keys: tuple[str, ...] = ()) -> str:
+    return "WITH " + (BASE if not keys else base_sql(keys)).strip() + "\n" + select.strip()
 
 
 def _rd(c: str, d: int = D) -> str:
-    return f"round({c}, {d}) AS {c}"
+    return f"round({c}, {d}) + 0.0 AS {c}"
 
 
 def _feature(*cols: str) -> str:
@@ -295,7 +307,7 @@ ORACLE: dict[str, str] = {
     "gap_count": _q("SELECT count(*) AS gap_count FROM gaps"),
     "row_coverage": _q("""
         SELECT raw_rows_distinct, analytics_rows,
-               round(CASE WHEN raw_rows_distinct > 0 THEN analytics_rows / raw_rows_distinct ELSE 0.0 END, 6)
+               round(CASE WHEN raw_rows_distinct > 0 THEN analytics_rows / raw_rows_distinct ELSE 0.0 END, 6) + 0.0
                  AS coverage_ratio,
                (analytics_rows > 0 AND analytics_rows <= raw_rows_distinct
                 AND CASE WHEN raw_rows_distinct > 0 THEN analytics_rows / raw_rows_distinct ELSE 0.0 END >= 0.95)
@@ -363,3 +375,48 @@ ORACLE: dict[str, str] = {
                     ELSE 'ingest' END AS decision
         FROM incoming i LEFT JOIN existing e ON i.trade_date = e.trade_date"""),
 }
+
+
+# ---- keyed series: one series per event type ---------------------------------------
+_K = ("event_type",)
+_KEYED_TEXT = "CAST(event_type AS VARCHAR) || '|' || " + _CHECK_TEXT
+_DRIFT_K = _DRIFT
+
+ORACLE.update({
+    "keyed_dedup_bars": _q("SELECT * FROM bars", _K),
+    "keyed_feature_table": _q("SELECT event_type, " + ", ".join(
+        c if c in _INT_OR_TEXT else _rd(c) for c in _FEATURE_COLS) + " FROM final", _K),
+    "keyed_daily_runs": _q("SELECT * FROM daily", _K),
+    "keyed_drift_test": _q(f"""
+        SELECT event_type, trade_date, optimal_threshold, alert_rate, crash_index_mean, crash_index_std,
+               optimal_threshold_drift, alert_rate_drift, crash_index_mean_drift, crash_index_std_drift,
+               (optimal_threshold_drift OR alert_rate_drift OR crash_index_mean_drift
+                OR crash_index_std_drift) AS drift_detected
+        FROM (SELECT event_type, trade_date, optimal_threshold, alert_rate, crash_index_mean, crash_index_std,
+                     {_DRIFT_K}
+              FROM daily
+              WINDOW h AS (PARTITION BY event_type ORDER BY trade_date
+                           ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)) t""", _K),
+    "keyed_gap_count": _q("SELECT count(*) AS gap_count FROM gaps", _K),
+    "keyed_table_checksum": _q(f"""
+        SELECT count(*) AS n_days,
+               md5(CAST(count(*) AS VARCHAR) || '|' ||
+                   CAST(coalesce(sum({_hex('digest', 1)}), 0) AS VARCHAR) || '|' ||
+                   CAST(coalesce(sum({_hex('digest', 16)}), 0) AS VARCHAR)) AS checksum
+        FROM (SELECT trade_date, event_type,
+                     md5(string_agg({_KEYED_TEXT}, '||' ORDER BY trade_timestamp)) AS digest
+              FROM final GROUP BY trade_date, event_type) d
+        WHERE digest IS NOT NULL""", _K),
+    "keyed_verification_row": _q(f"""
+        SELECT min(trade_date) AS min_date, max(trade_date) AS max_date,
+               {_count_if('crash_index IS NULL')} AS null_crash_index,
+               {_count_if("crash_alert_flag = 1 AND crash_severity = 'LOW'")} AS alert_mismatch,
+               {_count_if('drawdown > 0')} AS positive_drawdown,
+               {_count_if('volatility_30min < 0')} AS negative_volatility,
+               {_count_if('volume_ratio < 0')} AS negative_volume_ratio,
+               {_count_if('abs(volatility_zscore) > 10')} AS extreme_zscore,
+               {_count_if('abs(crash_index) > 50')} AS extreme_crash_index,
+               (SELECT count(*) FROM dups) AS duplicate_count,
+               (SELECT count(*) FROM gaps) AS gap_count
+        FROM final""", _K),
+})

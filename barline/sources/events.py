@@ -23,12 +23,14 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def bars_from_events(events: DataFrame, keep_id: bool = True) -> DataFrame:
-    """Raw bar columns (plus ``event_id`` as tie-break) from events."""
+def bars_from_events(events: DataFrame, keep_id: bool = True, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Raw bar columns (plus ``event_id`` as tie-break) from events.  ``keys``
+    are event columns carried through as series keys (e.g. ``event_type``)."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     tick = F.lit(TICK)
     base = events.select(
         "event_id",
+        *keys,
         minute_floor("ts").alias("trade_timestamp"),
         (F.col("value") - (k % OPEN_OFFSET_MOD) * tick).alias("open_price"),
         F.col("value").alias("close_price"),
@@ -37,6 +39,7 @@ def bars_from_events(events: DataFrame, keep_id: bool = True) -> DataFrame:
     )
     bars = base.select(
         "event_id",
+        *keys,
         "trade_timestamp",
         "open_price",
         (F.greatest("open_price", "close_price") + F.col("_widen") * tick).alias("high_price"),
