@@ -31,6 +31,20 @@ def column_bounds(spark: SparkSession, url: str, table: str, column: str, **conn
     return row["lo"], row["hi"]
 
 
+def day_predicates(column: str, first_day, last_day, days_per_partition: int = 1) -> list[str]:
+    """WHERE clauses that split ``[first_day, last_day]`` into ranges of
+    ``days_per_partition`` days on a timestamp column: one read task each."""
+    import datetime as dt
+    out = []
+    day = first_day
+    while day <= last_day:
+        end = day + dt.timedelta(days=days_per_partition)
+        out.append(f"{column} >= TIMESTAMP '{day.isoformat()} 00:00:00' "
+                   f"AND {column} < TIMESTAMP '{end.isoformat()} 00:00:00'")
+        day = end
+    return out
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str = "trade_timestamp",
               num_partitions: int = 64, lower=None, upper=None, predicates: Sequence[str] | None = None,
               fetchsize: int = 10_000, user: str | None = None, password: str | None = None,

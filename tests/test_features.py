@@ -180,3 +180,14 @@ def test_log_returns_keep_undefined_when_asked(spark):
     bars = clean.with_trade_date(bars_df(spark, [(ts(0, 0), 1, 1, 1, 1.0, 1), (ts(0, 1), 1, 1, 1, 2.0, 1)]))
     r = features.with_log_returns(bars, drop_undefined=False).orderBy("trade_timestamp").collect()
     assert r[0].log_return is None and r[1].log_return == pytest.approx(math.log(2))
+
+
+def test_results_do_not_depend_on_input_partitioning(spark):
+    rows = _fixture_rows()
+    base = bars_df(spark, rows)
+    outs = []
+    for parts in (1, 3, 11):
+        df = base.repartition(parts).orderBy(F.rand(parts))
+        got = score(clean.valid_bars(clean.with_trade_date(clean.deduplicate(df))))
+        outs.append(sorted(tuple(r) for r in got.collect()))
+    assert outs[0] == outs[1] == outs[2]

@@ -155,3 +155,12 @@ def test_streaming_ingest_exactly_once(spark, tmp_root):
     start_ingest(spark, src, raw, ckpt).awaitTermination()   # nothing new
     df = spark.read.parquet(raw)
     assert df.count() == 18 and df.select("trade_timestamp").distinct().count() == 18
+
+
+def test_day_predicates_cover_range_once():
+    from barline.sources.jdbc import day_predicates
+    preds = day_predicates("trade_timestamp", dt.date(2024, 1, 1), dt.date(2024, 1, 5), days_per_partition=2)
+    assert len(preds) == 3
+    assert preds[0] == ("trade_timestamp >= TIMESTAMP '2024-01-01 00:00:00' "
+                        "AND trade_timestamp < TIMESTAMP '2024-01-03 00:00:00'")
+    assert preds[-1].endswith("< TIMESTAMP '2024-01-07 00:00:00'")
