@@ -156,7 +156,8 @@ def date_range_match(raw: DataFrame, features: DataFrame, spec: SeriesSpec = DEF
     raw_day = F.to_date(spec.time)
     r = raw.agg(F.min(raw_day).alias("lo"), F.max(raw_day).alias("hi"))
     out = features.agg(F.min(spec.day).alias("min_analytics"), F.max(spec.day).alias("max_analytics"))
-    out = out.withColumns({"min_raw": r.select("lo").scalar(), "max_raw": r.select("hi").scalar()})
+    h = r.select(F.struct("lo", "hi")).scalar()  # one subquery for both bounds
+    out = out.withColumns({"min_raw": h["lo"], "max_raw": h["hi"]})
     ok = (F.col("min_raw").isNotNull() & F.col("max_raw").isNotNull()
           & F.col("min_analytics").isNotNull() & F.col("max_analytics").isNotNull()
           & (F.col("min_raw") == F.col("min_analytics")) & (F.col("max_raw") == F.col("max_analytics")))
@@ -183,7 +184,9 @@ def day_digests(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, cols: Sequence[s
     parts = [*spec.keys, spec.time] + list(cols)
     text = row_text(*[decimal_text(c, CHECKSUM_SCALE) if types[c] in ("double", "float") else F.col(c)
                       for c in parts])
-    rows = F.array_sort(F.collect_list(F.struct(F.col(spec.time).alias("t"), text.alias("x"))))
+    # a row with a NULL text is not collected at all (collect_list skips NULL)
+    rows = F.array_sort(F.collect_list(
+        F.when(text.isNotNull(), F.struct(F.col(spec.time).alias("t"), text.alias("x")))))
     return (df.groupBy(*spec.group)
               .agg(rows.alias("_rows"))
               .select(*spec.group,

@@ -90,18 +90,18 @@ def drift_against(current: DataFrame, ledger: DataFrame, history: int = DRIFT_HI
         led = led.filter(F.col("run_id") != exclude_run)
     recent = led.orderBy(F.col("execution_ts").desc()).limit(history)
     stats = recent.agg(*[c for m in metrics for c in (
-        F.avg(m).alias(f"_mean_{m}"), F.stddev_pop(m).alias(f"_std_{m}"), F.count(m).alias(f"_n_{m}"))])
-    out = current
+        F.avg(m).alias(f"mean_{m}"), F.stddev_pop(m).alias(f"std_{m}"), F.count(m).alias(f"n_{m}"))])
+    # one scalar subquery returning a struct, evaluated once
+    out = current.withColumn("_h", stats.select(F.struct(*stats.columns)).scalar())
     flags = []
     for m in metrics:
-        f = drift_flag(F.col(m), stats.select(f"_mean_{m}").scalar(), stats.select(f"_std_{m}").scalar(),
-                       stats.select(f"_n_{m}").scalar(), z)
+        f = drift_flag(F.col(m), F.col(f"_h.mean_{m}"), F.col(f"_h.std_{m}"), F.col(f"_h.n_{m}"), z)
         out = out.withColumn(f"{m}_drift", f)
         flags.append(F.col(f"{m}_drift"))
     any_flag = flags[0]
     for f in flags[1:]:
         any_flag = any_flag | f
-    return out.withColumn("drift_detected", any_flag)
+    return out.withColumn("drift_detected", any_flag).drop("_h")
 
 
 def read_ledger(spark: SparkSession, path: str, schema=RUN_LEDGER) -> DataFrame:

@@ -88,11 +88,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def dataset_fingerprint(spark: SparkSession, csv_path: str) -> tuple[str, int]:
     """SHA-256 of the file (of the sorted per-file hashes when the path
     holds several files) and input rows (lines minus headers)."""
+    from barline.functions import hex_slice_value
     fps = fingerprint.file_fingerprints(spark, csv_path)
     lines = fingerprint.input_line_counts(spark, csv_path)
+    # several files: an order-free, associative combination of the file hashes
+    # (count and two summed 60-bit slices), no list of hashes in one group
+    combined = F.sha2(F.concat_ws("|", F.count(F.lit(1)).cast("string"),
+                                  F.sum(hex_slice_value("dataset_hash", 1)).cast("string"),
+                                  F.sum(hex_slice_value("dataset_hash", 16)).cast("string")), 256)
     row = one_row(
-        fps.agg(F.when(F.count(F.lit(1)) == 1, F.first("dataset_hash"))
-                 .otherwise(F.sha2(F.concat_ws(",", F.array_sort(F.collect_list("dataset_hash"))), 256))
+        fps.agg(F.when(F.count(F.lit(1)) == 1, F.first("dataset_hash")).otherwise(combined)
                  .alias("dataset_hash")),
         lines.agg(F.coalesce(F.sum("row_count"), F.lit(0)).cast("bigint").alias("row_count")),
     ).first()

@@ -53,6 +53,26 @@ def test_fingerprints_match_local_hash(spark, tmp_root):
     assert row.dataset_hash == hashlib.sha256(text.encode()).hexdigest()
     h, n = stages.dataset_fingerprint(spark, p)
     assert h == row.dataset_hash and n == 30
+    # a folder of files: independent of listing order, changes with any file
+    import shutil
+    d = f"{tmp_root}/many"
+    os.makedirs(d)
+    for i in range(3):
+        _write(f"{d}/p{i}.csv", text.replace("09:0", f"1{i}:0"))
+    h3, n3 = stages.dataset_fingerprint(spark, d)
+    assert n3 == 90 and len(h3) == 64 and h3 != h
+    _write(f"{d}/p1.csv", text)
+    assert stages.dataset_fingerprint(spark, d)[0] != h3
+    del shutil
+
+
+def test_assert_unique(spark):
+    from barline.sinks import assert_unique
+    ok = spark.createDataFrame([(dt.datetime(2024, 1, 1, 9, 30),), (dt.datetime(2024, 1, 1, 9, 31),)],
+                               "trade_timestamp timestamp_ntz")
+    assert_unique(ok)
+    with pytest.raises(RuntimeError, match="duplicate"):
+        assert_unique(ok.union(ok))
 
 
 def test_row_fingerprint_order_free(spark):
