@@ -172,44 +172,49 @@ def latest_rows(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, n: int = 10,
         F.col(spec.time).desc(), *[F.col(k).asc() for k in spec.keys]).limit(n)
 
 
-# Fixed values of the checksum row format: columns joined by "|", rows by "||".
+# Fixed values of the checksum row format: columns joined by "|".
 CHECKSUM_COLS = ("close_price", "crash_index", "crash_alert_flag")
 CHECKSUM_SCALE = 8
 
 
-def day_digests(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, cols: Sequence[str] = CHECKSUM_COLS) -> DataFrame:
-    """MD5 of the ``(keys, day)`` rows in time order.  A row with a NULL part is
-    skipped (SQL ``||`` semantics).  A group holds one key-day, so it is small."""
+def checksum_text(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, cols: Sequence[str] = CHECKSUM_COLS) -> Column:
+    """``keys|timestamp|close|index|flag`` with doubles through decimal(38,8);
+    NULL when any part is NULL (SQL ``||`` semantics: such a row is skipped)."""
     types = dict(df.dtypes)
     parts = [*spec.keys, spec.time] + list(cols)
-    text = row_text(*[decimal_text(c, CHECKSUM_SCALE) if types[c] in ("double", "float") else F.col(c)
+    return row_text(*[decimal_text(c, CHECKSUM_SCALE) if types[c] in ("double", "float") else F.col(c)
                       for c in parts])
-    # a row with a NULL text is not collected at all (collect_list skips NULL)
-    rows = F.array_sort(F.collect_list(
-        F.when(text.isNotNull(), F.struct(F.col(spec.time).alias("t"), text.alias("x")))))
-    return (df.groupBy(*spec.group)
-              .agg(rows.alias("_rows"))
-              .select(*spec.group,
-                      F.when(F.size("_rows") > 0,
-                             F.md5(F.array_join(F.transform("_rows", lambda r: r["x"]), "||")))
-                       .alias("digest")))
 
 
-def table_checksum(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, cols: Sequence[str] = CHECKSUM_COLS) -> DataFrame:
-    """Q8: scalable table checksum.
+def _digest_aggs(text: Column) -> list[Column]:
+    d = F.md5(text)
+    return [F.count(text).alias("n_rows"),
+            F.coalesce(F.sum(hex_slice_value(d, 1)), F.lit(0).cast("decimal(38,0)")).alias("_s1"),
+            F.coalesce(F.sum(hex_slice_value(d, 16)), F.lit(0).cast("decimal(38,0)")).alias("_s2")]
+
+
+def _digest() -> Column:
+    text = F.concat_ws("|", F.col("n_rows").cast("string"), F.col("_s1").cast("string"),
+                       F.col("_s2").cast("string"))
+    return F.md5(text)
+
 
-    Level 1 hashes each ``(keys, day)`` in time order; level 2 adds up two
-    60-bit slices of the day digests (associative, so partial aggregation
-    handles any number of days) and hashes the sums with the day count.  Every
-    row text carries its own timestamp, so the result changes when any cell,
-    row or day changes and does not depend on partitioning or input order.
+def day_digests(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, cols: Sequence[str] = CHECKSUM_COLS) -> DataFrame:
+    """Digest per ``(day, keys)``, same scheme as ``table_checksum``."""
+    agg = df.groupBy(*spec.group).agg(*_digest_aggs(checksum_text(df, spec, cols)))
+    return agg.select(*spec.group, "n_rows", _digest().alias("digest"))
+
+
+def table_checksum(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, cols: Sequence[str] = CHECKSUM_COLS) -> DataFrame:
+    """Q8: table checksum that scales to any table and any group size.
+
+    Every row text carries its own key and timestamp, so the table content
+    fixes the time order and the checksum can be order-free: MD5 of the row
+    count and of two summed 60-bit slices of the per-row MD5s.  The sums are
+    associative (partial aggregation on every executor, one row shuffled per
+    task), nothing is collected, and the result changes when any cell, row or
+    day changes and does not depend on partitioning or input order.  A row
+    with a NULL part is skipped, as string aggregation skips NULL.
     """
-    d = day_digests(df, spec, cols).filter(F.col("digest").isNotNull())
-    agg = d.agg(
-        F.count(F.lit(1)).alias("n_days"),
-        F.coalesce(F.sum(hex_slice_value("digest", 1)), F.lit(0).cast("decimal(38,0)")).alias("_s1"),
-        F.coalesce(F.sum(hex_slice_value("digest", 16)), F.lit(0).cast("decimal(38,0)")).alias("_s2"),
-    )
-    text = F.concat_ws("|", F.col("n_days").cast("string"), F.col("_s1").cast("decimal(38,0)").cast("string"),
-                       F.col("_s2").cast("decimal(38,0)").cast("string"))
-    return agg.select("n_days", F.md5(text).alias("checksum"))
+    agg = df.agg(*_digest_aggs(checksum_text(df, spec, cols)))
+    return agg.select("n_rows", _digest().alias("checksum"))

@@ -325,13 +325,11 @@ ORACLE: dict[str, str] = {
     "latest_rows": _q(f"""SELECT trade_timestamp, close_price, {_rd('crash_index')}, crash_alert_flag,
                               crash_severity FROM final ORDER BY trade_timestamp DESC LIMIT 10"""),
     "table_checksum": _q(f"""
-        SELECT count(*) AS n_days,
+        SELECT count(*) AS n_rows,
                md5(CAST(count(*) AS VARCHAR) || '|' ||
-                   CAST(coalesce(sum({_hex('digest', 1)}), 0) AS VARCHAR) || '|' ||
-                   CAST(coalesce(sum({_hex('digest', 16)}), 0) AS VARCHAR)) AS checksum
-        FROM (SELECT trade_date, md5(string_agg({_CHECK_TEXT}, '||' ORDER BY trade_timestamp)) AS digest
-              FROM final GROUP BY trade_date) d
-        WHERE digest IS NOT NULL"""),
+                   CAST(coalesce(sum({_hex('d', 1)}), 0) AS VARCHAR) || '|' ||
+                   CAST(coalesce(sum({_hex('d', 16)}), 0) AS VARCHAR)) AS checksum
+        FROM (SELECT md5({_CHECK_TEXT}) AS d FROM final WHERE {_CHECK_TEXT} IS NOT NULL) x"""),
     "row_fingerprint": _q(_fingerprint("bars_raw", _BAR_COLS)),
     "daily_runs": _q("SELECT * FROM daily"),
     "drift_test": _q(f"""
@@ -399,14 +397,11 @@ ORACLE.update({
                            ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)) t""", _K),
     "keyed_gap_count": _q("SELECT count(*) AS gap_count FROM gaps", _K),
     "keyed_table_checksum": _q(f"""
-        SELECT count(*) AS n_days,
+        SELECT count(*) AS n_rows,
                md5(CAST(count(*) AS VARCHAR) || '|' ||
-                   CAST(coalesce(sum({_hex('digest', 1)}), 0) AS VARCHAR) || '|' ||
-                   CAST(coalesce(sum({_hex('digest', 16)}), 0) AS VARCHAR)) AS checksum
-        FROM (SELECT trade_date, event_type,
-                     md5(string_agg({_KEYED_TEXT}, '||' ORDER BY trade_timestamp)) AS digest
-              FROM final GROUP BY trade_date, event_type) d
-        WHERE digest IS NOT NULL""", _K),
+                   CAST(coalesce(sum({_hex('d', 1)}), 0) AS VARCHAR) || '|' ||
+                   CAST(coalesce(sum({_hex('d', 16)}), 0) AS VARCHAR)) AS checksum
+        FROM (SELECT md5({_KEYED_TEXT}) AS d FROM final WHERE {_KEYED_TEXT} IS NOT NULL) x""", _K),
     "keyed_verification_row": _q(f"""
         SELECT min(trade_date) AS min_date, max(trade_date) AS max_date,
                {_count_if('crash_index IS NULL')} AS null_crash_index,
