@@ -30,14 +30,6 @@ def bucket_sql(score: str, grid: Sequence[float]) -> str:
     return " + ".join(f"CASE WHEN `{score}` > {_dbl(t)} THEN 1 ELSE 0 END" for t in grid)
 
 
-def bucket(score: Column, grid: Sequence[float]) -> Column:
-    terms = [F.when(score > F.lit(float(t)), 1).otherwise(0) for t in grid]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return total
-
-
 def confusion_sweep(df: DataFrame, score: str = "crash_index", label: str = "true_crash",
                     grid: Sequence[float] = DEFAULT_GRID, by: Sequence[str] = ()) -> DataFrame:
     """``(*by, threshold, tp, fp, fn)`` for every threshold of the grid.

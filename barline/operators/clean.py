@@ -12,9 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from barline.functions import count_where
 from barline.schemas import DEFAULT_SPEC, SeriesSpec
 
 
@@ -101,11 +99,3 @@ def input_profile(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame:
         F.min(spec.day).alias("min_date"),
         F.max(spec.day).alias("max_date"),
     )
-
-
-def duplicate_summary(df_with_counts: DataFrame, count_col: str = "n_copies") -> list[Column]:
-    """Aggregates over a deduplicated frame that kept its copy counts."""
-    return [
-        count_where(F.col(count_col) > 1).alias("duplicate_keys"),
-        F.sum(count_col).cast(T.LongType()).alias("raw_rows"),
-    ]

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,20 +140,12 @@ class SeriesSpec:
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.group).orderBy(self.time)
 
-    def rows(self, preceding: int | None) -> WindowSpec:
-        """Trailing ROWS frame of ``preceding + 1`` rows; ``None`` = from day start."""
-        start = Window.unboundedPreceding if preceding is None else -preceding
-        return self.window().rowsBetween(start, Window.currentRow)
-
     def rows_sql(self, preceding: int | None) -> str:
         """The same trailing frame as SQL text, for ``F.expr`` window columns."""
         start = "UNBOUNDED PRECEDING" if preceding is None else f"{preceding} PRECEDING"
         part = ", ".join(f"`{c}`" for c in self.group)
         return f"(PARTITION BY {part} ORDER BY `{self.time}` ROWS BETWEEN {start} AND CURRENT ROW)"
 
-    def key_cols(self) -> list[Column]:
-        return [F.col(k) for k in self.keys]
-
     def with_keys(self, *keys: str) -> "SeriesSpec":
         return SeriesSpec(keys=tuple(keys), time=self.time, day=self.day, open=self.open,
                           high=self.high, low=self.low, close=self.close, volume=self.volume)

@@ -93,6 +93,19 @@ def test_checksum_invariant_to_layout_and_sensitive_to_cells(spark):
     assert quality.table_checksum(with_null).first().checksum == a
 
 
+def test_day_digests_localise_a_change(spark):
+    rows = [{"close_price": float(i)} for i in range(10)]
+    df = _feature_rows(spark, rows).unionByName(
+        _feature_rows(spark, rows).withColumn("trade_date", F.lit(ts(1, 0).date()))
+        .withColumn("trade_timestamp", F.col("trade_timestamp") + F.expr("INTERVAL 1 DAY")))
+    a = {r.trade_date: (r.n_rows, r.digest) for r in quality.day_digests(df).collect()}
+    changed = df.withColumn("close_price", F.when((F.col("trade_date") == ts(1, 0).date())
+                                                  & (F.col("close_price") == 3.0), 3.5).otherwise(F.col("close_price")))
+    b = {r.trade_date: (r.n_rows, r.digest) for r in quality.day_digests(changed).collect()}
+    assert a[ts(0, 0).date()] == b[ts(0, 0).date()] and a[ts(1, 0).date()] != b[ts(1, 0).date()]
+    assert a[ts(0, 0).date()][0] == 10
+
+
 def test_latest_rows(spark):
     df = _feature_rows(spark, [{} for _ in range(15)])
     got = [r.trade_timestamp for r in quality.latest_rows(df, n=10).collect()]

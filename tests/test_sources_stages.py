@@ -184,3 +184,12 @@ def test_day_predicates_cover_range_once():
     assert preds[0] == ("trade_timestamp >= TIMESTAMP '2024-01-01 00:00:00' "
                         "AND trade_timestamp < TIMESTAMP '2024-01-03 00:00:00'")
     assert preds[-1].endswith("< TIMESTAMP '2024-01-07 00:00:00'")
+
+
+def test_cluster_conf_sizes_partitions():
+    from barline.session import cluster_conf
+    big = cluster_conf(100 * 1024 ** 4, executor_cores=4, executors=1000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    small = cluster_conf(10 * 1024 ** 2, executor_cores=4, executors=10)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80
+    assert big["spark.sql.adaptive.enabled"] == "true"
