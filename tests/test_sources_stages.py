@@ -193,3 +193,16 @@ def test_cluster_conf_sizes_partitions():
     small = cluster_conf(10 * 1024 ** 2, executor_cores=4, executors=10)
     assert int(small["spark.sql.shuffle.partitions"]) == 80
     assert big["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_cli_runs_all_stages(spark, tmp_root, capsys):
+    import json
+    from barline.__main__ import main
+    lines = [HEADER] + [f"20080102 {9 + (30 + m) // 60:02d}:{(30 + m) % 60:02d}:00,{100 + (m % 7) * 0.1:.2f},"
+                        f"{101 + (m % 7) * 0.1:.2f},{99 + (m % 7) * 0.1:.2f},{100 + (m % 5) * 0.1:.2f},{100 + m},1,100"
+                        for m in range(90)]
+    p = _write(f"{tmp_root}/cli.csv", "\n".join(lines) + "\n")
+    assert main(["all", "--root", f"{tmp_root}/tables", "--csv", p, "--run-id", "cli"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["ingest"]["written"] == 90 and out["verify"]["error"] is None
+    assert out["finalize"]["analytics_rows"] == 89
