@@ -2,8 +2,8 @@
 
     python -m barline all --root s3a://bucket/barline --csv s3a://bucket/in/bars.csv --run-id 2024-06-01
     python -m barline analyze --root /data/barline --run-id r1 --keys symbol
-    python -m barline analyze --root /data/barline --jdbc-url jdbc:postgresql://h/db \\
-        --source-table raw_stock_prices --target-table stock_intraday_features
+    python -m barline analyze --root /data/barline --jdbc-url jdbc:<driver>://h/db \\
+        --source-table raw_bars --target-table bar_features
 
 The session comes from the launcher (``getOrCreate``); table locations live
 under ``--root`` on a shared file system or object store.
