@@ -26,7 +26,7 @@ from barline.session import staging_path
 from barline.sinks.writers import write_document, write_table, write_with_readback
 from barline.sources import fingerprint
 from barline.sources.csv import read_bars_csv
-from barline.sources.tables import read_bars, read_metrics
+from barline.sources.tables import read_metrics
 
 log = logging.getLogger("barline")
 
@@ -76,6 +76,20 @@ def one_row(first: DataFrame, *others: DataFrame) -> DataFrame:
     return out.select(*names)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a staging folder this job wrote (shared file system or store)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def _raw_frame(df: DataFrame, spec: SeriesSpec, extra: Sequence[str] = ()) -> DataFrame:
+    """Series keys plus the raw-bar contract (cast by name), plus ``extra``."""
+    conform(df, RAW_BARS)  # fails on a missing column
+    return df.select(*spec.keys, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_BARS.fields],
+                     *extra)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -106,7 +120,7 @@ def dataset_fingerprint(spark: SparkSession, csv_path: str) -> tuple[str, int]:
 
 def ingest(spark: SparkSession, paths: Paths, csv_path: str | None = None, bars: DataFrame | None = None,
            dataset_hash: str | None = None, input_rows: int | None = None,
-           row_guard: bool = False) -> dict:
+           row_guard: bool = False, spec: SeriesSpec = DEFAULT_SPEC) -> dict:
     """Load raw bars with the two guardrails.
 
     Guardrail 1: the dataset hash is in the ingestion ledger -> skip.
@@ -131,8 +145,8 @@ def ingest(spark: SparkSession, paths: Paths, csv_path: str | None = None, bars:
         if existing >= input_rows:
             log.info("guardrail: raw table has %s rows >= input %s, skipping", existing, input_rows)
             return {"status": "skipped_covered", "dataset_hash": dataset_hash}
-    out = conform(bars, RAW_BARS).withColumn("trade_date", F.to_date("trade_timestamp"))
-    counts = write_with_readback(spark, out, paths.raw, RAW_BARS, partition_by=["trade_date"], name="raw_write",
+    out = _raw_frame(bars, spec).withColumn(spec.day, F.to_date(spec.time))
+    counts = write_with_readback(spark, out, paths.raw, partition_by=[spec.day], name="raw_write",
                                  rebalance=True)
     if read_obs is not None:
         counts["rows_read"] = read_obs.get["rows_read"]
@@ -153,7 +167,8 @@ def score(valid: DataFrame, spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame:
     return risk.with_label(risk.with_crash_index(risk.with_var_proxy(f)))
 
 
-def _rule_aggs(rules: Sequence[quality.Rule], available: Sequence[str]) -> list[Column]:
+def _rule_aggs(rules: Sequence[quality.Rule]) -> list[Column]:
+    """Row rules that do not need the alert columns (checked before the sweep)."""
     out = []
     for r in rules:
         if r.predicate and all(tok not in r.predicate for tok in ("crash_alert_flag", "crash_severity")):
@@ -163,10 +178,12 @@ def _rule_aggs(rules: Sequence[quality.Rule], available: Sequence[str]) -> list[
 
 def analyze(spark: SparkSession, paths: Paths, run_id: str | None = None, spec: SeriesSpec = DEFAULT_SPEC,
             grid: Sequence[float] = backtest.DEFAULT_GRID, tiebreak: Sequence[str] | None = None,
-            raw: DataFrame | None = None) -> dict:
+            raw: DataFrame | None = None, keep_stage: bool = False) -> dict:
+    """Raw bars -> feature table, run metrics document.  The staged table is
+    removed after a successful run (kept on failure, or with ``keep_stage``)."""
     run_id = run_id or uuid.uuid4().hex
-    raw = raw if raw is not None else read_bars(spark, paths.raw)
-    raw = raw.select(*spec.keys, *RAW_BARS.fieldNames(), *(tiebreak or []))
+    raw = raw if raw is not None else spark.read.parquet(paths.raw)
+    raw = _raw_frame(raw, spec, tiebreak or ())
 
     obs_in = Observation("input")
     d = clean.deduplicate(raw, spec, tiebreak=tiebreak, keep_count="_copies")
@@ -179,7 +196,7 @@ def analyze(spark: SparkSession, paths: Paths, run_id: str | None = None, spec:
 
     obs_q = Observation("quality")
     scored = scored.observe(obs_q, F.count(F.lit(1)).alias("rows"),
-                            *_rule_aggs(quality.JOB_RULES, scored.columns))
+                            *_rule_aggs(quality.JOB_RULES))
     stage = staging_path(spark, run_id, "scored")
     scored.write.mode("overwrite").parquet(stage)                                # action 1
     inp, q = obs_in.get, obs_q.get
@@ -219,6 +236,8 @@ def analyze(spark: SparkSession, paths: Paths, run_id: str | None = None, spec:
     doc = spark.createDataFrame([tuple(metrics[k] for k in runs.METRIC_NAMES)],
                                 ", ".join(f"{k} double" for k in runs.METRIC_NAMES))
     write_document(doc, paths.metrics)                                           # action 4
+    if not keep_stage:
+        _remove(spark, stage)
     log.info("run metrics %s", metrics)
     return {"run_id": run_id, "metrics": metrics, "rows": out["rows"], "input": inp, "quality": q,
             "best": best.asDict()}
@@ -235,7 +254,7 @@ def verify(spark: SparkSession, paths: Paths, run_id: str, spec: SeriesSpec = DE
                "checksum": None, "error": None}
     drift = False
     try:
-        raw = read_bars(spark, paths.raw) if not spec.keys else spark.read.parquet(paths.raw)
+        raw = _raw_frame(spark.read.parquet(paths.raw), spec)
         feats = spark.read.parquet(paths.features)
         rec = one_row(
             quality.row_coverage(raw, feats, spec),
@@ -305,7 +324,7 @@ def run_all(spark: SparkSession, paths: Paths, run_id: str, csv_path: str | None
             spec: SeriesSpec = DEFAULT_SPEC, tiebreak: Sequence[str] | None = None) -> dict:
     """Ingest (skipped by the guardrails when the dataset is known), analyze,
     verify and finalize."""
-    ing = ingest(spark, paths, csv_path=csv_path, bars=bars, dataset_hash=dataset_hash)
+    ing = ingest(spark, paths, csv_path=csv_path, bars=bars, dataset_hash=dataset_hash, spec=spec)
     raw = None
     if tiebreak:
         raw = bars

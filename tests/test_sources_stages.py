@@ -206,3 +206,21 @@ def test_cli_runs_all_stages(spark, tmp_root, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["ingest"]["written"] == 90 and out["verify"]["error"] is None
     assert out["finalize"]["analytics_rows"] == 89
+
+
+def test_end_to_end_with_series_keys(spark, tmp_root):
+    from barline.schemas import DEFAULT_SPEC
+    spec = DEFAULT_SPEC.with_keys("symbol")
+    walk = walk_bars(spark, days=3, minutes=120)
+    bars = walk.withColumn("symbol", F.lit("A")).unionByName(
+        walk.withColumn("symbol", F.lit("B")).withColumn("close_price", F.col("close_price") * 3)
+        .withColumn("high_price", F.col("high_price") * 3).withColumn("low_price", F.col("low_price") * 3)
+        .withColumn("open_price", F.col("open_price") * 3))
+    paths = Paths(tmp_root)
+    r = stages.run_all(spark, paths, "keyed", bars=bars, dataset_hash="walk-ab", spec=spec)
+    assert r["verify"]["error"] is None and r["verify"]["analytics_rows"] == 2 * 3 * 119
+    feats = spark.read.parquet(paths.features)
+    assert sorted(r.symbol for r in feats.select("symbol").distinct().collect()) == ["A", "B"]
+    from barline.session import staging_path
+    stage = staging_path(spark, "keyed", "scored")
+    assert stage.startswith("/") and not os.path.exists(stage)  # removed after success
