@@ -56,7 +56,7 @@ def main(argv=None) -> int:
     conn = dict(user=a.jdbc_user, password=a.jdbc_password, driver=a.jdbc_driver)
     out: dict = {}
     if a.stage in ("ingest", "all") and a.csv:
-        out["ingest"] = stages.ingest(spark, paths, csv_path=a.csv, row_guard=a.row_guard)
+        out["ingest"] = stages.ingest(spark, paths, csv_path=a.csv, row_guard=a.row_guard, spec=spec)
     if a.stage in ("analyze", "all"):
         raw = None
         if a.jdbc_url and a.source_table:

@@ -132,7 +132,7 @@ def ingest(spark: SparkSession, paths: Paths, csv_path: str | None = None, bars:
     if csv_path is not None:
         dataset_hash, input_rows = dataset_fingerprint(spark, csv_path)
         read_obs = Observation("csv_read")
-        bars = read_bars_csv(spark, csv_path, observation=read_obs)
+        bars = read_bars_csv(spark, csv_path, observation=read_obs, keys=spec.keys)
     if bars is None or dataset_hash is None:
         raise ValueError("give csv_path, or bars with dataset_hash")
     ledger = (spark.read.schema(INGESTION_LEDGER).parquet(paths.ingestion_ledger)

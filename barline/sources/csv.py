@@ -38,9 +38,10 @@ def null_tokens(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
 
 
 def conform_bars(text: DataFrame, tokens: Sequence[str] = NA_TOKENS, time_format: str = TIME_FORMAT,
-                 strict: bool = True, observation: Observation | None = None) -> DataFrame:
-    """Text frame with a bar header -> raw-bar contract (by name)."""
-    df = require_columns(normalise_columns(text), list(CSV_COLUMNS))
+                 strict: bool = True, observation: Observation | None = None,
+                 keys: Sequence[str] = ()) -> DataFrame:
+    """Text frame with a bar header -> series ``keys`` + raw-bar contract (by name)."""
+    df = require_columns(normalise_columns(text), [*CSV_COLUMNS, *keys])
     df = null_tokens(df, tokens)
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows_read"))
@@ -51,10 +52,11 @@ def conform_bars(text: DataFrame, tokens: Sequence[str] = NA_TOKENS, time_format
     # An unparsable date in non-strict mode becomes NULL and is dropped like any missing value.
     if not strict:
         parsed = parsed.filter(F.col("trade_timestamp").isNotNull())
-    return conform(parsed, RAW_BARS)
+    conform(parsed, RAW_BARS)  # fails on a missing column
+    return parsed.select(*keys, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_BARS.fields])
 
 
 def read_bars_csv(spark: SparkSession, path: str | Sequence[str], tokens: Sequence[str] = NA_TOKENS,
                   time_format: str = TIME_FORMAT, strict: bool = True,
-                  observation: Observation | None = None) -> DataFrame:
-    return conform_bars(read_text_csv(spark, path), tokens, time_format, strict, observation)
+                  observation: Observation | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    return conform_bars(read_text_csv(spark, path), tokens, time_format, strict, observation, keys)

@@ -36,6 +36,14 @@ def test_csv_by_name_with_variants(spark, tmp_root):
     assert got[0].bar_count == 5 and got[0].average_price == 10.2
 
 
+def test_csv_keeps_series_keys(spark, tmp_root):
+    text = ("Symbol,date,open,high,low,close,volume,barcount,average\n"
+            "A,20080102 09:30:00,1,1,1,1,1,1,1\nB,20080102 09:30:00,2,2,2,2,2,2,2\n")
+    p = _write(f"{tmp_root}/k.csv", text)
+    got = sorted((r.symbol, r.close_price) for r in csv_src.read_bars_csv(spark, p, keys=["symbol"]).collect())
+    assert got == [("A", 1.0), ("B", 2.0)]
+
+
 def test_csv_schema_and_parse_errors(spark, tmp_root):
     p = _write(f"{tmp_root}/missing.csv", "date,open,high,low,close,volume,average\n20080102 09:30:00,1,1,1,1,1,1\n")
     with pytest.raises(ValueError, match="barcount"):
