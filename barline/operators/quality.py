@@ -218,3 +218,42 @@ def table_checksum(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, cols: Sequenc
     """
     agg = df.agg(*_digest_aggs(checksum_text(df, spec, cols)))
     return agg.select("n_rows", _digest().alias("checksum"))
+
+
+def verification_record(raw: DataFrame, features: DataFrame, spec: SeriesSpec = DEFAULT_SPEC,
+                        min_ratio: float = 0.95) -> DataFrame:
+    """Everything the verification step checks, as ONE row from one pass over
+    each table (plus the duplicate and gap counts, which need their own
+    shuffle): coverage, date ranges, the row rules of ``VERIFY_RULES`` and the
+    checksum.  The other frames are attached as struct scalar subqueries."""
+    raw_day = F.to_date(spec.time)
+    raw_stats = raw.agg(
+        F.count_distinct(*[F.col(k) for k in (*spec.keys, spec.time)]).alias("raw_rows_distinct"),
+        F.min(raw_day).alias("min_raw"), F.max(raw_day).alias("max_raw"))
+    rows = [r for r in VERIFY_RULES if r.predicate]
+    feat = features.agg(
+        F.count(F.lit(1)).alias("analytics_rows"),
+        F.min(spec.day).alias("min_analytics"), F.max(spec.day).alias("max_analytics"),
+        *[count_where(F.expr(r.predicate)).alias(r.name) for r in rows],
+        *_digest_aggs(checksum_text(features, spec)))
+    extra = {
+        "_raw": raw_stats.select(F.struct(*raw_stats.columns)).scalar(),
+        "duplicate_count": duplicate_count(features, spec).scalar(),
+        "gap_count": gap_count(features, spec).scalar(),
+    }
+    out = feat.withColumns(extra).withColumns({
+        "checksum": _digest(),
+        "raw_rows_distinct": F.col("_raw.raw_rows_distinct"),
+        "min_raw": F.col("_raw.min_raw"), "max_raw": F.col("_raw.max_raw"),
+    })
+    ratio = F.when(F.col("raw_rows_distinct") > 0,
+                   F.col("analytics_rows") / F.col("raw_rows_distinct")).otherwise(F.lit(0.0))
+    date_ok = (F.col("min_raw").isNotNull() & F.col("max_raw").isNotNull()
+               & F.col("min_analytics").isNotNull() & F.col("max_analytics").isNotNull()
+               & (F.col("min_raw") == F.col("min_analytics")) & (F.col("max_raw") == F.col("max_analytics")))
+    return out.withColumns({
+        "coverage_ratio": ratio,
+        "coverage_ok": (F.col("analytics_rows") > 0)
+                       & (F.col("analytics_rows") <= F.col("raw_rows_distinct")) & (ratio >= min_ratio),
+        "date_range_ok": F.coalesce(date_ok, F.lit(False)),
+    }).drop("_raw", "_s1", "_s2")

@@ -216,6 +216,11 @@ def q_verification_row(spark, sf):
     return quality.verification_row(final(spark, sf), SPEC)
 
 
+def q_verification_record(spark, sf):
+    rec = quality.verification_record(raw_bars(spark, sf), final(spark, sf), SPEC)
+    return rec.withColumn("coverage_ratio", _r("coverage_ratio"))
+
+
 def q_ingest_guardrail(spark, sf):
     """Each day of events is an incoming dataset; the ledger holds the
     fingerprints of the days already stored as bars, and the stored row count
@@ -308,6 +313,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_metrics": q_run_metrics,
     "feature_table": q_feature_table,
     "verification_row": q_verification_row,
+    "verification_record": q_verification_record,
     "ingest_guardrail": q_ingest_guardrail,
     "keyed_dedup_bars": q_keyed_dedup_bars,
     "keyed_feature_table": q_keyed_feature_table,

@@ -415,3 +415,34 @@ ORACLE.update({
                (SELECT count(*) FROM gaps) AS gap_count
         FROM final""", _K),
 })
+
+
+ORACLE["verification_record"] = _q(f"""
+    SELECT a.* EXCLUDE (s1, s2), r.*,
+           md5(CAST(a.n_rows AS VARCHAR) || '|' || CAST(a.s1 AS VARCHAR) || '|' || CAST(a.s2 AS VARCHAR))
+             AS checksum,
+           (SELECT count(*) FROM dups) AS duplicate_count,
+           (SELECT count(*) FROM gaps) AS gap_count,
+           round(CASE WHEN r.raw_rows_distinct > 0 THEN a.analytics_rows / r.raw_rows_distinct ELSE 0.0 END, 6)
+             + 0.0 AS coverage_ratio,
+           (a.analytics_rows > 0 AND a.analytics_rows <= r.raw_rows_distinct
+            AND CASE WHEN r.raw_rows_distinct > 0 THEN a.analytics_rows / r.raw_rows_distinct ELSE 0.0 END
+                >= 0.95) AS coverage_ok,
+           coalesce(r.min_raw IS NOT NULL AND r.max_raw IS NOT NULL AND a.min_analytics IS NOT NULL
+                    AND a.max_analytics IS NOT NULL AND r.min_raw = a.min_analytics
+                    AND r.max_raw = a.max_analytics, false) AS date_range_ok
+    FROM (SELECT count(*) AS analytics_rows, min(trade_date) AS min_analytics, max(trade_date) AS max_analytics,
+                 {_count_if('crash_index IS NULL')} AS null_crash_index,
+                 {_count_if("crash_alert_flag = 1 AND crash_severity = 'LOW'")} AS alert_mismatch,
+                 {_count_if('drawdown > 0')} AS positive_drawdown,
+                 {_count_if('volatility_30min < 0')} AS negative_volatility,
+                 {_count_if('volume_ratio < 0')} AS negative_volume_ratio,
+                 {_count_if('abs(volatility_zscore) > 10')} AS extreme_zscore,
+                 {_count_if('abs(crash_index) > 50')} AS extreme_crash_index,
+                 count({_CHECK_TEXT}) AS n_rows,
+                 coalesce(sum({_hex(f'md5({_CHECK_TEXT})', 1)}), 0) AS s1,
+                 coalesce(sum({_hex(f'md5({_CHECK_TEXT})', 16)}), 0) AS s2
+          FROM final) a,
+         (SELECT count(DISTINCT trade_timestamp) AS raw_rows_distinct,
+                 min(CAST(trade_timestamp AS DATE)) AS min_raw, max(CAST(trade_timestamp AS DATE)) AS max_raw
+          FROM bars_raw) r""")

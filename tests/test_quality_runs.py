@@ -80,6 +80,20 @@ def test_coverage_and_date_range(spark):
     assert quality.date_range_match(raw2, feats).first().date_range_ok is False
 
 
+def test_verification_record_agrees_with_the_separate_checks(spark):
+    raw = spark.createDataFrame([(ts(0, m),) for m in range(20)] + [(ts(0, 0),)], "trade_timestamp timestamp_ntz")
+    feats = _feature_rows(spark, [{"drawdown": 0.02}] + [{} for _ in range(18)])
+    rec = quality.verification_record(raw, feats).first()
+    cov = quality.row_coverage(raw, feats).first()
+    dr = quality.date_range_match(raw, feats).first()
+    ver = quality.verification_row(feats).first()
+    assert (rec.raw_rows_distinct, rec.analytics_rows, rec.coverage_ok) == (
+        cov.raw_rows_distinct, cov.analytics_rows, cov.coverage_ok)
+    assert rec.date_range_ok == dr.date_range_ok and rec.min_raw == dr.min_raw
+    assert rec.positive_drawdown == ver.positive_drawdown == 1 and rec.gap_count == ver.gap_count
+    assert rec.checksum == quality.table_checksum(feats).first().checksum
+
+
 def test_checksum_invariant_to_layout_and_sensitive_to_cells(spark):
     df = _feature_rows(spark, [{"close_price": float(i)} for i in range(30)])
     a = quality.table_checksum(df).first().checksum
