@@ -35,6 +35,7 @@ def _args(argv):
     p.add_argument("--source-table", help="read raw bars from this JDBC table instead of --root")
     p.add_argument("--target-table", help="also write the feature table to this JDBC table")
     p.add_argument("--jdbc-partitions", type=int, default=64)
+    p.add_argument("--split-rows", type=int, help="evaluate windows in chunks of this many rows per key-day")
     return p.parse_args(argv)
 
 
@@ -62,7 +63,7 @@ def main(argv=None) -> int:
         if a.jdbc_url and a.source_table:
             from barline.sources.jdbc import read_jdbc
             raw = read_jdbc(spark, a.jdbc_url, a.source_table, num_partitions=a.jdbc_partitions, **conn)
-        out["analyze"] = stages.analyze(spark, paths, a.run_id, spec=spec, raw=raw)
+        out["analyze"] = stages.analyze(spark, paths, a.run_id, spec=spec, raw=raw, split_rows=a.split_rows)
         a.run_id = out["analyze"]["run_id"]
         if a.jdbc_url and a.target_table:
             from barline.sources.jdbc import write_jdbc

@@ -10,9 +10,9 @@ is bounded whatever the table size.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barline.functions import log_return, ratio_or_zero, safe_div, zscore_or_zero
@@ -74,11 +74,8 @@ def with_log_returns(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, drop_undefi
     return out.filter(F.col("log_return").isNotNull()) if drop_undefined else out
 
 
-def with_features(bars: DataFrame, spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame:
-    """Valid, deduplicated bars with ``trade_date`` -> all rolling features."""
-    df = with_log_returns(bars, spec)
-    df = with_rolling(df, level1(spec), spec)
-    df = with_rolling(df, level2(), spec)
+def _derived(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Row-local features over the window outputs."""
     df = df.withColumns({
         "volume_ratio": ratio_or_zero(spec.volume, "avg_volume_30min"),
         "vwap_15min": safe_div("_pv_15", "_v_15"),
@@ -87,3 +84,83 @@ def with_features(bars: DataFrame, spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame
         "drawdown": safe_div(F.col(spec.close) - F.col("rolling_peak"), "rolling_peak"),
     })
     return df.drop("_pv_15", "_v_15", "_pv_30", "_v_30")
+
+
+def with_features(bars: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, split_rows: int | None = None) -> DataFrame:
+    """Valid, deduplicated bars with ``trade_date`` -> all rolling features.
+
+    ``split_rows`` switches to the split evaluation (``with_features_split``)
+    for inputs where one key-day can be very large (tick data); the result is
+    the same.
+    """
+    if split_rows:
+        return with_features_split(bars, spec, split_rows)
+    df = with_log_returns(bars, spec)
+    df = with_rolling(df, level1(spec), spec)
+    df = with_rolling(df, level2(), spec)
+    return _derived(df, spec)
+
+
+# ---- split evaluation for very large key-days ---------------------------------------
+
+# Rows of overlap a chunk needs from the one before: the level-2 frame (60 rows)
+# over level-1 frames (30 rows) reaches 88 rows back; two rows of margin.
+SPLIT_HALO = 90
+
+
+def day_positions(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame:
+    """Adds ``_pos``, the 1-based position of each row in its key-day by time,
+    without sorting a whole key-day in one task: rows are counted per second of
+    the day (at most 86,400 groups per key-day), the counts are summed in time
+    order, and only the rows of one second are numbered together (at most one
+    million rows, as times are unique per key at microsecond resolution)."""
+    t = F.col(spec.time)
+    df = df.withColumn("_sec", F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t))
+    counts = df.groupBy(*spec.group, "_sec").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*spec.group).orderBy("_sec").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*spec.group, "_sec",
+                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).cast("bigint").alias("_before"))
+    rn = F.row_number().over(Window.partitionBy(*spec.group, "_sec").orderBy(spec.time))
+    return (df.join(counts, on=[*spec.group, "_sec"])
+              .withColumn("_pos", F.col("_before") + rn).drop("_sec", "_before"))
+
+
+def _chunked(df: DataFrame, size: int, halo: int) -> DataFrame:
+    """Rows with ``_pos`` -> chunk id per ``size`` positions; the last ``halo``
+    rows of each chunk are copied into the next one, flagged ``_halo``."""
+    if halo > size:
+        raise ValueError("split_rows must be at least the overlap of the windows")
+    pos0 = F.col("_pos") - 1
+    chunk = F.floor(pos0 / size).cast("bigint")
+    own = df.withColumns({"_chunk": chunk, "_halo": F.lit(False)})
+    tail = df.filter(pos0 % size >= size - halo).withColumns({"_chunk": chunk + 1, "_halo": F.lit(True)})
+    return own.unionByName(tail)
+
+
+def with_features_split(bars: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, split_rows: int = 1_000_000) -> DataFrame:
+    """The same features with each key-day cut into chunks of ``split_rows``
+    rows, so no task holds more than one chunk plus its overlap, whatever the
+    size of a key-day.  Exact: every frame sees the same rows in the same
+    order as the plain evaluation.  Costs a few more shuffles, so it is for
+    inputs where a key-day can be huge."""
+    cs = replace(spec, keys=(*spec.keys, "_chunk"))
+    # lag: one row of overlap
+    p = _chunked(day_positions(bars, spec), split_rows, 1)
+    prev = F.lag(spec.close, 1).over(cs.window())
+    r = (p.withColumn("log_return", log_return(spec.close, prev))
+          .filter(~F.col("_halo") & F.col("log_return").isNotNull())
+          .drop("_pos", "_chunk", "_halo"))
+    # rolling windows over the rows that have a return: SPLIT_HALO rows of overlap
+    p = _chunked(day_positions(r, spec), split_rows, SPLIT_HALO)
+    bounded = [x for x in level1(spec) if x.rows is not None]
+    peak = next(x for x in level1(spec) if x.rows is None)
+    out = with_rolling(p, bounded + [Rolling("_run_max", peak.agg, peak.source, None)], cs)
+    out = with_rolling(out, level2(), cs).filter(~F.col("_halo"))
+    # the running peak also needs the maxima of all earlier chunks of the day
+    cmax = p.filter(~F.col("_halo")).groupBy(*spec.group, "_chunk").agg(F.max(spec.close).alias("_cmax"))
+    earlier = Window.partitionBy(*spec.group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    cmax = cmax.select(*spec.group, "_chunk", F.max("_cmax").over(earlier).alias("_prev_max"))
+    out = (out.join(cmax, on=[*spec.group, "_chunk"])
+              .withColumn(peak.name, F.greatest("_run_max", "_prev_max"))
+              .drop("_run_max", "_prev_max", "_pos", "_chunk", "_halo"))
+    return _derived(out, spec)

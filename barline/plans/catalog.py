@@ -45,25 +45,25 @@ def valid_bars(spark: SparkSession, sf: str, spec=DEFAULT_SPEC) -> DataFrame:
     return clean.valid_bars(dedup_bars(spark, sf, spec), spec)
 
 
-def scored(spark: SparkSession, sf: str, spec=DEFAULT_SPEC) -> DataFrame:
+def scored(spark: SparkSession, sf: str, spec=DEFAULT_SPEC, split_rows: int | None = None) -> DataFrame:
     """Features, VaR proxy, crash index and label (everything but the alert)."""
-    f = features.with_features(valid_bars(spark, sf, spec), spec)
+    f = features.with_features(valid_bars(spark, sf, spec), spec, split_rows=split_rows)
     return risk.with_label(risk.with_crash_index(risk.with_var_proxy(f)))
 
 
-def scored_checkpoint(spark: SparkSession, sf: str, spec=DEFAULT_SPEC) -> DataFrame:
+def scored_checkpoint(spark: SparkSession, sf: str, spec=DEFAULT_SPEC, split_rows: int | None = None) -> DataFrame:
     """The scored stage materialised in the shared checkpoint folder, so the
     threshold sweep and the alert columns read it instead of recomputing
     every window twice."""
     staging_root(spark)
-    return scored(spark, sf, spec).checkpoint(eager=True)
+    return scored(spark, sf, spec, split_rows).checkpoint(eager=True)
 
 
-def final_parts(spark: SparkSession, sf: str, spec=DEFAULT_SPEC):
+def final_parts(spark: SparkSession, sf: str, spec=DEFAULT_SPEC, split_rows: int | None = None):
     """``(feature table, threshold column)``: the 27-column table (plus keys)
     with the F1-chosen threshold attached as a scalar subquery (computed
     once, no join)."""
-    s = scored_checkpoint(spark, sf, spec)
+    s = scored_checkpoint(spark, sf, spec, split_rows)
     t = backtest.best_threshold(s).select("threshold").scalar()
     out = risk.with_alerts(s.withColumn("_t", t), F.col("_t")).select(*spec.keys, *FEATURES.fieldNames())
     return out, t
@@ -212,6 +212,17 @@ def q_feature_table(spark, sf):
     return _rounded(final(spark, sf))
 
 
+# Chunk size of the split evaluation in the catalog: small enough to cut every
+# day of the test data into several chunks (a cluster would use ~10^6).
+SPLIT_ROWS = 128
+
+
+def q_feature_table_split(spark, sf):
+    """The feature table through the split (skew-proof) window evaluation."""
+    out, _ = final_parts(spark, sf, SPEC, split_rows=SPLIT_ROWS)
+    return _rounded(out)
+
+
 def q_verification_row(spark, sf):
     return quality.verification_row(final(spark, sf), SPEC)
 
@@ -312,6 +323,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_test": q_drift_test,
     "run_metrics": q_run_metrics,
     "feature_table": q_feature_table,
+    "feature_table_split": q_feature_table_split,
     "verification_row": q_verification_row,
     "verification_record": q_verification_record,
     "ingest_guardrail": q_ingest_guardrail,

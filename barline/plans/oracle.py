@@ -446,3 +446,6 @@ ORACLE["verification_record"] = _q(f"""
          (SELECT count(DISTINCT trade_timestamp) AS raw_rows_distinct,
                  min(CAST(trade_timestamp AS DATE)) AS min_raw, max(CAST(trade_timestamp AS DATE)) AS max_raw
           FROM bars_raw) r""")
+
+# The split evaluation must give exactly the plain feature table.
+ORACLE["feature_table_split"] = ORACLE["feature_table"]

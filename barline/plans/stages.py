@@ -161,9 +161,10 @@ def ingest(spark: SparkSession, paths: Paths, csv_path: str | None = None, bars:
 
 # ---- analyze --------------------------------------------------------------------
 
-def score(valid: DataFrame, spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame:
-    """Valid bars -> rolling features, VaR proxy, crash index, label."""
-    f = features.with_features(valid, spec)
+def score(valid: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, split_rows: int | None = None) -> DataFrame:
+    """Valid bars -> rolling features, VaR proxy, crash index, label.
+    ``split_rows`` evaluates the windows in chunks (for very large key-days)."""
+    f = features.with_features(valid, spec, split_rows=split_rows)
     return risk.with_label(risk.with_crash_index(risk.with_var_proxy(f)))
 
 
@@ -178,7 +179,7 @@ def _rule_aggs(rules: Sequence[quality.Rule]) -> list[Column]:
 
 def analyze(spark: SparkSession, paths: Paths, run_id: str | None = None, spec: SeriesSpec = DEFAULT_SPEC,
             grid: Sequence[float] = backtest.DEFAULT_GRID, tiebreak: Sequence[str] | None = None,
-            raw: DataFrame | None = None, keep_stage: bool = False) -> dict:
+            raw: DataFrame | None = None, keep_stage: bool = False, split_rows: int | None = None) -> dict:
     """Raw bars -> feature table, run metrics document.  The staged table is
     removed after a successful run (kept on failure, or with ``keep_stage``)."""
     run_id = run_id or uuid.uuid4().hex
@@ -192,7 +193,7 @@ def analyze(spark: SparkSession, paths: Paths, run_id: str | None = None, spec:
         F.count(F.lit(1)).alias("input_rows"),
         count_where(F.col("_copies") > 1).alias("duplicate_keys"),
         F.min(spec.day).alias("min_date"), F.max(spec.day).alias("max_date"))
-    scored = score(clean.valid_bars(d.drop("_copies"), spec), spec)
+    scored = score(clean.valid_bars(d.drop("_copies"), spec), spec, split_rows)
 
     obs_q = Observation("quality")
     scored = scored.observe(obs_q, F.count(F.lit(1)).alias("rows"),
@@ -317,14 +318,15 @@ def finalize(spark: SparkSession, paths: Paths) -> dict:
 
 def run_all(spark: SparkSession, paths: Paths, run_id: str, csv_path: str | None = None,
             bars: DataFrame | None = None, dataset_hash: str | None = None,
-            spec: SeriesSpec = DEFAULT_SPEC, tiebreak: Sequence[str] | None = None) -> dict:
+            spec: SeriesSpec = DEFAULT_SPEC, tiebreak: Sequence[str] | None = None,
+            split_rows: int | None = None) -> dict:
     """Ingest (skipped by the guardrails when the dataset is known), analyze,
     verify and finalize."""
     ing = ingest(spark, paths, csv_path=csv_path, bars=bars, dataset_hash=dataset_hash, spec=spec)
     raw = None
     if tiebreak:
         raw = bars
-    res = analyze(spark, paths, run_id, spec=spec, tiebreak=tiebreak, raw=raw)
+    res = analyze(spark, paths, run_id, spec=spec, tiebreak=tiebreak, raw=raw, split_rows=split_rows)
     ver = verify(spark, paths, run_id, spec)
     fin = finalize(spark, paths)
     return {"ingest": ing, "analyze": res, "verify": ver, "final": fin}

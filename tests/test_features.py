@@ -191,3 +191,38 @@ def test_results_do_not_depend_on_input_partitioning(spark):
         got = score(clean.valid_bars(clean.with_trade_date(clean.deduplicate(df))))
         outs.append(sorted(tuple(r) for r in got.collect()))
     assert outs[0] == outs[1] == outs[2]
+
+
+@pytest.mark.parametrize("split_rows", [3, 7, 90, 1000])
+def test_split_evaluation_equals_plain(spark, split_rows):
+    from barline.operators.features import SPLIT_HALO
+    rows = _fixture_rows()
+    bars = clean.valid_bars(clean.with_trade_date(bars_df(spark, rows)))
+    plain = features.with_features(bars)
+    if split_rows < SPLIT_HALO:
+        with pytest.raises(ValueError):
+            features.with_features(bars, split_rows=split_rows)
+        return
+    split = features.with_features(bars, split_rows=split_rows).select(*plain.columns)
+    assert sorted(tuple(r) for r in split.collect()) == sorted(tuple(r) for r in plain.collect())
+
+
+def test_split_evaluation_on_events(spark):
+    from barline.plans import catalog
+    v = catalog.valid_bars(spark, "/root/testdata/sf0.01")
+    plain = features.with_features(v)
+    split = features.with_features(v, split_rows=SPLIT).select(*plain.columns)
+    a = sorted(tuple(r) for r in plain.collect())
+    b = sorted(tuple(r) for r in split.collect())
+    assert len(a) == 8927 and a == b
+
+
+SPLIT = 128
+
+
+def test_split_evaluation_on_long_days(spark):
+    from tests.test_sources_stages import walk_bars
+    bars = clean.valid_bars(clean.with_trade_date(walk_bars(spark, days=4, minutes=390)))
+    plain = score(bars)
+    split = score(bars, split_rows=100).select(*plain.columns)
+    assert sorted(tuple(r) for r in split.collect()) == sorted(tuple(r) for r in plain.collect())
