@@ -71,7 +71,7 @@ def main(argv=None) -> int:
     if a.stage in ("verify", "all"):
         if not a.run_id:
             raise SystemExit("--run-id is needed for verify")
-        out["verify"] = stages.verify(spark, paths, a.run_id, spec)
+        out["verify"] = stages.verify(spark, paths, a.run_id, spec, split_rows=a.split_rows)
     if a.stage in ("finalize", "all"):
         out["finalize"] = stages.finalize(spark, paths)
     print(json.dumps(out, default=str))

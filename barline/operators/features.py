@@ -125,7 +125,7 @@ def day_positions(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame:
               .withColumn("_pos", F.col("_before") + rn).drop("_sec", "_before"))
 
 
-def _chunked(df: DataFrame, size: int, halo: int) -> DataFrame:
+def chunked(df: DataFrame, size: int, halo: int) -> DataFrame:
     """Rows with ``_pos`` -> chunk id per ``size`` positions; the last ``halo``
     rows of each chunk are copied into the next one, flagged ``_halo``."""
     if halo > size:
@@ -145,13 +145,13 @@ def with_features_split(bars: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, split_
     inputs where a key-day can be huge."""
     cs = replace(spec, keys=(*spec.keys, "_chunk"))
     # lag: one row of overlap
-    p = _chunked(day_positions(bars, spec), split_rows, 1)
+    p = chunked(day_positions(bars, spec), split_rows, 1)
     prev = F.lag(spec.close, 1).over(cs.window())
     r = (p.withColumn("log_return", log_return(spec.close, prev))
           .filter(~F.col("_halo") & F.col("log_return").isNotNull())
           .drop("_pos", "_chunk", "_halo"))
     # rolling windows over the rows that have a return: SPLIT_HALO rows of overlap
-    p = _chunked(day_positions(r, spec), split_rows, SPLIT_HALO)
+    p = chunked(day_positions(r, spec), split_rows, SPLIT_HALO)
     bounded = [x for x in level1(spec) if x.rows is not None]
     peak = next(x for x in level1(spec) if x.rows is None)
     out = with_rolling(p, bounded + [Rolling("_run_max", peak.agg, peak.source, None)], cs)

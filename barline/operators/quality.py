@@ -75,16 +75,29 @@ def validation_summary(df: DataFrame) -> DataFrame:
     return df.agg(*[count_where(F.expr(by_name[n].predicate)).alias(n) for n in names])
 
 
-def gap_rows(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, max_gap: str = MAX_GAP) -> DataFrame:
-    """Q2: rows more than ``max_gap`` after the previous row of the same day."""
-    prev = F.lag(spec.time).over(spec.window())
-    return (df.select(*spec.keys, spec.day, spec.time, prev.alias("prev_timestamp"))
-              .filter(F.col("prev_timestamp").isNotNull()
-                      & ((F.col(spec.time) - F.col("prev_timestamp")) > F.expr(f"INTERVAL '{max_gap}'"))))
-
-
-def gap_count(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, max_gap: str = MAX_GAP) -> DataFrame:
-    return gap_rows(df, spec, max_gap).agg(F.count(F.lit(1)).alias("gap_count"))
+def gap_rows(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, max_gap: str = MAX_GAP,
+             split_rows: int | None = None) -> DataFrame:
+    """Q2: rows more than ``max_gap`` after the previous row of the same day.
+    ``split_rows`` finds the previous row in chunks of the day (one row of
+    overlap) instead of one window over the whole key-day."""
+    if split_rows:
+        from dataclasses import replace
+        from barline.operators.features import chunked, day_positions
+        p = chunked(day_positions(df.select(*spec.keys, spec.day, spec.time), spec), split_rows, 1)
+        cs = replace(spec, keys=(*spec.keys, "_chunk"))
+        prev = F.lag(spec.time).over(cs.window())
+        rows = (p.select(*spec.keys, spec.day, spec.time, prev.alias("prev_timestamp"), "_halo")
+                 .filter(~F.col("_halo")).drop("_halo"))
+    else:
+        prev = F.lag(spec.time).over(spec.window())
+        rows = df.select(*spec.keys, spec.day, spec.time, prev.alias("prev_timestamp"))
+    return rows.filter(F.col("prev_timestamp").isNotNull()
+                       & ((F.col(spec.time) - F.col("prev_timestamp")) > F.expr(f"INTERVAL '{max_gap}'")))
+
+
+def gap_count(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, max_gap: str = MAX_GAP,
+              split_rows: int | None = None) -> DataFrame:
+    return gap_rows(df, spec, max_gap, split_rows).agg(F.count(F.lit(1)).alias("gap_count"))
 
 
 def duplicate_count(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame:
@@ -221,7 +234,7 @@ def table_checksum(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, cols: Sequenc
 
 
 def verification_record(raw: DataFrame, features: DataFrame, spec: SeriesSpec = DEFAULT_SPEC,
-                        min_ratio: float = 0.95) -> DataFrame:
+                        min_ratio: float = 0.95, split_rows: int | None = None) -> DataFrame:
     """Everything the verification step checks, as ONE row from one pass over
     each table (plus the duplicate and gap counts, which need their own
     shuffle): coverage, date ranges, the row rules of ``VERIFY_RULES`` and the
@@ -239,7 +252,7 @@ def verification_record(raw: DataFrame, features: DataFrame, spec: SeriesSpec =
     extra = {
         "_raw": raw_stats.select(F.struct(*raw_stats.columns)).scalar(),
         "duplicate_count": duplicate_count(features, spec).scalar(),
-        "gap_count": gap_count(features, spec).scalar(),
+        "gap_count": gap_count(features, spec, split_rows=split_rows).scalar(),
     }
     out = feat.withColumns(extra).withColumns({
         "checksum": _digest(),

@@ -247,7 +247,7 @@ def analyze(spark: SparkSession, paths: Paths, run_id: str | None = None, spec:
 # ---- verify ---------------------------------------------------------------------
 
 def verify(spark: SparkSession, paths: Paths, run_id: str, spec: SeriesSpec = DEFAULT_SPEC,
-           exclude_own_run: bool = True) -> dict:
+           exclude_own_run: bool = True, split_rows: int | None = None) -> dict:
     """Checks of the written table, checksum, drift, ledger upsert, verdict.
     The counts, date ranges, integrity counts and checksum are one query with
     one pass over each table."""
@@ -258,7 +258,7 @@ def verify(spark: SparkSession, paths: Paths, run_id: str, spec: SeriesSpec = DE
     try:
         raw = _raw_frame(spark.read.parquet(paths.raw), spec)
         feats = spark.read.parquet(paths.features)
-        rec = quality.verification_record(raw, feats, spec).first().asDict()
+        rec = quality.verification_record(raw, feats, spec, split_rows=split_rows).first().asDict()
         verdict["raw_rows_distinct"], verdict["analytics_rows"] = rec["raw_rows_distinct"], rec["analytics_rows"]
         if rec["analytics_rows"] <= 0:
             raise ValueError("verification failed: analytics table empty")
@@ -327,6 +327,6 @@ def run_all(spark: SparkSession, paths: Paths, run_id: str, csv_path: str | None
     if tiebreak:
         raw = bars
     res = analyze(spark, paths, run_id, spec=spec, tiebreak=tiebreak, raw=raw, split_rows=split_rows)
-    ver = verify(spark, paths, run_id, spec)
+    ver = verify(spark, paths, run_id, spec, split_rows=split_rows)
     fin = finalize(spark, paths)
     return {"ingest": ing, "analyze": res, "verify": ver, "final": fin}

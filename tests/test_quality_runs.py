@@ -63,6 +63,17 @@ def test_gaps_ignore_overnight(spark):
     assert quality.gap_count(df).first().gap_count == 1
 
 
+def test_split_gap_rows_equal_plain(spark):
+    minutes = [m for m in range(300) if m % 17 not in (3, 4)]          # holes inside each day
+    rows = [(ts(d, m),) for d in range(2) for m in minutes]
+    df = spark.createDataFrame(rows, "trade_timestamp timestamp_ntz").withColumn(
+        "trade_date", F.to_date("trade_timestamp"))
+    plain = sorted(tuple(r) for r in quality.gap_rows(df).collect())
+    for size in (2, 10, 97):
+        assert sorted(tuple(r) for r in quality.gap_rows(df, split_rows=size).collect()) == plain
+    assert len(plain) > 10
+
+
 def test_verification_row_counts_duplicates(spark):
     df = _feature_rows(spark, [{}, {}]).unionByName(_feature_rows(spark, [{}]))
     r = quality.verification_row(df).first()

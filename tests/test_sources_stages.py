@@ -232,3 +232,12 @@ def test_end_to_end_with_series_keys(spark, tmp_root):
     from barline.session import staging_path
     stage = staging_path(spark, "keyed", "scored")
     assert stage.startswith("/") and not os.path.exists(stage)  # removed after success
+
+
+def test_end_to_end_split_matches_plain(spark, tmp_root):
+    bars = walk_bars(spark, days=2, minutes=390)
+    a = stages.run_all(spark, Paths(f"{tmp_root}/a"), "plain", bars=bars, dataset_hash="w2")
+    b = stages.run_all(spark, Paths(f"{tmp_root}/b"), "split", bars=bars, dataset_hash="w2", split_rows=100)
+    assert a["verify"]["error"] is None and b["verify"]["error"] is None
+    assert a["verify"]["checksum"] == b["verify"]["checksum"]
+    assert a["analyze"]["metrics"] == b["analyze"]["metrics"]
