@@ -223,6 +223,11 @@ def q_feature_table_split(spark, sf):
     return _rounded(out)
 
 
+def q_gap_rows_split(spark, sf):
+    """Gap rows through the split (skew-proof) previous-row lookup."""
+    return quality.gap_rows(final(spark, sf), SPEC, split_rows=SPLIT_ROWS)
+
+
 def q_verification_row(spark, sf):
     return quality.verification_row(final(spark, sf), SPEC)
 
@@ -324,6 +329,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_metrics": q_run_metrics,
     "feature_table": q_feature_table,
     "feature_table_split": q_feature_table_split,
+    "gap_rows_split": q_gap_rows_split,
     "verification_row": q_verification_row,
     "verification_record": q_verification_record,
     "ingest_guardrail": q_ingest_guardrail,

@@ -449,3 +449,4 @@ ORACLE["verification_record"] = _q(f"""
 
 # The split evaluation must give exactly the plain feature table.
 ORACLE["feature_table_split"] = ORACLE["feature_table"]
+ORACLE["gap_rows_split"] = ORACLE["gap_rows"]
