@@ -108,6 +108,24 @@ def with_features(bars: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, split_rows:
 SPLIT_HALO = 90
 
 
+# Fixed values of the automatic choice: split when a key-day may exceed the limit.
+AUTO_SPLIT_LIMIT = 2_000_000
+AUTO_SPLIT_ROWS = 1_000_000
+
+
+def choose_split(raw: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, limit: int | None = None,
+                 rows: int | None = None) -> int | None:
+    """Chunk size for the split evaluation, or None when no key-day is large.
+    Counts rows per key-day of the raw input (only key and time columns are
+    read; duplicates only make the bound larger) in one partial aggregation."""
+    day = F.to_date(spec.time)
+    largest = (raw.groupBy(*spec.keys, day).agg(F.count(F.lit(1)).alias("_n"))
+                  .agg(F.max("_n").alias("_m")).first()["_m"]) or 0
+    limit = AUTO_SPLIT_LIMIT if limit is None else limit
+    rows = AUTO_SPLIT_ROWS if rows is None else rows
+    return rows if largest > limit else None
+
+
 def day_positions(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame:
     """Adds ``_pos``, the 1-based position of each row in its key-day by time,
     without sorting a whole key-day in one task: rows are counted per second of

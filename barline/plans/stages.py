@@ -179,12 +179,18 @@ def _rule_aggs(rules: Sequence[quality.Rule]) -> list[Column]:
 
 def analyze(spark: SparkSession, paths: Paths, run_id: str | None = None, spec: SeriesSpec = DEFAULT_SPEC,
             grid: Sequence[float] = backtest.DEFAULT_GRID, tiebreak: Sequence[str] | None = None,
-            raw: DataFrame | None = None, keep_stage: bool = False, split_rows: int | None = None) -> dict:
+            raw: DataFrame | None = None, keep_stage: bool = False,
+            split_rows: int | str | None = None) -> dict:
     """Raw bars -> feature table, run metrics document.  The staged table is
-    removed after a successful run (kept on failure, or with ``keep_stage``)."""
+    removed after a successful run (kept on failure, or with ``keep_stage``).
+    ``split_rows``: chunk size of the split window evaluation, or ``"auto"``
+    to split only when a key-day of the input exceeds ``AUTO_SPLIT_LIMIT``."""
     run_id = run_id or uuid.uuid4().hex
     raw = raw if raw is not None else spark.read.parquet(paths.raw)
     raw = _raw_frame(raw, spec, tiebreak or ())
+    if split_rows == "auto":
+        split_rows = features.choose_split(raw, spec)
+        log.info("split evaluation: %s", split_rows or "not needed")
 
     obs_in = Observation("input")
     d = clean.deduplicate(raw, spec, tiebreak=tiebreak, keep_count="_copies")
@@ -241,13 +247,13 @@ def analyze(spark: SparkSession, paths: Paths, run_id: str | None = None, spec:
         _remove(spark, stage)
     log.info("run metrics %s", metrics)
     return {"run_id": run_id, "metrics": metrics, "rows": out["rows"], "input": inp, "quality": q,
-            "best": best.asDict()}
+            "best": best.asDict(), "split_rows": split_rows}
 
 
 # ---- verify ---------------------------------------------------------------------
 
 def verify(spark: SparkSession, paths: Paths, run_id: str, spec: SeriesSpec = DEFAULT_SPEC,
-           exclude_own_run: bool = True, split_rows: int | None = None) -> dict:
+           exclude_own_run: bool = True, split_rows: int | str | None = None) -> dict:
     """Checks of the written table, checksum, drift, ledger upsert, verdict.
     The counts, date ranges, integrity counts and checksum are one query with
     one pass over each table."""
@@ -258,6 +264,8 @@ def verify(spark: SparkSession, paths: Paths, run_id: str, spec: SeriesSpec = DE
     try:
         raw = _raw_frame(spark.read.parquet(paths.raw), spec)
         feats = spark.read.parquet(paths.features)
+        if split_rows == "auto":
+            split_rows = features.choose_split(feats, spec)
         rec = quality.verification_record(raw, feats, spec, split_rows=split_rows).first().asDict()
         verdict["raw_rows_distinct"], verdict["analytics_rows"] = rec["raw_rows_distinct"], rec["analytics_rows"]
         if rec["analytics_rows"] <= 0:

@@ -241,3 +241,17 @@ def test_end_to_end_split_matches_plain(spark, tmp_root):
     assert a["verify"]["error"] is None and b["verify"]["error"] is None
     assert a["verify"]["checksum"] == b["verify"]["checksum"]
     assert a["analyze"]["metrics"] == b["analyze"]["metrics"]
+
+
+def test_auto_split_choice(spark, tmp_root, monkeypatch):
+    from barline.operators import features as feat
+    bars = walk_bars(spark, days=1, minutes=390)
+    assert feat.choose_split(bars) is None
+    assert feat.choose_split(bars, limit=300, rows=128) == 128
+    monkeypatch.setattr(feat, "AUTO_SPLIT_LIMIT", 300)
+    monkeypatch.setattr(feat, "AUTO_SPLIT_ROWS", 128)
+    paths = Paths(tmp_root)
+    stages.ingest(spark, paths, bars=bars, dataset_hash="w1")
+    res = stages.analyze(spark, paths, "auto", split_rows="auto")
+    assert res["split_rows"] == 128 and res["rows"] == 389
+    assert stages.verify(spark, paths, "auto", split_rows="auto")["error"] is None
