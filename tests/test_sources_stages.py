@@ -255,3 +255,15 @@ def test_auto_split_choice(spark, tmp_root, monkeypatch):
     res = stages.analyze(spark, paths, "auto", split_rows="auto")
     assert res["split_rows"] == 128 and res["rows"] == 389
     assert stages.verify(spark, paths, "auto", split_rows="auto")["error"] is None
+
+
+def test_read_metrics_document(spark, tmp_root):
+    from barline.sinks import write_document
+    from barline.sources.tables import read_metrics
+    assert read_metrics(spark, f"{tmp_root}/absent").count() == 0
+    doc = spark.createDataFrame([(0.5, 0.1, 1.2, 0.3)],
+                                "optimal_threshold double, alert_rate double, crash_index_mean double, "
+                                "crash_index_std double")
+    write_document(doc, f"{tmp_root}/m")
+    row = read_metrics(spark, f"{tmp_root}/m").first()
+    assert (row.optimal_threshold, row.crash_index_std) == (0.5, 0.3)
