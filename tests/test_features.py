@@ -226,3 +226,27 @@ def test_split_evaluation_on_long_days(spark):
     plain = score(bars)
     split = score(bars, split_rows=100).select(*plain.columns)
     assert sorted(tuple(r) for r in split.collect()) == sorted(tuple(r) for r in plain.collect())
+
+
+def _exchanges(df):
+    import re
+    text = df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    nodes = re.findall(r"^\(\d+\) (\w+)", text, flags=re.M)
+    return nodes
+
+
+def test_daily_runs_reuse_the_day_partitioning(spark):
+    from barline.operators import runs
+    bars = clean.valid_bars(clean.with_trade_date(clean.deduplicate(bars_df(spark, _fixture_rows()))))
+    nodes = _exchanges(runs.daily_runs(score(bars)))
+    # dedup shuffle + window shuffle; the per-day aggregation needs none of its own
+    assert nodes.count("Exchange") == 2 and not any(n.endswith("Join") for n in nodes)
+
+
+def test_verification_record_has_no_join(spark):
+    from barline.operators import quality
+    bars = clean.valid_bars(clean.with_trade_date(bars_df(spark, _fixture_rows())))
+    feats = risk.with_alerts(score(bars), F.lit(1.0))
+    nodes = _exchanges(quality.verification_record(bars, feats))
+    assert not any(n.endswith("Join") for n in nodes)
