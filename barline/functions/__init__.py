@@ -7,6 +7,7 @@ from barline.functions.columns import (  # noqa: F401
     minute_floor,
     parse_bar_time,
     ratio_or_zero,
+    round_places,
     row_text,
     safe_div,
     zscore_or_zero,

@@ -43,6 +43,15 @@ def count_where(cond: Column) -> Column:
     return F.coalesce(F.count_if(cond), F.lit(0).cast("bigint"))
 
 
+def round_places(c: ColumnOrName, digits: int) -> Column:
+    """Round a double to ``digits`` places as ``round(x * 10^d) / 10^d``, with
+    half away from zero on the scaled value.  Every engine computes this
+    formula the same way (for |x * 10^d| < 2^52), unlike ``round(x, d)``,
+    which engines apply to the decimal text or to the binary value."""
+    scale = F.lit(float(10 ** digits))
+    return F.round(col(c) * scale, 0) / scale
+
+
 def minute_floor(ts: ColumnOrName) -> Column:
     """Truncate a timestamp_ntz to the minute from its fields, with no time
     zone involved (a cast through a zoned timestamp would move wall-clock

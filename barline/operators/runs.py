@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barline.functions import round_places
 from barline.operators import backtest
 from barline.schemas import DEFAULT_SPEC, INGESTION_LEDGER, RUN_LEDGER, VERDICT, SeriesSpec, conform
 
@@ -24,16 +25,16 @@ METRIC_DIGITS = 4
 
 
 def run_metrics(final: DataFrame, threshold: Column, digits: int = METRIC_DIGITS) -> DataFrame:
-    """One row of the four run metrics, rounded (SQL half-up)."""
+    """One row of the four run metrics, rounded to ``digits`` places."""
     return final.agg(
         F.avg("crash_index").alias("_mean"),
         F.stddev_samp("crash_index").alias("_std"),
         F.avg("crash_alert_flag").alias("_rate"),
     ).select(
-        F.round(threshold, digits).alias("optimal_threshold"),
-        F.round("_rate", digits).alias("alert_rate"),
-        F.round("_mean", digits).alias("crash_index_mean"),
-        F.round("_std", digits).alias("crash_index_std"),
+        round_places(threshold, digits).alias("optimal_threshold"),
+        round_places("_rate", digits).alias("alert_rate"),
+        round_places("_mean", digits).alias("crash_index_mean"),
+        round_places("_std", digits).alias("crash_index_std"),
     )
 
 
@@ -48,10 +49,10 @@ def daily_runs(features: DataFrame, spec: SeriesSpec = DEFAULT_SPEC,
     return best.select(
         *by,
         "analytics_rows",
-        F.round("threshold", digits).alias("optimal_threshold"),
-        F.round((F.col("tp") + F.col("fp")) / F.col("analytics_rows"), digits).alias("alert_rate"),
-        F.round("_mean", digits).alias("crash_index_mean"),
-        F.round("_std", digits).alias("crash_index_std"),
+        round_places("threshold", digits).alias("optimal_threshold"),
+        round_places((F.col("tp") + F.col("fp")) / F.col("analytics_rows"), digits).alias("alert_rate"),
+        round_places("_mean", digits).alias("crash_index_mean"),
+        round_places("_std", digits).alias("crash_index_std"),
     )
 
 

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barline.functions import round_places
 from barline.operators import backtest, clean, features, quality, risk, runs
 from barline.schemas import DEFAULT_SPEC, FEATURES
 from barline.session import staging_root
@@ -26,7 +27,7 @@ KEYED = DEFAULT_SPEC.with_keys("event_type")
 
 def _r(c, digits: int = DIGITS):
     """Rounded for comparison; ``+ 0.0`` turns a rounded -0.0 into 0.0."""
-    return F.round(F.col(c) if isinstance(c, str) else c, digits) + F.lit(0.0)
+    return round_places(c, digits) + F.lit(0.0)
 
 
 # ---- shared stages (lazy) -----------------------------------------------------

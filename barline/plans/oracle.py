@@ -16,6 +16,12 @@ D = 6  # rounding of float outputs, as in the catalog
 _GRID = ", ".join(f"({t!r})" for t in backtest.DEFAULT_GRID)
 
 
+def _round(expr: str, d: int) -> str:
+    """``round(x * 10^d) / 10^d``: the same formula the Spark side uses."""
+    scale = f"CAST({10 ** d} AS DOUBLE)"
+    return f"(round(({expr}) * {scale}) / {scale})"
+
+
 def _w(rows: int | None, keys: tuple[str, ...] = ()) -> str:
     start = "UNBOUNDED PRECEDING" if rows is None else f"{rows - 1} PRECEDING"
     part = ", ".join(("trade_date", *keys))
@@ -166,10 +172,10 @@ day_best AS (
 ),
 daily AS (
   SELECT s.trade_date{sk}, s.analytics_rows,
-    round(b.threshold, 4) AS optimal_threshold,
-    round((b.tp + b.fp) / s.analytics_rows, 4) AS alert_rate,
-    round(s.m, 4) AS crash_index_mean,
-    round(s.sd, 4) AS crash_index_std
+    {_round('b.threshold', 4)} AS optimal_threshold,
+    {_round('(b.tp + b.fp) / s.analytics_rows', 4)} AS alert_rate,
+    {_round('s.m', 4)} AS crash_index_mean,
+    {_round('s.sd', 4)} AS crash_index_std
   FROM (SELECT {day}, avg(crash_index) AS m, stddev_samp(crash_index) AS sd,
                count(*) AS analytics_rows FROM scored GROUP BY {day}) s
   JOIN day_best b ON s.trade_date = b.trade_date{on}
@@ -185,7 +191,7 @@ def _q(select: str, keys: tuple[str, ...] = ()) -> str:
 
 
 def _rd(c: str, d: int = D) -> str:
-    return f"round({c}, {d}) + 0.0 AS {c}"
+    return f"{_round(c, d)} + 0.0 AS {c}"
 
 
 def _feature(*cols: str) -> str:
@@ -305,10 +311,10 @@ ORACLE: dict[str, str] = {
                           + _rules_sql(quality.VERIFY_RULES, "verify")),
     "gap_rows": _q("SELECT * FROM gaps"),
     "gap_count": _q("SELECT count(*) AS gap_count FROM gaps"),
-    "row_coverage": _q("""
+    "row_coverage": _q(f"""
         SELECT raw_rows_distinct, analytics_rows,
-               round(CASE WHEN raw_rows_distinct > 0 THEN analytics_rows / raw_rows_distinct ELSE 0.0 END, 6) + 0.0
-                 AS coverage_ratio,
+               {_round('CASE WHEN raw_rows_distinct > 0 THEN analytics_rows / raw_rows_distinct ELSE 0.0 END', 6)}
+                 + 0.0 AS coverage_ratio,
                (analytics_rows > 0 AND analytics_rows <= raw_rows_distinct
                 AND CASE WHEN raw_rows_distinct > 0 THEN analytics_rows / raw_rows_distinct ELSE 0.0 END >= 0.95)
                  AS coverage_ok
@@ -340,11 +346,11 @@ ORACLE: dict[str, str] = {
         FROM (SELECT trade_date, optimal_threshold, alert_rate, crash_index_mean, crash_index_std, {_DRIFT}
               FROM daily
               WINDOW h AS (ORDER BY trade_date ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)) t"""),
-    "run_metrics": _q("""
-        SELECT round((SELECT threshold FROM best), 4) AS optimal_threshold,
-               round(avg(crash_alert_flag), 4) AS alert_rate,
-               round(avg(crash_index), 4) AS crash_index_mean,
-               round(stddev_samp(crash_index), 4) AS crash_index_std
+    "run_metrics": _q(f"""
+        SELECT {_round('(SELECT threshold FROM best)', 4)} AS optimal_threshold,
+               {_round('avg(crash_alert_flag)', 4)} AS alert_rate,
+               {_round('avg(crash_index)', 4)} AS crash_index_mean,
+               {_round('stddev_samp(crash_index)', 4)} AS crash_index_std
         FROM final"""),
     "feature_table": _q("SELECT " + ", ".join(c if c in _INT_OR_TEXT else _rd(c) for c in _FEATURE_COLS)
                         + " FROM final"),
@@ -423,7 +429,7 @@ ORACLE["verification_record"] = _q(f"""
              AS checksum,
            (SELECT count(*) FROM dups) AS duplicate_count,
            (SELECT count(*) FROM gaps) AS gap_count,
-           round(CASE WHEN r.raw_rows_distinct > 0 THEN a.analytics_rows / r.raw_rows_distinct ELSE 0.0 END, 6)
+           {_round('CASE WHEN r.raw_rows_distinct > 0 THEN a.analytics_rows / r.raw_rows_distinct ELSE 0.0 END', 6)}
              + 0.0 AS coverage_ratio,
            (a.analytics_rows > 0 AND a.analytics_rows <= r.raw_rows_distinct
             AND CASE WHEN r.raw_rows_distinct > 0 THEN a.analytics_rows / r.raw_rows_distinct ELSE 0.0 END

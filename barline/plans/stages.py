@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from barline.functions import count_where
+from barline.functions import count_where, round_places
 from barline.operators import backtest, clean, features, quality, risk, runs
 from barline.schemas import DEFAULT_SPEC, FEATURES, INGESTION_LEDGER, RAW_BARS, SeriesSpec, conform
 from barline.session import staging_path
@@ -225,9 +225,9 @@ def analyze(spark: SparkSession, paths: Paths, run_id: str | None = None, spec:
     obs_out = Observation("output")
     final = final.observe(
         obs_out, F.count(F.lit(1)).alias("rows"),
-        F.round(F.avg("crash_alert_flag"), runs.METRIC_DIGITS).alias("alert_rate"),
-        F.round(F.avg("crash_index"), runs.METRIC_DIGITS).alias("crash_index_mean"),
-        F.round(F.stddev_samp("crash_index"), runs.METRIC_DIGITS).alias("crash_index_std"),
+        round_places(F.avg("crash_alert_flag"), runs.METRIC_DIGITS).alias("alert_rate"),
+        round_places(F.avg("crash_index"), runs.METRIC_DIGITS).alias("crash_index_mean"),
+        round_places(F.stddev_samp("crash_index"), runs.METRIC_DIGITS).alias("crash_index_std"),
         count_where((F.col("crash_alert_flag") == 1) & (F.col("crash_severity") == "LOW"))
         .alias("severity_mismatch"))
     write_table(final, paths.features, partition_by=[spec.day])                 # action 3
@@ -235,7 +235,7 @@ def analyze(spark: SparkSession, paths: Paths, run_id: str | None = None, spec:
     if out.get("severity_mismatch"):
         raise RuntimeError("validation failed: crash severity mismatch")
     metrics = {
-        "optimal_threshold": round(threshold, runs.METRIC_DIGITS),
+        "optimal_threshold": float(round(threshold * 10 ** runs.METRIC_DIGITS) / 10 ** runs.METRIC_DIGITS),
         "alert_rate": out["alert_rate"],
         "crash_index_mean": out["crash_index_mean"],
         "crash_index_std": out["crash_index_std"],
