@@ -1 +1,11 @@
-"""Operators for large-scale training-data preparation."""
+"""Operators for large-scale training-data preparation.
+
+Code that runs in tasks is shipped with the tasks, so executors need no copy of
+this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from barline.llm.bpe import encode_decode
 from barline.llm.common import table
 from barline.llm.compression import compression_rules
+from barline.llm.token_files import read_token_files, write_token_files
 
 ORACLE: dict[str, str] = {}
 
@@ -12,6 +16,19 @@ def op4_compression_bands(spark, sf_dir):
     return compression_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark, sf_dir):
+    url, manifest = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                                      end_id=2)
+    return read_token_files(spark, url, manifest)
+
+
+def op9_byte_bpe(spark, sf_dir):
+    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                         public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op4_compression_bands": op4_compression_bands,
+    "op7_token_files": op7_token_files,
+    "op9_byte_bpe": op9_byte_bpe,
 }
