@@ -6,11 +6,11 @@ table and contracts each piece's leftmost pair of lowest rank until none is left
 Ordered aggregation over (document, position) rows turns ids back into bytes.
 
 A pair may merge whenever its joined bytes are in the vocabulary, as in tiktoken, so
-the merge table holds every split of every token into two tokens.  Where no table row
-with the contracted token ranks lower than it (checked when the table is built), all
-its separate places in a piece contract in the same step; the outcome is the same,
-and long pieces need few steps.  Recursion runs in rounds of ``STEPS``, so the rows it
-keeps are bounded for pieces of any length.
+the merge table holds every split of every token into two tokens.  In pieces over
+``SHORT_BYTES``, all separate places of the lowest pair contract in one step where no
+table row with the contracted token ranks lower than it (checked when the table is
+built); the outcome is the same, and long pieces need few steps.  Their recursion runs
+in rounds of ``STEPS``, so the rows it keeps are bounded for pieces of any length.
 
 Defined cases: null and empty texts have no ids and decode to no bytes; repeated rows
 give repeated results; a null id stays null; extra columns are ignored.
@@ -26,13 +26,37 @@ from pyspark.sql import DataFrame
 
 from barline.llm.common import text_rows
 
+#: Pieces remembered by one task before it starts afresh, and texts taken at a time.
 CACHE_PIECES = 300_000
+ROWS = 512
+#: Pieces up to so many bytes take the plain query.
+SHORT_BYTES = 64
 STEPS = 32
 #: Rows given to one DuckDB query (a single longer piece or text goes alone).
 ENCODE_BYTES = 400_000
 DECODE_TOKENS = 400_000
 
-ENCODE_SQL = """
+#: One contraction per piece and step: the leftmost pair of the lowest rank.
+SHORT_SQL = """
+WITH RECURSIVE bpe(pos, piece, tok, step) AS (
+    SELECT pos, piece, tok, 0 FROM round_start
+    UNION ALL
+    (WITH pairs AS MATERIALIZED (
+        SELECT b.*, (m.rank::BIGINT << 32) + b.pos AS pair
+        FROM (SELECT *, CASE WHEN lead(piece) OVER w = piece THEN lead(tok) OVER w END AS nxt, lead(pos) OVER w AS after
+              FROM bpe WINDOW w AS (ORDER BY pos)) b
+        LEFT JOIN merges m ON m.l = b.tok AND m.r = b.nxt),
+    lowest AS (
+        SELECT piece, min(pair) AS best, arg_min(after, pair) AS gone FROM pairs WHERE pair IS NOT NULL GROUP BY piece)
+    SELECT pos, piece, CASE WHEN pair = best THEN (pair >> 32)::INT ELSE tok END, step + 1
+    FROM pairs JOIN lowest USING (piece) WHERE pos <> gone)
+)
+SELECT piece, tok FROM bpe JOIN (SELECT piece, max(step) AS step FROM bpe GROUP BY piece) USING (piece, step)
+ORDER BY pos
+"""
+
+#: All separate places of the lowest pair in one step, in rounds of {steps} steps.
+LONG_SQL = """
 WITH RECURSIVE bpe(piece, pos, tok, step) AS (
     SELECT piece, pos, tok, 0 FROM round_start
     UNION ALL
@@ -94,37 +118,48 @@ class DuckBpe:
         self.byte_rank = np.full(256, -1, np.int32)
         for b in range(256):
             self.byte_rank[b] = ranks.get(bytes([b]), -1)
+        self.whole = {t: r.to_bytes(4, "little") for t, r in ranks.items()}
+
+    def rows(self, query: str, **inputs) -> pa.Table:
+        for name, data in inputs.items():
+            self.con.register(name, data)
+        return self.con.execute(query).to_arrow_table()
 
     def encode(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids of each piece as little-endian unsigned 32-bit integers."""
+        """Ids of each piece as little-endian unsigned 32-bit integers.  A piece that is
+        a token itself is that token, as in tiktoken."""
         import numpy as np
-        lens = np.array([len(p) for p in pieces], np.int64)
-        piece = np.repeat(np.arange(len(pieces), dtype=np.int32), lens)
-        tok = self.byte_rank[np.frombuffer(b"".join(pieces), np.uint8)]
-        pos = np.arange(len(tok), dtype=np.int32)
-        done: list[tuple] = []
-        while len(piece):
-            self.con.register("round_start", pa.table({"piece": piece, "pos": pos, "tok": tok}))
-            out = self.con.execute(ENCODE_SQL.format(steps=STEPS)).to_arrow_table()
-            piece, pos, tok, last = (out.column(c).to_numpy() for c in range(4))
-            open_ = last >= STEPS
-            done.append((piece[~open_], tok[~open_]))
-            piece, pos, tok = piece[open_], pos[open_], tok[open_]
-        if not done:
-            return [b""] * len(pieces)
-        piece, tok = (np.concatenate(x) for x in zip(*done))
-        order = np.argsort(piece, kind="stable")
-        tok = tok[order].astype("<u4")
-        ends = np.cumsum(np.bincount(piece, minlength=len(pieces)))
-        return [tok[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends)]
+        out: list = [self.whole.get(p) for p in pieces]
+        for long in (False, True):
+            at = [k for k, p in enumerate(pieces) if out[k] is None and (len(p) > SHORT_BYTES) == long]
+            lens = np.array([len(pieces[k]) for k in at], np.int64)
+            piece = np.repeat(np.arange(len(at), dtype=np.int32), lens)
+            tok = self.byte_rank[np.frombuffer(b"".join(pieces[k] for k in at), np.uint8)]
+            pos = np.arange(len(tok), dtype=np.int32)
+            done: list[tuple] = [(piece[:0], tok[:0])]
+            while long and len(piece):
+                got = self.rows(LONG_SQL.format(steps=STEPS), round_start=pa.table({"piece": piece, "pos": pos, "tok": tok}))
+                piece, pos, tok, last = (got.column(c).to_numpy() for c in range(4))
+                more = last >= STEPS
+                done.append((piece[~more], tok[~more]))
+                piece, pos, tok = piece[more], pos[more], tok[more]
+            if len(piece):
+                got = self.rows(SHORT_SQL, round_start=pa.table({"piece": piece, "pos": pos, "tok": tok}))
+                done.append((got.column(0).to_numpy(), got.column(1).to_numpy()))
+            piece, tok = (np.concatenate(x) for x in zip(*done))
+            data = tok[np.argsort(piece, kind="stable")].astype("<u4").tobytes()
+            ends = 4 * np.cumsum(np.bincount(piece, minlength=len(at)))
+            for k, a, b in zip(at, [0, *ends[:-1]], ends):
+                out[k] = data[a:b]
+        return out
 
     def decode(self, docs: list[bytes]) -> list[bytes]:
+        """Bytes of each id sequence."""
         import numpy as np
         n = np.array([len(d) // 4 for d in docs], np.int64)
         tok = np.frombuffer(b"".join(docs), "<u4").astype(np.int32)
-        self.con.register("doc_tokens", pa.table({"doc": np.repeat(np.arange(len(docs), dtype=np.int32), n),
-                                                  "pos": np.arange(len(tok), dtype=np.int64), "tok": tok}))
-        rows = self.con.execute(DECODE_SQL).to_arrow_table()
+        rows = self.rows(DECODE_SQL, doc_tokens=pa.table({"doc": np.repeat(np.arange(len(docs), dtype=np.int32), n),
+                                                          "pos": np.arange(len(tok), dtype=np.int64), "tok": tok}))
         out = [b""] * len(docs)
         parts = rows.column(1).combine_chunks()
         data, at = parts.values, parts.offsets.to_numpy()
@@ -133,28 +168,44 @@ class DuckBpe:
         return out
 
 
-def piece_encoder(ranks: dict[bytes, int], pattern: str, cache: int = CACHE_PIECES) -> tuple[Callable, DuckBpe]:
-    """``encode(texts) -> ids`` that sends each new piece through the recursive query once."""
+def batches_of(items: list, size: Callable, limit: int):
+    """Runs of items whose sizes sum to at most ``limit``; a larger item goes alone."""
+    lo, total = 0, 0
+    for k, item in enumerate(items):
+        n = size(item)
+        if total + n > limit and k > lo:
+            yield items[lo:k]
+            lo, total = k, 0
+        total += n
+    if lo < len(items):
+        yield items[lo:]
+
+
+def piece_coder(ranks: dict[bytes, int], pattern: str, cache: int = CACHE_PIECES) -> Callable:
+    """``code(texts) -> [(ids, decoded bytes)]``.  Each new piece goes through the
+    recursive query once, and its ids through the decoding query once; a text's ids and
+    bytes are those of its pieces in order."""
     import regex
     find = regex.compile(pattern).findall
-    duck, known = DuckBpe(ranks), {}
+    duck = DuckBpe(ranks)
+    ids_of: dict[str, bytes] = {}
+    bytes_of: dict[bytes, bytes] = {}
 
-    def encode(texts: list[str | None]) -> list[bytes]:
+    def code(texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         split = [find(t) if t else [] for t in texts]
-        if len(known) > cache:
-            known.clear()
-        new = list({p for ps in split for p in ps if p not in known})
-        raw = [p.encode("utf-8", "surrogatepass") for p in new]
-        lo, size = 0, 0
-        for k in range(len(raw) + 1):
-            if k == len(raw) or (size + len(raw[k]) > ENCODE_BYTES and k > lo):
-                known.update(zip(new[lo:k], duck.encode(raw[lo:k])))
-                lo, size = k, 0
-            if k < len(raw):
-                size += len(raw[k])
-        return [b"".join(map(known.__getitem__, ps)) for ps in split]
-
-    return encode, duck
+        if len(ids_of) > cache:
+            ids_of.clear()
+            bytes_of.clear()
+        new = list({p for ps in split for p in ps if p not in ids_of})
+        for part in batches_of(new, len, ENCODE_BYTES):
+            ids_of.update(zip(part, duck.encode([p.encode("utf-8", "surrogatepass") for p in part])))
+        fresh = list({ids_of[p] for p in new} - bytes_of.keys())
+        for part in batches_of(fresh, lambda d: len(d) // 4, DECODE_TOKENS):
+            bytes_of.update(zip(part, duck.decode(part)))
+        coded = [[ids_of[p] for p in ps] for ps in split]
+        return [(b"".join(c), b"".join(map(bytes_of.__getitem__, c))) for c in coded]
+
+    return code
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text",
@@ -167,28 +218,18 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str
 
     def run(batches):
         import numpy as np
-        encode, duck = piece_encoder(read_ranks(ranks_path), pattern)
-
-        def rows(ids, texts):
-            coded = encode(texts)
-            back, lo, size = [], 0, 0
-            for k in range(len(coded) + 1):
-                n = len(coded[k]) // 4 if k < len(coded) else 0
-                if k == len(coded) or (size + n > DECODE_TOKENS and k > lo):
-                    back += duck.decode(coded[lo:k])
-                    lo, size = k, 0
-                size += n
-            cols = [ids, [len(c) // 4 for c in coded], [hashlib.sha256(c).hexdigest() for c in coded],
-                    [hashlib.sha256(b).hexdigest() for b in back]]
-            if keep_ids:
-                cols += [[np.frombuffer(c, "<u4").astype(np.int32) for c in coded],
-                         [b.decode("utf-8", "replace") for b in back]]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], schema=schema)
-
+        code = piece_coder(read_ranks(ranks_path), pattern)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 128):
-                part = batch.slice(lo, 128)
-                yield rows(part.column(0).to_pylist(), part.column(1).to_pylist())
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                coded = code(part.column(1).to_pylist())
+                cols = [part.column(0).to_pylist(), [len(c) // 4 for c, _ in coded],
+                        [hashlib.sha256(c).hexdigest() for c, _ in coded],
+                        [hashlib.sha256(b).hexdigest() for _, b in coded]]
+                if keep_ids:
+                    cols += [[np.frombuffer(c, "<u4").astype(np.int32) for c, _ in coded],
+                             [b.decode("utf-8", "replace") for _, b in coded]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], schema=schema)
 
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return text_rows(docs, id_col, text_col).mapInArrow(run, ddl + ", ids array<int>, decoded string" * keep_ids)
