@@ -7,6 +7,7 @@ import public_tokenizers
 from barline.llm.bpe import encode_decode
 from barline.llm.common import table
 from barline.llm.compression import compression_rules
+from barline.llm.licenses import scan_licenses
 from barline.llm.token_files import read_token_files, write_token_files
 
 ORACLE: dict[str, str] = {}
@@ -27,8 +28,13 @@ def op9_byte_bpe(spark, sf_dir):
                          public_tokenizers.PATTERN)
 
 
+def op10_license_scan(spark, sf_dir):
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
 QUERIES = {
     "op4_compression_bands": op4_compression_bands,
     "op7_token_files": op7_token_files,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_license_scan": op10_license_scan,
 }
