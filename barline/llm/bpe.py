@@ -26,9 +26,10 @@ from pyspark.sql import DataFrame
 
 from barline.llm.common import text_rows
 
-#: Pieces remembered by one task before it starts afresh, and texts taken at a time.
-CACHE_PIECES = 300_000
-ROWS = 512
+#: Pieces remembered by one task before it starts afresh, and characters of text taken at
+#: a time (a longer text goes alone).
+CACHE_PIECES = 500_000
+TEXT_CHARS = 4_000_000
 #: Pieces up to so many bytes take the plain query.
 SHORT_BYTES = 64
 STEPS = 32
@@ -158,13 +159,17 @@ class DuckBpe:
         import numpy as np
         n = np.array([len(d) // 4 for d in docs], np.int64)
         tok = np.frombuffer(b"".join(docs), "<u4").astype(np.int32)
+        if not len(tok):
+            return [b""] * len(docs)
         rows = self.rows(DECODE_SQL, doc_tokens=pa.table({"doc": np.repeat(np.arange(len(docs), dtype=np.int32), n),
                                                           "pos": np.arange(len(tok), dtype=np.int64), "tok": tok}))
         out = [b""] * len(docs)
         parts = rows.column(1).combine_chunks()
-        data, at = parts.values, parts.offsets.to_numpy()
-        for k, doc in enumerate(rows.column(0).to_pylist()):
-            out[doc] = b"".join(data.slice(at[k], at[k + 1] - at[k]).to_pylist())
+        values = parts.values.cast(pa.large_binary())  # all parts lie in one buffer, in order
+        cuts = np.frombuffer(values.buffers()[1], np.int64)[values.offset:][parts.offsets.to_numpy()]
+        data = values.buffers()[2].to_pybytes()
+        for doc, a, b in zip(rows.column(0).to_pylist(), cuts[:-1].tolist(), cuts[1:].tolist()):
+            out[doc] = data[a:b]
         return out
 
 
@@ -220,10 +225,11 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str
         import numpy as np
         code = piece_coder(read_ranks(ranks_path), pattern)
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
-                coded = code(part.column(1).to_pylist())
-                cols = [part.column(0).to_pylist(), [len(c) // 4 for c, _ in coded],
+            rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            for part in batches_of(rows, lambda r: len(r[1] or ""), TEXT_CHARS):
+                ids, texts = zip(*part)
+                coded = code(texts)
+                cols = [ids, [len(c) // 4 for c, _ in coded],
                         [hashlib.sha256(c).hexdigest() for c, _ in coded],
                         [hashlib.sha256(b).hexdigest() for _, b in coded]]
                 if keep_ids:
