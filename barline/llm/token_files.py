@@ -28,15 +28,21 @@ from pyspark.sql import functions as F
 from barline.llm.common import map_file, scratch, staged, text_rows, write_file
 
 #: Distinct words remembered by one task before it starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
+#: Bytes of text in one part (about; ranges of ids are cut by sampling).  A task meets most
+#: of its words again, so larger parts encode fewer words.
+PART_BYTES = 48 << 20
 MANIFEST = "part int, n_docs long, n_tokens long, dtype string"
 
 
-def word_encoder(tokenizer_path: str, dtype: str, cache_words: int = CACHE_WORDS) -> Callable:
+def word_encoder(tokenizer_path: str, dtype: str, lower: bool = False, cache_words: int = CACHE_WORDS) -> Callable:
     """Encodes texts with the tokenizers library, each distinct word once.
 
     Holds for tokenizers whose pre-tokenizer never joins across ASCII white space
-    and drops it; then a text's ids are its words' ids one after the other."""
+    and drops it; then a text's ids are its words' ids one after the other.
+    ``lower`` says that the tokenizer lower-cases, so words that differ in the case of
+    A-Z are one word here (not in texts with combining marks U+0300-U+037F, where
+    composition comes before lower-casing)."""
     import os
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     import numpy as np
@@ -45,16 +51,28 @@ def word_encoder(tokenizer_path: str, dtype: str, cache_words: int = CACHE_WORDS
     tok.encode_special_tokens = True  # their strings in a text are ordinary text
     known: dict[bytes, bytes] = {}
 
+    def encode_words(words: list[str]) -> list[bytes]:
+        """Ids of each word; many words go through the library as one text, and the
+        tokens' places in it tell the words apart."""
+        e = tok.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(e.ids, dtype).tobytes()
+        ends = np.cumsum([len(w) + 1 for w in words])
+        first = np.fromiter((a for a, _ in e.offsets), np.int64, len(e))
+        cuts = (np.searchsorted(first, ends) * np.dtype(dtype).itemsize).tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def words_of(text: str | None) -> list[bytes]:
+        data = (text or "").encode("utf-8", "surrogatepass")
+        return (data.lower() if lower and b"\xcc" not in data and b"\xcd" not in data else data).split()
+
     def encode(texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
+        split = [words_of(t) for t in texts]
         if len(known) > cache_words:
             known.clear()
         new = list({w for ws in split for w in ws if w not in known})
-        for lo in range(0, len(new), 4096):
-            part = new[lo:lo + 4096]
-            for w, e in zip(part, tok.encode_batch([w.decode("utf-8", "replace") for w in part],
-                                                   add_special_tokens=False)):
-                known[w] = np.array(e.ids, dtype).tobytes()
+        for lo in range(0, len(new), 512):
+            part = new[lo:lo + 512]
+            known.update(zip(part, encode_words([w.decode("utf-8", "replace") for w in part])))
         return [b"".join(map(known.__getitem__, ws)) for ws in split]
 
     return encode
@@ -65,7 +83,7 @@ def vocabulary_size(tokenizer_path: str) -> int:
     return Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True)
 
 
-def write_token_files(docs: DataFrame, tokenizer_path: str, *, end_id: int, url: str | None = None,
+def write_token_files(docs: DataFrame, tokenizer_path: str, *, end_id: int, lower: bool = False, url: str | None = None,
                       id_col: str = "doc_id", text_col: str = "text") -> tuple[str, DataFrame]:
     """Writes the files below ``url`` (default: a new path in the shared folder);
     returns it and the manifest with each part's ``base``."""
@@ -78,7 +96,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, *, end_id: int, url:
         import numpy as np
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        encode = word_encoder(tokenizer_path, dtype)
+        encode = word_encoder(tokenizer_path, dtype, lower)
         end = np.array([end_id], dtype).tobytes()
         ids, valid, ends = [], [], []
 
@@ -104,8 +122,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, *, end_id: int, url:
                                               pa.array([ends[-1]], pa.int64()), pa.array([dtype])], schema=schema)
 
     tie = F.xxhash64("text")
-    ordered = (text_rows(docs, id_col, text_col).repartitionByRange("doc_id", tie)
-               .sortWithinPartitions("doc_id", tie))
+    rows = text_rows(docs, id_col, text_col)
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ordered = rows.repartitionByRange(int(total) // PART_BYTES + 1, "doc_id", tie).sortWithinPartitions("doc_id", tie)
     manifest = staged(ordered.mapInArrow(write, MANIFEST), "manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
     return url, manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("bigint"))
