@@ -10,6 +10,7 @@ from barline.llm.common import remainder, table
 from barline.llm.compression import compression_rules
 from barline.llm.decontaminate import find_leaks
 from barline.llm.licenses import scan_licenses
+from barline.llm.lm import score_with_held_out
 from barline.llm.pii import find_pii, fit_span_model
 from barline.llm.quality import THRESHOLD, fit_quality, score_quality
 from barline.llm.sharding import ORACLE as SHARDING_SQL, assign_shards
@@ -18,6 +19,11 @@ from barline.llm.token_files import read_token_files, write_token_files
 ORACLE: dict[str, str] = {"op5_sharding": SHARDING_SQL}
 
 
+def op2_language_model(spark, sf_dir):
+    return score_with_held_out(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_decontamination(spark, sf_dir):
     found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
@@ -61,6 +67,7 @@ def op10_license_scan(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_language_model": op2_language_model,
     "op3_decontamination": op3_decontamination,
     "op4_compression_bands": op4_compression_bands,
     "op5_sharding": op5_sharding,
