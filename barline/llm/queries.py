@@ -9,6 +9,7 @@ from barline.llm.bpe import encode_decode
 from barline.llm.common import remainder, table
 from barline.llm.compression import compression_rules
 from barline.llm.decontaminate import find_leaks
+from barline.llm.jaccard import jaccard_classes
 from barline.llm.licenses import scan_licenses
 from barline.llm.lm import score_with_held_out
 from barline.llm.pii import find_pii, fit_span_model
@@ -19,6 +20,10 @@ from barline.llm.token_files import read_token_files, write_token_files
 ORACLE: dict[str, str] = {"op5_sharding": SHARDING_SQL}
 
 
+def op1_jaccard_join(spark, sf_dir):
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op2_language_model(spark, sf_dir):
     return score_with_held_out(table(spark, sf_dir, "documents")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -67,6 +72,7 @@ def op10_license_scan(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_language_model": op2_language_model,
     "op3_decontamination": op3_decontamination,
     "op4_compression_bands": op4_compression_bands,
