@@ -214,11 +214,12 @@ def piece_coder(ranks: dict[bytes, int], pattern: str, cache: int = CACHE_PIECES
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text",
-                  keep_ids: bool = False) -> DataFrame:
+                  keep_ids: bool = False, keep_decoded: bool = False) -> DataFrame:
     """Per document: ``n_tokens``, digests of the ids and of the bytes decoded from
-    them; with ``keep_ids`` also the ids and the decoded text."""
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * keep_ids
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string()] + [pa.list_(pa.int32()), pa.string()] * keep_ids
+    them; on demand also ``ids`` and the ``decoded`` text."""
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids + ["decoded"] * keep_decoded
+    types = ([pa.int64(), pa.int64(), pa.string(), pa.string()] + [pa.list_(pa.int32())] * keep_ids
+             + [pa.string()] * keep_decoded)
     schema = pa.schema(list(zip(names, types)))
 
     def run(batches):
@@ -233,9 +234,10 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str
                         [hashlib.sha256(c).hexdigest() for c, _ in coded],
                         [hashlib.sha256(b).hexdigest() for _, b in coded]]
                 if keep_ids:
-                    cols += [[np.frombuffer(c, "<u4").astype(np.int32) for c, _ in coded],
-                             [b.decode("utf-8", "replace") for _, b in coded]]
+                    cols.append([np.frombuffer(c, "<u4").astype(np.int32) for c, _ in coded])
+                if keep_decoded:
+                    cols.append([b.decode("utf-8", "replace") for _, b in coded])
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], schema=schema)
 
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return text_rows(docs, id_col, text_col).mapInArrow(run, ddl + ", ids array<int>, decoded string" * keep_ids)
+    return text_rows(docs, id_col, text_col).mapInArrow(run, ddl + ", ids array<int>" * keep_ids + ", decoded string" * keep_decoded)

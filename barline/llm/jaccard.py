@@ -499,3 +499,17 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     classes = names.join(classes, "name", "left").select("name", F.coalesce("class", "rep").alias("class"))
     return (sets.select("doc_id", "name", F.col("n").cast("bigint").alias("n_shingles")).join(classes, "name", "left")
             .select("doc_id", "n_shingles", F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("class")).alias("component_id")))
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
+             percent: int = PERCENT) -> DataFrame:
+    """The documents without those whose class holds a smaller id; all columns stay.  Of rows
+    that repeat an id one stays; rows with a null id have no place in the order and stay."""
+    classes = jaccard_classes(docs, id_col=id_col, text_col=text_col, width=width, percent=percent)
+    ids = (classes.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
+           .agg(F.count(F.lit(1)).alias("n"), F.max((F.col("component_id") == F.col("doc_id")) | (F.col("n_shingles") == 0)).alias("stays")))
+    ids = staged(ids.filter("stays").select("doc_id", "n"), "survivors")
+    key = F.col(id_col).cast("bigint") == F.col("_id")
+    once = docs.join(ids.filter("n = 1").select(F.col("doc_id").alias("_id")), key, "left_semi")
+    more = docs.join(ids.filter("n > 1").select(F.col("doc_id").alias("_id")), key, "left_semi").dropDuplicates([id_col])
+    return once.unionByName(more).unionByName(docs.filter(F.col(id_col).isNull()))
