@@ -388,7 +388,7 @@ class Trie:
         return depth
 
     def linked(self, i: int, percent: int):
-        """Sets that link with set ``i`` (itself included), by one walk from the root."""
+        """Other sets that link with set ``i``, by one walk from the root."""
         import numpy as np
         mine = np.zeros(self.vocabulary, np.int64)
         mine[self.paths[i]] = 1
@@ -401,10 +401,7 @@ class Trie:
             alive = most >= at_least(n + self.low[nodes], percent)
             nodes, overlap = nodes[alive], overlap[alive]
             for x, o in zip(nodes.tolist(), overlap.tolist()):
-                for j in self.leaf[x]:
-                    both = o if j != i else n
-                    if 100 * both >= percent * (n + int(self.n[j]) - both):
-                        found.append(j)
+                found += [j for j in self.leaf[x] if j != i and 100 * o >= percent * (n + int(self.n[j]) - o)]
             below = [self.children[x] for x in nodes.tolist()]
             overlap = np.repeat(overlap, [len(c) for c in below])
             nodes = np.concatenate(below) if below else np.zeros(0, np.int64)

@@ -34,10 +34,6 @@ def place(id_col: str) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
-def prefix(bits: Column | int) -> Column:
-    return F.expr(f"shiftright(_h, {HASH_BITS} - {bits})") if isinstance(bits, int) else bits
-
-
 def leaf_depths(cells: DataFrame, low: int, high: int, max_bytes: int) -> DataFrame:
     """``cell, depth``: the smallest depth in ``[low, high]`` at which the cell's prefix
     fits; null where none does.  ``cells``: ``cell`` (``high`` bits), ``n_bytes``, ``n``."""
@@ -50,9 +46,10 @@ def leaf_depths(cells: DataFrame, low: int, high: int, max_bytes: int) -> DataFr
 
 
 def with_shards(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_bytes: int = MAX_BYTES) -> DataFrame:
-    """All columns, with ``_bytes``, ``_depth`` and ``_shard`` (prefix bits as text; a page
-    number follows a dot)."""
-    df = docs.withColumns({"_h": place(id_col), "_bytes": F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("bigint")})
+    """``_row`` (all columns of the document), ``_bytes``, ``_depth`` and ``_shard`` (prefix bits
+    as text; a page number follows a dot)."""
+    n_bytes = F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("bigint")
+    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), place(id_col).alias("_h"), n_bytes.alias("_bytes"))
     sizes = df.select("_h", "_bytes")
     total = sizes.agg(F.sum("_bytes")).first()[0] or 0
     low, bits = 0, min(HASH_BITS, math.ceil(math.log2(max(1, total / max_bytes))) + 4)
@@ -95,13 +92,16 @@ def assign_shards(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     """Per document: ``doc_id, n_bytes, depth, shard``."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     out = with_shards(rows, max_bytes=max_bytes)
-    return out.select("doc_id", F.col("_bytes").alias("n_bytes"), F.col("_depth").alias("depth"), F.col("_shard").alias("shard"))
+    return out.select("_row.doc_id", F.col("_bytes").alias("n_bytes"), F.col("_depth").alias("depth"), F.col("_shard").alias("shard"))
 
 
 def write_shards(docs: DataFrame, url: str, *, id_col: str = "doc_id", text_col: str = "text", max_bytes: int = MAX_BYTES) -> None:
-    """Writes the documents as Parquet, one folder per shard."""
-    out = with_shards(docs, id_col=id_col, text_col=text_col, max_bytes=max_bytes).drop("_h", "_bytes", "_depth")
-    out = out.withColumn("shard", F.concat(F.lit("b"), F.col("_shard"))).drop("_shard")
+    """Writes the documents as Parquet, one folder ``shard=b<bits>`` per shard; a column of
+    the documents named ``shard`` would clash and is an error."""
+    if "shard" in docs.columns:
+        raise ValueError("documents have a column named shard")
+    out = with_shards(docs, id_col=id_col, text_col=text_col, max_bytes=max_bytes)
+    out = out.select("_row.*", F.concat(F.lit("b"), F.col("_shard")).alias("shard"))
     out.repartition("shard").write.partitionBy("shard").parquet(url)
 
 
