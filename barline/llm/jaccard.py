@@ -9,7 +9,8 @@ link when ``100 * intersection >= percent * union``.  The steps, all in Spark ta
 2. A set's prefix, its first ``n - ceil(percent * n) + 1`` shingles in that order, shares a
    shingle with the prefix of every set it links with.  Equal sets are one from here on.
 3. Shingles of a few sets give pairs with the number of prefix shingles they share, which
-   bounds the intersection: pairs that cannot link fall away.  Hot shingles chain
+   bounds the intersection (so do the shingles both post below a common bound): pairs that
+   cannot link fall away.  Hot shingles chain
    their sets by size instead of pairing them, already inside the tasks.
 4. The components of these candidates are joined exactly.  A large one is cut into blocks
    by hash, and every two blocks meet in one task, so no task holds more than two blocks.
@@ -57,11 +58,20 @@ def mix(h):
     return h ^ (h >> np.uint64(33))
 
 
+class WordHashes(dict):
+    """Hash of each word, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
 class Shingler:
-    """Sorted distinct shingle hashes of texts; remembers the hashes of words."""
+    """Sorted distinct shingle hashes of texts."""
 
     def __init__(self, width: int, cache: int = 500_000):
-        self.width, self.cache, self.known = width, cache, {}
+        self.width, self.cache, self.known = width, cache, WordHashes()
 
     def __call__(self, text: str | None):
         import numpy as np
@@ -72,13 +82,9 @@ class Shingler:
             return np.zeros(0, np.uint64)
         if n < k:
             return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=n)], np.uint64)
-        known = self.known
-        if len(known) > self.cache:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, n)
+        if len(self.known) > self.cache:
+            self.known.clear()
+        h = np.fromiter(map(self.known.__getitem__, words), np.uint64, n)
         out = np.zeros(n - k + 1, np.uint64)
         for j in range(k):
             out = out * np.uint64(0x9E3779B97F4A7C15) + h[j:n - k + 1 + j]
@@ -108,6 +114,12 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def low_keys(percent: int) -> int:
+    """Order keys below this bound (about the share of a prefix) are posted by every set, so
+    the shingles that two sets share there are counted in full."""
+    return HOT_BASE * (100 - percent) // 100
+
+
 # ---- step 1: shared shingles -------------------------------------------------------------
 
 def shared_shingles(rows: DataFrame, width: int, limit: int = HOT_TOKENS):
@@ -159,20 +171,20 @@ def order_keys(s, hot, rank):
 
 # ---- step 2: prefixes --------------------------------------------------------------------
 
-SETS = "doc_id long, name long, n int, last long, prefix array<long>, links array<long>"
+SETS = "doc_id long, name long, n int, last long, low int, prefix array<long>, links array<long>"
 SETS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("name", pa.int64()), ("n", pa.int32()), ("last", pa.int64()),
-                         ("prefix", pa.list_(pa.int64())), ("links", pa.list_(pa.int64()))])
+                         ("low", pa.int32()), ("prefix", pa.list_(pa.int64())), ("links", pa.list_(pa.int64()))])
 
 
 def prefixes(rows: DataFrame, width: int, percent: int, hot, rank) -> DataFrame:
     """A row per document: name and size of its set.  The first row of a set in a task
-    carries its prefix.  Of the sets of one size that a hot shingle's postings would hold,
+    carries its prefix (with all low keys, ``low`` of them).  Of the sets of one size that a hot shingle's postings would hold,
     a task posts the first and links the others to it."""
     table = rows.sparkSession.sparkContext.broadcast((hot, rank))
 
     def run(batches):
         hot_, rank_ = table.value
-        make, seen, first, out = Shingler(width), set(), {}, []
+        make, seen, first, out, bound = Shingler(width), set(), {}, [], low_keys(percent)
 
         def flush():
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), SETS_SCHEMA)], schema=SETS_SCHEMA)
@@ -181,21 +193,23 @@ def prefixes(rows: DataFrame, width: int, percent: int, hot, rank) -> DataFrame:
             s = make(text)
             n = len(s)
             if not n:
-                out.append((doc_id, None, 0, None, None, None))
+                out.append((doc_id, None, 0, None, None, None, None))
             else:
                 name = fingerprint(s)
                 if name in seen:
-                    out.append((doc_id, name, n, None, None, None))
+                    out.append((doc_id, name, n, None, None, None, None))
                 else:
                     seen.add(name)
-                    keys = order_keys(s, hot_, rank_)[:prefix_length(n, percent)]
+                    keys = order_keys(s, hot_, rank_)
+                    low = int(keys.searchsorted(bound))
+                    keys = keys[:max(low, prefix_length(n, percent))]
                     last, links = int(keys[-1]), None
                     if last >= HOT_BASE:
                         cut = keys.searchsorted(HOT_BASE)
                         mine = [(k, first.setdefault((k, n), name)) for k in keys[cut:].tolist()]
                         links = sorted({f for _, f in mine if f != name})
                         keys = [*keys[:cut].tolist(), *(k for k, f in mine if f == name)]
-                    out.append((doc_id, name, n, last, keys, links))
+                    out.append((doc_id, name, n, last, low, keys, links))
             if len(out) >= 512:
                 yield flush()
                 out = []
@@ -207,9 +221,10 @@ def prefixes(rows: DataFrame, width: int, percent: int, hot, rank) -> DataFrame:
 
 # ---- step 3: candidates -------------------------------------------------------------------
 
-PAIRS = "a long, b long, shared long, na int, nb int, la long, lb long"
-PAIRS_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int64()), ("na", pa.int32()),
-                          ("nb", pa.int32()), ("la", pa.int64()), ("lb", pa.int64())])
+PAIRS = "a long, b long, shared long, shared_low long, na int, nb int, la long, lb long, xa int, xb int"
+PAIRS_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int64()), ("shared_low", pa.int64()),
+                          ("na", pa.int32()), ("nb", pa.int32()), ("la", pa.int64()), ("lb", pa.int64()),
+                          ("xa", pa.int32()), ("xb", pa.int32())])
 #: Shared count of chained sets: always candidates.
 CHAINED = 1 << 40
 
@@ -218,16 +233,17 @@ def pair_postings(percent: int):
     """Pairs of the sets that share a shingle; rows come sorted by shingle, size and name."""
     def run(batches):
         import numpy as np
+        bound = low_keys(percent)
 
         def reduce(rows):
-            """Rows ``(a, b, shared, ...)`` summed by pair."""
+            """Rows ``(a, b, shared, shared_low, ...)`` summed by pair."""
             order = np.lexsort((rows[1], rows[0]))
             rows = [c[order] for c in rows]
             first = np.flatnonzero(np.concatenate([[True], (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])]))
             shared = np.minimum(np.add.reduceat(rows[2], first), CHAINED)
-            return [rows[0][first], rows[1][first], shared, *(c[first] for c in rows[3:])]
+            return [rows[0][first], rows[1][first], shared, np.add.reduceat(rows[3], first), *(c[first] for c in rows[4:])]
 
-        def pairs(token, name, n, last, chain):
+        def pairs(token, name, n, last, low, chain):
             """All pairs within small groups, neighbours within others."""
             change = np.concatenate([[True], token[1:] != token[:-1]])
             start = np.flatnonzero(change)
@@ -243,10 +259,10 @@ def pair_postings(percent: int):
             swap = name[i] > name[j]
             i, j = np.where(swap, j, i), np.where(swap, i, j)
             shared = np.where(hot[i], CHAINED, 1).astype(np.int64)
-            return [name[i], name[j], shared, n[i], n[j], last[i], last[j]]
+            return [name[i], name[j], shared, (token[i] < bound).astype(np.int64), n[i], n[j], last[i], last[j], low[i], low[j]]
 
         held, kept, rows_held, chain = None, [], 0, -1
-        empty = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.int32)] * 2 + [np.zeros(0, np.int64)] * 2
+        empty = [np.zeros(0, t) for t in ("i8", "i8", "i8", "i8", "i4", "i4", "i8", "i8", "i4", "i4")]
 
         def emit():
             rows = reduce([np.concatenate(c) for c in zip(*kept)])
@@ -264,7 +280,7 @@ def pair_postings(percent: int):
             return done, [c[cut:] for c in cols]
 
         for batch in batches:
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
             held = cols if held is None else [np.concatenate(c) for c in zip(held, cols)]
             if len(held[0]) >= 200_000:
                 done, held = work(held, False)
@@ -283,14 +299,17 @@ def pair_postings(percent: int):
 
 def candidates(sets: DataFrame, percent: int) -> DataFrame:
     """Edges ``a, b`` between sets that may link, directly or through others."""
-    postings = (sets.filter("prefix IS NOT NULL").select(F.explode("prefix").alias("token"), "name", "n", "last"))
+    postings = (sets.filter("prefix IS NOT NULL").select(F.explode("prefix").alias("token"), "name", "n", "last", "low"))
     width = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = (postings.repartition(width, "token").sortWithinPartitions("token", "n", "name")
              .mapInArrow(pair_postings(percent), PAIRS))
-    pairs = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), *[F.min(c).alias(c) for c in ("na", "nb", "la", "lb")])
-    # the prefix that ends first has all its common shingles counted; the rest of that set bounds what is left
-    rest = "ceil({p} * {n} / 100D) - 1"
-    most = F.expr(f"shared + IF(la <= lb, {rest.format(p=percent, n='na')}, {rest.format(p=percent, n='nb')})")
+    pairs = pairs.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("shared", "shared_low")],
+                                        *[F.min(c).alias(c) for c in ("na", "nb", "la", "lb", "xa", "xb")])
+    # What two sets share at most: among the low keys what was counted, beyond them the rest of either;
+    # likewise up to the end of the prefix that ends first, beyond it the rest of that set.
+    rest = "({n} - greatest({x}, {n} - CAST(ceil({p} * {n} / 100D) AS int) + 1))"
+    end = f"shared + IF(la <= lb, {rest.format(p=percent, n='na', x='xa')}, {rest.format(p=percent, n='nb', x='xb')})"
+    most = F.expr(f"IF(shared >= {CHAINED}L, {CHAINED}L, least({end}, shared_low + na - xa, shared_low + nb - xb))")
     need = F.expr(f"ceil({percent}L * (na + nb) / {100 + percent}D)")
     pairs = pairs.filter(most >= need).select("a", "b")
     links = sets.filter("links IS NOT NULL").select(F.col("name").alias("a"), F.explode("links").alias("b"))
@@ -468,7 +487,7 @@ def with_sets(members: DataFrame, rows: DataFrame, width: int) -> DataFrame:
                                                   pa.array([s.tobytes() for s in sets], pa.binary())],
                                                  schema=schema).filter(pa.array(keep))
 
-    return joined.mapInArrow(run, "name long, cluster long, blocks int, items binary").dropDuplicates(["name"])
+    return joined.mapInArrow(run, "name long, cluster long, blocks int, items binary")
 
 
 def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
