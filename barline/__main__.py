@@ -35,8 +35,9 @@ def _args(argv):
     p.add_argument("--source-table", help="read raw bars from this JDBC table instead of --root")
     p.add_argument("--target-table", help="also write the feature table to this JDBC table")
     p.add_argument("--jdbc-partitions", type=int, default=64)
-    p.add_argument("--split-rows", default="auto",
-                   help="chunk size for split window evaluation of large key-days, 'auto' or 0 (never)")
+    p.add_argument("--write-partitions", type=int, default=16, help="concurrent connections of a JDBC write")
+    p.add_argument("--split-rows", type=int, default=None,
+                   help="evaluate windows in chunks of so many rows (for key-days too large for one task)")
     return p.parse_args(argv)
 
 
@@ -56,25 +57,24 @@ def main(argv=None) -> int:
     paths = stages.Paths(a.root)
     spec = DEFAULT_SPEC.with_keys(*a.keys)
     conn = dict(user=a.jdbc_user, password=a.jdbc_password, driver=a.jdbc_driver)
-    split = None if a.split_rows in ("0", "", None) else (
-        "auto" if a.split_rows == "auto" else int(a.split_rows))
+    raw = None
+    if a.jdbc_url and a.source_table:
+        from barline.sources.jdbc import read_jdbc
+        raw = read_jdbc(spark, a.jdbc_url, a.source_table, num_partitions=a.jdbc_partitions, **conn)
     out: dict = {}
     if a.stage in ("ingest", "all") and a.csv:
         out["ingest"] = stages.ingest(spark, paths, csv_path=a.csv, row_guard=a.row_guard, spec=spec)
     if a.stage in ("analyze", "all"):
-        raw = None
-        if a.jdbc_url and a.source_table:
-            from barline.sources.jdbc import read_jdbc
-            raw = read_jdbc(spark, a.jdbc_url, a.source_table, num_partitions=a.jdbc_partitions, **conn)
-        out["analyze"] = stages.analyze(spark, paths, a.run_id, spec=spec, raw=raw, split_rows=split)
+        out["analyze"] = stages.analyze(spark, paths, a.run_id, spec=spec, raw=raw, split_rows=a.split_rows)
         a.run_id = out["analyze"]["run_id"]
         if a.jdbc_url and a.target_table:
             from barline.sources.jdbc import write_jdbc
-            write_jdbc(spark.read.parquet(paths.features), a.jdbc_url, a.target_table, **conn)
+            write_jdbc(spark.read.parquet(paths.features), a.jdbc_url, a.target_table,
+                       num_partitions=a.write_partitions, **conn)
     if a.stage in ("verify", "all"):
         if not a.run_id:
             raise SystemExit("--run-id is needed for verify")
-        out["verify"] = stages.verify(spark, paths, a.run_id, spec, split_rows=split)
+        out["verify"] = stages.verify(spark, paths, a.run_id, spec, raw=raw, split=bool(a.split_rows))
     if a.stage in ("finalize", "all"):
         out["finalize"] = stages.finalize(spark, paths)
     print(json.dumps(out, default=str))

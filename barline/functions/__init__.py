@@ -1,8 +1,10 @@
 from barline.functions.columns import (  # noqa: F401
+    cell_text,
     count_where,
     decimal_text,
     flag,
     hex_slice_value,
+    is_missing,
     log_return,
     minute_floor,
     parse_bar_time,

@@ -73,9 +73,22 @@ def parse_bar_time(text: ColumnOrName, fmt: str = "yyyyMMdd HH:mm:ss", strict: b
     return F.when(ok, value)
 
 
+def is_missing(c: ColumnOrName, dtype: str) -> Column:
+    """NULL, or NaN in a floating column."""
+    bad = col(c).isNull()
+    return bad | F.isnan(col(c)) if dtype in ("double", "float") else bad
+
+
+def cell_text(c: ColumnOrName, dtype: str, scale: int = 8, missing: str = "\\N") -> Column:
+    """Engine-neutral text of a cell: doubles through ``decimal(38, scale)``, a missing
+    value (NULL or NaN) as ``missing``."""
+    text = decimal_text(c, scale) if dtype in ("double", "float") else col(c).cast("string")
+    return F.when(is_missing(c, dtype), F.lit(missing)).otherwise(text)
+
+
 def decimal_text(c: ColumnOrName, scale: int = 8) -> Column:
-    """Engine-neutral text of a double: through ``decimal(38, scale)``."""
-    return col(c).cast(f"decimal(38,{scale})").cast("string")
+    """Engine-neutral text of a double: through ``decimal(38, scale)``; NULL beyond it."""
+    return col(c).try_cast(f"decimal(38,{scale})").cast("string")
 
 
 def hex_slice_value(hex_col: ColumnOrName, start: int, length: int = 15) -> Column:

@@ -89,9 +89,8 @@ def _derived(df: DataFrame, spec: SeriesSpec) -> DataFrame:
 def with_features(bars: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, split_rows: int | None = None) -> DataFrame:
     """Valid, deduplicated bars with ``trade_date`` -> all rolling features.
 
-    ``split_rows`` switches to the split evaluation (``with_features_split``)
-    for inputs where one key-day can be very large (tick data); the result is
-    the same.
+    ``split_rows`` asks for the split evaluation (``with_features_split``), for tables
+    whose key-days are too large for one task (tick data); the result is the same.
     """
     if split_rows:
         return with_features_split(bars, spec, split_rows)
@@ -108,77 +107,65 @@ def with_features(bars: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, split_rows:
 SPLIT_HALO = 90
 
 
-# Fixed values of the automatic choice: split when a key-day may exceed the limit.
-AUTO_SPLIT_LIMIT = 2_000_000
-AUTO_SPLIT_ROWS = 1_000_000
-
-
-def choose_split(raw: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, limit: int | None = None,
-                 rows: int | None = None) -> int | None:
-    """Chunk size for the split evaluation, or None when no key-day is large.
-    Counts rows per key-day of the raw input (only key and time columns are
-    read; duplicates only make the bound larger) in one partial aggregation."""
-    day = F.to_date(spec.time)
-    largest = (raw.groupBy(*spec.keys, day).agg(F.count(F.lit(1)).alias("_n"))
-                  .agg(F.max("_n").alias("_m")).first()["_m"]) or 0
-    limit = AUTO_SPLIT_LIMIT if limit is None else limit
-    rows = AUTO_SPLIT_ROWS if rows is None else rows
-    return rows if largest > limit else None
-
-
-def day_positions(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame:
-    """Adds ``_pos``, the 1-based position of each row in its key-day by time,
-    without sorting a whole key-day in one task: rows are counted per second of
-    the day (at most 86,400 groups per key-day), the counts are summed in time
-    order, and only the rows of one second are numbered together (at most one
-    million rows, as times are unique per key at microsecond resolution)."""
+def with_second(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame:
+    """Adds ``_sec``, the second of the day.  One second of a series holds at most one
+    million different times (microsecond resolution), and a day 86,400 seconds."""
     t = F.col(spec.time)
-    df = df.withColumn("_sec", F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t))
-    counts = df.groupBy(*spec.group, "_sec").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*spec.group).orderBy("_sec").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(*spec.group, "_sec",
-                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).cast("bigint").alias("_before"))
-    rn = F.row_number().over(Window.partitionBy(*spec.group, "_sec").orderBy(spec.time))
-    return (df.join(counts, on=[*spec.group, "_sec"])
-              .withColumn("_pos", F.col("_before") + rn).drop("_sec", "_before"))
+    return df.withColumn("_sec", F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t))
+
+
+def before_second(df: DataFrame, spec: SeriesSpec, here: dict[str, Column], carried: dict[str, str]) -> DataFrame:
+    """Joins to every row of ``df`` (with ``_sec``) what its key-day held in the earlier seconds.
+    ``here``: aggregates per second; ``carried``: SQL over them, evaluated over all earlier
+    seconds in order (``{w}`` stands for that window).  NULL keys match each other."""
+    group = [*spec.group, "_sec"]
+    part = ", ".join(f"`{c}`" for c in spec.group)
+    w = f"(PARTITION BY {part} ORDER BY _sec ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    seconds = df.groupBy(*group).agg(*[c.alias(n) for n, c in here.items()])
+    seconds = seconds.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(group)],
+                             *[F.expr(sql.format(w=w)).alias(n) for n, sql in carried.items()])
+    on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(group)]
+    cond = on[0]
+    for c in on[1:]:
+        cond = cond & c
+    return df.join(seconds, cond).drop(*[f"_k{i}" for i in range(len(group))])
 
 
 def chunked(df: DataFrame, size: int, halo: int) -> DataFrame:
-    """Rows with ``_pos`` -> chunk id per ``size`` positions; the last ``halo``
-    rows of each chunk are copied into the next one, flagged ``_halo``."""
+    """Rows with ``_pos`` (from 1) -> chunk id per ``size`` positions; the last ``halo`` rows of
+    each chunk also stand in the next one, flagged ``_halo``."""
     if halo > size:
         raise ValueError("split_rows must be at least the overlap of the windows")
-    pos0 = F.col("_pos") - 1
-    chunk = F.floor(pos0 / size).cast("bigint")
-    own = df.withColumns({"_chunk": chunk, "_halo": F.lit(False)})
-    tail = df.filter(pos0 % size >= size - halo).withColumns({"_chunk": chunk + 1, "_halo": F.lit(True)})
-    return own.unionByName(tail)
+    tail = f"(_pos - 1) % {size} >= {size - halo}"
+    own = f"CAST((_pos - 1) DIV {size} AS bigint)"
+    both = F.expr(f"IF({tail}, array({own}, {own} + 1), array({own}))")
+    return df.select("*", F.posexplode(both).alias("_copy", "_chunk")).withColumn("_halo", F.col("_copy") == 1).drop("_copy")
 
 
 def with_features_split(bars: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, split_rows: int = 1_000_000) -> DataFrame:
-    """The same features with each key-day cut into chunks of ``split_rows``
-    rows, so no task holds more than one chunk plus its overlap, whatever the
-    size of a key-day.  Exact: every frame sees the same rows in the same
-    order as the plain evaluation.  Costs a few more shuffles, so it is for
-    inputs where a key-day can be huge."""
+    """The same features with each key-day cut into chunks of ``split_rows`` rows, so no
+    task holds more than one chunk plus its overlap, whatever the size of a key-day (the
+    plain evaluation sorts a key-day in one task).  Every frame sees the same rows in the
+    same order as there, NULL keys included.
+
+    What reaches over chunks comes from aggregates per second: the last close before the
+    second (lag), the rows before it (positions) and the highest close before it (peak)."""
+    sec = replace(spec, keys=(*spec.keys, "_sec"))
+    # lag: the row before in the same second, else the last close of the earlier seconds
+    df = before_second(with_second(bars, spec), spec, {"_last": F.max_by(spec.close, spec.time)},
+                       {"_earlier": "last(_last) OVER {w}"})
+    first = F.row_number().over(sec.window()) == 1
+    prev = F.when(first, F.col("_earlier")).otherwise(F.lag(spec.close, 1).over(sec.window()))
+    df = (df.withColumn("log_return", log_return(spec.close, prev)).filter(F.col("log_return").isNotNull()).drop("_earlier"))
+    # positions and running peak of the rows that have a return
+    df = before_second(df, spec, {"_n": F.count(F.lit(1)), "_top": F.max(spec.close)},
+                       {"_before": "coalesce(sum(_n) OVER {w}, 0L)", "_peak": "max(_top) OVER {w}"})
+    in_second = F.max(spec.close).over(sec.window().rowsBetween(Window.unboundedPreceding, 0))
+    df = df.withColumns({"_pos": F.col("_before") + F.row_number().over(sec.window()),
+                         "rolling_peak": F.greatest("_peak", in_second)}).drop("_before", "_peak", "_sec")
+    # rolling windows: SPLIT_HALO rows of overlap
     cs = replace(spec, keys=(*spec.keys, "_chunk"))
-    # lag: one row of overlap
-    p = chunked(day_positions(bars, spec), split_rows, 1)
-    prev = F.lag(spec.close, 1).over(cs.window())
-    r = (p.withColumn("log_return", log_return(spec.close, prev))
-          .filter(~F.col("_halo") & F.col("log_return").isNotNull())
-          .drop("_pos", "_chunk", "_halo"))
-    # rolling windows over the rows that have a return: SPLIT_HALO rows of overlap
-    p = chunked(day_positions(r, spec), split_rows, SPLIT_HALO)
-    bounded = [x for x in level1(spec) if x.rows is not None]
-    peak = next(x for x in level1(spec) if x.rows is None)
-    out = with_rolling(p, bounded + [Rolling("_run_max", peak.agg, peak.source, None)], cs)
-    out = with_rolling(out, level2(), cs).filter(~F.col("_halo"))
-    # the running peak also needs the maxima of all earlier chunks of the day
-    cmax = p.filter(~F.col("_halo")).groupBy(*spec.group, "_chunk").agg(F.max(spec.close).alias("_cmax"))
-    earlier = Window.partitionBy(*spec.group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    cmax = cmax.select(*spec.group, "_chunk", F.max("_cmax").over(earlier).alias("_prev_max"))
-    out = (out.join(cmax, on=[*spec.group, "_chunk"])
-              .withColumn(peak.name, F.greatest("_run_max", "_prev_max"))
-              .drop("_run_max", "_prev_max", "_pos", "_chunk", "_halo"))
+    out = chunked(df, split_rows, SPLIT_HALO)
+    out = with_rolling(out, [x for x in level1(spec) if x.rows is not None], cs)
+    out = with_rolling(out, level2(), cs).filter(~F.col("_halo")).drop("_pos", "_chunk", "_halo")
     return _derived(out, spec)

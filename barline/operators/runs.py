@@ -9,8 +9,9 @@ same operators grouped by ``(keys, day)``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.functions import round_places
@@ -63,6 +64,18 @@ def drift_flag(current: Column, mean: Column, pstd: Column, n: Column, z: float
     return F.when(usable, F.abs(current - mean) / pstd > z).otherwise(F.lit(False))
 
 
+def _history(m: str, over: str = "") -> str:
+    """Mean, spread and number of the earlier values of a metric (NULL skipped), as one struct."""
+    return f"struct(avg({m}){over} AS mean, stddev_pop({m}){over} AS std, count({m}){over} AS n)"
+
+
+def _flagged(df: DataFrame, metrics: Sequence[str], z: float) -> DataFrame:
+    """Adds ``<m>_drift`` from ``_h_<m>`` and ``drift_detected``."""
+    flags = {f"{m}_drift": drift_flag(F.col(m), F.col(f"_h_{m}.mean"), F.col(f"_h_{m}.std"), F.col(f"_h_{m}.n"), z) for m in metrics}
+    out = df.withColumns(flags).drop(*[f"_h_{m}" for m in metrics])
+    return out.withColumn("drift_detected", F.array_contains(F.array(*flags), True))
+
+
 def drift_test(runs: DataFrame, order: str, by: Sequence[str] = (), history: int = DRIFT_HISTORY,
                z: float = DRIFT_Z, metrics: Sequence[str] = METRIC_NAMES) -> DataFrame:
     """Q13: compare each run with the ``history`` runs before it (per ``by``).
@@ -70,39 +83,21 @@ def drift_test(runs: DataFrame, order: str, by: Sequence[str] = (), history: int
     NULL metrics of earlier runs are skipped (aggregates ignore NULL).  The
     ledger has one row per run, so the window is small.
     """
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(-history, -1)
-    out = runs
-    flags = []
-    for m in metrics:
-        f = drift_flag(F.col(m), F.avg(m).over(w), F.stddev_pop(m).over(w), F.count(m).over(w), z)
-        out = out.withColumn(f"{m}_drift", f)
-        flags.append(F.col(f"{m}_drift"))
-    any_flag = flags[0]
-    for f in flags[1:]:
-        any_flag = any_flag | f
-    return out.withColumn("drift_detected", any_flag)
+    part = f"PARTITION BY {', '.join(by)} " if by else ""
+    over = f" OVER ({part}ORDER BY {order} ROWS BETWEEN {history} PRECEDING AND 1 PRECEDING)"
+    return _flagged(runs.withColumns({f"_h_{m}": F.expr(_history(m, over)) for m in metrics}), metrics, z)
 
 
 def drift_against(current: DataFrame, ledger: DataFrame, history: int = DRIFT_HISTORY, z: float = DRIFT_Z,
                   exclude_run: str | None = None, metrics: Sequence[str] = METRIC_NAMES) -> DataFrame:
-    """Drift of one current metrics row against the latest runs of the ledger."""
-    led = ledger
-    if exclude_run is not None:
-        led = led.filter(F.col("run_id") != exclude_run)
-    recent = led.orderBy(F.col("execution_ts").desc()).limit(history)
-    stats = recent.agg(*[c for m in metrics for c in (
-        F.avg(m).alias(f"mean_{m}"), F.stddev_pop(m).alias(f"std_{m}"), F.count(m).alias(f"n_{m}"))])
+    """Q13/L3: drift of the current metrics against the latest ``history`` runs of the ledger
+    (by ``execution_ts``, ties by ``run_id``)."""
+    led = ledger if exclude_run is None else ledger.filter(F.col("run_id") != exclude_run)
+    recent = led.orderBy(F.col("execution_ts").desc(), F.col("run_id").desc()).limit(history)
+    stats = recent.agg(*[F.expr(_history(m)).alias(f"_h_{m}") for m in metrics])
     # one scalar subquery returning a struct, evaluated once
     out = current.withColumn("_h", stats.select(F.struct(*stats.columns)).scalar())
-    flags = []
-    for m in metrics:
-        f = drift_flag(F.col(m), F.col(f"_h.mean_{m}"), F.col(f"_h.std_{m}"), F.col(f"_h.n_{m}"), z)
-        out = out.withColumn(f"{m}_drift", f)
-        flags.append(F.col(f"{m}_drift"))
-    any_flag = flags[0]
-    for f in flags[1:]:
-        any_flag = any_flag | f
-    return out.withColumn("drift_detected", any_flag).drop("_h")
+    return _flagged(out.withColumns({c: F.col(f"_h.{c}") for c in stats.columns}).drop("_h"), metrics, z)
 
 
 def read_ledger(spark: SparkSession, path: str, schema=RUN_LEDGER) -> DataFrame:
@@ -135,8 +130,44 @@ def ledger_row(spark: SparkSession, run_id: str, values: dict) -> DataFrame:
     return conform(df.withColumn("execution_ts", ts), RUN_LEDGER)
 
 
+@dataclass(frozen=True)
+class Gate:
+    """A condition over the verification record, the verdict field it decides (if any), and
+    the message of its failure (formatted with the record)."""
+
+    passed: str
+    message: str
+    field: str | None = None
+
+
+#: Evaluated in order; the first that does not hold ends the verification.
+GATES = (
+    Gate("analytics_rows > 0", "the feature table holds no row"),
+    Gate("analytics_rows <= raw_rows_distinct", "{analytics_rows} feature rows from {raw_rows_distinct} distinct bars"),
+    Gate("coverage_ok", "features cover {coverage_ratio:.2%} of the distinct bars", "row_coverage_ratio"),
+    Gate("date_range_ok", "days differ: bars {min_raw} to {max_raw}, features {min_analytics} to {max_analytics}", "date_range_ok"),
+    Gate("{errors} = 0", "rules violated: {failing}", "crash_index_ok"),
+)
+
+
+def verdict_row(record: DataFrame, errors: Sequence[str]) -> DataFrame:
+    """Q14: the eight-field verdict of a verification record, one row, plus ``failed_gate``
+    (number of the first gate that does not hold, from 0).  ``errors``: counts of the record that
+    must be 0.  A field is true when its gate and all before it hold."""
+    total = " + ".join(errors) or "0"
+    holds = [f"coalesce({g.passed.format(errors=f'({total})')}, false)" for g in GATES]
+    out = record.withColumn("failed_gate", F.expr(
+        "CASE " + " ".join(f"WHEN NOT {h} THEN {k}" for k, h in enumerate(holds)) + " END"))
+    fields = {g.field: F.expr(f"failed_gate IS NULL OR failed_gate > {k}") for k, g in enumerate(GATES) if g.field}
+    failing = F.expr("concat_ws(', ', " + ", ".join(f"IF({e} > 0, '{e}', NULL)" for e in errors) + ")")
+    return out.select(
+        "raw_rows_distinct", "analytics_rows", *[fields[n].alias(n) for n in ("row_coverage_ratio", "date_range_ok", "crash_index_ok")],
+        F.lit(False).alias("sample_read_ok"), F.when(F.col("failed_gate").isNull(), F.col("checksum")).alias("checksum"),
+        "failed_gate", failing.alias("failing"))
+
+
 def make_verdict(spark: SparkSession, values: dict) -> DataFrame:
-    """Q14: the eight-field verdict as a one-row DataFrame."""
+    """The verdict document from its values (missing: NULL, flags false)."""
     row = tuple(values.get(f.name, False if f.dataType.typeName() == "boolean" else None)
                 for f in VERDICT.fields)
     return spark.createDataFrame([row], VERDICT)
@@ -146,10 +177,10 @@ def gate(verdict: DataFrame | None) -> dict:
     """Q15: fail when the verdict is missing or carries an error."""
     rows = [] if verdict is None else verdict.limit(2).collect()
     if len(rows) != 1:
-        raise RuntimeError("pipeline failed: missing verification verdict")
+        raise RuntimeError("no verdict of this run to read")
     v = rows[0].asDict()
     if v.get("error"):
-        raise RuntimeError(f"pipeline failed verification: {v['error']}")
+        raise RuntimeError(f"the run did not pass: {v['error']}")
     return v
 
 

@@ -9,20 +9,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barline.functions import round_places
 from barline.operators import backtest, clean, features, quality, risk, runs
 from barline.schemas import DEFAULT_SPEC, FEATURES
-from barline.session import staging_root
 from barline.sources import fingerprint
+from barline.sources.csv import conform_bars
 from barline.sources.events import bars_from_events, read_events
 
 DIGITS = 6
 SPEC = DEFAULT_SPEC
 # Each event type as its own series: the keyed (multi-instrument) layout.
 KEYED = DEFAULT_SPEC.with_keys("event_type")
+# A series key that is NULL for a seventh of the users.
+NULL_KEYED = DEFAULT_SPEC.with_keys("series")
 
 
 def _r(c, digits: int = DIGITS):
@@ -34,7 +36,10 @@ def _r(c, digits: int = DIGITS):
 
 def raw_bars(spark: SparkSession, sf: str, spec=DEFAULT_SPEC) -> DataFrame:
     """Adapter output, one raw bar per event (with ``event_id`` and the keys)."""
-    return bars_from_events(read_events(spark, sf), keys=spec.keys)
+    events = read_events(spark, sf)
+    if "series" in spec.keys:  # a key that is NULL for some events
+        events = events.withColumn("series", F.expr("IF(user_id % 7 = 0, NULL, event_type)"))
+    return bars_from_events(events, keys=spec.keys)
 
 
 def dedup_bars(spark: SparkSession, sf: str, spec=DEFAULT_SPEC) -> DataFrame:
@@ -52,24 +57,21 @@ def scored(spark: SparkSession, sf: str, spec=DEFAULT_SPEC, split_rows: int | No
     return risk.with_label(risk.with_crash_index(risk.with_var_proxy(f)))
 
 
-def scored_checkpoint(spark: SparkSession, sf: str, spec=DEFAULT_SPEC, split_rows: int | None = None) -> DataFrame:
-    """The scored stage materialised in the shared checkpoint folder, so the
-    threshold sweep and the alert columns read it instead of recomputing
-    every window twice."""
-    staging_root(spark)
-    return scored(spark, sf, spec, split_rows).checkpoint(eager=True)
-
-
 def final_parts(spark: SparkSession, sf: str, spec=DEFAULT_SPEC, split_rows: int | None = None):
-    """``(feature table, threshold column)``: the 27-column table (plus keys)
-    with the F1-chosen threshold attached as a scalar subquery (computed
-    once, no join)."""
-    s = scored_checkpoint(spark, sf, spec, split_rows)
+    """``(feature table, threshold column)``: the 27-column table (plus keys) with the F1-chosen
+    threshold as a scalar subquery over the same scored plan; its shuffles are reused."""
+    s = scored(spark, sf, spec, split_rows)
     t = backtest.best_threshold(s).select("threshold").scalar()
     out = risk.with_alerts(s.withColumn("_t", t), F.col("_t")).select(*spec.keys, *FEATURES.fieldNames())
     return out, t
 
 
+def returns(spark: SparkSession, sf: str, spec=DEFAULT_SPEC) -> DataFrame:
+    """The rows of the feature table without the rolling features: for checks that need only
+    keys, times and returns."""
+    return features.with_log_returns(valid_bars(spark, sf, spec), spec)
+
+
 def final(spark: SparkSession, sf: str, spec=DEFAULT_SPEC) -> DataFrame:
     return final_parts(spark, sf, spec)[0]
 
@@ -150,7 +152,8 @@ def q_severity_counts(spark, sf):
 
 
 def q_null_checks(spark, sf):
-    return quality.null_checks(final(spark, sf))
+    r = returns(spark, sf)
+    return quality.null_checks(features.with_rolling(r, [x for x in features.level1(SPEC) if x.name.startswith("momentum")], SPEC))
 
 
 def q_validation_summary(spark, sf):
@@ -164,20 +167,20 @@ def q_rule_violations(spark, sf):
 
 
 def q_gap_rows(spark, sf):
-    return quality.gap_rows(final(spark, sf), SPEC)
+    return quality.gap_rows(returns(spark, sf), SPEC)
 
 
 def q_gap_count(spark, sf):
-    return quality.gap_count(final(spark, sf), SPEC)
+    return quality.gap_count(returns(spark, sf), SPEC)
 
 
 def q_row_coverage(spark, sf):
-    out = quality.row_coverage(raw_bars(spark, sf), final(spark, sf), SPEC)
+    out = quality.row_coverage(raw_bars(spark, sf), returns(spark, sf), SPEC)
     return out.withColumn("coverage_ratio", _r("coverage_ratio"))
 
 
 def q_date_range_match(spark, sf):
-    return quality.date_range_match(raw_bars(spark, sf), final(spark, sf), SPEC)
+    return quality.date_range_match(raw_bars(spark, sf), returns(spark, sf), SPEC)
 
 
 def q_latest_rows(spark, sf):
@@ -226,7 +229,7 @@ def q_feature_table_split(spark, sf):
 
 def q_gap_rows_split(spark, sf):
     """Gap rows through the split (skew-proof) previous-row lookup."""
-    return quality.gap_rows(final(spark, sf), SPEC, split_rows=SPLIT_ROWS)
+    return quality.gap_rows(returns(spark, sf), SPEC, split=True)
 
 
 def q_verification_row(spark, sf):
@@ -239,20 +242,123 @@ def q_verification_record(spark, sf):
 
 
 def q_ingest_guardrail(spark, sf):
-    """Each day of events is an incoming dataset; the ledger holds the
-    fingerprints of the days already stored as bars, and the stored row count
-    of a day is its number of deduplicated bars."""
-    day = F.to_date("ts").alias("trade_date")
+    """Each day of events is an incoming dataset.  The ledger holds the fingerprints of every
+    third day; of the days after those, all rows are stored already; of the rest, the bars."""
     ev = read_events(spark, sf)
-    incoming = fingerprint.row_fingerprint(ev, by=[day]).select(
+    incoming = fingerprint.row_fingerprint(ev, by=[F.to_date("ts").alias("trade_date")]).select(
         "trade_date", F.col("fingerprint").alias("dataset_hash"), F.col("n_rows").alias("row_count"))
-    stored = dedup_bars(spark, sf)
-    ledger = fingerprint.row_fingerprint(stored.drop("trade_date"), by=[F.to_date("trade_timestamp").alias("trade_date")]) \
-        .select(F.col("fingerprint").alias("dataset_hash"))
-    existing = stored.groupBy("trade_date").agg(F.count(F.lit(1)).alias("existing_rows"))
+    ledger = incoming.filter(F.dayofmonth("trade_date") % 3 == 0).select("dataset_hash")
+    existing = ev.groupBy(F.to_date("ts").alias("trade_date")).agg(F.expr(
+        "IF(day(trade_date) % 3 = 1, count(1), count(DISTINCT date_trunc('minute', ts)))").alias("existing_rows"))
     return runs.guardrail_decisions(incoming, ledger, existing, by=["trade_date"])
 
 
+# ---- tables with planted faults ----------------------------------------------------
+
+def planted(spark, sf):
+    """The feature table with every rule violated somewhere, by the minute of the day modulo 97,
+    and some rows twice."""
+    n = "((hour(trade_timestamp) * 60 + minute(trade_timestamp)) % 97)"
+    change = {
+        "volatility_30min": f"IF({n} = 2, -1.0D, volatility_30min)",
+        "crash_index": f"CASE {n} WHEN 3 THEN NULL WHEN 4 THEN double('NaN') WHEN 7 THEN 51.0D ELSE crash_index END",
+        "volume_ratio": f"IF({n} = 5, -1.0D, volume_ratio)",
+        "volatility_zscore": f"IF({n} = 6, 11.0D, volatility_zscore)",
+        "crash_alert_flag": f"IF({n} = 8, 1, crash_alert_flag)",
+        "crash_severity": f"IF({n} = 8, 'LOW', crash_severity)",
+        "drawdown": f"IF({n} = 9, 0.5D, drawdown)",
+        "log_return": f"IF({n} = 10, NULL, log_return)",
+        "momentum_5min": f"IF({n} = 11, double('NaN'), momentum_5min)",
+        "momentum_15min": f"IF({n} = 12, NULL, momentum_15min)",
+        "trade_timestamp": f"IF({n} = 1, NULL, trade_timestamp)",
+        "_twice": f"explode(IF({n} = 13, array(1, 2, 3), array(1)))",
+    }
+    f = final(spark, sf)
+    return f.select(*[F.expr(change.get(c, c)).alias(c) for c in f.columns], F.expr(change["_twice"]).alias("_twice")).drop("_twice")
+
+
+def q_rule_violations_planted(spark, sf):
+    f = planted(spark, sf)
+    return quality.rule_violations(f, quality.JOB_RULES, SPEC, "job").unionByName(
+        quality.rule_violations(f, quality.VERIFY_RULES, SPEC, "verify"))
+
+
+def q_validation_summary_planted(spark, sf):
+    return quality.validation_summary(planted(spark, sf))
+
+
+def q_null_checks_planted(spark, sf):
+    return quality.null_checks(planted(spark, sf))
+
+
+def q_verification_row_planted(spark, sf):
+    return quality.verification_row(planted(spark, sf), SPEC)
+
+
+def q_verification_row_planted_split(spark, sf):
+    return quality.verification_row(planted(spark, sf), SPEC, split=True)
+
+
+def q_table_checksum_planted(spark, sf):
+    return quality.table_checksum(planted(spark, sf), SPEC)
+
+
+def q_valid_bars_planted(spark, sf):
+    """Bars with NaN, NULL and negative prices among them."""
+    b = dedup_bars(spark, sf).withColumns({
+        "close_price": F.expr("IF(volume % 17 = 0, double('NaN'), close_price)"),
+        "open_price": F.expr("IF(volume % 19 = 0, NULL, open_price)"),
+        "low_price": F.expr("IF(volume % 23 = 0, -low_price - 1, low_price)")})
+    return clean.valid_bars(b, SPEC)
+
+
+def q_dedup_bars_by_value(spark, sf):
+    """Copies ordered by their values, no id."""
+    return clean.deduplicate(raw_bars(spark, sf).drop("event_id"), SPEC)
+
+
+def q_csv_text_bars(spark, sf):
+    """Events as the text of a CSV file (names in odd case, doubled blanks, missing tokens and
+    fields), through the CSV conversion."""
+    bars = raw_bars(spark, sf)
+    stamp = F.date_format("trade_timestamp", "yyyyMMdd  HH:mm:ss")
+    text = bars.select(
+        stamp.alias(" Date "), F.col("open_price").cast("string").alias("OPEN"), F.col("high_price").cast("string").alias("high"),
+        F.col("low_price").cast("string").alias("Low"),
+        F.expr("CASE event_id % 11 WHEN 0 THEN 'NA' WHEN 1 THEN 'NaN' ELSE CAST(close_price AS string) END").alias("Close"),
+        F.expr("IF(event_id % 13 = 0, NULL, CAST(volume AS string))").alias("volume"),
+        F.col("bar_count").cast("string").alias("barCount"), F.col("average_price").cast("string").alias("average"))
+    return conform_bars(text)
+
+
+def _ledger(spark, sf):
+    """Daily runs as a run ledger, with some metrics missing."""
+    d = runs.daily_runs(scored(spark, sf), SPEC)
+    return d.select(F.col("trade_date").cast("string").alias("run_id"), F.col("trade_date").cast("timestamp_ntz").alias("execution_ts"),
+                    "optimal_threshold", F.expr("IF(day(trade_date) % 4 = 0, NULL, alert_rate)").alias("alert_rate"),
+                    "crash_index_mean", F.expr("IF(day(trade_date) % 3 = 0, NULL, crash_index_std)").alias("crash_index_std"))
+
+
+def q_run_drift(spark, sf):
+    """Every run against the latest five of the ledger."""
+    led = _ledger(spark, sf)
+    out = runs.drift_against(led.drop("execution_ts"), led)
+    return out.select("run_id", *[f"{m}_drift" for m in runs.METRIC_NAMES], "drift_detected")
+
+
+def q_verdict(spark, sf):
+    """Verdicts of three tables: the features as they are, the same with their times closed up
+    (every check passes), and an empty one."""
+    raw, f = raw_bars(spark, sf), final(spark, sf)
+    minute = F.row_number().over(Window.partitionBy("trade_date").orderBy("trade_timestamp"))
+    closed = f.withColumn("trade_timestamp", F.col("trade_date").cast("timestamp_ntz") + F.make_dt_interval(mins=minute))
+    out = None
+    for name, r, t in (("events", raw, f), ("closed_up", closed, closed), ("empty", raw, f.filter("false"))):
+        v = runs.verdict_row(quality.verification_record(r, t, SPEC), quality.VERIFY_ERRORS).withColumn("source", F.lit(name))
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
 # ---- keyed series (one series per event type) ------------------------------------
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -267,6 +373,11 @@ def q_keyed_feature_table(spark, sf):
     return _rounded(final(spark, sf, KEYED))
 
 
+def q_keyed_feature_table_split(spark, sf):
+    """Split evaluation over series of which one has a NULL key."""
+    return _rounded(final_parts(spark, sf, NULL_KEYED, split_rows=SPLIT_ROWS)[0])
+
+
 def q_keyed_daily_runs(spark, sf):
     return runs.daily_runs(scored(spark, sf, KEYED), KEYED)
 
@@ -279,7 +390,7 @@ def q_keyed_drift_test(spark, sf):
 
 
 def q_keyed_gap_count(spark, sf):
-    return quality.gap_count(final(spark, sf, KEYED), KEYED)
+    return quality.gap_count(returns(spark, sf, KEYED), KEYED)
 
 
 def q_keyed_table_checksum(spark, sf):
@@ -334,6 +445,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "verification_row": q_verification_row,
     "verification_record": q_verification_record,
     "ingest_guardrail": q_ingest_guardrail,
+    "rule_violations_planted": q_rule_violations_planted,
+    "validation_summary_planted": q_validation_summary_planted,
+    "null_checks_planted": q_null_checks_planted,
+    "verification_row_planted": q_verification_row_planted,
+    "verification_row_planted_split": q_verification_row_planted_split,
+    "table_checksum_planted": q_table_checksum_planted,
+    "valid_bars_planted": q_valid_bars_planted,
+    "dedup_bars_by_value": q_dedup_bars_by_value,
+    "csv_text_bars": q_csv_text_bars,
+    "run_drift": q_run_drift,
+    "verdict": q_verdict,
+    "keyed_feature_table_split": q_keyed_feature_table_split,
     "keyed_dedup_bars": q_keyed_dedup_bars,
     "keyed_feature_table": q_keyed_feature_table,
     "keyed_daily_runs": q_keyed_daily_runs,

@@ -1,5 +1,5 @@
-"""DuckDB SQL for every catalog query, written independently of the Spark
-code as plain window/aggregate SQL over the pre-registered ``events`` view.
+"""DuckDB SQL for every catalog query: plain window/aggregate SQL over the
+pre-registered ``events`` view, sharing no code or constant with the Spark side.
 
 The shared CTE chain below mirrors the stages: adapter -> dedup -> valid ->
 returns -> level-1 windows -> level-2 windows -> scores -> sweep -> final.
@@ -9,11 +9,34 @@ thresholds with the rows).
 
 from __future__ import annotations
 
-from barline.operators import backtest, quality
-
 D = 6  # rounding of float outputs, as in the catalog
 
-_GRID = ", ".join(f"({t!r})" for t in backtest.DEFAULT_GRID)
+# The threshold grid and the two rule sets (rule, level, violating rows).
+_GRID = "(0.5), (1.0), (1.5), (2.0), (2.5), (3.0), (3.5), (4.0), (4.5), (5.0)"
+_JOB_RULES = [
+    ("null_timestamp", "error", "trade_timestamp IS NULL"),
+    ("negative_volatility", "error", "volatility_30min < 0"),
+    ("null_crash_index", "error", "crash_index IS NULL OR isnan(crash_index)"),
+    ("negative_volume_ratio", "info", "volume_ratio < 0"),
+    ("extreme_zscore", "warn", "abs(volatility_zscore) > 10"),
+    ("extreme_crash_index", "warn", "abs(crash_index) > 50"),
+    ("severity_mismatch", "error", "crash_alert_flag = 1 AND crash_severity = 'LOW'"),
+    ("invalid_drawdown", "warn", "drawdown > 0"),
+    ("null_returns", "error", "log_return IS NULL OR isnan(log_return)"),
+    ("null_momentum_5min", "info", "momentum_5min IS NULL OR isnan(momentum_5min)"),
+    ("null_momentum_15min", "info", "momentum_15min IS NULL OR isnan(momentum_15min)"),
+]
+_VERIFY_RULES = [
+    ("null_crash_index", "error", "crash_index IS NULL OR isnan(crash_index)"),
+    ("alert_mismatch", "error", "crash_alert_flag = 1 AND crash_severity = 'LOW'"),
+    ("positive_drawdown", "error", "drawdown > 0"),
+    ("negative_volatility", "error", "volatility_30min < 0"),
+    ("negative_volume_ratio", "error", "volume_ratio < 0"),
+    ("duplicate_keys", "error", None),
+    ("gaps", "error", None),
+    ("extreme_zscore", "warn", "abs(volatility_zscore) > 10"),
+    ("extreme_crash_index", "warn", "abs(crash_index) > 50"),
+]
 
 
 def _round(expr: str, d: int) -> str:
@@ -37,7 +60,8 @@ def base_sql(keys: tuple[str, ...] = ()) -> str:
     day = "trade_date" + ks
     return f"""
 ev AS (
-  SELECT event_id, ts, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k{ks} FROM events
+  SELECT event_id, ts, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k{ks}
+  FROM (SELECT *, CASE WHEN user_id % 7 = 0 THEN NULL ELSE event_type END AS series FROM events) e
 ),
 bars_raw AS (
   SELECT event_id{ks}, trade_timestamp, open_price,
@@ -202,24 +226,49 @@ def _count_if(pred: str) -> str:
     return f"CAST(count(*) FILTER (WHERE {pred}) AS BIGINT)"
 
 
-def _rules_sql(rules, rule_set: str) -> str:
+def _gaps_and_dups(table: str) -> tuple[str, str]:
+    """Numbers of gaps and of repeated keys of a table, as scalar queries."""
+    gaps = f"""(SELECT count(*) FROM (SELECT trade_timestamp, lag(trade_timestamp) OVER
+               (PARTITION BY trade_date ORDER BY trade_timestamp NULLS FIRST) AS p FROM {table}) t
+               WHERE trade_timestamp - p > INTERVAL '1 minute')"""
+    dups = f"(SELECT count(*) FROM (SELECT 1 FROM {table} GROUP BY trade_date, trade_timestamp HAVING count(*) > 1) t)"
+    return gaps, dups
+
+
+def _rules_sql(rules, rule_set: str, table: str = "final") -> str:
+    gaps, dups = _gaps_and_dups(table)
     parts = []
-    for r in rules:
-        if r.predicate:
-            v = f"(SELECT {_count_if(r.predicate)} FROM final)"
-        elif r.name == "duplicate_keys":
-            v = "(SELECT count(*) FROM dups)"
-        else:
-            v = "(SELECT count(*) FROM gaps)"
+    for name, level, predicate in rules:
+        v = f"(SELECT {_count_if(predicate)} FROM {table})" if predicate else dups if name == "duplicate_keys" else gaps
         parts.append(
-            f"SELECT '{rule_set}' AS rule_set, '{r.name}' AS rule, '{r.level}' AS level, "
-            f"CAST({v} AS BIGINT) AS violations, ('{r.level}' = 'error' AND {v} > 0) AS failed")
+            f"SELECT '{rule_set}' AS rule_set, '{name}' AS rule, '{level}' AS level, "
+            f"CAST({v} AS BIGINT) AS violations, ('{level}' = 'error' AND {v} > 0) AS failed")
     return "\nUNION ALL\n".join(parts)
 
 
-_CHECK_TEXT = ("CAST(trade_timestamp AS VARCHAR) || '|' || CAST(CAST(close_price AS DECIMAL(38,8)) AS VARCHAR)"
-               " || '|' || CAST(CAST(crash_index AS DECIMAL(38,8)) AS VARCHAR) || '|' || "
-               "CAST(crash_alert_flag AS VARCHAR)")
+def _cell(c: str, double: bool = False) -> str:
+    text = f"CAST(TRY_CAST(CASE WHEN isnan({c}) THEN NULL ELSE {c} END AS DECIMAL(38,8)) AS VARCHAR)" if double else f"CAST({c} AS VARCHAR)"
+    return f"coalesce({text}, '\\N')"
+
+
+_CHECK_PARTS = [_cell("trade_timestamp"), _cell("close_price", True), _cell("crash_index", True), _cell("crash_alert_flag")]
+_CHECK_TEXT = "concat_ws('|', " + ", ".join(_CHECK_PARTS) + ")"
+
+
+def _checksum_sql(table: str, text: str) -> str:
+    return f"""
+        SELECT count(*) AS n_rows,
+               md5(CAST(count(*) AS VARCHAR) || '|' ||
+                   CAST(coalesce(sum({_hex('d', 1)}), 0) AS VARCHAR) || '|' ||
+                   CAST(coalesce(sum({_hex('d', 16)}), 0) AS VARCHAR)) AS checksum
+        FROM (SELECT md5({text}) AS d FROM {table}) x"""
+
+
+def _verification_row_sql(table: str) -> str:
+    gaps, dups = _gaps_and_dups(table)
+    return ("SELECT min(trade_date) AS min_date, max(trade_date) AS max_date, "
+            + ", ".join(f"{_count_if(p)} AS {n}" for n, _, p in _VERIFY_RULES if p)
+            + f", {dups} AS duplicate_count, {gaps} AS gap_count FROM {table}")
 
 
 def _hex(col: str, start: int) -> str:
@@ -269,6 +318,9 @@ _DRIFT = ", ".join(
     for m in ("optimal_threshold", "alert_rate", "crash_index_mean", "crash_index_std"))
 
 
+_NULLS = "SELECT " + ", ".join(f"{_count_if(p)} AS {n}" for n, _, p in _JOB_RULES[8:]) + " FROM {t}"
+_SUMMARY = "SELECT " + ", ".join(f"{_count_if(p)} AS {n}" for n, _, p in _JOB_RULES[:8]) + " FROM {t}"
+
 ORACLE: dict[str, str] = {
     "bars_adapter": _q("SELECT *, CAST(trade_timestamp AS DATE) AS trade_date FROM bars_raw"),
     "duplicate_keys": _q("SELECT trade_timestamp, count(*) AS n_rows FROM bars_raw "
@@ -299,16 +351,9 @@ ORACLE: dict[str, str] = {
     "alert_flag": _q(f"SELECT trade_timestamp, {_rd('crash_index')}, crash_alert_flag FROM final"),
     "crash_severity": _q("SELECT trade_timestamp, crash_alert_flag, crash_severity FROM final"),
     "severity_counts": _q("SELECT crash_severity, count(*) AS n_rows FROM final GROUP BY crash_severity"),
-    "null_checks": _q(f"""SELECT {_count_if('log_return IS NULL')} AS null_returns,
-                              {_count_if('momentum_5min IS NULL')} AS null_momentum_5min,
-                              {_count_if('momentum_15min IS NULL')} AS null_momentum_15min FROM final"""),
-    "validation_summary": _q("SELECT " + ", ".join(
-        f"{_count_if(r.predicate)} AS {r.name}" for r in quality.JOB_RULES
-        if r.name in ("null_timestamp", "negative_volatility", "null_crash_index", "negative_volume_ratio",
-                      "extreme_zscore", "extreme_crash_index", "severity_mismatch", "invalid_drawdown"))
-        + " FROM final"),
-    "rule_violations": _q(_rules_sql(quality.JOB_RULES, "job") + "\nUNION ALL\n"
-                          + _rules_sql(quality.VERIFY_RULES, "verify")),
+    "null_checks": _q(_NULLS.format(t="final")),
+    "validation_summary": _q(_SUMMARY.format(t="final")),
+    "rule_violations": _q(_rules_sql(_JOB_RULES, "job") + "\nUNION ALL\n" + _rules_sql(_VERIFY_RULES, "verify")),
     "gap_rows": _q("SELECT * FROM gaps"),
     "gap_count": _q("SELECT count(*) AS gap_count FROM gaps"),
     "row_coverage": _q(f"""
@@ -330,12 +375,7 @@ ORACLE: dict[str, str] = {
              (SELECT min(trade_date) AS min_analytics, max(trade_date) AS max_analytics FROM final) b"""),
     "latest_rows": _q(f"""SELECT trade_timestamp, close_price, {_rd('crash_index')}, crash_alert_flag,
                               crash_severity FROM final ORDER BY trade_timestamp DESC LIMIT 10"""),
-    "table_checksum": _q(f"""
-        SELECT count(*) AS n_rows,
-               md5(CAST(count(*) AS VARCHAR) || '|' ||
-                   CAST(coalesce(sum({_hex('d', 1)}), 0) AS VARCHAR) || '|' ||
-                   CAST(coalesce(sum({_hex('d', 16)}), 0) AS VARCHAR)) AS checksum
-        FROM (SELECT md5({_CHECK_TEXT}) AS d FROM final WHERE {_CHECK_TEXT} IS NOT NULL) x"""),
+    "table_checksum": _q(_checksum_sql("final", _CHECK_TEXT)),
     "row_fingerprint": _q(_fingerprint("bars_raw", _BAR_COLS)),
     "daily_runs": _q("SELECT * FROM daily"),
     "drift_test": _q(f"""
@@ -354,23 +394,15 @@ ORACLE: dict[str, str] = {
         FROM final"""),
     "feature_table": _q("SELECT " + ", ".join(c if c in _INT_OR_TEXT else _rd(c) for c in _FEATURE_COLS)
                         + " FROM final"),
-    "verification_row": _q(f"""
-        SELECT min(trade_date) AS min_date, max(trade_date) AS max_date,
-               {_count_if('crash_index IS NULL')} AS null_crash_index,
-               {_count_if("crash_alert_flag = 1 AND crash_severity = 'LOW'")} AS alert_mismatch,
-               {_count_if('drawdown > 0')} AS positive_drawdown,
-               {_count_if('volatility_30min < 0')} AS negative_volatility,
-               {_count_if('volume_ratio < 0')} AS negative_volume_ratio,
-               {_count_if('abs(volatility_zscore) > 10')} AS extreme_zscore,
-               {_count_if('abs(crash_index) > 50')} AS extreme_crash_index,
-               (SELECT count(*) FROM dups) AS duplicate_count,
-               (SELECT count(*) FROM gaps) AS gap_count
-        FROM final"""),
+    "verification_row": _q(_verification_row_sql("final")),
     "ingest_guardrail": _q(f"""
         , incoming AS ({_fingerprint("(SELECT *, CAST(ts AS DATE) AS trade_date FROM events)",
                                      _EVENT_COLS, "trade_date")}),
-        ledger AS ({_fingerprint("bars", _BAR_COLS, "trade_date")}),
-        existing AS (SELECT trade_date, count(*) AS existing_rows FROM bars GROUP BY trade_date)
+        ledger AS (SELECT fingerprint FROM incoming WHERE day(trade_date) % 3 = 0),
+        existing AS (SELECT CAST(ts AS DATE) AS trade_date,
+                            CASE WHEN day(CAST(ts AS DATE)) % 3 = 1 THEN count(*)
+                                 ELSE count(DISTINCT date_trunc('minute', ts)) END AS existing_rows
+                     FROM events GROUP BY CAST(ts AS DATE))
         SELECT i.trade_date, i.fingerprint AS dataset_hash, i.n_rows AS row_count,
                (i.fingerprint IN (SELECT fingerprint FROM ledger)) AS already_ingested,
                coalesce(e.existing_rows, 0) AS existing_rows,
@@ -383,7 +415,7 @@ ORACLE: dict[str, str] = {
 
 # ---- keyed series: one series per event type ---------------------------------------
 _K = ("event_type",)
-_KEYED_TEXT = "CAST(event_type AS VARCHAR) || '|' || " + _CHECK_TEXT
+_KEYED_TEXT = "concat_ws('|', " + ", ".join([_cell("event_type"), *_CHECK_PARTS]) + ")"
 _DRIFT_K = _DRIFT
 
 ORACLE.update({
@@ -402,12 +434,7 @@ ORACLE.update({
               WINDOW h AS (PARTITION BY event_type ORDER BY trade_date
                            ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)) t""", _K),
     "keyed_gap_count": _q("SELECT count(*) AS gap_count FROM gaps", _K),
-    "keyed_table_checksum": _q(f"""
-        SELECT count(*) AS n_rows,
-               md5(CAST(count(*) AS VARCHAR) || '|' ||
-                   CAST(coalesce(sum({_hex('d', 1)}), 0) AS VARCHAR) || '|' ||
-                   CAST(coalesce(sum({_hex('d', 16)}), 0) AS VARCHAR)) AS checksum
-        FROM (SELECT md5({_KEYED_TEXT}) AS d FROM final WHERE {_KEYED_TEXT} IS NOT NULL) x""", _K),
+    "keyed_table_checksum": _q(_checksum_sql("final", _KEYED_TEXT), _K),
     "keyed_verification_row": _q(f"""
         SELECT min(trade_date) AS min_date, max(trade_date) AS max_date,
                {_count_if('crash_index IS NULL')} AS null_crash_index,
@@ -423,36 +450,122 @@ ORACLE.update({
 })
 
 
-ORACLE["verification_record"] = _q(f"""
+def _record_sql(raw: str, table: str) -> str:
+    """The verification record of a feature table against a table of raw bars."""
+    gaps, dups = _gaps_and_dups(table)
+    return f"""
     SELECT a.* EXCLUDE (s1, s2), r.*,
            md5(CAST(a.n_rows AS VARCHAR) || '|' || CAST(a.s1 AS VARCHAR) || '|' || CAST(a.s2 AS VARCHAR))
              AS checksum,
-           (SELECT count(*) FROM dups) AS duplicate_count,
-           (SELECT count(*) FROM gaps) AS gap_count,
+           {dups} AS duplicate_count, {gaps} AS gap_count,
            {_round('CASE WHEN r.raw_rows_distinct > 0 THEN a.analytics_rows / r.raw_rows_distinct ELSE 0.0 END', 6)}
              + 0.0 AS coverage_ratio,
            (a.analytics_rows > 0 AND a.analytics_rows <= r.raw_rows_distinct
             AND CASE WHEN r.raw_rows_distinct > 0 THEN a.analytics_rows / r.raw_rows_distinct ELSE 0.0 END
                 >= 0.95) AS coverage_ok,
-           coalesce(r.min_raw IS NOT NULL AND r.max_raw IS NOT NULL AND a.min_analytics IS NOT NULL
-                    AND a.max_analytics IS NOT NULL AND r.min_raw = a.min_analytics
-                    AND r.max_raw = a.max_analytics, false) AS date_range_ok
+           coalesce(r.min_raw = a.min_analytics AND r.max_raw = a.max_analytics, false) AS date_range_ok
     FROM (SELECT count(*) AS analytics_rows, min(trade_date) AS min_analytics, max(trade_date) AS max_analytics,
-                 {_count_if('crash_index IS NULL')} AS null_crash_index,
-                 {_count_if("crash_alert_flag = 1 AND crash_severity = 'LOW'")} AS alert_mismatch,
-                 {_count_if('drawdown > 0')} AS positive_drawdown,
-                 {_count_if('volatility_30min < 0')} AS negative_volatility,
-                 {_count_if('volume_ratio < 0')} AS negative_volume_ratio,
-                 {_count_if('abs(volatility_zscore) > 10')} AS extreme_zscore,
-                 {_count_if('abs(crash_index) > 50')} AS extreme_crash_index,
-                 count({_CHECK_TEXT}) AS n_rows,
+                 {", ".join(f"{_count_if(p)} AS {n}" for n, _, p in _VERIFY_RULES if p)},
+                 count(*) AS n_rows,
                  coalesce(sum({_hex(f'md5({_CHECK_TEXT})', 1)}), 0) AS s1,
                  coalesce(sum({_hex(f'md5({_CHECK_TEXT})', 16)}), 0) AS s2
-          FROM final) a,
+          FROM {table}) a,
          (SELECT count(DISTINCT trade_timestamp) AS raw_rows_distinct,
                  min(CAST(trade_timestamp AS DATE)) AS min_raw, max(CAST(trade_timestamp AS DATE)) AS max_raw
-          FROM bars_raw) r""")
+          FROM {raw}) r"""
+
+
+ORACLE["verification_record"] = _q(_record_sql("bars_raw", "final"))
 
 # The split evaluation must give exactly the plain feature table.
 ORACLE["feature_table_split"] = ORACLE["feature_table"]
 ORACLE["gap_rows_split"] = ORACLE["gap_rows"]
+ORACLE["keyed_feature_table_split"] = _q("SELECT series, " + ", ".join(
+    c if c in _INT_OR_TEXT else _rd(c) for c in _FEATURE_COLS) + " FROM final", ("series",))
+
+
+# ---- planted faults --------------------------------------------------------------------
+_N = "((hour(trade_timestamp) * 60 + minute(trade_timestamp)) % 97)"
+_PLANTED = f""", planted AS (
+  SELECT f.* REPLACE (
+    CASE WHEN {_N} = 1 THEN NULL ELSE trade_timestamp END AS trade_timestamp,
+    CASE WHEN {_N} = 2 THEN -1.0 ELSE volatility_30min END AS volatility_30min,
+    CASE WHEN {_N} = 3 THEN NULL WHEN {_N} = 4 THEN CAST('NaN' AS DOUBLE) WHEN {_N} = 7 THEN 51.0
+         ELSE crash_index END AS crash_index,
+    CASE WHEN {_N} = 5 THEN -1.0 ELSE volume_ratio END AS volume_ratio,
+    CASE WHEN {_N} = 6 THEN 11.0 ELSE volatility_zscore END AS volatility_zscore,
+    CASE WHEN {_N} = 8 THEN 1 ELSE crash_alert_flag END AS crash_alert_flag,
+    CASE WHEN {_N} = 8 THEN 'LOW' ELSE crash_severity END AS crash_severity,
+    CASE WHEN {_N} = 9 THEN 0.5 ELSE drawdown END AS drawdown,
+    CASE WHEN {_N} = 10 THEN NULL ELSE log_return END AS log_return,
+    CASE WHEN {_N} = 11 THEN CAST('NaN' AS DOUBLE) ELSE momentum_5min END AS momentum_5min,
+    CASE WHEN {_N} = 12 THEN NULL ELSE momentum_15min END AS momentum_15min)
+  FROM final f, generate_series(1, 3) g(copy)
+  WHERE copy = 1 OR {_N} = 13
+)
+"""
+
+
+def _p(select: str) -> str:
+    return "WITH " + BASE.strip() + _PLANTED + select
+
+
+_LED = """, led AS (
+  SELECT CAST(trade_date AS VARCHAR) AS run_id, trade_date AS execution_ts, optimal_threshold,
+         CASE WHEN day(trade_date) % 4 = 0 THEN NULL ELSE alert_rate END AS alert_rate, crash_index_mean,
+         CASE WHEN day(trade_date) % 3 = 0 THEN NULL ELSE crash_index_std END AS crash_index_std
+  FROM daily
+), recent AS (SELECT * FROM led ORDER BY execution_ts DESC, run_id DESC LIMIT 5)
+"""
+_METRICS = ("optimal_threshold", "alert_rate", "crash_index_mean", "crash_index_std")
+_LATEST = ", ".join(
+    f"""CASE WHEN l.{m} IS NOT NULL AND (SELECT count({m}) FROM recent) >= 2 AND (SELECT stddev_pop({m}) FROM recent) <> 0
+        THEN abs(l.{m} - (SELECT avg({m}) FROM recent)) / (SELECT stddev_pop({m}) FROM recent) > 3 ELSE false END AS {m}_drift"""
+    for m in _METRICS)
+
+_ERRORS = ["null_crash_index", "alert_mismatch", "positive_drawdown", "negative_volatility", "negative_volume_ratio",
+           "duplicate_count", "gap_count"]
+_VERDICT = """SELECT '{name}' AS source, raw_rows_distinct, analytics_rows,
+       (gate IS NULL OR gate > 2) AS row_coverage_ratio, (gate IS NULL OR gate > 3) AS date_range_ok,
+       (gate IS NULL OR gate > 4) AS crash_index_ok, false AS sample_read_ok,
+       CASE WHEN gate IS NULL THEN checksum END AS checksum, gate AS failed_gate, failing
+FROM (SELECT *, CASE WHEN analytics_rows <= 0 THEN 0 WHEN analytics_rows > raw_rows_distinct THEN 1
+                     WHEN NOT coverage_ok THEN 2 WHEN NOT date_range_ok THEN 3 WHEN {total} > 0 THEN 4 END AS gate,
+             concat_ws(', ', {failing}) AS failing
+      FROM ({record}) rec) v"""
+
+
+def _verdict_sql(name: str, raw: str, table: str) -> str:
+    return _VERDICT.format(name=name, record=_record_sql(raw, table), total="(" + " + ".join(_ERRORS) + ")",
+                           failing=", ".join(f"CASE WHEN {e} > 0 THEN '{e}' END" for e in _ERRORS))
+
+
+_BAR_TEXT = _fp_text([(c, t) for c, t in _BAR_COLS if c != "trade_timestamp"])
+
+ORACLE.update({
+    "rule_violations_planted": _p(_rules_sql(_JOB_RULES, "job", "planted") + "\nUNION ALL\n"
+                                  + _rules_sql(_VERIFY_RULES, "verify", "planted")),
+    "validation_summary_planted": _p(_SUMMARY.format(t="planted")),
+    "null_checks_planted": _p(_NULLS.format(t="planted")),
+    "verification_row_planted": _p(_verification_row_sql("planted")),
+    "verification_row_planted_split": _p(_verification_row_sql("planted")),
+    "table_checksum_planted": _p(_checksum_sql("planted", _CHECK_TEXT)),
+    "valid_bars_planted": _q("""
+        SELECT * FROM (SELECT b.* REPLACE (
+            CASE WHEN volume % 17 = 0 THEN CAST('NaN' AS DOUBLE) ELSE close_price END AS close_price,
+            CASE WHEN volume % 19 = 0 THEN NULL ELSE open_price END AS open_price,
+            CASE WHEN volume % 23 = 0 THEN -low_price - 1 ELSE low_price END AS low_price) FROM bars b) p
+        WHERE volume % 17 <> 0 AND volume % 19 <> 0 AND open_price >= 0 AND high_price >= 0 AND low_price >= 0
+          AND close_price >= 0"""),
+    "dedup_bars_by_value": _q(f"""
+        SELECT * EXCLUDE (event_id, d) FROM (SELECT *, substr(md5({_BAR_TEXT}), 1, 15) AS d FROM bars_raw) x
+        QUALIFY row_number() OVER (PARTITION BY trade_timestamp ORDER BY d) = 1"""),
+    "csv_text_bars": _q("SELECT * EXCLUDE (event_id) FROM bars_raw WHERE event_id % 11 > 1 AND event_id % 13 <> 0"),
+    "run_drift": _q(_LED + f"""SELECT *, (optimal_threshold_drift OR alert_rate_drift OR crash_index_mean_drift
+        OR crash_index_std_drift) AS drift_detected FROM (SELECT l.run_id, {_LATEST} FROM led l) t"""),
+    "verdict": _q(""", closed AS (SELECT f.* REPLACE (CAST(trade_date AS TIMESTAMP) + to_minutes(
+            row_number() OVER (PARTITION BY trade_date ORDER BY trade_timestamp)) AS trade_timestamp) FROM final f),
+        none AS (SELECT * FROM final WHERE false)
+        """ + "\nUNION ALL\n".join([_verdict_sql("events", "bars_raw", "final"), _verdict_sql("closed_up", "closed", "closed"),
+                                     _verdict_sql("empty", "bars_raw", "none")])),
+})

@@ -1,12 +1,11 @@
 """The batch job as four stages: ingest -> analyze -> verify -> finalize.
 
-Actions of ``analyze`` (the source job ran 23): one staged write of the
-scored features (input profile and quality counts ride along as
-Observations), one threshold sweep (a single aggregation returning ten
-rows), one write of the feature table (run statistics ride along), and the
-metrics document.  The staged table lives under the shared folder named by
-``spark.checkpoint.dir`` and cuts the lineage, so a lost executor costs a
-re-read of the stage, not a recomputation from the source.
+Actions of ``analyze`` (the source job ran 23): one staged write of the scored features
+(input profile and rule counts ride along as Observations), the threshold choice (a single
+aggregation), the check of the rows about to be written, the write of the feature table (run
+statistics ride along), and the metrics document.  The staged table lives under the shared
+folder named by ``spark.checkpoint.dir`` and cuts the lineage, so a lost executor costs a re-read
+of the stage, not a recomputation from the source.
 """
 
 from __future__ import annotations
@@ -19,9 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from barline.functions import count_where, round_places
+from barline.functions import count_where, hex_slice_value, round_places
 from barline.operators import backtest, clean, features, quality, risk, runs
-from barline.schemas import DEFAULT_SPEC, FEATURES, INGESTION_LEDGER, RAW_BARS, SeriesSpec, conform
+from barline.schemas import CSV_COLUMNS, DEFAULT_SPEC, FEATURES, INGESTION_LEDGER, RAW_BARS, SeriesSpec, conform
 from barline.session import staging_path
 from barline.sinks.writers import write_document, write_table, write_with_readback
 from barline.sources import fingerprint
@@ -65,17 +64,6 @@ class Paths:
         return self._p("verdict")
 
 
-def one_row(first: DataFrame, *others: DataFrame) -> DataFrame:
-    """Put the columns of several one-row frames side by side: each other
-    frame becomes one scalar subquery returning a struct (no join)."""
-    out = first
-    names = list(first.columns)
-    for i, o in enumerate(others):
-        out = out.withColumn(f"_s{i}", o.select(F.struct(*o.columns)).scalar())
-        names += [f"_s{i}.{c}" for c in o.columns]
-    return out.select(*names)
-
-
 def _remove(spark: SparkSession, path: str) -> None:
     """Delete a staging folder this job wrote (shared file system or store)."""
     jvm = spark.sparkContext._jvm
@@ -99,22 +87,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 # ---- ingest ---------------------------------------------------------------------
 
-def dataset_fingerprint(spark: SparkSession, csv_path: str) -> tuple[str, int]:
-    """SHA-256 of the file (of the sorted per-file hashes when the path
-    holds several files) and input rows (lines minus headers)."""
-    from barline.functions import hex_slice_value
-    fps = fingerprint.file_fingerprints(spark, csv_path)
-    lines = fingerprint.input_line_counts(spark, csv_path)
-    # several files: an order-free, associative combination of the file hashes
-    # (count and two summed 60-bit slices), no list of hashes in one group
+def dataset_fingerprint(lines: DataFrame) -> tuple[str, int]:
+    """One hash and the input rows (lines minus headers) of the files of ``file_lines``;
+    their fingerprints combine by sums, in any order."""
     combined = F.sha2(F.concat_ws("|", F.count(F.lit(1)).cast("string"),
-                                  F.sum(hex_slice_value("dataset_hash", 1)).cast("string"),
-                                  F.sum(hex_slice_value("dataset_hash", 16)).cast("string")), 256)
-    row = one_row(
-        fps.agg(F.when(F.count(F.lit(1)) == 1, F.first("dataset_hash")).otherwise(combined)
-                 .alias("dataset_hash")),
-        lines.agg(F.coalesce(F.sum("row_count"), F.lit(0)).cast("bigint").alias("row_count")),
-    ).first()
+                                  F.sum(hex_slice_value("fingerprint", 1)).cast("string"),
+                                  F.sum(hex_slice_value("fingerprint", 16)).cast("string")), 256)
+    row = lines.agg(F.when(F.count(F.lit(1)) == 1, F.first("fingerprint")).otherwise(combined).alias("dataset_hash"),
+                    F.coalesce(F.sum(F.col("lines") - 1), F.lit(0)).cast("bigint").alias("row_count")).first()
     return row["dataset_hash"], int(row["row_count"])
 
 
@@ -128,23 +108,27 @@ def ingest(spark: SparkSession, paths: Paths, csv_path: str | None = None, bars:
     rows as the input -> skip.  Otherwise overwrite the raw table (partitioned
     by day), check the read-back count and record the dataset in the ledger.
     """
-    read_obs = None
+    read_obs = headers = None
     if csv_path is not None:
-        dataset_hash, input_rows = dataset_fingerprint(spark, csv_path)
+        # one pass over the lines: hash, line count and header of every file (one row per file)
+        lines = spark.createDataFrame(fingerprint.file_lines(spark, csv_path, [*CSV_COLUMNS, *spec.keys]).collect(),
+                                      "path string, lines bigint, header string, fingerprint string")
+        dataset_hash, input_rows = dataset_fingerprint(lines)
+        headers = fingerprint.header_files(lines)
         read_obs = Observation("csv_read")
-        bars = read_bars_csv(spark, csv_path, observation=read_obs, keys=spec.keys)
+        bars = read_bars_csv(spark, csv_path, observation=read_obs, keys=spec.keys, headers=headers)
     if bars is None or dataset_hash is None:
         raise ValueError("give csv_path, or bars with dataset_hash")
     ledger = (spark.read.schema(INGESTION_LEDGER).parquet(paths.ingestion_ledger)
-              if _exists(spark, paths.ingestion_ledger) else None)
-    if ledger is not None and ledger.filter(F.col("dataset_hash") == dataset_hash).limit(1).count():
-        log.info("guardrail: dataset %s already ingested, skipping", dataset_hash)
-        return {"status": "skipped_known", "dataset_hash": dataset_hash}
+              if _exists(spark, paths.ingestion_ledger) else spark.createDataFrame([], INGESTION_LEDGER))
+    existing = None
     if row_guard and input_rows is not None and _exists(spark, paths.raw):
-        existing = spark.read.parquet(paths.raw).count()
-        if existing >= input_rows:
-            log.info("guardrail: raw table has %s rows >= input %s, skipping", existing, input_rows)
-            return {"status": "skipped_covered", "dataset_hash": dataset_hash}
+        existing = spark.read.parquet(paths.raw).agg(F.count(F.lit(1)).alias("existing_rows"))
+    incoming = spark.createDataFrame([(dataset_hash, input_rows)], "dataset_hash string, row_count bigint")
+    decision = runs.guardrail_decisions(incoming, ledger, existing).first()["decision"]
+    if decision != "ingest":
+        log.info("guardrail for dataset %s: %s", dataset_hash, decision)
+        return {"status": {"skip_known": "skipped_known", "skip_covered": "skipped_covered"}[decision], "dataset_hash": dataset_hash}
     out = _raw_frame(bars, spec).withColumn(spec.day, F.to_date(spec.time))
     counts = write_with_readback(spark, out, paths.raw, partition_by=[spec.day], name="raw_write",
                                  rebalance=True)
@@ -180,17 +164,15 @@ def _rule_aggs(rules: Sequence[quality.Rule]) -> list[Column]:
 def analyze(spark: SparkSession, paths: Paths, run_id: str | None = None, spec: SeriesSpec = DEFAULT_SPEC,
             grid: Sequence[float] = backtest.DEFAULT_GRID, tiebreak: Sequence[str] | None = None,
             raw: DataFrame | None = None, keep_stage: bool = False,
-            split_rows: int | str | None = None) -> dict:
+            split_rows: int | None = None) -> dict:
     """Raw bars -> feature table, run metrics document.  The staged table is
     removed after a successful run (kept on failure, or with ``keep_stage``).
-    ``split_rows``: chunk size of the split window evaluation, or ``"auto"``
-    to split only when a key-day of the input exceeds ``AUTO_SPLIT_LIMIT``."""
+    ``split_rows``: chunk size of the split window evaluation (default: plain windows).
+
+    Nothing replaces the feature table before every check of the run has passed."""
     run_id = run_id or uuid.uuid4().hex
     raw = raw if raw is not None else spark.read.parquet(paths.raw)
     raw = _raw_frame(raw, spec, tiebreak or ())
-    if split_rows == "auto":
-        split_rows = features.choose_split(raw, spec)
-        log.info("split evaluation: %s", split_rows or "not needed")
 
     obs_in = Observation("input")
     d = clean.deduplicate(raw, spec, tiebreak=tiebreak, keep_count="_copies")
@@ -209,31 +191,35 @@ def analyze(spark: SparkSession, paths: Paths, run_id: str | None = None, spec:
     inp, q = obs_in.get, obs_q.get
     log.info("input verification | %s", inp)
     if not inp.get("input_rows"):
-        raise RuntimeError("no data available in raw table")
+        raise RuntimeError("the raw table holds no bar")
     hard = [r.name for r in quality.JOB_RULES if r.level == "error" and q.get(r.name)]
     if hard:
-        raise RuntimeError(f"validation failed before write: {hard} ({q})")
+        raise RuntimeError(f"rules violated, nothing written: {hard} ({q})")
     for r in quality.JOB_RULES:
         if r.level == "warn" and q.get(r.name):
-            log.warning("validation warning: %s = %s", r.name, q[r.name])
+            log.warning("rule %s: %s rows", r.name, q[r.name])
 
     staged = spark.read.parquet(stage)
     best = backtest.best_threshold(staged, grid=grid).first()                   # action 2
     threshold = float(best["threshold"])
     final = risk.with_alerts(staged, F.lit(threshold))
-    final = final.select(*spec.keys, *FEATURES.fieldNames())
+    # K8, D2 and the alert rule, on the rows about to be written               # action 3
+    gate = quality.checked(final, [F.count(F.lit(1)).alias("rows"), *quality.alert_counts()], spec, bool(split_rows)).first().asDict()
+    log.info("output keys: %s rows, %s distinct", gate["rows"], gate["distinct_keys"])
+    if gate["duplicate_keys"]:
+        for row in clean.top_duplicate_keys(final, spec).collect():
+            log.error("repeated key %s", row.asDict())
+        raise RuntimeError(f"{gate['duplicate_keys']} keys occur more than once, nothing written")
+    if gate["severity_mismatch"]:
+        raise RuntimeError(f"{gate['severity_mismatch']} alerts with the lowest severity, nothing written")
     obs_out = Observation("output")
     final = final.observe(
         obs_out, F.count(F.lit(1)).alias("rows"),
         round_places(F.avg("crash_alert_flag"), runs.METRIC_DIGITS).alias("alert_rate"),
         round_places(F.avg("crash_index"), runs.METRIC_DIGITS).alias("crash_index_mean"),
-        round_places(F.stddev_samp("crash_index"), runs.METRIC_DIGITS).alias("crash_index_std"),
-        count_where((F.col("crash_alert_flag") == 1) & (F.col("crash_severity") == "LOW"))
-        .alias("severity_mismatch"))
-    write_table(final, paths.features, partition_by=[spec.day])                 # action 3
+        round_places(F.stddev_samp("crash_index"), runs.METRIC_DIGITS).alias("crash_index_std"))
+    write_table(final, paths.features, schema=FEATURES, keys=spec.keys, partition_by=[spec.day], rebalance=True)  # action 4
     out = obs_out.get
-    if out.get("severity_mismatch"):
-        raise RuntimeError("validation failed: crash severity mismatch")
     metrics = {
         "optimal_threshold": float(round(threshold * 10 ** runs.METRIC_DIGITS) / 10 ** runs.METRIC_DIGITS),
         "alert_rate": out["alert_rate"],
@@ -242,76 +228,58 @@ def analyze(spark: SparkSession, paths: Paths, run_id: str | None = None, spec:
     }
     doc = spark.createDataFrame([tuple(metrics[k] for k in runs.METRIC_NAMES)],
                                 ", ".join(f"{k} double" for k in runs.METRIC_NAMES))
-    write_document(doc, paths.metrics)                                           # action 4
+    write_document(doc, paths.metrics)                                           # action 5
     if not keep_stage:
         _remove(spark, stage)
     log.info("run metrics %s", metrics)
-    return {"run_id": run_id, "metrics": metrics, "rows": out["rows"], "input": inp, "quality": q,
+    return {"run_id": run_id, "metrics": metrics, "rows": out["rows"], "input": inp, "quality": {**q, **gate},
             "best": best.asDict(), "split_rows": split_rows}
 
 
 # ---- verify ---------------------------------------------------------------------
 
 def verify(spark: SparkSession, paths: Paths, run_id: str, spec: SeriesSpec = DEFAULT_SPEC,
-           exclude_own_run: bool = True, split_rows: int | str | None = None) -> dict:
-    """Checks of the written table, checksum, drift, ledger upsert, verdict.
-    The counts, date ranges, integrity counts and checksum are one query with
-    one pass over each table."""
-    verdict = {"raw_rows_distinct": None, "analytics_rows": None, "row_coverage_ratio": False,
-               "date_range_ok": False, "crash_index_ok": False, "sample_read_ok": False,
-               "checksum": None, "error": None}
-    drift = False
+           exclude_own_run: bool = True, raw: DataFrame | None = None, features: DataFrame | None = None,
+           split: bool = False) -> dict:
+    """Checks of the written table, checksum, drift, ledger upsert, verdict.  ``raw`` and
+    ``features`` default to the tables below the root.  Counts, date ranges, rules and
+    checksum are one query; ``runs.GATES`` judges its row."""
+    verdict: dict = {}
     try:
-        raw = _raw_frame(spark.read.parquet(paths.raw), spec)
-        feats = spark.read.parquet(paths.features)
-        if split_rows == "auto":
-            split_rows = features.choose_split(feats, spec)
-        rec = quality.verification_record(raw, feats, spec, split_rows=split_rows).first().asDict()
-        verdict["raw_rows_distinct"], verdict["analytics_rows"] = rec["raw_rows_distinct"], rec["analytics_rows"]
-        if rec["analytics_rows"] <= 0:
-            raise ValueError("verification failed: analytics table empty")
-        if rec["analytics_rows"] > rec["raw_rows_distinct"]:
-            raise ValueError(f"row overflow: raw={rec['raw_rows_distinct']} analytics={rec['analytics_rows']}")
-        if not rec["coverage_ok"]:
-            raise ValueError(f"incomplete analytics table: coverage={rec['coverage_ratio']:.2%}")
-        verdict["row_coverage_ratio"] = True
-        if not rec["date_range_ok"]:
-            raise ValueError(f"date range mismatch: raw {rec['min_raw']}..{rec['max_raw']}, "
-                             f"analytics {rec['min_analytics']}..{rec['max_analytics']}")
-        verdict["date_range_ok"] = True
-        failing = {r.name: rec[{"duplicate_keys": "duplicate_count", "gaps": "gap_count"}.get(r.name, r.name)]
-                   for r in quality.VERIFY_RULES if r.level == "error"}
-        failing = {k: v for k, v in failing.items() if v}
-        if failing:
-            raise ValueError(f"logical integrity validation failed: {failing}")
-        verdict["crash_index_ok"] = True
+        raw = _raw_frame(raw if raw is not None else spark.read.parquet(paths.raw), spec)
+        feats = features if features is not None else spark.read.parquet(paths.features)
+        record = quality.verification_record(raw, feats, spec, split=split)
+        rec = record.first()
+        row = runs.verdict_row(spark.createDataFrame([rec], record.schema), quality.VERIFY_ERRORS).first().asDict()
+        verdict = {k: v for k, v in row.items() if k not in ("failed_gate", "failing")}
+        if row["failed_gate"] is not None:
+            raise ValueError(runs.GATES[row["failed_gate"]].message.format(**rec.asDict(), failing=row["failing"]))
         for r in quality.VERIFY_RULES:
-            if r.level == "warn" and rec.get(r.name):
-                log.warning("verification warning: %s = %s", r.name, rec[r.name])
-        verdict["checksum"] = rec["checksum"]
+            if r.level == "warn" and rec[r.name]:
+                log.warning("rule %s: %s rows", r.name, rec[r.name])
 
         metrics = read_metrics(spark, paths.metrics)
         m = metrics.first()
+        drift = False
         if m is not None and all(m[k] is not None for k in runs.METRIC_NAMES):
             ledger = runs.read_ledger(spark, paths.runs)
             drift = bool(runs.drift_against(metrics, ledger, exclude_run=run_id if exclude_own_run else None)
                          .select("drift_detected").first()[0])
             if drift:
-                log.warning("behavioral drift detected, review recommended")
+                log.warning("run metrics have drifted from the runs before")
         else:
-            log.warning("drift detection skipped: run metrics missing")
+            log.warning("no run metrics, drift not tested")
         values = {**verdict, "data_checksum": verdict["checksum"], "drift_detected": drift,
                   **({k: m[k] for k in runs.METRIC_NAMES} if m is not None else {})}
         runs.upsert_run(runs.ledger_row(spark, run_id, values), paths.runs)
-
-        sample = quality.latest_rows(feats, spec, n=10).collect()
+        quality.latest_rows(feats, spec, n=10).collect()
         verdict["sample_read_ok"] = True
-        log.info("sample rows: %s", len(sample))
     except Exception as exc:  # the verdict records the failure; finalize raises
         verdict["error"] = str(exc)
-        log.error("verification failed: %s", exc)
-    write_document(runs.make_verdict(spark, verdict), paths.verdict)
-    return verdict
+        log.error("run %s not verified: %s", run_id, exc)
+    doc = runs.make_verdict(spark, verdict)
+    write_document(doc, paths.verdict)
+    return doc.first().asDict()
 
 
 def finalize(spark: SparkSession, paths: Paths) -> dict:
@@ -331,10 +299,8 @@ def run_all(spark: SparkSession, paths: Paths, run_id: str, csv_path: str | None
     """Ingest (skipped by the guardrails when the dataset is known), analyze,
     verify and finalize."""
     ing = ingest(spark, paths, csv_path=csv_path, bars=bars, dataset_hash=dataset_hash, spec=spec)
-    raw = None
-    if tiebreak:
-        raw = bars
+    raw = bars if tiebreak else None
     res = analyze(spark, paths, run_id, spec=spec, tiebreak=tiebreak, raw=raw, split_rows=split_rows)
-    ver = verify(spark, paths, run_id, spec, split_rows=split_rows)
+    ver = verify(spark, paths, run_id, spec, raw=raw, split=bool(split_rows))
     fin = finalize(spark, paths)
     return {"ingest": ing, "analyze": res, "verify": ver, "final": fin}

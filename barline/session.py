@@ -6,9 +6,6 @@ settings the jobs assume.  Tests build a local session with ``local_session``.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import SparkSession
 
 # Settings the jobs rely on.  The shuffle width is an upper bound: AQE
@@ -66,24 +63,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder for staged tables and checkpoints.
-
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it is
-    unset (local tests) a folder under the system temp dir is chosen and
-    registered, so lineage cuts always land in one shared place.
-    """
+    """Shared folder for staged tables and checkpoints, as ``spark.checkpoint.dir``
+    names it.  Unset, it is an error: a folder of this machine would be another
+    folder on every executor.  Tests and the bench set their own."""
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.conf.get("spark.checkpoint.dir")
-        except Exception:
-            root = None
-    if not root:
-        root = sc.getCheckpointDir()
+    root = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+            or sc.getCheckpointDir())
     if not root:
-        import tempfile
-        root = os.path.join(tempfile.gettempdir(), f"barline-ckpt-{uuid.uuid4().hex[:8]}")
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")

@@ -18,8 +18,8 @@ from barline.schemas import DEFAULT_SPEC, SeriesSpec, conform
 
 def write_table(df: DataFrame, path: str, schema=None, mode: str = "overwrite",
                 partition_by: Sequence[str] = (), replace_all: bool = True, fmt: str = "parquet",
-                rebalance: bool = False) -> None:
-    """K1/K2/K7: conform to ``schema`` (by name) and write.  ``replace_all``
+                rebalance: bool = False, keys: Sequence[str] = ()) -> None:
+    """K1/K2/K7: conform to ``schema`` (by name, after the series ``keys``) and write.  ``replace_all``
     truncates the whole table on overwrite; otherwise only the partitions
     present in ``df`` are replaced.  ``rebalance`` (for input not clustered by
     the partition columns) adds the REBALANCE hint: AQE groups rows of a
@@ -30,7 +30,7 @@ def write_table(df: DataFrame, path: str, schema=None, mode: str = "overwrite",
     if schema is not None:
         conform(df, schema)  # fails on a missing column
         extra = [c for c in partition_by if c not in schema.fieldNames()]
-        out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
+        out = df.select(*keys, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
     if rebalance and partition_by:
         out = out.hint("rebalance", *partition_by)
     w = out.write.mode(mode).format(fmt)

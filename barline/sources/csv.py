@@ -1,11 +1,11 @@
 """CSV bar source.
 
-The file is read as text columns, headers are normalised (strip + lower) and
-checked by name, missing-value tokens become NULL, rows with any missing
-field are dropped (over all columns, extras included), and the named columns
-are parsed and cast to the raw-bar contract.  Binding is by name, never by
-position, so reordered columns are read correctly.  Input splits replace
-chunked reading; bad text raises (ANSI casts), as a failed load should.
+Files are read as text columns, headers are normalised (strip + lower) and checked by
+name, missing-value tokens become NULL, rows with any missing field are dropped (over all
+columns, extras included), and the named columns are parsed and cast to the raw-bar contract.
+Every file binds its columns by its own header, so files of one folder may order them
+differently.  Input splits replace chunked reading; bad text raises (ANSI casts), as a failed
+load should.
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barline.functions import parse_bar_time
-from barline.operators.clean import drop_missing, normalise_columns, require_columns
+from barline.operators.clean import drop_missing, normalise_columns, require_columns, require_names
 from barline.schemas import CSV_COLUMNS, RAW_BARS, conform
+from barline.sources.fingerprint import file_lines, header_files
 
 # Field texts that the common pandas CSV reader treats as
 # missing by default (the source loader relied on them).
@@ -26,10 +28,34 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 TIME_FORMAT = "yyyyMMdd HH:mm:ss"
 
 
-def read_text_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """All columns as strings; every file's header must match the first's."""
-    return (spark.read.option("header", True).option("inferSchema", False)
-            .option("enforceSchema", False).option("mode", "FAILFAST").csv(path))
+_CORRUPT = "_corrupt_record"
+
+
+def read_text_csv(spark: SparkSession, path: str | Sequence[str], names: Sequence[str] = tuple(CSV_COLUMNS),
+                  headers: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """All columns as text, bound by each file's own header.  ``headers`` maps a header line to
+    its files (default: found by one pass over the lines).  Files with the same header are
+    read together; the groups are united by name.
+
+    A row with fewer fields than its header gets NULLs (``drop_missing`` removes it); one with
+    more is an error."""
+    if headers is None:
+        headers = header_files(file_lines(spark, path, names))
+    out = None
+    for header, files in sorted(headers.items()):
+        cols = [c.strip().strip('"').strip().lower() for c in header.split(",")]
+        require_names(cols, names)
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*cols, _CORRUPT]])
+        rows = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", _CORRUPT).csv(list(files)))
+        # NULL for every good row; the error stops the load at a row with too many fields
+        too_many = F.size(F.split(_CORRUPT, ",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)", -1)) > len(cols)
+        checked = F.when(too_many, F.raise_error(F.concat(F.lit("too many fields: "), _CORRUPT)))
+        rows = rows.withColumn(_CORRUPT, checked.cast("string")).filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"no CSV file with a header in {path}")
+    return out
 
 
 def null_tokens(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
@@ -58,5 +84,7 @@ def conform_bars(text: DataFrame, tokens: Sequence[str] = NA_TOKENS, time_format
 
 def read_bars_csv(spark: SparkSession, path: str | Sequence[str], tokens: Sequence[str] = NA_TOKENS,
                   time_format: str = TIME_FORMAT, strict: bool = True,
-                  observation: Observation | None = None, keys: Sequence[str] = ()) -> DataFrame:
-    return conform_bars(read_text_csv(spark, path), tokens, time_format, strict, observation, keys)
+                  observation: Observation | None = None, keys: Sequence[str] = (),
+                  headers: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    text = read_text_csv(spark, path, [*CSV_COLUMNS, *keys], headers)
+    return conform_bars(text, tokens, time_format, strict, observation, keys)

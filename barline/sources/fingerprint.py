@@ -1,7 +1,7 @@
 """Dataset fingerprints.
 
-* ``file_fingerprints``: SHA-256 of each file's bytes, one task per file
-  (``binaryFile`` source), the same digest as hashing the file locally.
+* ``file_fingerprints``: SHA-256 of each file's bytes, the digest of hashing it locally.
+* ``file_lines``: lines, header and digest per file from one pass, for files of any size.
 * ``input_line_counts``: physical lines minus the header, per file.
 * ``row_fingerprint``: order- and partition-independent digest of a table's
   rows, for inputs too large or too many for per-file hashing.  Each row's
@@ -16,14 +16,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.functions import decimal_text, hex_slice_value
+from barline.functions import cell_text, hex_slice_value
 
 NULL_TEXT = "\\N"
 
 
 def file_fingerprints(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """``(path, dataset_hash, length)`` per file; the content is read by the
-    executor that owns the file, never by the driver."""
+    """``(path, dataset_hash, length)`` per file: SHA-256 of its bytes, read by an executor.
+    For files up to the 2 GB that ``binaryFile`` allows; ``file_lines`` has no such bound."""
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -31,25 +31,44 @@ def file_fingerprints(spark: SparkSession, path: str, glob: str | None = None) -
         "path", F.sha2("content", 256).alias("dataset_hash"), "length")
 
 
-def input_line_counts(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """``(path, row_count)``: physical lines minus one header line per file."""
-    lines = spark.read.text(path).select(F.input_file_name().alias("path"))
-    return lines.groupBy("path").agg(
-        (F.count(F.lit(1)) - (1 if header else 0)).cast("bigint").alias("row_count"))
+def file_lines(spark: SparkSession, path: str | Sequence[str], names: Sequence[str] = ()) -> DataFrame:
+    """``(path, lines, header, fingerprint)`` per file from one pass over its splits.
+
+    ``header`` is the line that holds all of ``names`` as fields.  The fingerprint is the
+    associative digest of ``row_fingerprint`` over the lines: any file size, any number of
+    tasks, and it changes with every line (not with their order)."""
+    lines = spark.read.text(path if isinstance(path, str) else list(path)).select(F.input_file_name().alias("path"), "value")
+    fields = F.transform(F.split("value", ","), lambda x: F.lower(F.trim(F.regexp_replace(x, '"', ""))))
+    is_header = F.lit(bool(names))
+    for n in names:
+        is_header = is_header & F.array_contains(fields, n)
+    digest = F.md5(F.col("value"))
+    per = lines.groupBy("path").agg(
+        F.count(F.lit(1)).alias("lines"), F.max(F.when(is_header, F.col("value"))).alias("header"),
+        F.sum(hex_slice_value(digest, 1)).alias("_s1"), F.sum(hex_slice_value(digest, 16)).alias("_s2"))
+    return per.select("path", "lines", "header", F.sha2(F.concat_ws(
+        "|", F.col("lines").cast("string"), F.col("_s1").cast("string"), F.col("_s2").cast("string")), 256).alias("fingerprint"))
+
 
+def header_files(lines: DataFrame) -> dict[str, list[str]]:
+    """Header line -> files, from ``file_lines`` (one row per file, as the driver lists them anyway)."""
+    out: dict[str, list[str]] = {}
+    for r in lines.select("path", "header").collect():
+        if r["header"] is None:
+            raise ValueError(f"source schema does not match: no header with the expected columns in {r['path']}")
+        out.setdefault(r["header"], []).append(r["path"])
+    return out
 
-def _text(c: str, dtype: str) -> Column:
-    if dtype in ("double", "float"):
-        t = decimal_text(c)
-    else:
-        t = F.col(c).cast("string")
-    return F.coalesce(t, F.lit(NULL_TEXT))
+
+def input_line_counts(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """``(path, row_count)``: physical lines minus one header line per file."""
+    return file_lines(spark, path).select("path", (F.col("lines") - (1 if header else 0)).cast("bigint").alias("row_count"))
 
 
 def row_digest(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
     types = dict(df.dtypes)
     cols = list(cols or df.columns)
-    return F.md5(F.concat_ws("|", *[_text(c, types[c]) for c in cols]))
+    return F.md5(F.concat_ws("|", *[cell_text(c, types[c], missing=NULL_TEXT) for c in cols]))
 
 
 def row_fingerprint(df: DataFrame, cols: Sequence[str] | None = None,

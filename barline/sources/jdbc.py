@@ -65,12 +65,12 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str =
     return reader.load()
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, num_partitions: int = 6, batchsize: int = 15_000,
+def write_jdbc(df: DataFrame, url: str, table: str, num_partitions: int, batchsize: int = 15_000,
                isolation: str = "READ_COMMITTED", truncate: bool = True, mode: str = "overwrite",
                user: str | None = None, password: str | None = None, driver: str | None = None) -> None:
     """Overwrite with TRUNCATE (keeps the table's DDL and indexes), batched
-    inserts, ``num_partitions`` concurrent connections."""
-    (df.repartition(num_partitions).write.format("jdbc").mode(mode)
+    inserts, at most ``num_partitions`` concurrent connections (merged without a shuffle)."""
+    (df.coalesce(num_partitions).write.format("jdbc").mode(mode)
        .option("url", url).option("dbtable", table)
        .option("batchsize", batchsize).option("isolationLevel", isolation)
        .option("truncate", truncate).options(**_props(user, password, driver)).save())

@@ -1,7 +1,7 @@
 """Incremental CSV ingest with Structured Streaming.
 
-The batch ingest skips a dataset whose hash is already in the ledger.  For a
-folder that keeps receiving files, the streaming file source gives the same
+The batch ingest skips a dataset whose hash is already in the ledger; this one
+keeps no ledger and no fingerprints.  For a folder that keeps receiving files, the streaming file source gives the same
 guarantee per file: its checkpoint records which files were processed, and
 the file sink's commit log makes each micro-batch land exactly once.  Each
 batch applies the same conformance as the batch reader (missing-value tokens,
@@ -20,14 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from barline.schemas import CSV_COLUMNS, RAW_BARS
+from barline.schemas import CSV_COLUMNS, DEFAULT_SPEC, RAW_BARS, SeriesSpec
 from barline.sources.csv import NA_TOKENS, TIME_FORMAT, conform_bars
 
-TEXT_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CSV_COLUMNS])
-
-
-def read_csv_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(TEXT_SCHEMA).option("header", True)
+def read_csv_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None,
+                    spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame:
+    """The CSV columns, then the series keys, as text."""
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in (*CSV_COLUMNS, *spec.keys)])
+    reader = (spark.readStream.schema(schema).option("header", True)
               .option("enforceSchema", False).option("mode", "FAILFAST"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -35,23 +35,24 @@ def read_csv_stream(spark: SparkSession, input_dir: str, max_files_per_trigger:
 
 
 def bars_stream(spark: SparkSession, input_dir: str, time_format: str = TIME_FORMAT,
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming raw bars (contract columns plus ``trade_date``)."""
-    text = read_csv_stream(spark, input_dir, max_files_per_trigger)
-    bars = conform_bars(text, NA_TOKENS, time_format, strict=True)
-    return bars.withColumn("trade_date", F.to_date("trade_timestamp"))
+                max_files_per_trigger: int | None = None, spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame:
+    """Streaming raw bars (series keys, contract columns, day)."""
+    text = read_csv_stream(spark, input_dir, max_files_per_trigger, spec)
+    bars = conform_bars(text, NA_TOKENS, time_format, strict=True, keys=spec.keys)
+    return bars.withColumn(spec.day, F.to_date(spec.time))
 
 
 def start_ingest(spark: SparkSession, input_dir: str, raw_path: str, checkpoint: str,
-                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+                 available_now: bool = True, processing_time: str | None = None,
+                 spec: SeriesSpec = DEFAULT_SPEC) -> StreamingQuery:
     """Append new files of ``input_dir`` to the raw table at ``raw_path``.
     ``available_now`` processes what is there and stops (a scheduled run);
     otherwise the query keeps running with ``processing_time`` triggers."""
-    writer = (bars_stream(spark, input_dir)
-              .select(*RAW_BARS.fieldNames(), "trade_date")
+    writer = (bars_stream(spark, input_dir, spec=spec)
+              .select(*spec.keys, *RAW_BARS.fieldNames(), spec.day)
               .writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint)
-              .partitionBy("trade_date"))
+              .partitionBy(spec.day))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

@@ -40,3 +40,18 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
+
+
+def test_planted_faults_trip_every_rule(spark):
+    rows = E.queries()["rule_violations_planted"](spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == 20 and all(r.violations > 0 for r in rows)
+
+
+def test_guardrail_query_has_all_decisions(spark):
+    rows = E.queries()["ingest_guardrail"](spark, "/root/testdata/sf0.01").collect()
+    assert {r.decision for r in rows} == {"skip_known", "skip_covered", "ingest"}
+
+
+def test_verdict_query_has_passing_and_failing_tables(spark):
+    rows = {r.source: r for r in E.queries()["verdict"](spark, "/root/testdata/sf0.01").collect()}
+    assert rows["closed_up"].failed_gate is None and rows["empty"].failed_gate == 0 and rows["events"].failed_gate is not None

@@ -228,6 +228,22 @@ def test_split_evaluation_on_long_days(spark):
     assert sorted(tuple(r) for r in split.collect()) == sorted(tuple(r) for r in plain.collect())
 
 
+def test_split_evaluation_with_null_keys_and_shared_seconds(spark):
+    import datetime as dt
+    from barline.schemas import DEFAULT_SPEC
+    spec = DEFAULT_SPEC.with_keys("symbol")
+    rows = [(k, ts(d, 0) + dt.timedelta(microseconds=(m * 37_000_003) % 900_000_000 if m % 3 else m * 1000), 100.0 + (m * 7 + d) % 13)
+            for k in ("A", None, "B") for d in range(2) for m in range(300)]
+    df = spark.createDataFrame([(k, t, c, c + 1, c - 1, c, int(c), 1, c) for k, t, c in rows],
+                               "symbol string, trade_timestamp timestamp_ntz, open_price double, high_price double, low_price double, "
+                               "close_price double, volume long, bar_count int, average_price double")
+    bars = clean.valid_bars(clean.with_trade_date(clean.deduplicate(df, spec), spec), spec)
+    plain = features.with_features(bars, spec)
+    split = features.with_features(bars, spec, split_rows=128).select(*plain.columns)
+    a, b = ([repr(x) for x in sorted((tuple(r) for r in f.collect()), key=repr)] for f in (plain, split))
+    assert a == b and sum("None" in x.split(",")[0] for x in a) > 500
+
+
 def _exchanges(df):
     import re
     text = df._jdf.queryExecution().explainString(

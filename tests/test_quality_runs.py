@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barline.operators import quality, runs
-from barline.schemas import FEATURES
+from barline.schemas import DEFAULT_SPEC, FEATURES
 from tests.conftest import ts
 
 
@@ -63,15 +63,44 @@ def test_gaps_ignore_overnight(spark):
     assert quality.gap_count(df).first().gap_count == 1
 
 
-def test_split_gap_rows_equal_plain(spark):
+def test_split_neighbours_equal_plain(spark):
+    import datetime as dt
+    spec = DEFAULT_SPEC.with_keys("symbol")
     minutes = [m for m in range(300) if m % 17 not in (3, 4)]          # holes inside each day
-    rows = [(ts(d, m),) for d in range(2) for m in minutes]
-    df = spark.createDataFrame(rows, "trade_timestamp timestamp_ntz").withColumn(
+    rows = [(k, ts(d, m)) for k in ("A", None) for d in range(2) for m in minutes]
+    rows += [(None, ts(0, 5))] * 3 + [("A", ts(1, 20)), ("A", None), ("A", None)]  # copies, missing times
+    rows += [("A", ts(0, 7) + dt.timedelta(microseconds=k)) for k in (1, 2, 3)]    # several in one second
+    df = spark.createDataFrame(rows, "symbol string, trade_timestamp timestamp_ntz").withColumn(
         "trade_date", F.to_date("trade_timestamp"))
-    plain = sorted(tuple(r) for r in quality.gap_rows(df).collect())
-    for size in (2, 10, 97):
-        assert sorted(tuple(r) for r in quality.gap_rows(df, split_rows=size).collect()) == plain
-    assert len(plain) > 10
+
+    def all_rows(split):
+        return sorted((tuple(r) for r in quality.with_previous(df, spec, split).select(
+            "symbol", "trade_date", "trade_timestamp", "prev_timestamp", F.col("_copy").cast("bigint")).collect()), key=repr)
+
+    assert all_rows(True) == all_rows(False) and len(all_rows(True)) == len(rows)
+    gaps = [quality.gap_count(df, spec, split=s).first().gap_count for s in (False, True)]
+    assert gaps[0] == gaps[1] > 10
+    counts = [quality.checked(df, [F.count(F.lit(1)).alias("n")], spec, s).first().asDict() for s in (False, True)]
+    assert counts[0] == counts[1] and counts[0]["duplicate_keys"] == 2
+    assert counts[0]["distinct_keys"] == len(set(rows))
+
+
+def test_verification_is_one_scan_and_one_shuffle(spark, tmp_root):
+    feats = _feature_rows(spark, [{} for _ in range(5)])
+    feats.write.parquet(f"{tmp_root}/f")
+    feats.select("trade_timestamp").write.parquet(f"{tmp_root}/r")
+    rec = quality.verification_record(spark.read.parquet(f"{tmp_root}/r"), spark.read.parquet(f"{tmp_root}/f"))
+    plan = rec._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"{tmp_root}/f") == 1
+    assert plan.count("hashpartitioning(trade_date") == 1
+
+
+def test_nan_counts_as_missing(spark):
+    nan = float("nan")
+    df = _feature_rows(spark, [{}, {"crash_index": nan, "crash_severity": "CRITICAL"}, {"log_return": nan}])
+    counts = quality.rule_counts(df, quality.JOB_RULES).first().asDict()
+    assert counts["null_crash_index"] == 1 and counts["null_returns"] == 1
+    assert quality.table_checksum(df).first().n_rows == 3
 
 
 def test_verification_row_counts_duplicates(spark):
@@ -112,10 +141,10 @@ def test_checksum_invariant_to_layout_and_sensitive_to_cells(spark):
     assert a == b
     changed = df.withColumn("crash_index", F.when(F.col("close_price") == 7.0, 0.31).otherwise(F.col("crash_index")))
     assert quality.table_checksum(changed).first().checksum != a
-    # a row with a NULL part is skipped, as string aggregation skips NULL
+    # a row with a missing part takes part too
     with_null = df.unionByName(_feature_rows(spark, [{"crash_index": None}]).withColumn(
         "trade_timestamp", F.lit(ts(0, 50))))
-    assert quality.table_checksum(with_null).first().checksum == a
+    assert quality.table_checksum(with_null).first().checksum != a
 
 
 def test_day_digests_localise_a_change(spark):
@@ -184,10 +213,25 @@ def test_verdict_and_gate(spark):
     bad = runs.make_verdict(spark, {"error": "boom"})
     with pytest.raises(RuntimeError, match="boom"):
         runs.gate(bad)
-    with pytest.raises(RuntimeError, match="missing"):
+    with pytest.raises(RuntimeError, match="no verdict"):
         runs.gate(None)
 
 
+def test_verdict_row_stops_at_the_first_failing_gate(spark):
+    raw = spark.createDataFrame([(ts(0, m),) for m in range(20)], "trade_timestamp timestamp_ntz")
+
+    def verdict(feats, r=raw):
+        return runs.verdict_row(quality.verification_record(r, feats), quality.VERIFY_ERRORS).first()
+
+    good = verdict(_feature_rows(spark, [{}] * 20))
+    assert good.failed_gate is None and good.checksum and good.crash_index_ok
+    bad = verdict(_feature_rows(spark, [{"drawdown": 0.1}] + [{}] * 19))
+    assert bad.failed_gate == 4 and bad.failing == "positive_drawdown" and bad.date_range_ok and bad.checksum is None
+    assert verdict(_feature_rows(spark, [{}] * 10)).failed_gate == 2
+    assert verdict(_feature_rows(spark, [{}] * 21)).failed_gate == 1
+    assert verdict(_feature_rows(spark, [{}]).filter("false")).failed_gate == 0
+
+
 def test_guardrail_decisions(spark):
     incoming = spark.createDataFrame([("d1", "h1", 10), ("d2", "h2", 10), ("d3", "h3", 10)],
                                      "day string, dataset_hash string, row_count long")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barline.plans import stages
 from barline.plans.stages import Paths
+from barline.session import staging_path
 from barline.sources import csv as csv_src
 from barline.sources import fingerprint
 from barline.streaming.ingest import start_ingest
@@ -46,7 +47,7 @@ def test_csv_keeps_series_keys(spark, tmp_root):
 
 def test_csv_schema_and_parse_errors(spark, tmp_root):
     p = _write(f"{tmp_root}/missing.csv", "date,open,high,low,close,volume,average\n20080102 09:30:00,1,1,1,1,1,1\n")
-    with pytest.raises(ValueError, match="barcount"):
+    with pytest.raises(ValueError, match="no header"):
         csv_src.read_bars_csv(spark, p)
     p = _write(f"{tmp_root}/bad.csv", HEADER + "\n2008-01-02 09:30,1,1,1,1,1,1,1\n")
     with pytest.raises(Exception):
@@ -54,24 +55,55 @@ def test_csv_schema_and_parse_errors(spark, tmp_root):
     assert csv_src.read_bars_csv(spark, p, strict=False).count() == 0
 
 
-def test_fingerprints_match_local_hash(spark, tmp_root):
+def _dataset(spark, path):
+    return stages.dataset_fingerprint(fingerprint.file_lines(spark, path, ["date"]))
+
+
+def test_fingerprints(spark, tmp_root):
     text = HEADER + "\n" + "\n".join(f"20080102 09:{m:02d}:00,1,1,1,1,1,1,1" for m in range(30)) + "\n"
     p = _write(f"{tmp_root}/f.csv", text)
     row = fingerprint.file_fingerprints(spark, p).first()
     assert row.dataset_hash == hashlib.sha256(text.encode()).hexdigest()
-    h, n = stages.dataset_fingerprint(spark, p)
-    assert h == row.dataset_hash and n == 30
-    # a folder of files: independent of listing order, changes with any file
-    import shutil
+    h, n = _dataset(spark, p)
+    assert n == 30 and len(h) == 64
+    # any number of read splits gives the same hash
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
+    try:
+        assert _dataset(spark, p) == (h, n)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # a folder of files: independent of listing order, changes with any line of any file
     d = f"{tmp_root}/many"
     os.makedirs(d)
     for i in range(3):
         _write(f"{d}/p{i}.csv", text.replace("09:0", f"1{i}:0"))
-    h3, n3 = stages.dataset_fingerprint(spark, d)
+    h3, n3 = _dataset(spark, d)
     assert n3 == 90 and len(h3) == 64 and h3 != h
-    _write(f"{d}/p1.csv", text)
-    assert stages.dataset_fingerprint(spark, d)[0] != h3
-    del shutil
+    _write(f"{d}/p1.csv", text.replace("09:0", "11:0").replace("11:05:00,1,", "11:05:00,2,"))
+    assert _dataset(spark, d)[0] != h3
+    assert {r.path[-6:]: r.row_count for r in fingerprint.input_line_counts(spark, d).collect()} == {
+        "p0.csv": 30, "p1.csv": 30, "p2.csv": 30}
+
+
+def test_csv_short_and_long_rows(spark, tmp_root):
+    good, short = "20080102 09:30:00,1,1,1,1,1,1,1", "20080102 09:31:00,1,1,1"
+    p = _write(f"{tmp_root}/short.csv", "\n".join([HEADER, good, short]) + "\n")
+    assert csv_src.read_bars_csv(spark, p).count() == 1  # the short row misses fields and is dropped
+    p = _write(f"{tmp_root}/long.csv", "\n".join([HEADER, good, good + ",9"]) + "\n")
+    with pytest.raises(Exception, match="too many fields"):
+        csv_src.read_bars_csv(spark, p).collect()
+
+
+def test_csv_files_with_different_column_order(spark, tmp_root):
+    d = f"{tmp_root}/mixed"
+    os.makedirs(d)
+    _write(f"{d}/a.csv", HEADER + "\n20080102 09:30:00,1,3,0.5,2,10,1,1.5\n")
+    _write(f"{d}/b.csv", "Close,Date,low,high,open,average,volume,barcount\n2,20080102 09:31:00,0.5,3,1,1.5,10,1\n")
+    got = csv_src.read_bars_csv(spark, d).collect()
+    assert len(got) == 2 and {tuple(r)[1:] for r in got} == {(1.0, 3.0, 0.5, 2.0, 10, 1, 1.5)}
+    _write(f"{d}/c.csv", "x,y\n1,2\n")
+    with pytest.raises(ValueError, match="no header"):
+        csv_src.read_bars_csv(spark, d)
 
 
 def test_assert_unique(spark):
@@ -146,7 +178,7 @@ def test_gate_fails_on_gaps(spark, tmp_root):
     res = stages.analyze(spark, paths, "ev-1")
     assert res["rows"] > 0
     ver = stages.verify(spark, paths, "ev-1")
-    assert ver["error"] and "gaps" in ver["error"]
+    assert ver["error"] and "gap_count" in ver["error"]
     assert ver["row_coverage_ratio"] and ver["date_range_ok"] and not ver["crash_index_ok"]
     with pytest.raises(RuntimeError):
         stages.finalize(spark, paths)
@@ -185,6 +217,14 @@ def test_streaming_ingest_exactly_once(spark, tmp_root):
     assert df.count() == 18 and df.select("trade_timestamp").distinct().count() == 18
 
 
+def test_streaming_ingest_keeps_series_keys(spark, tmp_root):
+    from barline.schemas import DEFAULT_SPEC
+    os.makedirs(f"{tmp_root}/in")
+    _write(f"{tmp_root}/in/a.csv", HEADER + ",symbol\n20080102 09:30:00,1,1,1,1,1,1,1,A\n20080102 09:30:00,2,2,2,2,2,2,2,B\n")
+    start_ingest(spark, f"{tmp_root}/in", f"{tmp_root}/raw", f"{tmp_root}/ck", spec=DEFAULT_SPEC.with_keys("symbol")).awaitTermination()
+    assert sorted(r.symbol for r in spark.read.parquet(f"{tmp_root}/raw").collect()) == ["A", "B"]
+
+
 def test_day_predicates_cover_range_once():
     from barline.sources.jdbc import day_predicates
     preds = day_predicates("trade_timestamp", dt.date(2024, 1, 1), dt.date(2024, 1, 5), days_per_partition=2)
@@ -229,9 +269,8 @@ def test_end_to_end_with_series_keys(spark, tmp_root):
     assert r["verify"]["error"] is None and r["verify"]["analytics_rows"] == 2 * 3 * 119
     feats = spark.read.parquet(paths.features)
     assert sorted(r.symbol for r in feats.select("symbol").distinct().collect()) == ["A", "B"]
-    from barline.session import staging_path
     stage = staging_path(spark, "keyed", "scored")
-    assert stage.startswith("/") and not os.path.exists(stage)  # removed after success
+    assert not os.path.exists(stage.removeprefix("file://"))  # removed after success
 
 
 def test_end_to_end_split_matches_plain(spark, tmp_root):
@@ -243,18 +282,55 @@ def test_end_to_end_split_matches_plain(spark, tmp_root):
     assert a["analyze"]["metrics"] == b["analyze"]["metrics"]
 
 
-def test_auto_split_choice(spark, tmp_root, monkeypatch):
-    from barline.operators import features as feat
-    bars = walk_bars(spark, days=1, minutes=390)
-    assert feat.choose_split(bars) is None
-    assert feat.choose_split(bars, limit=300, rows=128) == 128
-    monkeypatch.setattr(feat, "AUTO_SPLIT_LIMIT", 300)
-    monkeypatch.setattr(feat, "AUTO_SPLIT_ROWS", 128)
+def test_analyze_needs_a_shared_folder(spark, tmp_root, monkeypatch):
+    monkeypatch.setattr(stages, "staging_path", lambda s, *p: staging_path(Bare(), *p))
+
+    class Bare:  # a session without spark.checkpoint.dir
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            getConf = staticmethod(lambda: Bare.conf)
+            getCheckpointDir = staticmethod(lambda: None)
+
+    paths = Paths(tmp_root)
+    stages.ingest(spark, paths, bars=walk_bars(spark, days=1, minutes=100), dataset_hash="w1")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        stages.analyze(spark, paths, "r1")
+
+
+def test_verify_follows_the_raw_source(spark, tmp_root):
+    bars = walk_bars(spark, days=2, minutes=100)
+    paths = Paths(tmp_root)
+    stages.analyze(spark, paths, "r1", raw=bars)
+    ver = stages.verify(spark, paths, "r1", raw=bars)
+    assert ver["error"] is None and ver["analytics_rows"] == 198 and ver["sample_read_ok"]
+    assert stages.finalize(spark, paths)["checksum"] == ver["checksum"]
+
+
+def test_feature_files_follow_the_days(spark, tmp_root):
+    import glob
+    bars = walk_bars(spark, days=5, minutes=100)
+    paths = Paths(tmp_root)
+    stages.analyze(spark, paths, "r1", raw=bars.repartition(8))
+    assert 5 <= len(glob.glob(f"{paths.features}/*/part-*.parquet")) <= 10
+    assert [f.name for f in spark.read.parquet(paths.features).schema][:3] == ["trade_timestamp", "open_price", "high_price"]
+
+
+def test_failed_checks_leave_the_table(spark, tmp_root, monkeypatch):
+    from barline.operators import risk
+    bars = walk_bars(spark, days=1, minutes=100)
     paths = Paths(tmp_root)
-    stages.ingest(spark, paths, bars=bars, dataset_hash="w1")
-    res = stages.analyze(spark, paths, "auto", split_rows="auto")
-    assert res["split_rows"] == 128 and res["rows"] == 389
-    assert stages.verify(spark, paths, "auto", split_rows="auto")["error"] is None
+    stages.analyze(spark, paths, "good", raw=bars)
+    before = sorted(tuple(r) for r in spark.read.parquet(paths.features).collect())
+    plain = risk.with_alerts
+    monkeypatch.setattr(risk, "with_alerts", lambda df, t: plain(df, t).withColumn("crash_alert_flag", F.lit(1)))
+    with pytest.raises(RuntimeError, match="lowest severity"):
+        stages.analyze(spark, paths, "bad", raw=bars)
+    monkeypatch.setattr(risk, "with_alerts", lambda df, t: plain(df, t).unionByName(plain(df, t).limit(1)))
+    with pytest.raises(RuntimeError, match="more than once"):
+        stages.analyze(spark, paths, "bad", raw=bars)
+    assert sorted(tuple(r) for r in spark.read.parquet(paths.features).collect()) == before
 
 
 def test_read_metrics_document(spark, tmp_root):
