@@ -105,6 +105,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, url: str) -> None:
+    """Removes a scratch path that no DataFrame in use reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(url)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def open_fs(url: str):
     """``(pyarrow filesystem, path)`` of a shared folder."""
     from pyarrow import fs

@@ -8,22 +8,26 @@ node's neighbours is ever built.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from barline.llm.common import staged
+from barline.llm.common import discard, scratch
 
 
-def _mark(edges: DataFrame):
-    return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+def _staged(edges: DataFrame):
+    """The edges written and read again; their path, their number and an order-free digest
+    (observed while writing)."""
+    seen, path = Observation(), scratch(edges.sparkSession, "edges")
+    marked = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("digest"))
+    marked.write.parquet(path)
+    return edges.sparkSession.read.schema(edges.schema).parquet(path), path, seen.get
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``edges``: long columns ``a``, ``b``.  Returns ``node, root`` with the smallest node of the
     component as root, for every node that has an edge to another."""
     e = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = staged(e, "edges")
-    before = _mark(e)
+    e, path, before = _staged(e)
     while True:
         # large star: every neighbour above u goes to the least of u and its neighbours
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -34,8 +38,9 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                                                  F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
                  .select("x.u", "x.v").filter("u <> v").distinct())
-        e = staged(small, "edges")
-        after = _mark(e)
+        last = path
+        e, path, after = _staged(small)
+        discard(e.sparkSession, last)
         if after == before:
             break
         before = after

@@ -16,7 +16,7 @@ link when ``100 * intersection >= percent * union``.  The steps, all in Spark ta
    by hash, and every two blocks meet in one task, so no task holds more than two blocks.
    There the sets, in one order, form a trie; a set's walk sums the overlap once per shared
    path and leaves subtrees whose remaining length cannot reach the threshold.  Links are
-   kept as a forest, and sets already connected are not compared again.
+   kept as stars, and sets already connected are not compared again.
 5. Components of the links, spread to equal sets, give each row its class.
 
 Defined cases: null and empty texts have an empty set, link with nothing and are their own
@@ -39,9 +39,9 @@ PERCENT = 75
 #: Shingles known to be shared by many sets (an order key each, 16 bytes on every executor).
 HOT_TOKENS = 500_000
 #: A shingle counts as shared where a chunk of a task holds it so often.
-HOT_LOCAL, HOT_TOTAL = 4, 16
+HOT_LOCAL, HOT_TOTAL = 2, 16
 #: Sets of one shingle that are paired; more are chained.
-PAIRED = 48
+PAIRED = 256
 #: Sets and shingles in one block of a large candidate component.
 BLOCK_SETS, BLOCK_SHINGLES = 512, 1_000_000
 CHUNK_WORDS = 2_000_000
@@ -427,10 +427,10 @@ class Trie:
         return found
 
 
-def linked_forest(sets: list, percent: int) -> list[tuple[int, int]]:
-    """Edges that connect exactly the sets that links connect.  Walks start at the set
-    with the most shared shingles; afterwards only sets outside the largest class walk, since
-    a link between classes is found from either end."""
+def linked_classes(sets: list, percent: int) -> list[int]:
+    """A number per set, the same for exactly the sets that links connect.  Walks start at the
+    set with the most shared shingles; afterwards only sets outside the largest class walk,
+    since a link between classes is found from either end."""
     trie = Trie(sets)
     root = list(range(len(sets)))
     size = [1] * len(sets)
@@ -441,22 +441,21 @@ def linked_forest(sets: list, percent: int) -> list[tuple[int, int]]:
             x = root[x]
         return x
 
-    edges, largest = [], 0
+    largest = 0
     for i in sorted(range(len(sets)), key=lambda i: -trie.weight[i]):
-        if size[largest] > 1 and top(i) == top(largest):
+        largest = top(largest)
+        if size[largest] > 1 and top(i) == largest:
             continue
         for j in trie.linked(i, percent):
             a, b = top(i), top(j)
             if a != b:
-                edges.append((i, j))
                 if size[a] < size[b]:
                     a, b = b, a
                 root[b] = a
                 size[a] += size[b]
                 if size[a] > size[top(largest)]:
                     largest = a
-        largest = top(largest)
-    return edges
+    return [top(i) for i in range(len(sets))]
 
 
 def join_groups(percent: int):
@@ -464,9 +463,12 @@ def join_groups(percent: int):
         import numpy as np
         names = t.column("name").to_pylist()
         sets = [np.frombuffer(b, np.uint64) for b in t.column("items").to_pylist()]
-        edges = linked_forest(sets, percent)
-        return pa.table({"a": pa.array([names[i] for i, _ in edges], pa.int64()),
-                         "b": pa.array([names[j] for _, j in edges], pa.int64())})
+        least: dict[int, int] = {}
+        classes = linked_classes(sets, percent)
+        for c, name in zip(classes, names):
+            least[c] = min(name, least.get(c, name))
+        edges = [(name, least[c]) for c, name in zip(classes, names) if name != least[c]]
+        return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
     return run
 
 
