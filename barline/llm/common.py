@@ -6,6 +6,7 @@ ASCII-delimited, so UTF-8 bytes can be split without decoding.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -111,6 +112,13 @@ def discard(spark: SparkSession, url: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of DataFrames that are out of use; it does so when
+    the driver's JVM collects them, which may else be long after."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def open_fs(url: str):
     """``(pyarrow filesystem, path)`` of a shared folder."""
     from pyarrow import fs

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from barline.llm.common import discard, scratch
+from barline.llm.common import discard, release, scratch
 
 
 def _staged(edges: DataFrame):
@@ -28,6 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
     component as root, for every node that has an edge to another."""
     e = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e, path, before = _staged(e)
+    del edges
+    release(e.sparkSession)  # what made the edges is not needed again
     while True:
         # large star: every neighbour above u goes to the least of u and its neighbours
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

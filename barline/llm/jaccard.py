@@ -21,8 +21,9 @@ link when ``100 * intersection >= percent * union``.  The steps, all in Spark ta
 
 Defined cases: null and empty texts have an empty set, link with nothing and are their own
 class; with fewer than n words the whole sequence is the one shingle; repeated rows fall in
-one class (the id itself); rows with a null id take part, and the class is the smallest
-id that is not null, or null; extra columns are ignored.  Texts are read whole.
+one class (the id itself); rows with a null id have the class of the rows with an equal set, and a
+set that only such rows hold links with nothing and has a null class; extra columns are
+ignored.  Texts are read whole.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.common import staged, text_rows
+from barline.llm.common import release, staged, text_rows
 from barline.llm.components import components
 
 SHINGLE = 5
@@ -45,6 +46,8 @@ PAIRED = 256
 #: Sets and shingles in one block of a large candidate component.
 BLOCK_SETS, BLOCK_SHINGLES = 512, 1_000_000
 CHUNK_WORDS = 2_000_000
+#: Postings in one task (it sorts them and reads them as a stream).
+POSTINGS = 2_500_000
 #: Order keys: hashes below, hot ranks from here on.
 HOT_BASE = 1 << 62
 
@@ -300,8 +303,9 @@ def pair_postings(percent: int):
 def candidates(sets: DataFrame, percent: int) -> DataFrame:
     """Edges ``a, b`` between sets that may link, directly or through others."""
     postings = (sets.filter("prefix IS NOT NULL").select(F.explode("prefix").alias("token"), "name", "n", "last", "low"))
-    width = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = (postings.repartition(width, "token").sortWithinPartitions("token", "n", "name")
+    # A pair comes out of a task once for all the shingles it shares there: few large tasks, read as streams
+    total = sets.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    pairs = (postings.repartition(int(total) // POSTINGS + 1, "token").sortWithinPartitions("token", "n", "name")
              .mapInArrow(pair_postings(percent), PAIRS))
     pairs = pairs.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("shared", "shared_low")],
                                         *[F.min(c).alias(c) for c in ("na", "nb", "la", "lb", "xa", "xb")])
@@ -474,7 +478,8 @@ def join_groups(percent: int):
 
 def with_sets(members: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     """Adds the sets, as bytes, made again from the texts of the members alone."""
-    joined = rows.join(members.withColumnRenamed("rep", "doc_id"), "doc_id")
+    # the texts are far larger than the members; both sides are dealt by id at every size
+    joined = rows.hint("merge").join(members.withColumnRenamed("rep", "doc_id"), "doc_id")
     joined = joined.select("doc_id", "text", "name", "cluster", "blocks")
     schema = pa.schema([("name", pa.int64()), ("cluster", pa.int64()), ("blocks", pa.int32()), ("items", pa.binary())])
 
@@ -492,15 +497,8 @@ def with_sets(members: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     return joined.mapInArrow(run, "name long, cluster long, blocks int, items binary")
 
 
-def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
-                    percent: int = PERCENT) -> DataFrame:
-    """Per document: ``doc_id, n_shingles, component_id``."""
-    rows = text_rows(docs, id_col, text_col)
-    hot, rank = shared_shingles(rows, width)
-    sets = staged(prefixes(rows, width, percent, hot, rank), "sets")
-    names = (sets.filter("name IS NOT NULL").groupBy("name")
-             .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n")))
-    found = components(candidates(sets, percent)).select(F.col("node").alias("name"), F.col("root").alias("cluster"))
+def links_within(found: DataFrame, names: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """Edges ``a, b`` that connect the linked sets of every candidate component ``cluster``."""
     members = staged(found.join(names, "name"), "members")
     size = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("items"))
     blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("items") / BLOCK_SHINGLES)).cast("int")
@@ -509,9 +507,20 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     mine = F.expr("CAST(pmod(xxhash64(name), blocks) AS int)")
     full = full.withColumn("mine", mine).withColumn("other", F.explode(F.expr(
         "IF(blocks = 1, array(0), filter(sequence(0, blocks - 1), x -> x <> mine))")))
-    links = (full.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
+    return (full.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
              .groupBy("cluster", "i", "j").applyInArrow(join_groups(percent), "a long, b long"))
-    linked = components(links)
+
+
+def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
+                    percent: int = PERCENT) -> DataFrame:
+    """Per document: ``doc_id, n_shingles, component_id``."""
+    rows = text_rows(docs, id_col, text_col)
+    hot, rank = shared_shingles(rows, width)
+    sets = staged(prefixes(rows, width, percent, hot, rank), "sets")
+    names = (sets.filter("name IS NOT NULL").groupBy("name")
+             .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n")))
+    found = components(candidates(sets, percent)).select(F.col("node").alias("name"), F.col("root").alias("cluster"))
+    linked = components(links_within(found, names, rows, width, percent))
     ids = (linked.join(names, linked.node == names.name).groupBy("root").agg(F.min("rep").alias("class")))
     classes = linked.join(ids, "root").select(F.col("node").alias("name"), "class")
     classes = names.join(classes, "name", "left").select("name", F.coalesce("class", "rep").alias("class"))
@@ -527,6 +536,7 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     ids = (classes.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
            .agg(F.count(F.lit(1)).alias("n"), F.max((F.col("component_id") == F.col("doc_id")) | (F.col("n_shingles") == 0)).alias("stays")))
     ids = staged(ids.filter("stays").select("doc_id", "n"), "survivors")
+    release(docs.sparkSession)
     key = F.col(id_col).cast("bigint") == F.col("_id")
     once = docs.join(ids.filter("n = 1").select(F.col("doc_id").alias("_id")), key, "left_semi")
     more = docs.join(ids.filter("n > 1").select(F.col("doc_id").alias("_id")), key, "left_semi").dropDuplicates([id_col])
