@@ -29,7 +29,8 @@ BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by"
 DELIMITERS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: A document without any of these is not scanned by the rules.
 GATE = ("licens", "licenc", "lizenz", "copyright", "copyleft", "spdx", "public domain", "creative commons", "cc by",
-        "cc0", "warranty", "redistribut", "gpl", "all rights reserved", "unlicense")
+        "cc0", "warrant", "redistribut", "gpl", "all rights reserved", "hereby granted", "permission to use", "free software",
+        "endorse or promote", "advertising materials", "what the fuck", "proprietary", "unauthorized")
 
 
 @dataclass(frozen=True)
