@@ -538,6 +538,7 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     ids = staged(ids.filter("stays").select("doc_id", "n"), "survivors")
     release(docs.sparkSession)
     key = F.col(id_col).cast("bigint") == F.col("_id")
-    once = docs.join(ids.filter("n = 1").select(F.col("doc_id").alias("_id")), key, "left_semi")
+    # as in with_sets: the texts are dealt by id at every size
+    once = docs.hint("merge").join(ids.filter("n = 1").select(F.col("doc_id").alias("_id")), key, "left_semi")
     more = docs.join(ids.filter("n > 1").select(F.col("doc_id").alias("_id")), key, "left_semi").dropDuplicates([id_col])
     return once.unionByName(more).unionByName(docs.filter(F.col(id_col).isNull()))
