@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.llm import elias_fano as ef
-from barline.llm.common import map_file, remainder, scratch, text_rows, write_file
+from barline.llm.common import map_file, remainder, scratch, staged, text_rows, write_file
 
 ORDER = 3
 DISCOUNT = 0.5
@@ -59,6 +59,14 @@ def probability(code):
 
 # ---- tokens ----------------------------------------------------------------------
 
+class Numbers(dict):
+    """Running number of each different word."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 def token_chunks(batches, limit: int = CHUNK_TOKENS):
     """Chunks of whole texts: their ids, token numbers, word hashes (entry 0: the end token)
     and the tokens as entry numbers."""
@@ -69,24 +77,49 @@ def token_chunks(batches, limit: int = CHUNK_TOKENS):
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
         return ids, np.array(lens, np.int64), hashes, np.concatenate(seq) if seq else np.zeros(0, np.int32)
 
-    ids, lens, seq, known, total = [], [], [], {END: 0}, 0
+    ids, lens, seq, known, total = [], [], [], Numbers({END: 0}), 0
     for batch in batches:
         for lo in range(0, batch.num_rows, 512):
             rows = batch.slice(lo, 512)
-            for i, t in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-                words = (t or "").encode("utf-8", "surrogatepass").lower().split()
+            for i, t in zip(rows.column(0).to_pylist(), rows.column(1).cast(pa.binary()).to_pylist()):
+                words = (t or b"").lower().split()
                 words.append(END)
-                seq.append(np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words)))
+                seq.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
                 ids.append(i)
                 lens.append(len(words))
                 total += len(words)
                 if total >= limit:
                     yield chunk()
-                    ids, lens, seq, known, total = [], [], [], {END: 0}, 0
+                    ids, lens, seq, known, total = [], [], [], Numbers({END: 0}), 0
     if ids:
         yield chunk()
 
 
+CHUNKS = "ids binary, valid binary, lens binary, hashes binary, seq binary"
+CHUNKS_SCHEMA = pa.schema([(c, pa.binary()) for c in ("ids", "valid", "lens", "hashes", "seq")])
+
+
+def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The chunks of ``token_chunks`` as rows in the shared folder: words are cut and numbered
+    once, counting and scoring read numbers."""
+    def run(batches):
+        import numpy as np
+        for ids, lens, hashes, seq in token_chunks(batches):
+            row = [np.array([i or 0 for i in ids], "<i8"), np.array([i is not None for i in ids], np.uint8),
+                   lens.astype("<i8"), hashes.astype("<u8"), seq.astype("<i4")]
+            yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in row], schema=CHUNKS_SCHEMA)
+
+    return staged(text_rows(docs, id_col, text_col).mapInArrow(run, CHUNKS), "chunks")
+
+
+def read_chunks(batches):
+    """``(ids, valid, lens, hashes, seq)`` of every chunk."""
+    import numpy as np
+    for batch in batches:
+        for row in zip(*(batch.column(k) for k in range(5))):
+            yield tuple(np.frombuffer(x.as_buffer(), t) for x, t in zip(row, ("<i8", np.uint8, "<i8", "<u8", "<i4")))
+
+
 # ---- blocks between tasks -----------------------------------------------------------
 
 BLOCK = "bucket long, keys binary, counts binary"
@@ -125,7 +158,20 @@ def merge_blocks(t: pa.Table):
     return k[first], np.add.reduceat(c, first)
 
 
+def distinct(keys):
+    """Sorted distinct keys, and the place of every key among them.  Hashing first leaves only
+    the distinct keys to sort."""
+    import numpy as np
+    import pandas as pd
+    codes, seen = pd.factorize(keys)
+    order = np.argsort(seen)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return seen[order], rank[codes]
+
+
 def count_keys(keys):
+    """Sorted distinct keys with their counts."""
     import numpy as np
     return np.unique(keys, return_counts=True)
 
@@ -161,9 +207,9 @@ class Level:
                 yield b, lo, hi
 
     def at(self, name: str, places):
-        """Entries of array ``name`` at global positions (0 where negative)."""
+        """Entries of count array ``name`` at global positions (0 where negative)."""
         import numpy as np
-        out = np.zeros(len(places), np.float64 if name == "probs" else np.int64)
+        out = np.zeros(len(places), np.int64)
         order = np.argsort(places, kind="stable")
         p = places[order]
         starts = [*self.bases, self.n]
@@ -171,8 +217,7 @@ class Level:
         for b in range(len(self.files)):
             lo, hi = int(cuts[b]), int(cuts[b + 1])
             if hi > lo and self.files[b]:
-                got = self.open(b)[0][name][p[lo:hi] - self.bases[b]]
-                out[order[lo:hi]] = probability(got) if name == "probs" else got
+                out[order[lo:hi]] = self.open(b)[0][name][p[lo:hi] - self.bases[b]]
         return out
 
     def __getstate__(self):
@@ -209,28 +254,31 @@ class Model:
         return out
 
     def find(self, k: int, ctx, word):
-        """Positions at level ``k`` of the successors ``word`` of contexts ``ctx`` (both at
-        least 0), and the weight that the contexts leave to the lower order."""
+        """Of the successors ``word`` of contexts ``ctx`` (both at least 0): positions at level
+        ``k``, shares (0 where not kept), and the weight left to the lower order."""
         import numpy as np
         level, v = self.levels[k - 1], self.n_words
-        keys, back = np.unique(ctx.astype(np.uint64) * np.uint64(v) + word.astype(np.uint64), return_inverse=True)
-        place, left = np.full(len(keys), -1, np.int64), np.ones(len(keys))
+        keys, back = distinct(ctx.astype(np.uint64) * np.uint64(v) + word.astype(np.uint64))
+        place, share, left = np.full(len(keys), -1, np.int64), np.zeros(len(keys)), np.ones(len(keys))
         owner, word = (keys // np.uint64(v)).astype(np.int64), keys % np.uint64(v)
         for b, lo, hi in level.by_bucket(keys):
             arrays, seqs = level.open(b)
-            c, inv = np.unique(owner[lo:hi], return_inverse=True)
+            first = np.concatenate([[True], owner[lo + 1:hi] != owner[lo:hi - 1]])  # keys are sorted
+            c, inv = owner[lo:hi][first], np.cumsum(first) - 1
             local = seqs["contexts"].find(c)
             left[lo:hi] = np.where(local >= 0, probability(arrays["left"][np.maximum(local, 0)]), 1.0)[inv]
             local = local[inv]
             some = np.flatnonzero(local >= 0)
             got = seqs["keys"].find(local[some].astype(np.uint64) * np.uint64(v) + word[lo + some])
-            place[lo + some] = np.where(got >= 0, got + level.bases[b], -1)
+            some, got = some[got >= 0], got[got >= 0]
+            place[lo + some] = got + level.bases[b]
+            share[lo + some] = probability(arrays["probs"][got])
         if level.shared:
             c = np.array(sorted(level.shared), np.int64)
             i = np.minimum(np.searchsorted(c, owner), len(c) - 1)
             hit = c[i] == owner
             left[hit] = np.array([1 - level.shared[x] for x in c.tolist()])[i[hit]]
-        return place[back], left[back]
+        return place[back], share[back], left[back]
 
     def successors(self, k: int, ctx: int) -> list[tuple[int, int]]:
         """``(word id, count)`` of a context's kept successors, by its pointers."""
@@ -248,19 +296,24 @@ class Model:
 
     def contexts(self, upto: int, w):
         """For tokens ``w`` (word ids, whole texts one after the other): per order from 2 to
-        ``upto`` the context of every token, its position and the weight left."""
+        ``upto`` the context of every token, its position and share, and the weight left."""
         import numpy as np
         before = np.concatenate([[self.end], w[:-1]])
         ctx = before
         for k in range(2, upto + 1):
             ok = np.flatnonzero((ctx >= 0) & (w >= 0))
-            place, left = np.full(len(w), -1, np.int64), np.ones(len(w))
+            if len(ok) == len(w) and len(self.levels) >= k:
+                place, share, left = self.find(k, ctx, w)
+                yield k, ctx, place, share, left
+                ctx = np.concatenate([[-1], np.where(w[:-1] == self.end, -1, place[:-1])])
+                continue
+            place, share, left = np.full(len(w), -1, np.int64), np.zeros(len(w)), np.ones(len(w))
             alone = np.flatnonzero((ctx >= 0) & (w < 0))
             if len(self.levels) >= k:
-                place[ok], left[ok] = self.find(k, ctx[ok], w[ok])
+                place[ok], share[ok], left[ok] = self.find(k, ctx[ok], w[ok])
                 if len(alone):  # an unknown word still leaves through the context's weight
-                    left[alone] = self.find(k, ctx[alone], np.zeros(len(alone), np.int64))[1]
-            yield k, ctx, place, left
+                    left[alone] = self.find(k, ctx[alone], np.zeros(len(alone), np.int64))[2]
+            yield k, ctx, place, share, left
             ctx = np.concatenate([[-1], np.where(w[:-1] == self.end, -1, place[:-1])])
 
 
@@ -362,16 +415,22 @@ def _level(rows: list, bounds: list[int]) -> tuple[Level, list[tuple[int, int]],
 def fit_model(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
               min_count: int = MIN_COUNT, discount: float = DISCOUNT, bucket_bytes: int = BUCKET_BYTES) -> Model:
     """Builds the trie from all rows of ``docs``; its files lie in the shared folder."""
+    return fit_chunks(tokenise(docs, id_col, text_col), order=order, min_count=min_count, discount=discount,
+                      bucket_bytes=bucket_bytes)
+
+
+def fit_chunks(rows: DataFrame, *, order: int = ORDER, min_count: int = MIN_COUNT, discount: float = DISCOUNT,
+               bucket_bytes: int = BUCKET_BYTES) -> Model:
+    """Builds the trie from all chunks of ``tokenise``."""
     import xxhash
-    rows = text_rows(docs, id_col, text_col)
-    url = scratch(docs.sparkSession, "lm")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    url = scratch(rows.sparkSession, "lm")
+    size = 1.5 * (rows.agg(F.sum(F.octet_length("seq"))).first()[0] or 0)  # about six bytes of text a word
     buckets = int(size) // bucket_bytes + 1
     bounds = [HASH_SPACE * b // buckets for b in range(buckets)]
 
     def words(batches):
         import numpy as np
-        for _, _, hashes, seq in token_chunks(batches):
+        for *_, hashes, seq in read_chunks(batches):
             order_ = np.argsort(hashes)
             yield blocks(hashes[order_], np.bincount(seq, minlength=len(hashes))[order_], bounds)
 
@@ -382,7 +441,7 @@ def fit_model(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     end = xxhash.xxh3_64_intdigest(END)
     if not level.n:
         return model
-    ends = docs.sparkSession.range(1, numPartitions=1).mapInArrow(_finder(model, end), "id long").collect()
+    ends = rows.sparkSession.range(1, numPartitions=1).mapInArrow(_finder(model, end), "id long").collect()
     model.end = ends[0][0]
     for k in range(2, order + 1):
         if model.levels[-1].n * model.n_words >= 1 << 64:
@@ -407,10 +466,10 @@ def _ngrams(model: Model, k: int, bounds: list[int]):
     """Counts the tokens' level-``k`` keys, chunk by chunk."""
     def run(batches):
         import numpy as np
-        for _, _, hashes, seq in token_chunks(batches):
+        for *_, hashes, seq in read_chunks(batches):
             w = model.word_ids(hashes)[seq]
             ctx = None
-            for j, ctx, _, _ in model.contexts(k, w):
+            for j, ctx, *_ in model.contexts(k, w):
                 if j == k:
                     break
             ok = ctx >= 0
@@ -426,35 +485,38 @@ def _builder(url: str, k: int, model: Model, min_count: int, discount: float):
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: token counts, the add-half base and the model's log10 probability."""
+    return score_chunks(tokenise(docs, id_col, text_col), model)
+
+
+def score_chunks(rows: DataFrame, model: Model) -> DataFrame:
+    """``score`` over the chunks of ``tokenise``."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches):
         import numpy as np
         total, v = model.n_tokens, model.n_words
-        for ids, lens, hashes, seq in token_chunks(batches):
+        for ids, valid, lens, hashes, seq in read_chunks(batches):
             known = model.word_ids(hashes)
             counts = np.where(known >= 0, model.levels[0].at("counts", known), 0)
             base = (counts + 0.5) / (total + 0.5 * (v + 1))
             starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
             w = known[seq]
             p = base[seq]
-            for k, ctx, place, left in model.contexts(min(model.order, len(model.levels)), w):
-                share = np.zeros(len(w))
-                some = place >= 0
-                share[some] = model.levels[k - 1].at("probs", place[some])
-                p = np.where(ctx >= 0, share + left * p, p)
+            for *_, share, left in model.contexts(min(model.order, len(model.levels)), w):
+                p = share + left * p  # without a context: 0 and 1
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64()), pa.array(lens), pa.array(np.add.reduceat((w >= 0).astype(np.int64), starts)),
+                pa.array(ids, pa.int64(), mask=valid == 0), pa.array(lens), pa.array(np.add.reduceat((w >= 0).astype(np.int64), starts)),
                 pa.array(np.full(len(ids), total, np.int64)), pa.array(np.add.reduceat(np.log10(base)[seq], starts)),
                 pa.array(np.add.reduceat(np.log10(p), starts))], schema=schema)
 
-    return text_rows(docs, id_col, text_col).mapInArrow(
+    return rows.mapInArrow(
         run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def score_with_held_out(docs: DataFrame, *, fold: int = 5, held_out: int = 1, order: int = ORDER) -> DataFrame:
     """Fits on the rows outside the held-out fold and scores all rows."""
     out = remainder(F.col("doc_id"), fold) == held_out
-    scored = score(docs, fit_model(docs.filter(~out), order=order))
+    train = tokenise(docs.filter(~out))
+    scored = score_chunks(train.unionByName(tokenise(docs.filter(out))), fit_chunks(train, order=order))
     return scored.withColumn("held_out", out)
