@@ -433,8 +433,9 @@ class Trie:
 
 def linked_classes(sets: list, percent: int) -> list[int]:
     """A number per set, the same for exactly the sets that links connect.  Walks start at the
-    set with the most shared shingles; afterwards only sets outside the largest class walk,
-    since a link between classes is found from either end."""
+    set with the most shared shingles; sets inside the class that is the largest by then wait.
+    When another class has become the largest, those left outside it walk after all: a link is
+    found from either end, so only sets of one class may end without a walk."""
     trie = Trie(sets)
     root = list(range(len(sets)))
     size = [1] * len(sets)
@@ -446,19 +447,27 @@ def linked_classes(sets: list, percent: int) -> list[int]:
         return x
 
     largest = 0
-    for i in sorted(range(len(sets)), key=lambda i: -trie.weight[i]):
-        largest = top(largest)
-        if size[largest] > 1 and top(i) == largest:
-            continue
-        for j in trie.linked(i, percent):
-            a, b = top(i), top(j)
-            if a != b:
-                if size[a] < size[b]:
-                    a, b = b, a
-                root[b] = a
-                size[a] += size[b]
-                if size[a] > size[top(largest)]:
-                    largest = a
+
+    def inside(i):
+        return size[top(largest)] > 1 and top(i) == top(largest)
+
+    waiting = sorted(range(len(sets)), key=lambda i: -trie.weight[i])
+    while not all(map(inside, waiting)):
+        held = []
+        for i in waiting:
+            if inside(i):
+                held.append(i)
+                continue
+            for j in trie.linked(i, percent):
+                a, b = top(i), top(j)
+                if a != b:
+                    if size[a] < size[b]:
+                        a, b = b, a
+                    root[b] = a
+                    size[a] += size[b]
+                    if size[a] > size[top(largest)]:
+                        largest = a
+        waiting = held
     return [top(i) for i in range(len(sets))]
 
 

@@ -113,3 +113,42 @@ def test_trie_finds_every_link():
     for i, a in enumerate(sets):
         want = [j for j, b in enumerate(sets) if j != i and 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b))]
         assert sorted(trie.linked(i, 75)) == want
+
+
+def all_pairs(sets, percent=75):
+    root = list(range(len(sets)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            i = len(sets[a] & sets[b])
+            if 100 * i >= percent * len(sets[a] | sets[b]):
+                root[top(a)] = top(b)
+    return [top(x) for x in range(len(sets))]
+
+
+def same_classes(a, b):
+    return len(set(zip(a, b))) == len(set(a)) == len(set(b))
+
+
+def test_excerpts_stay_linked_when_another_class_becomes_the_largest(spark):
+    # excerpts of one text: 1-2, 2-3, 3-5 and 4-5 link
+    cuts = [(0, 134), (27, 137), (48, 141), (48, 176), (52, 150)]
+    rows = [(k, " ".join(f"w{x}" for x in range(*c))) for k, c in enumerate(cuts, 1)]
+    assert {c for *_, c in brute(rows)} == {1}
+    assert classes(frame(spark, rows)) == brute(rows)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_interval_sets_equal_all_pairs(seed):
+    import numpy as np
+    r = random.Random(seed)
+    for _ in range(700):
+        lows = [r.randrange(100) for _ in range(r.randint(2, 14))]
+        sets = [set(range(lo, lo + r.randint(60, 130))) for lo in lows]
+        got = jaccard.linked_classes([np.array(sorted(s), np.uint64) for s in sets], 75)
+        assert same_classes(got, all_pairs(sets))
