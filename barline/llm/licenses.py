@@ -27,10 +27,12 @@ from barline.llm.common import lower_ascii, text_rows
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
 DELIMITERS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A document without any of these is not scanned by the rules.
+#: A document without any of these is not scanned by the rules; every match of a rule holds one.
 GATE = ("licens", "licenc", "lizenz", "copyright", "copyleft", "spdx", "public domain", "creative commons", "cc by",
         "cc0", "warrant", "redistribut", "gpl", "all rights reserved", "hereby granted", "permission to use", "free software",
-        "endorse or promote", "advertising materials", "what the fuck", "proprietary", "unauthorized")
+        "endorse or promote", "advertising materials", "what the fuck", "proprietary", "unauthorized",
+        "bsd", " mpl ", " epl ", "eupl", " cddl", " ms pl ", " ms rl ", "wtfpl", "openrail", "open rail", "mit no attribution",
+        "creativecommons org", "sil org ofl", "mariadb com bsl11", "edl v10", "vimhelp")
 
 
 @dataclass(frozen=True)

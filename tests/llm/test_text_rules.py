@@ -193,6 +193,47 @@ def test_rules_are_many_and_compile():
         re.compile(r.regex)
 
 
+def samples(parsed):
+    """Texts of every alternative of an expression (one character for a class of digits or any)."""
+    from re import _constants as c
+    out = [""]
+    for op, arg in parsed:
+        if op is c.LITERAL:
+            part = [chr(arg)]
+        elif op is c.IN:
+            part = [chr(x) if kind is c.LITERAL else "7" for kind, x in arg]
+        elif op is c.ANY:
+            part = ["x"]
+        elif op is c.SUBPATTERN:
+            part = samples(arg[-1])
+        elif op is c.BRANCH:
+            part = [t for branch in arg[1] for t in samples(branch)]
+        else:
+            assert op is c.MAX_REPEAT
+            part = [""] * (arg[0] == 0) + samples(arg[2])
+        out = [a + b for a in out for b in part]
+    return out
+
+
+def test_every_match_of_a_rule_holds_a_gate_word():
+    from re import _parser
+    for r in licenses.RULES:
+        for t in samples(_parser.parse(r.regex)):
+            assert re.fullmatch(r.regex, t) and any(g in f" {t} " for g in licenses.GATE), (r.label, t)
+
+
+ALONE = [("mpl-2.0", "Released under the MPL 2.0"), ("cddl-1.0", "distributed under CDDL 1.0"), ("epl-2.0", "published under the EPL 2.0"),
+         ("eupl-1.2", "released under EUPL 1.2"), ("bsd-3-clause", "BSD 3-Clause"), ("bsd-2-clause", "FreeBSD"), ("wtfpl", "WTFPL"),
+         ("ms-pl", "MS-PL"), ("mpl-2.0", "mozilla.org/MPL/2.0"), ("ofl-1.1", "scripts.sil.org/OFL"), ("busl-1.1", "mariadb.com/bsl11"),
+         ("openrail", "OpenRAIL-M"), ("mit-0", "MIT No Attribution"), ("cc0-1.0", "https://creativecommons.org/publicdomain/zero/1.0/")]
+
+
+def test_license_names_alone_are_found(spark):
+    got = {r.doc_id: r for r in licenses.scan_licenses(frame(spark, [(k, f"see {t} there") for k, (_, t) in enumerate(ALONE)])).collect()}
+    for k, (label, _) in enumerate(ALONE):
+        assert label in got[k].labels.split(",") and got[k].score >= 0.8
+
+
 def test_license_scan_has_no_python(spark):
     plan = licenses.scan_licenses(frame(spark, LICENSED))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
