@@ -87,10 +87,10 @@ FAMILIES = [
     ("cc-by-3.0", "(creative commons attribution|cc by) (version |v ?)?3 0", "3 0", "cc by 3 0", "creativecommons org licenses by 3 0"),
     ("cc-by-4.0", "(creative commons attribution|cc by) (version |v ?)?4 0", "4 0", "cc by 4 0", "creativecommons org licenses by 4 0"),
     ("cc-by-sa", "(creative commons attribution share ?alike|cc by sa)( \\d \\d)?", "s", "cc by sa \\d \\d", "creativecommons org licenses by sa"),
-    ("cc-by-nc", "(creative commons attribution non ?commercial|cc by nc)( \\d \\d)?", "nc", "cc by nc \\d \\d", "creativecommons org licenses by nc"),
-    ("cc-by-nd", "(creative commons attribution no ?deriv(ative)?s?|cc by nd)( \\d \\d)?", "nd", "cc by nd \\d \\d", "creativecommons org licenses by nd"),
-    ("cc-by-nc-sa", "(creative commons attribution non ?commercial share ?alike|cc by nc sa)( \\d \\d)?", "nc", "cc by nc sa \\d \\d", "creativecommons org licenses by nc sa"),
-    ("cc-by-nc-nd", "(creative commons attribution non ?commercial no ?deriv(ative)?s?|cc by nc nd)( \\d \\d)?", "nc", "cc by nc nd \\d \\d", "creativecommons org licenses by nc nd"),
+    ("cc-by-nc", "(creative commons attribution non ?commercial|cc by nc)( \\d \\d)?", " n", "cc by nc \\d \\d", "creativecommons org licenses by nc"),
+    ("cc-by-nd", "(creative commons attribution no ?deriv(ative)?s?|cc by nd)( \\d \\d)?", " n", "cc by nd \\d \\d", "creativecommons org licenses by nd"),
+    ("cc-by-nc-sa", "(creative commons attribution non ?commercial share ?alike|cc by nc sa)( \\d \\d)?", " n", "cc by nc sa \\d \\d", "creativecommons org licenses by nc sa"),
+    ("cc-by-nc-nd", "(creative commons attribution non ?commercial no ?deriv(ative)?s?|cc by nc nd)( \\d \\d)?", " n", "cc by nc nd \\d \\d", "creativecommons org licenses by nc nd"),
     ("odbl", "open (data commons )?(open )?database license", "database", "odbl 1 0", "opendatacommons org licenses odbl"),
     ("odc-by", "open data commons attribution license", "open data", "odc by 1 0", "opendatacommons org licenses by"),
     ("pddl", "public domain dedication and license", "public domain", "pddl 1 0", "opendatacommons org licenses pddl"),
@@ -130,7 +130,7 @@ SENTENCES = [
     ("lgpl", 97, "lesser general public", "gnu lesser general public license", 0.9),
     ("agpl-3.0", 97, "affero", "gnu affero general public license", 0.9),
     ("gpl", 50, "gpl", "(gnu )?gpl", 0.6),
-    ("gpl", 55, "general public license", "(gnu )?general public licen[sc]e", 0.7),
+    ("gpl", 55, "general public", "(gnu )?general public licen[sc]e", 0.7),
     ("apache-2.0", 95, "apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance", 1.0),
     ("apache", 55, "apache", "apache( software)? license", 0.8),
     ("mit", 55, "mit", "mit licensed", 0.7),
@@ -161,7 +161,7 @@ def build_rules() -> list[Rule]:
     for label, name, key, spdx, url in FAMILIES:
         out += [
             Rule(label, 100, "spdx", f"spdx license identifier {spdx}", 1.0),
-            Rule(label, 90, url.split(" ")[0].strip("("), f"(https? )?(www )?{url}", 0.95),
+            Rule(label, 90, label if url.startswith("(") else url.split(" ")[0], f"(https? )?(www )?{url}", 0.95),
             Rule(label, 80, "under", "(licensed|released|distributed|available|published|provided|offered|covered|shared) under "
                  f"(the )?(terms of )?(the )?({name})", 0.95),
             Rule(label, 60, key, f"({name})", 0.8),

@@ -222,6 +222,19 @@ def test_every_match_of_a_rule_holds_a_gate_word():
             assert re.fullmatch(r.regex, t) and any(g in f" {t} " for g in licenses.GATE), (r.label, t)
 
 
+def test_every_match_of_a_rule_holds_its_keyword():
+    from re import _parser
+    for r in licenses.RULES:
+        assert all(r.keyword in f" {t} " for t in samples(_parser.parse(r.regex))), (r.label, r.keyword)
+
+
+def test_matches_by_any_alternative_are_found(spark):
+    texts = [("llama", "copyright see llama.com/llama/license"), ("gpl", "the General Public Licence"),
+             ("cc-by-nc", "Creative Commons Attribution Non Commercial"), ("cc-by-nd", "Creative Commons Attribution No Derivs")]
+    got = {r.doc_id: r.labels.split(",") for r in licenses.scan_licenses(frame(spark, [(k, t) for k, (_, t) in enumerate(texts)])).collect()}
+    assert all(label in got[k] for k, (label, _) in enumerate(texts))
+
+
 ALONE = [("mpl-2.0", "Released under the MPL 2.0"), ("cddl-1.0", "distributed under CDDL 1.0"), ("epl-2.0", "published under the EPL 2.0"),
          ("eupl-1.2", "released under EUPL 1.2"), ("bsd-3-clause", "BSD 3-Clause"), ("bsd-2-clause", "FreeBSD"), ("wtfpl", "WTFPL"),
          ("ms-pl", "MS-PL"), ("mpl-2.0", "mozilla.org/MPL/2.0"), ("ofl-1.1", "scripts.sil.org/OFL"), ("busl-1.1", "mariadb.com/bsl11"),
