@@ -514,9 +514,10 @@ def score_chunks(rows: DataFrame, model: Model) -> DataFrame:
         run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def score_with_held_out(docs: DataFrame, *, fold: int = 5, held_out: int = 1, order: int = ORDER) -> DataFrame:
+def score_with_held_out(docs: DataFrame, *, fold: int = 5, held_out: int = 1, order: int = ORDER,
+                        min_count: int = MIN_COUNT) -> DataFrame:
     """Fits on the rows outside the held-out fold and scores all rows."""
     out = remainder(F.col("doc_id"), fold) == held_out
     train = tokenise(docs.filter(~out))
-    scored = score_chunks(train.unionByName(tokenise(docs.filter(out))), fit_chunks(train, order=order))
+    scored = score_chunks(train.unionByName(tokenise(docs.filter(out))), fit_chunks(train, order=order, min_count=min_count))
     return scored.withColumn("held_out", out)

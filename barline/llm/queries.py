@@ -25,7 +25,7 @@ def op1_jaccard_join(spark, sf_dir):
 
 
 def op2_language_model(spark, sf_dir):
-    return score_with_held_out(table(spark, sf_dir, "documents")).select(
+    return score_with_held_out(table(spark, sf_dir, "documents"), min_count=1).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -70,6 +70,15 @@ def test_documents(spark, order):
     compare(docs, [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], order)
 
 
+def test_query_keeps_ngrams_seen_once(spark):
+    from barline.llm.queries import op2_language_model
+    rows = [(r.doc_id, r.text) for r in table(spark, SF_SMALL, "documents").select("doc_id", "text").collect()]
+    got = {r.doc_id: r for r in op2_language_model(spark, SF_SMALL).collect()}
+    for i, held, n, _, _, base, s in brute(rows, 3, min_count=1):
+        assert got[i].held_out == held and got[i].base_score == pytest.approx(base, rel=1e-9)
+        assert got[i].score == pytest.approx(s, rel=5e-3, abs=1e-3 * n)
+
+
 def test_many_buckets_and_hot_contexts(spark, monkeypatch):
     monkeypatch.setattr(lm, "CHUNK_TOKENS", 3000)
     docs = table(spark, SF_SMALL, "documents")
