@@ -130,7 +130,7 @@ CANDIDATES = (
               "text RLIKE '[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{2}'", luhn(_digits("x.m")),
               r"^(?:0000|1234|9999)|(?:19|20)[0-9]{2}[\x20-](?:19|20)[0-9]{2}", rf"^(?:{ISSUERS})",
               r"card|visa|credit|debit|payment|amex|cvv", r"isbn|serial|order|tracking|phone", -1),
-    Candidate("secret", 4, r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?i:password|passwd|pwd|secret|token|api[_-]?key)\x20?[=:]\x20?\"?[^\s\"]{8,200}\"?",
+    Candidate("secret", 4, r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?i:password|passwd|pwd|secret|token|api[_-]?key)\x20?[=:]\x20?\"?[^\s\"]{8,}+\"?",
               "text RLIKE '(?i)AKIA|password|passwd|pwd|secret|token|api[_-]?key'", rf"x.m RLIKE {_text('AKIA[0-9A-Z]{16}|[0-9a-f]{16,}')}",
               r"(?i)[=:]\x20?\"?(?:changeme|example|xxx+|your|placeholder|none|null|true|false)", rf"(?i)^(?:{KEY_NAMES})", r"login|auth|key|credential|config", r"forgot|reset|strong"),
 )

@@ -127,6 +127,12 @@ def test_pii_adds_spans_and_masks(spark):
     assert awkward[1] is None and awkward[2] == "" and awkward[4] == "one"
 
 
+def test_pii_masks_a_long_secret_whole(spark):
+    df = frame(spark, [*PERSONAL, (11, "login token=" + "0123456789abcdef" * 63 + " end")])
+    out = {r.doc_id: r.text for r in pii.mask_pii(df, pii.fit_span_model(df)).collect()}
+    assert out[11] == "login <SECRET> end"
+
+
 def test_pii_no_python_on_the_main_path(spark):
     df = frame(spark, PERSONAL)
     plan = pii.find_pii(df, pii.SpanModel({"secret": [0.1] * 6}))._jdf.queryExecution().toString()
