@@ -12,6 +12,7 @@ from barline.llm.decontaminate import find_leaks
 from barline.llm.jaccard import jaccard_classes
 from barline.llm.licenses import scan_licenses
 from barline.llm.lm import score_with_held_out
+from barline.llm.manifest import manifest
 from barline.llm.pii import find_pii, fit_span_model
 from barline.llm.quality import THRESHOLD, fit_quality, score_quality
 from barline.llm.sharding import ORACLE as SHARDING_SQL, assign_shards
@@ -71,6 +72,13 @@ def op10_license_scan(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op13_merkle_manifest(spark, sf_dir):
+    n_chars, key = F.col("n_chars"), F.col("doc_id").cast("string")
+    tampered = F.when(F.crc32(key.cast("binary")) % 7 == 0, n_chars + 1).otherwise(n_chars)
+    proved = manifest(table(spark, sf_dir, "documents"), claims={"n_chars": tampered})
+    return proved.drop("proof").withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_language_model": op2_language_model,
@@ -82,4 +90,5 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_license_scan": op10_license_scan,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
