@@ -9,6 +9,7 @@ from barline.llm.bpe import encode_decode
 from barline.llm.common import remainder, table
 from barline.llm.compression import compression_rules
 from barline.llm.decontaminate import find_leaks
+from barline.llm.filter_audit import ORACLE as AUDIT_SQL, audit_filters
 from barline.llm.jaccard import jaccard_classes
 from barline.llm.licenses import scan_licenses
 from barline.llm.lm import score_with_held_out
@@ -18,7 +19,7 @@ from barline.llm.quality import THRESHOLD, fit_quality, score_quality
 from barline.llm.sharding import ORACLE as SHARDING_SQL, assign_shards
 from barline.llm.token_files import read_token_files, write_token_files
 
-ORACLE: dict[str, str] = {"op5_sharding": SHARDING_SQL}
+ORACLE: dict[str, str] = {"op5_sharding": SHARDING_SQL, "op11_filter_audit": AUDIT_SQL}
 
 
 def op1_jaccard_join(spark, sf_dir):
@@ -72,6 +73,10 @@ def op10_license_scan(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op11_filter_audit(spark, sf_dir):
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_merkle_manifest(spark, sf_dir):
     n_chars, key = F.col("n_chars"), F.col("doc_id").cast("string")
     tampered = F.when(F.crc32(key.cast("binary")) % 7 == 0, n_chars + 1).otherwise(n_chars)
@@ -90,5 +95,6 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_license_scan": op10_license_scan,
+    "op11_filter_audit": op11_filter_audit,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
