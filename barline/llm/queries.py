@@ -13,6 +13,7 @@ from barline.llm.filter_audit import ORACLE as AUDIT_SQL, audit_filters
 from barline.llm.jaccard import jaccard_classes
 from barline.llm.licenses import scan_licenses
 from barline.llm.lm import score_with_held_out
+from barline.llm.main_text import extract_main_text
 from barline.llm.manifest import manifest
 from barline.llm.pii import find_pii, fit_span_model
 from barline.llm.quality import THRESHOLD, fit_quality, score_quality
@@ -77,6 +78,10 @@ def op11_filter_audit(spark, sf_dir):
     return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_html_extraction(spark, sf_dir):
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op13_merkle_manifest(spark, sf_dir):
     n_chars, key = F.col("n_chars"), F.col("doc_id").cast("string")
     tampered = F.when(F.crc32(key.cast("binary")) % 7 == 0, n_chars + 1).otherwise(n_chars)
@@ -96,5 +101,6 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_license_scan": op10_license_scan,
     "op11_filter_audit": op11_filter_audit,
+    "op12_html_extraction": op12_html_extraction,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
