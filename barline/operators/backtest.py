@@ -6,6 +6,10 @@ predicted, b = 0).  The row is predicted positive at ``t_i`` exactly when
 ``b > i``.  One ``groupBy(*by, b)`` (partial aggregation, at most n + 1 rows
 per group after the shuffle) replaces one job per threshold; a second
 aggregation over those few rows yields TP/FP/FN for every threshold.
+
+The bucket rows are a state that can be kept per day and merged in any order
+(``sweep_state``): the threshold and the run metrics of a whole table follow from
+the kept rows of unchanged days and the new rows of changed ones.
 """
 
 from __future__ import annotations
@@ -38,15 +42,52 @@ def confusion_sweep(df: DataFrame, score: str = "crash_index", label: str = "tru
     one per column node; the plan is the same.
     """
     grid = sorted(float(t) for t in grid)
+    stats = (df.selectExpr(*[f"`{c}`" for c in by], f"{bucket_sql(score, grid)} AS bucket", f"`{label}` = 1 AS _pos")
+               .groupBy(*by, "bucket")
+               .agg(F.expr("count_if(_pos) AS positives"), F.expr("count(1) AS n")))
+    return sweep_of_state(stats, grid, by)
+
+
+def sweep_state(df: DataFrame, by: Sequence[str], score: str = "crash_index", label: str = "true_crash",
+                grid: Sequence[float] = DEFAULT_GRID) -> DataFrame:
+    """One row per ``(*by, bucket)``: rows, positives, and number, mean and sum of squared
+    deviations of the score (NULL scores do not count there)."""
+    grid = sorted(float(t) for t in grid)
+    return (df.selectExpr(*[f"`{c}`" for c in by], f"{bucket_sql(score, grid)} AS bucket", f"`{label}` = 1 AS _pos", f"`{score}` AS _s")
+              .groupBy(*by, "bucket")
+              .agg(F.expr("count(1) AS n"), F.expr("count_if(_pos) AS positives"), F.expr("count(_s) AS scored"),
+                   F.expr("coalesce(avg(_s), 0.0D) AS mean"), F.expr("coalesce(var_pop(_s) * count(_s), 0.0D) AS m2")))
+
+
+def merge_states(state: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """States of several parts as the state of the whole (per ``by``).  Deviations are taken
+    around the common mean, so nothing cancels."""
+    common = Window.partitionBy(*by, "bucket")
+    total = F.sum(F.col("scored") * F.col("mean")).over(common) / F.greatest(F.sum("scored").over(common), F.lit(1))
+    return (state.withColumn("_mean", total).groupBy(*by, "bucket")
+            .agg(F.sum("n").alias("n"), F.sum("positives").alias("positives"), F.sum("scored").alias("scored"), F.max("_mean").alias("mean"),
+                 F.sum(F.col("m2") + F.col("scored") * F.pow(F.col("mean") - F.col("_mean"), 2)).alias("m2")))
+
+
+def metrics_of_state(state: DataFrame, threshold: float, grid: Sequence[float] = DEFAULT_GRID) -> DataFrame:
+    """One row ``rows, alert_rate, crash_index_mean, crash_index_std`` of the whole, for a threshold of the grid."""
+    above = sorted(float(t) for t in grid).index(float(threshold))
+    whole = merge_states(state.withColumn("bucket", F.lit(0)))
+    alerts = state.agg(F.sum(F.expr(f"IF(bucket > {above}, n, 0L)")).alias("a")).select("a").scalar()
+    return whole.select(F.col("n").alias("rows"), (alerts / F.col("n")).alias("alert_rate"),
+                        F.expr("IF(scored > 0, mean, NULL)").alias("crash_index_mean"),
+                        F.expr("IF(scored > 1, sqrt(m2 / (scored - 1)), NULL)").alias("crash_index_std"))
+
+
+def sweep_of_state(stats: DataFrame, grid: Sequence[float] = DEFAULT_GRID, by: Sequence[str] = ()) -> DataFrame:
+    """The sweep from bucket rows ``(*by, bucket, n, positives)`` of any number of parts."""
+    grid = sorted(float(t) for t in grid)
     keys = [f"`{c}`" for c in by]
-    stats = (df.selectExpr(*keys, f"{bucket_sql(score, grid)} AS _b", f"`{label}` = 1 AS _pos")
-               .groupBy(*by, "_b")
-               .agg(F.expr("count_if(_pos) AS _p"), F.expr("count(1) AS _n")))
     per_t = []
     for i in range(len(grid)):
-        per_t += [F.expr(f"coalesce(sum(CASE WHEN _b > {i} THEN _p ELSE 0 END), 0) AS _tp{i}"),
-                  F.expr(f"coalesce(sum(CASE WHEN _b > {i} THEN _n - _p ELSE 0 END), 0) AS _fp{i}")]
-    totals = stats.groupBy(*by).agg(F.expr("coalesce(sum(_p), 0) AS _P"), *per_t)
+        per_t += [F.expr(f"coalesce(sum(CASE WHEN bucket > {i} THEN positives ELSE 0 END), 0) AS _tp{i}"),
+                  F.expr(f"coalesce(sum(CASE WHEN bucket > {i} THEN n - positives ELSE 0 END), 0) AS _fp{i}")]
+    totals = stats.groupBy(*by).agg(F.expr("coalesce(sum(positives), 0) AS _P"), *per_t)
     rows = ", ".join(
         f"named_struct('threshold', {_dbl(t)}, 'tp', CAST(_tp{i} AS BIGINT), "
         f"'fp', CAST(_fp{i} AS BIGINT), 'fn', CAST(_P - _tp{i} AS BIGINT))"

@@ -74,7 +74,7 @@ def with_log_returns(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, drop_undefi
     return out.filter(F.col("log_return").isNotNull()) if drop_undefined else out
 
 
-def _derived(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+def derived(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Row-local features over the window outputs."""
     df = df.withColumns({
         "volume_ratio": ratio_or_zero(spec.volume, "avg_volume_30min"),
@@ -97,7 +97,7 @@ def with_features(bars: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, split_rows:
     df = with_log_returns(bars, spec)
     df = with_rolling(df, level1(spec), spec)
     df = with_rolling(df, level2(), spec)
-    return _derived(df, spec)
+    return derived(df, spec)
 
 
 # ---- split evaluation for very large key-days ---------------------------------------
@@ -168,4 +168,4 @@ def with_features_split(bars: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, split_
     out = chunked(df, split_rows, SPLIT_HALO)
     out = with_rolling(out, [x for x in level1(spec) if x.rows is not None], cs)
     out = with_rolling(out, level2(), cs).filter(~F.col("_halo")).drop("_pos", "_chunk", "_halo")
-    return _derived(out, spec)
+    return derived(out, spec)

@@ -569,3 +569,63 @@ ORACLE.update({
         """ + "\nUNION ALL\n".join([_verdict_sql("events", "bars_raw", "final"), _verdict_sql("closed_up", "closed", "closed"),
                                      _verdict_sql("empty", "bars_raw", "none")])),
 })
+
+
+# ---- order-sensitive digest, running moments, reconciliation, mergeable states ------------
+# Primes and bases of the four lanes.
+_POLY = [(2147483647, 1000003), (2147483629, 998244353), (2147483587, 1234567891), (2147483579, 1597334677)]
+
+
+def _ordered_sql(table: str, text: str, keys: str = "") -> str:
+    """The polynomial of the whole table, by Horner's rule over one ordered list of row hashes."""
+    lists = ", ".join(f"""list_reduce(list_prepend(0::BIGINT, list(('0x' || substr(d, {8 * k + 1}, 8))::BIGINT % {p - 1} + 1
+        ORDER BY n DESC)), lambda a, x: (a * {b} + x) % {p}) AS h{k}""" for k, (p, b) in enumerate(_POLY))
+    return f"""
+        SELECT n_rows, md5(concat_ws('|', n_rows, h0, h1, h2, h3)) AS checksum FROM (
+          SELECT count(*) AS n_rows, {lists} FROM (
+            SELECT d, row_number() OVER (ORDER BY trade_date NULLS FIRST{keys}, trade_timestamp NULLS FIRST, d) AS n
+            FROM (SELECT *, md5({text}) AS d FROM {table}) x) y) z"""
+
+
+_ROLLED = ["momentum_5min", "momentum_15min", "volatility_15min", "volatility_30min", "volatility_60min", "volume_ratio",
+           "avg_range_15min", "rolling_peak", "drawdown", "volatility_mean_60", "volatility_std_60", "volatility_zscore"]
+_ROLLED_OUT = ", ".join([*[_rd(c) for c in _ROLLED], *[f"{_round(f'ln({c})', D)} + 0.0 AS log_{c}" for c in ("vwap_15min", "vwap_30min")]])
+
+
+def _differences(keys: str = "") -> str:
+    k = f", {keys}" if keys else ""
+    same = f" AND e.{keys} IS NOT DISTINCT FROM f.{keys}" if keys else ""
+    pick = f", coalesce(e.{keys}, f.{keys}) AS {keys}" if keys else ""
+    hit = "(dayofyear(trade_date) % 5 = 0 AND minute(trade_timestamp) % {} = 0)"
+    return f"""
+        , lossy AS (SELECT trade_date{k}, trade_timestamp + CASE WHEN {hit.format(13)} THEN INTERVAL 30 SECOND ELSE INTERVAL 0 SECOND END AS trade_timestamp
+                    FROM r, generate_series(1, 2) g(copy) WHERE NOT {hit.format(7)} AND (copy = 1 OR {hit.format(11)})),
+        e AS (SELECT trade_date{k}, trade_timestamp, count(*) AS n FROM r GROUP BY ALL),
+        f AS (SELECT trade_date{k}, trade_timestamp, count(*) AS n FROM lossy GROUP BY ALL)
+        SELECT coalesce(e.trade_date, f.trade_date) AS trade_date{pick}, coalesce(e.trade_timestamp, f.trade_timestamp) AS trade_timestamp,
+               CASE WHEN coalesce(e.n, 0) > coalesce(f.n, 0) THEN 'lost' ELSE 'unexpected' END AS finding,
+               abs(coalesce(e.n, 0) - coalesce(f.n, 0)) AS n
+        FROM e FULL JOIN f ON e.trade_timestamp = f.trade_timestamp{same}
+        WHERE coalesce(e.n, 0) <> coalesce(f.n, 0)"""
+
+
+ORACLE.update({
+    "ordered_checksum": _q(_ordered_sql("final", _CHECK_TEXT)),
+    "ordered_checksum_split": _q(_ordered_sql("final", _CHECK_TEXT)),
+    "ordered_checksum_planted": _p(_ordered_sql("planted", _CHECK_TEXT)),
+    "keyed_ordered_checksum": _q(_ordered_sql("final", _KEYED_TEXT, ", event_type NULLS FIRST"), _K),
+    "rolling_moments": _q(f"SELECT trade_timestamp, {_ROLLED_OUT} FROM final"),
+    "keyed_rolling_moments": _q(f"SELECT event_type, trade_timestamp, {_ROLLED_OUT} FROM final", _K),
+    "missing_keys": _q(_differences()),
+    "keyed_missing_keys": _q(_differences("series"), ("series",)),
+    "differing_days": _q("SELECT DISTINCT trade_date FROM r WHERE dayofyear(trade_date) % 5 = 0 AND "
+                         "(minute(trade_timestamp) % 7 = 0 OR minute(trade_timestamp) % 11 = 0 OR minute(trade_timestamp) % 13 = 0)"),
+    "distinct_bars_bitmap": _q("SELECT count(DISTINCT trade_timestamp + CASE WHEN event_id % 10 = 0 THEN INTERVAL 20 SECOND "
+                               "ELSE INTERVAL 0 SECOND END) AS distinct_keys FROM bars_raw"),
+    "keyed_distinct_bars_bitmap": _q("SELECT count(*) AS distinct_keys FROM (SELECT DISTINCT series, trade_timestamp FROM bars_raw) x", ("series",)),
+    "sweep_state_merge": _q("SELECT threshold, tp, fp, fn FROM sweep"),
+    "merged_index_stats": _q(f"""
+        SELECT bucket, count(*) AS n, CAST(sum(true_crash) AS BIGINT) AS positives, {_round('avg(crash_index)', D)} + 0.0 AS mean,
+               {_round('stddev_samp(crash_index)', D)} + 0.0 AS deviation
+        FROM (SELECT *, CAST((SELECT count(*) FROM grid g WHERE s.crash_index > g.threshold) AS INTEGER) AS bucket FROM scored s) x GROUP BY bucket"""),
+})

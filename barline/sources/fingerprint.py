@@ -1,7 +1,7 @@
 """Dataset fingerprints.
 
 * ``file_fingerprints``: SHA-256 of each file's bytes, the digest of hashing it locally.
-* ``file_lines``: lines, header and digest per file from one pass, for files of any size.
+* ``file_lines``: lines, header and ordered digest per file from one pass, for files of any size.
 * ``input_line_counts``: physical lines minus the header, per file.
 * ``row_fingerprint``: order- and partition-independent digest of a table's
   rows, for inputs too large or too many for per-file hashing.  Each row's
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.functions import cell_text, hex_slice_value
+from barline.operators.ordered import file_digests
 
 NULL_TEXT = "\\N"
 
@@ -34,20 +35,17 @@ def file_fingerprints(spark: SparkSession, path: str, glob: str | None = None) -
 def file_lines(spark: SparkSession, path: str | Sequence[str], names: Sequence[str] = ()) -> DataFrame:
     """``(path, lines, header, fingerprint)`` per file from one pass over its splits.
 
-    ``header`` is the line that holds all of ``names`` as fields.  The fingerprint is the
-    associative digest of ``row_fingerprint`` over the lines: any file size, any number of
-    tasks, and it changes with every line (not with their order)."""
-    lines = spark.read.text(path if isinstance(path, str) else list(path)).select(F.input_file_name().alias("path"), "value")
-    fields = F.transform(F.split("value", ","), lambda x: F.lower(F.trim(F.regexp_replace(x, '"', ""))))
+    ``header`` is the line that holds all of ``names`` as fields.  The fingerprint is the digest
+    of the file's lines in their order and of its length (``ordered.file_digests``): any file size, any
+    number of tasks, and it changes with every line, with their order and with line ends."""
+    lines = spark.read.option("lineSep", "\n").text(path if isinstance(path, str) else list(path)).select("value", "_metadata")
+    fields = F.transform(F.split("value", ","), lambda x: F.lower(F.trim(F.regexp_replace(x, '["\r]', ""))))
     is_header = F.lit(bool(names))
     for n in names:
         is_header = is_header & F.array_contains(fields, n)
-    digest = F.md5(F.col("value"))
-    per = lines.groupBy("path").agg(
-        F.count(F.lit(1)).alias("lines"), F.max(F.when(is_header, F.col("value"))).alias("header"),
-        F.sum(hex_slice_value(digest, 1)).alias("_s1"), F.sum(hex_slice_value(digest, 16)).alias("_s2"))
-    return per.select("path", "lines", "header", F.sha2(F.concat_ws(
-        "|", F.col("lines").cast("string"), F.col("_s1").cast("string"), F.col("_s2").cast("string")), 256).alias("fingerprint"))
+    header = F.max(F.when(is_header, F.regexp_replace("value", "\r$", "")))
+    per = file_digests(lines, {"header": header})
+    return per.select("path", "lines", "header", F.col("digest").alias("fingerprint"))
 
 
 def header_files(lines: DataFrame) -> dict[str, list[str]]:
