@@ -50,30 +50,30 @@ def _running(j: int, m: Measure) -> dict[str, str]:
     return sums
 
 
-def _deviation(j: int, k: int) -> str:
-    """Sample deviation in a frame, from the exact sums of the halves."""
-    d = lambda c: f"_d{k}.{c}{j}"
-    n, low = d("n"), f"({d('s')} - shiftleft({d('h')}, _b{j}))"
-    v = f"({n} * {d('hh')} - {d('h')} * {d('h')})"
-    u = f"({n} * {d('hl')} - {d('h')} * {low})"
-    w = f"({n} * {d('ll')} - {low} * {low})"
-    t = f"(shiftleft({v}, _b{j}) + 2L * {u})"
-    half = f"pow(2.0D, _b{j})"
-    # small spreads stay in longs; where they would not fit, no term cancels another
-    square = (f"IF({v} < {1 << 36}L, IF({t} < {1 << 37}L, CAST(shiftleft({t}, _b{j}) + {w} AS DOUBLE), {t} * {half} + {w}), "
-              f"({v} * {half} + 2.0D * {u}) * {half} + {w})")
-    return f"IF({n} > 1L, sqrt(greatest({square}, 0.0D) / (CAST({n} AS DOUBLE) * ({n} - 1L))) / _scale{j}, NULL)"
-
-
 def _value(j: int, agg: str, k: int) -> str:
-    n, s = f"_d{k}.n{j}", f"_d{k}.s{j}"
+    """An output from the sums ``_n``, ``_s`` and the square ``_sq`` (``n^2`` times the variance) of its frame."""
+    n, s = f"_n{j}_{k}", f"_s{j}_{k}"
     if agg == "stddev":
-        return _deviation(j, k)
+        return f"IF({n} > 1L, sqrt(greatest(_sq{j}_{k}, 0.0D) / (CAST({n} AS DOUBLE) * ({n} - 1L))) / _scale{j}, NULL)"
     if agg == "avg":
         return f"IF({n} > 0L, _mid{j} + {s} / (_scale{j} * {n}), NULL)"
     return f"IF({n} > 0L, _mid{j} * {n} + {s} / _scale{j}, NULL)"
 
 
+def _squares(df: DataFrame, framed: Sequence[tuple[int, int]]) -> DataFrame:
+    """``_sq`` of each measure and frame, from the exact sums over the halves.  Small steps: each is one short
+    compiled method (all in one expression would be too long for the compiler)."""
+    out = df.selectExpr("*", *[f"_s{x} - shiftleft(_h{x}, _b{j}) AS _low{x}" for j, x in framed])
+    out = out.selectExpr("*", *[e for _, x in framed for e in (f"_n{x} * _hh{x} - _h{x} * _h{x} AS _v{x}", f"_n{x} * _hl{x} - _h{x} * _low{x} AS _u{x}",
+                                                             f"_n{x} * _ll{x} - _low{x} * _low{x} AS _w{x}")])
+    # small spreads stay in longs; where they would not fit, no term cancels another
+    out = out.selectExpr("*", *[f"IF(_v{x} < {1 << 36}L, shiftleft(_v{x}, _b{j}) + 2L * _u{x}, NULL) AS _t{x}" for j, x in framed])
+    half = "_half{}"
+    return out.selectExpr("*", *[
+        f"CASE WHEN _t{x} IS NULL THEN (_v{x} * {half.format(j)} + 2.0D * _u{x}) * {half.format(j)} + _w{x} "
+        f"WHEN _t{x} < {1 << 37}L THEN CAST(shiftleft(_t{x}, _b{j}) + _w{x} AS DOUBLE) ELSE _t{x} * {half.format(j)} + _w{x} END AS _sq{x}" for j, x in framed])
+
+
 def with_moments(df: DataFrame, measures: Sequence[Measure], spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame:
     """Adds the outputs of ``measures``: one shuffle and one sort, then three window passes (range
     of the group, running sums, the sums of ``k`` rows before), whatever the frames."""
@@ -84,38 +84,49 @@ def with_moments(df: DataFrame, measures: Sequence[Measure], spec: SeriesSpec =
     group = ", ".join(f"`{c}`" for c in spec.group)
     whole, order = f"(PARTITION BY {group})", f"(PARTITION BY {group} ORDER BY `{spec.time}`)"
 
-    out = df.selectExpr("*", *[f"CAST({m.source} AS DOUBLE) AS _x{j}" for j, m in number])
+    base = [f"`{c}`" for c in keep]
+
+    def step(out: DataFrame, new: list[str], *needed: str) -> DataFrame:
+        """Adds columns and keeps of the ``_`` ones only those that later steps need (rows of many
+        columns would leave compiled code)."""
+        return out.selectExpr(*base, *[f"{n}{j}" for j, m in number for n in needed if m.squares or n not in ("_half", "_h", "_l")], *new)
+
+    out = df.selectExpr(*base, *[f"CAST({m.source} AS DOUBLE) AS _x{j}" for j, m in number])
     out = out.selectExpr("*", f"count(1) OVER {whole} AS _rows", *[f"{f}(_x{j}) OVER {whole} AS _{f}{j}" for j, _ in number for f in ("min", "max")])
     size = "CAST(ceil(log2(_rows)) AS INT)"
     # bits of a value, of its lower half, and the power of two that gives it these bits
-    out = out.selectExpr("*", *[f"(_min{j} + (_max{j} - _min{j}) / 2) AS _mid{j}" for j, _ in number],
-                         *[f"least({HALF_BITS}, (62 - {size}) DIV 2) AS _b{j}" if m.squares else f"least(60, 62 - {size}) AS _b{j}" for j, m in number])
-    out = out.selectExpr("*", *[
-        f"coalesce(IF(_max{j} > _min{j}, pow(2.0D, least(1000.0D, floor(_b{j} * {2 if m.squares else 1} - 1 - log2(_max{j} - _min{j})))), 1.0D), 1.0D) AS _scale{j}"
-        for j, m in number])
-    out = out.selectExpr("*", *[f"coalesce(CAST(round((_x{j} - _mid{j}) * _scale{j}) AS BIGINT), 0L) AS _q{j}" for j, _ in number])
-    out = out.selectExpr("*", *[f"shiftright(_q{j}, _b{j}) AS _h{j}" for j, m in number if m.squares])
-    out = out.selectExpr("*", *[f"_q{j} - shiftleft(_h{j}, _b{j}) AS _l{j}" for j, m in number if m.squares])
+    out = step(out, [f"(_min{j} + (_max{j} - _min{j}) / 2) AS _mid{j}" for j, _ in number] + [
+        f"least({HALF_BITS}, (62 - {size}) DIV 2) AS _b{j}" if m.squares else f"least(60, 62 - {size}) AS _b{j}" for j, m in number], "_x", "_min", "_max")
+    out = step(out, [f"coalesce(IF(_max{j} > _min{j}, pow(2.0D, least(1000.0D, floor(_b{j} * {2 if m.squares else 1} - 1 - log2(_max{j} - _min{j})))), 1.0D), 1.0D) "
+                     f"AS _scale{j}" for j, m in number] + [f"pow(2.0D, _b{j}) AS _half{j}" for j, m in number if m.squares], "_x", "_mid", "_b")
+    out = step(out, [f"coalesce(CAST(round((_x{j} - _mid{j}) * _scale{j}) AS BIGINT), 0L) AS _q{j}" for j, _ in number], "_x", "_mid", "_b", "_scale", "_half")
+    out = step(out, [f"shiftright(_q{j}, _b{j}) AS _h{j}" for j, m in number if m.squares], "_x", "_mid", "_b", "_scale", "_half", "_q")
+    out = step(out, [f"_q{j} - shiftleft(_h{j}, _b{j}) AS _l{j}" for j, m in number if m.squares], "_x", "_mid", "_b", "_scale", "_half", "_q", "_h")
     sums = {name: of for j, m in number for name, of in _running(j, m).items()}
     running = f"(PARTITION BY {group} ORDER BY `{spec.time}` ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    out = out.selectExpr("*", *[f"sum({of}) OVER {running} AS _r_{name}" for name, of in sums.items()])
-    out = out.selectExpr("*", "named_struct(" + ", ".join(f"'{n}', _r_{n}" for n in sums) + ") AS _r")
-    out = out.selectExpr("*", *[f"lag(_r, {k}) OVER {order} AS _p{k}" for k in frames])
-    out = out.selectExpr("*", *["named_struct(" + ", ".join(f"'{n}', _r.{n} - coalesce(_p{k}.{n}, 0L)" for n in sums) + f") AS _d{k}" for k in frames])
-    return out.selectExpr(*[f"`{c}`" for c in keep], *[f"{_value(j, agg, k)} AS `{name}`" for j, m in number for name, (agg, k) in m.outputs.items()])
-
-
-def feature_measures(spec: SeriesSpec = DEFAULT_SPEC) -> tuple[list[Measure], list[Measure]]:
-    """The rolling columns of the feature set but for the running peak: first level, second level."""
+    out = step(out, [f"sum({of}) OVER {running} AS _r_{name}" for name, of in sums.items()], "_mid", "_b", "_scale", "_half")
+    uses = sorted({(j, agg == "stddev", k) for j, m in number for agg, k in m.outputs.values()})
+    deep = {(j, k) for j, d, k in uses if d}
+    framed = {f"_{n}_{k}": f"_r_{n} - lag(_r_{n}, {k}, 0L) OVER {order}" for j, _, k in uses for n in _running(j, measures[j])
+              if (j, k) in deep or n in (f"n{j}", f"s{j}")}
+    out = step(out, [f"{e} AS {n}" for n, e in framed.items()], "_mid", "_b", "_scale", "_half")
+    out = _squares(out, [(j, f"{j}_{k}") for j, k in sorted(deep)])
+    return out.selectExpr(*base, *[f"{_value(j, agg, k)} AS `{name}`" for j, m in number for name, (agg, k) in m.outputs.items()])
+
+
+def feature_measures(spec: SeriesSpec = DEFAULT_SPEC) -> list[list[Measure]]:
+    """The rolling columns of the feature set but for the running peak, in the order they need one
+    another.  The deviations stand alone: together with the sums their rows would be too wide to stay compiled."""
     c, v = spec.close, spec.volume
-    first = [
+    returns = [
         Measure("log_return", {"momentum_5min": ("avg", 5), "momentum_15min": ("avg", 15), "volatility_15min": ("stddev", 15),
-                               "volatility_30min": ("stddev", 30), "volatility_60min": ("stddev", 60)}),
+                               "volatility_30min": ("stddev", 30), "volatility_60min": ("stddev", 60)})]
+    sums = [
         Measure(v, {"avg_volume_30min": ("avg", 30), "_v_15": ("sum", 15), "_v_30": ("sum", 30)}),
         Measure(f"{c} * {v}", {"_pv_15": ("sum", 15), "_pv_30": ("sum", 30)}),
         Measure(f"{spec.high} - {spec.low}", {"avg_range_15min": ("avg", 15)}),
     ]
-    return first, [Measure("volatility_30min", {"volatility_mean_60": ("avg", 60), "volatility_std_60": ("stddev", 60)})]
+    return [returns, sums, [Measure("volatility_30min", {"volatility_mean_60": ("avg", 60), "volatility_std_60": ("stddev", 60)})]]
 
 
 def with_running_features(bars: DataFrame, spec: SeriesSpec = DEFAULT_SPEC) -> DataFrame:
