@@ -107,9 +107,9 @@ def ordered_checksum(df: DataFrame, spec: SeriesSpec = DEFAULT_SPEC, cols: Seque
     return combined_checksum(day_parts(df, spec, cols, split), spec)
 
 
-def file_digests(lines: DataFrame, also: dict[str, Column] | None = None) -> DataFrame:
+def file_digests(lines: DataFrame, also: dict[str, tuple[Column, Column]] | None = None) -> DataFrame:
     """``path, lines, digest`` of files read as text: the digest of the file's lines in their order and of
-    its length, whatever the file size and the read splits.  ``also``: aggregates (``max``) over each file's lines.
+    its length, whatever the file size and the read splits.  ``also``: further aggregates over each file's lines, each with the one that unites its splits.
 
     ``lines``: ``value`` and ``_metadata`` of a text scan, as read.  Every split is summed with the places
     of its rows in the task; the first of these places is taken out of the power again, and the
@@ -120,8 +120,8 @@ def file_digests(lines: DataFrame, also: dict[str, Column] | None = None) -> Dat
                         F.expr("monotonically_increasing_id() & 8589934591L").alias("_row"))
     terms = [f"({_hash(k, '_md5')} * {power(k, '_row')}) % {PRIMES[k]}L" for k in LANES]
     splits = rows.groupBy("path", "_size", "_start").agg(F.count(F.lit(1)).alias("n_rows"), F.min("_row").alias("_first"), *_sums(terms),
-                                                         *[c.alias(n) for n, c in also.items()])
+                                                         *[c.alias(n) for n, (c, _) in also.items()])
     splits = splits.withColumns({f"h{k}": F.expr(f"(h{k} * {power(k, '_first', inverse=True)}) % {PRIMES[k]}L") for k in LANES})
-    whole = combine(splits, ["_start"], ["path", "_size"], [F.max(n).alias(n) for n in also])
+    whole = combine(splits, ["_start"], ["path", "_size"], [c.alias(n) for n, (_, c) in also.items()])
     digest = F.sha2(F.concat_ws("|", F.col("_size").cast("string"), digest_text()), 256)
     return whole.select("path", F.col("n_rows").alias("lines"), digest.alias("digest"), *also)

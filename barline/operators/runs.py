@@ -213,3 +213,13 @@ def ledger_entries(fingerprints: DataFrame) -> DataFrame:
     """K5: ledger rows for datasets just ingested (hash, input row count, now)."""
     return conform(fingerprints.select("dataset_hash", "row_count",
                                        F.localtimestamp().alias("ingested_at")), INGESTION_LEDGER)
+
+
+def new_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
+    """J4 per file: the rows of ``files`` (``path, dataset_hash, ...``) whose content no ledger row has; of files
+    with equal content the first path."""
+    known = ledger.select(F.col("dataset_hash").alias("_h")).distinct()
+    rest = files.join(known, files["dataset_hash"] == known["_h"], "left_anti")
+    values = [c for c in rest.columns if c != "dataset_hash"]
+    first = rest.groupBy("dataset_hash").agg(F.min(F.struct("path", *[c for c in values if c != "path"])).alias("_f"))
+    return first.select(*[("dataset_hash" if c == "dataset_hash" else F.col(f"_f.{c}").alias(c)) for c in rest.columns])

@@ -16,7 +16,7 @@ from barline.functions import round_places
 from barline.operators import backtest, clean, features, moments, ordered, quality, reconcile, risk, runs
 from barline.schemas import DEFAULT_SPEC, FEATURES
 from barline.sources import fingerprint
-from barline.sources.csv import conform_bars
+from barline.sources.csv import GOOD, conform_bars, line_outcomes
 from barline.sources.events import bars_from_events, read_events
 
 DIGITS = 6
@@ -323,12 +323,14 @@ def q_csv_text_bars(spark, sf):
     bars = raw_bars(spark, sf)
     stamp = F.date_format("trade_timestamp", "yyyyMMdd  HH:mm:ss")
     text = bars.select(
-        stamp.alias(" Date "), F.col("open_price").cast("string").alias("OPEN"), F.col("high_price").cast("string").alias("high"),
+        "event_id", stamp.alias(" Date "), F.col("open_price").cast("string").alias("OPEN"), F.col("high_price").cast("string").alias("high"),
         F.col("low_price").cast("string").alias("Low"),
         F.expr("CASE event_id % 11 WHEN 0 THEN 'NA' WHEN 1 THEN 'NaN' ELSE CAST(close_price AS string) END").alias("Close"),
         F.expr("IF(event_id % 13 = 0, NULL, CAST(volume AS string))").alias("volume"),
         F.col("bar_count").cast("string").alias("barCount"), F.col("average_price").cast("string").alias("average"))
-    return conform_bars(text)
+    # two files: the second has a column more, which the first loses nothing by
+    noted = text.filter("event_id % 2 = 1").withColumn("note", F.expr("IF(event_id % 17 = 0, '', 'x')")).drop("event_id")
+    return conform_bars(text.filter("event_id % 2 = 0").drop("event_id")).unionByName(conform_bars(noted))
 
 
 def _ledger(spark, sf):
@@ -433,6 +435,36 @@ def q_keyed_distinct_bars_bitmap(spark, sf):
     return reconcile.distinct_keys(raw_bars(spark, sf, NULL_KEYED), NULL_KEYED)
 
 
+def _bar_lines(spark, sf):
+    """Bars as the lines of a CSV file per day, some with a field too many, a time or number that is none, or a
+    missing value."""
+    price = "CAST(CAST({} AS decimal(18,4)) AS string)"
+    fields = ["IF(event_id % 23 = 0, date_format(trade_timestamp, 'yyyy-MM-dd'), date_format(trade_timestamp, 'yyyyMMdd HH:mm:ss'))",
+              *[price.format(c) for c in ("open_price", "high_price", "low_price")],
+              f"IF(event_id % 31 = 0, 'NA', {price.format('close_price')})", "IF(event_id % 29 = 0, 'x', CAST(volume AS string))",
+              "CAST(event_id AS string)", price.format("average_price"), "IF(event_id % 19 = 0, '9', NULL)"]
+    lines = raw_bars(spark, sf).selectExpr("CAST(to_date(trade_timestamp) AS string) AS file", f"concat_ws(',', {', '.join(fields)}) AS value")
+    return line_outcomes(lines, "date,open,high,low,close,volume,barcount,average")
+
+
+def q_rejected_rows(spark, sf):
+    return _bar_lines(spark, sf).filter(F.col("outcome") != GOOD).select("file", "line", "outcome")
+
+
+def q_line_outcomes(spark, sf):
+    return _bar_lines(spark, sf).groupBy("file", "outcome").agg(F.count(F.lit(1)).alias("n"), F.count("trade_timestamp").alias("loaded"))
+
+
+def q_new_files(spark, sf):
+    """Every hour of events is a file, every fourth of them twice; a third of the hours is in the ledger."""
+    ev = read_events(spark, sf).withColumn("path", F.date_format("ts", "yyyy-MM-dd HH"))
+    files = fingerprint.row_fingerprint(ev.drop("path"), by=[F.date_format("ts", "yyyy-MM-dd HH").alias("path")]).select(
+        "path", F.col("fingerprint").alias("dataset_hash"), F.col("n_rows").alias("row_count"))
+    hour = F.substring("path", 12, 2).cast("int")
+    copies = files.filter(hour % 4 == 0).withColumn("path", F.concat(F.lit("copy of "), "path"))
+    return runs.new_files(files.unionByName(copies), files.filter(hour % 3 == 0).select("dataset_hash"))
+
+
 def q_sweep_state_merge(spark, sf):
     """The sweep from states kept per day."""
     return backtest.sweep_of_state(backtest.sweep_state(scored(spark, sf), ["trade_date"]))
@@ -552,6 +584,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "differing_days": q_differing_days,
     "distinct_bars_bitmap": q_distinct_bars_bitmap,
     "keyed_distinct_bars_bitmap": q_keyed_distinct_bars_bitmap,
+    "rejected_rows": q_rejected_rows,
+    "line_outcomes": q_line_outcomes,
+    "new_files": q_new_files,
     "sweep_state_merge": q_sweep_state_merge,
     "merged_index_stats": q_merged_index_stats,
     "keyed_feature_table_split": q_keyed_feature_table_split,

@@ -560,7 +560,8 @@ ORACLE.update({
     "dedup_bars_by_value": _q(f"""
         SELECT * EXCLUDE (event_id, d) FROM (SELECT *, substr(md5({_BAR_TEXT}), 1, 15) AS d FROM bars_raw) x
         QUALIFY row_number() OVER (PARTITION BY trade_timestamp ORDER BY d) = 1"""),
-    "csv_text_bars": _q("SELECT * EXCLUDE (event_id) FROM bars_raw WHERE event_id % 11 > 1 AND event_id % 13 <> 0"),
+    "csv_text_bars": _q("SELECT * EXCLUDE (event_id) FROM bars_raw WHERE event_id % 11 > 1 AND event_id % 13 <> 0 "
+                        "AND NOT (event_id % 2 = 1 AND event_id % 17 = 0)"),
     "run_drift": _q(_LED + f"""SELECT *, (optimal_threshold_drift OR alert_rate_drift OR crash_index_mean_drift
         OR crash_index_std_drift) AS drift_detected FROM (SELECT l.run_id, {_LATEST} FROM led l) t"""),
     "verdict": _q(""", closed AS (SELECT f.* REPLACE (CAST(trade_date AS TIMESTAMP) + to_minutes(
@@ -609,7 +610,27 @@ def _differences(keys: str = "") -> str:
         WHERE coalesce(e.n, 0) <> coalesce(f.n, 0)"""
 
 
+def _price(c: str) -> str:
+    return f"CAST(CAST({c} AS DECIMAL(18,4)) AS VARCHAR)"
+
+
+_LINES = f"""
+    , lines AS (SELECT CAST(CAST(trade_timestamp AS DATE) AS VARCHAR) AS file, concat_ws(',',
+        CASE WHEN event_id % 23 = 0 THEN strftime(trade_timestamp, '%Y-%m-%d') ELSE strftime(trade_timestamp, '%Y%m%d %H:%M:%S') END,
+        {_price('open_price')}, {_price('high_price')}, {_price('low_price')},
+        CASE WHEN event_id % 31 = 0 THEN 'NA' ELSE {_price('close_price')} END,
+        CASE WHEN event_id % 29 = 0 THEN 'x' ELSE CAST(volume AS VARCHAR) END,
+        CAST(event_id AS VARCHAR), {_price('average_price')}, CASE WHEN event_id % 19 = 0 THEN '9' END) AS line,
+        CASE WHEN event_id % 19 = 0 THEN 'fields' WHEN event_id % 31 = 0 THEN 'missing' WHEN event_id % 23 = 0 THEN 'time'
+             WHEN event_id % 29 = 0 THEN 'number' ELSE 'good' END AS outcome
+      FROM bars_raw)"""
+
 ORACLE.update({
+    "rejected_rows": _q(_LINES + " SELECT file, line, outcome FROM lines WHERE outcome <> 'good'"),
+    "line_outcomes": _q(_LINES + " SELECT file, outcome, count(*) AS n, CASE WHEN outcome = 'good' THEN count(*) ELSE 0 END AS loaded FROM lines GROUP BY file, outcome"),
+    "new_files": "WITH files AS (" + _fingerprint("(SELECT *, strftime(ts, '%Y-%m-%d %H') AS path FROM events)", _EVENT_COLS, "path") + """),
+        known AS (SELECT fingerprint FROM files WHERE CAST(substr(path, 12, 2) AS INT) % 3 = 0)
+        SELECT path, fingerprint AS dataset_hash, n_rows AS row_count FROM files WHERE fingerprint NOT IN (SELECT fingerprint FROM known)""",
     "ordered_checksum": _q(_ordered_sql("final", _CHECK_TEXT)),
     "ordered_checksum_split": _q(_ordered_sql("final", _CHECK_TEXT)),
     "ordered_checksum_planted": _p(_ordered_sql("planted", _CHECK_TEXT)),

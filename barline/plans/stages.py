@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barline.functions import count_where, hex_slice_value, round_places
-from barline.operators import backtest, clean, features, quality, risk, runs
+from barline.operators import backtest, clean, features, ordered, quality, risk, runs
 from barline.schemas import CSV_COLUMNS, DEFAULT_SPEC, FEATURES, INGESTION_LEDGER, RAW_BARS, SeriesSpec, conform
 from barline.session import staging_path
 from barline.sinks.writers import write_document, write_table, write_with_readback
@@ -63,6 +63,34 @@ class Paths:
     def verdict(self) -> str:
         return self._p("verdict")
 
+    @property
+    def file_ledger(self) -> str:
+        return self._p("file_ledger")
+
+    @property
+    def rejects(self) -> str:
+        return self._p("rejected_lines")
+
+    @property
+    def pending(self) -> str:
+        return self._p("pending_merge")
+
+    @property
+    def day_state(self) -> str:
+        return self._p("day_state")
+
+    @property
+    def sweep_state(self) -> str:
+        return self._p("sweep_state")
+
+    @property
+    def threshold(self) -> str:
+        return self._p("threshold")
+
+    @property
+    def differences(self) -> str:
+        return self._p("key_differences")
+
 
 def _remove(spark: SparkSession, path: str) -> None:
     """Delete a staging folder this job wrote (shared file system or store)."""
@@ -87,6 +115,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 # ---- ingest ---------------------------------------------------------------------
 
+#: One row per file, as ``fingerprint.file_lines`` gives it.
+FILE_LINES = "path string, lines bigint, filled bigint, header string, fingerprint string"
+
+
 def dataset_fingerprint(lines: DataFrame) -> tuple[str, int]:
     """One hash and the input rows (lines minus headers) of the files of ``file_lines``;
     their fingerprints combine by sums, in any order."""
@@ -108,15 +140,14 @@ def ingest(spark: SparkSession, paths: Paths, csv_path: str | None = None, bars:
     rows as the input -> skip.  Otherwise overwrite the raw table (partitioned
     by day), check the read-back count and record the dataset in the ledger.
     """
-    read_obs = headers = None
+    rows_read = None
     if csv_path is not None:
         # one pass over the lines: hash, line count and header of every file (one row per file)
         lines = spark.createDataFrame(fingerprint.file_lines(spark, csv_path, [*CSV_COLUMNS, *spec.keys]).collect(),
-                                      "path string, lines bigint, header string, fingerprint string")
+                                      FILE_LINES)
         dataset_hash, input_rows = dataset_fingerprint(lines)
-        headers = fingerprint.header_files(lines)
-        read_obs = Observation("csv_read")
-        bars = read_bars_csv(spark, csv_path, observation=read_obs, keys=spec.keys, headers=headers)
+        rows_read = lines.agg(F.coalesce(F.sum(F.col("filled") - 1), F.lit(0))).first()[0]
+        bars = read_bars_csv(spark, csv_path, keys=spec.keys, headers=fingerprint.header_files(lines))
     if bars is None or dataset_hash is None:
         raise ValueError("give csv_path, or bars with dataset_hash")
     ledger = (spark.read.schema(INGESTION_LEDGER).parquet(paths.ingestion_ledger)
@@ -132,9 +163,8 @@ def ingest(spark: SparkSession, paths: Paths, csv_path: str | None = None, bars:
     out = _raw_frame(bars, spec).withColumn(spec.day, F.to_date(spec.time))
     counts = write_with_readback(spark, out, paths.raw, partition_by=[spec.day], name="raw_write",
                                  rebalance=True)
-    if read_obs is not None:
-        counts["rows_read"] = read_obs.get["rows_read"]
-        counts["dropped_missing"] = counts["rows_read"] - counts["written"]
+    if rows_read is not None:
+        counts |= {"rows_read": rows_read, "dropped_missing": rows_read - counts["written"]}
     rows_in = input_rows if input_rows is not None else counts["written"]
     entry = spark.createDataFrame([(dataset_hash, int(rows_in))], "dataset_hash string, row_count bigint")
     runs.ledger_entries(entry).write.mode("append").parquet(paths.ingestion_ledger)
@@ -213,12 +243,12 @@ def analyze(spark: SparkSession, paths: Paths, run_id: str | None = None, spec:
     if gate["severity_mismatch"]:
         raise RuntimeError(f"{gate['severity_mismatch']} alerts with the lowest severity, nothing written")
     obs_out = Observation("output")
-    final = final.observe(
-        obs_out, F.count(F.lit(1)).alias("rows"),
-        round_places(F.avg("crash_alert_flag"), runs.METRIC_DIGITS).alias("alert_rate"),
-        round_places(F.avg("crash_index"), runs.METRIC_DIGITS).alias("crash_index_mean"),
-        round_places(F.stddev_samp("crash_index"), runs.METRIC_DIGITS).alias("crash_index_std"))
-    write_table(final, paths.features, schema=FEATURES, keys=spec.keys, partition_by=[spec.day], rebalance=True)  # action 4
+    stats = [F.count(F.lit(1)).alias("rows"), round_places(F.avg("crash_alert_flag"), runs.METRIC_DIGITS).alias("alert_rate"),
+             round_places(F.avg("crash_index"), runs.METRIC_DIGITS).alias("crash_index_mean"),
+             round_places(F.stddev_samp("crash_index"), runs.METRIC_DIGITS).alias("crash_index_std")]
+    _remove(spark, paths.day_state)  # an incremental run would compare with another table
+    write_table(final, paths.features, schema=FEATURES, keys=spec.keys, partition_by=[spec.day], rebalance=True,
+                observe=(obs_out, stats))                                        # action 4
     out = obs_out.get
     metrics = {
         "optimal_threshold": float(round(threshold * 10 ** runs.METRIC_DIGITS) / 10 ** runs.METRIC_DIGITS),
@@ -254,6 +284,8 @@ def verify(spark: SparkSession, paths: Paths, run_id: str, spec: SeriesSpec = DE
         verdict = {k: v for k, v in row.items() if k not in ("failed_gate", "failing")}
         if row["failed_gate"] is not None:
             raise ValueError(runs.GATES[row["failed_gate"]].message.format(**rec.asDict(), failing=row["failing"]))
+        # Q8: the rows in their order (the record's own digest sees content only)
+        verdict["checksum"] = ordered.ordered_checksum(feats, spec, split=split).first()["checksum"]
         for r in quality.VERIFY_RULES:
             if r.level == "warn" and rec[r.name]:
                 log.warning("rule %s: %s rows", r.name, rec[r.name])

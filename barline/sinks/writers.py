@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barline.operators.clean import duplicate_keys
@@ -18,14 +18,16 @@ from barline.schemas import DEFAULT_SPEC, SeriesSpec, conform
 
 def write_table(df: DataFrame, path: str, schema=None, mode: str = "overwrite",
                 partition_by: Sequence[str] = (), replace_all: bool = True, fmt: str = "parquet",
-                rebalance: bool = False, keys: Sequence[str] = ()) -> None:
+                rebalance: bool = False, keys: Sequence[str] = (), observe: tuple[Observation, Sequence[Column]] | None = None) -> None:
     """K1/K2/K7: conform to ``schema`` (by name, after the series ``keys``) and write.  ``replace_all``
     truncates the whole table on overwrite; otherwise only the partitions
     present in ``df`` are replaced.  ``rebalance`` (for input not clustered by
     the partition columns) adds the REBALANCE hint: AQE groups rows of a
     partition value into tasks of the advisory size, splitting a hot value
     over several tasks and merging small ones, so each task writes few,
-    reasonably sized files."""
+    reasonably sized files.  ``observe``: an observation and its aggregates over the rows written.  It
+    stands after the shuffle, in the tasks that write: Spark counts each of those once, while a map task that
+    runs again after a lost executor would count twice."""
     out = df
     if schema is not None:
         conform(df, schema)  # fails on a missing column
@@ -33,6 +35,8 @@ def write_table(df: DataFrame, path: str, schema=None, mode: str = "overwrite",
         out = df.select(*keys, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
     if rebalance and partition_by:
         out = out.hint("rebalance", *partition_by)
+    if observe is not None:
+        out = out.observe(observe[0], *observe[1])
     w = out.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -44,11 +48,10 @@ def write_table(df: DataFrame, path: str, schema=None, mode: str = "overwrite",
 def write_with_readback(spark: SparkSession, df: DataFrame, path: str, schema=None,
                         partition_by: Sequence[str] = (), name: str = "written",
                         rebalance: bool = False) -> dict:
-    """K9: count rows while writing (an ``Observation``, no extra pass), then
+    """K9: count rows in the tasks that write them (an ``Observation``, no extra pass), then
     count the written table; both must agree."""
     obs = Observation(name)
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    write_table(observed, path, schema, partition_by=partition_by, rebalance=rebalance)
+    write_table(df, path, schema, partition_by=partition_by, rebalance=rebalance, observe=(obs, [F.count(F.lit(1)).alias("rows")]))
     written = obs.get["rows"]
     readback = spark.read.parquet(path).count()
     if written != readback:

@@ -33,9 +33,9 @@ def file_fingerprints(spark: SparkSession, path: str, glob: str | None = None) -
 
 
 def file_lines(spark: SparkSession, path: str | Sequence[str], names: Sequence[str] = ()) -> DataFrame:
-    """``(path, lines, header, fingerprint)`` per file from one pass over its splits.
+    """``(path, lines, filled, header, fingerprint)`` per file from one pass over its splits.
 
-    ``header`` is the line that holds all of ``names`` as fields.  The fingerprint is the digest
+    ``filled``: lines that are not blank; ``header``: the line that holds all of ``names`` as fields.  The fingerprint is the digest
     of the file's lines in their order and of its length (``ordered.file_digests``): any file size, any
     number of tasks, and it changes with every line, with their order and with line ends."""
     lines = spark.read.option("lineSep", "\n").text(path if isinstance(path, str) else list(path)).select("value", "_metadata")
@@ -44,8 +44,8 @@ def file_lines(spark: SparkSession, path: str | Sequence[str], names: Sequence[s
     for n in names:
         is_header = is_header & F.array_contains(fields, n)
     header = F.max(F.when(is_header, F.regexp_replace("value", "\r$", "")))
-    per = file_digests(lines, {"header": header})
-    return per.select("path", "lines", "header", F.col("digest").alias("fingerprint"))
+    per = file_digests(lines, {"header": (header, F.max("header")), "filled": (F.count_if(F.trim(F.regexp_replace("value", "\r$", "")) != ""), F.sum("filled"))})
+    return per.select("path", "lines", "filled", "header", F.col("digest").alias("fingerprint"))
 
 
 def header_files(lines: DataFrame) -> dict[str, list[str]]:

@@ -343,3 +343,59 @@ def test_read_metrics_document(spark, tmp_root):
     write_document(doc, f"{tmp_root}/m")
     row = read_metrics(spark, f"{tmp_root}/m").first()
     assert (row.optimal_threshold, row.crash_index_std) == (0.5, 0.3)
+
+
+def test_csv_files_with_different_extra_columns(spark, tmp_root):
+    d = f"{tmp_root}/extras"
+    os.makedirs(d)
+    line = "200801{:02d} 09:30:00,1,1,1,1,1,1,1"
+    _write(f"{d}/a.csv", "\n".join([HEADER, *[line.format(k) for k in range(1, 6)]]) + "\n")
+    _write(f"{d}/b.csv", "\n".join([HEADER + ",note", *[line.format(k) + ",x" for k in range(6, 11)], line.format(11) + ","]) + "\n")
+    got = csv_src.read_bars_csv(spark, d)
+    assert sorted(r.trade_timestamp.day for r in got.collect()) == list(range(1, 11))
+    text = csv_src.read_text_csv(spark, d)
+    assert len(text.collect()) == 11 and "note" in text.columns
+    res = stages.ingest(spark, Paths(f"{tmp_root}/root"), csv_path=d)
+    assert (res["written"], res["rows_read"], res["dropped_missing"]) == (10, 11, 1)
+
+
+def test_counts_survive_a_lost_map_output(spark, tmp_root):
+    """The rows observed in the writing tasks stay right where a map stage runs again; those
+    observed before the shuffle do not."""
+    import glob
+
+    from pyspark.sql import Observation
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    dirs, flag = [str(x) for x in local], f"{tmp_root}/lost"
+
+    def lose(batches):
+        import os as _os
+        from pyspark import TaskContext
+        rows = list(batches)
+        if TaskContext.get().partitionId() == 0 and not _os.path.exists(flag):
+            open(flag, "w").close()
+            for f in [x for d in dirs for x in glob.glob(f"{d}/*/shuffle_*.data")]:
+                _os.remove(f)
+        yield from rows
+
+    before, after = Observation("before"), Observation("after")
+    n = F.count(F.lit(1)).alias("n")
+    df = spark.range(1000, numPartitions=4).observe(before, n).repartition(40, "id").observe(after, n).mapInArrow(lose, "id long")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df.write.parquet(f"{tmp_root}/out")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert after.get["n"] == 1000 == spark.read.parquet(f"{tmp_root}/out").count() and before.get["n"] > 1000
+
+
+def test_write_observes_after_the_shuffle(spark, tmp_root):
+    from pyspark.sql import Observation
+
+    from barline.sinks.writers import write_table
+    seen = Observation("plan")
+    df = spark.range(100).withColumn("k", F.col("id") % 5)
+    write_table(df, f"{tmp_root}/t", partition_by=["k"], rebalance=True, observe=(seen, [F.count(F.lit(1)).alias("rows")]))
+    assert seen.get["rows"] == 100
+    plan = df.hint("rebalance", "k").observe(Observation("x"), F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("CollectMetrics") < plan.index("Exchange")  # printed from the top: the write's stage
