@@ -24,9 +24,9 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from barline.llm.common import text_rows
+from barline.llm.common import Codes, Numbers, per_worker, text_rows
 
-#: Pieces remembered by one task before it starts afresh, and characters of text taken at
+#: Pieces remembered by one worker before it starts afresh, and characters of text taken at
 #: a time (a longer text goes alone).
 CACHE_PIECES = 500_000
 TEXT_CHARS = 4_000_000
@@ -186,31 +186,50 @@ def batches_of(items: list, size: Callable, limit: int):
         yield items[lo:]
 
 
-def piece_coder(ranks: dict[bytes, int], pattern: str, cache: int = CACHE_PIECES) -> Callable:
-    """``code(texts) -> [(ids, decoded bytes)]``.  Each new piece goes through the
-    recursive query once, and its ids through the decoding query once; a text's ids and
-    bytes are those of its pieces in order."""
-    import regex
-    find = regex.compile(pattern).findall
-    duck = DuckBpe(ranks)
-    ids_of: dict[str, bytes] = {}
-    bytes_of: dict[bytes, bytes] = {}
-
-    def code(texts: list[str | None]) -> list[tuple[bytes, bytes]]:
-        split = [find(t) if t else [] for t in texts]
-        if len(ids_of) > cache:
-            ids_of.clear()
-            bytes_of.clear()
-        new = list({p for ps in split for p in ps if p not in ids_of})
+class PieceCoder:
+    """Codes texts piece by piece.  Each new piece goes through the recursive query once, and its ids
+    through the decoding query once; a text's ids and bytes are those of its pieces in order."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache: int = CACHE_PIECES):
+        import regex
+        self.find, self.duck, self.cache = regex.compile(pattern).findall, DuckBpe(ranks), cache
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers, self.ids, self.decoded = Numbers(), Codes(), Codes()
+
+    def learn(self) -> None:
+        """Codes the pieces met for the first time."""
+        new, self.numbers.new = self.numbers.new, []
+        ids: list[bytes] = []
         for part in batches_of(new, len, ENCODE_BYTES):
-            ids_of.update(zip(part, duck.encode([p.encode("utf-8", "surrogatepass") for p in part])))
-        fresh = list({ids_of[p] for p in new} - bytes_of.keys())
-        for part in batches_of(fresh, lambda d: len(d) // 4, DECODE_TOKENS):
-            bytes_of.update(zip(part, duck.decode(part)))
-        coded = [[ids_of[p] for p in ps] for ps in split]
-        return [(b"".join(c), b"".join(map(bytes_of.__getitem__, c))) for c in coded]
+            ids += self.duck.encode([p.encode("utf-8", "surrogatepass") for p in part])
+        distinct, bytes_of = list(set(ids)), {}
+        for part in batches_of(distinct, lambda d: len(d) // 4, DECODE_TOKENS):
+            bytes_of.update(zip(part, self.duck.decode(part)))
+        self.ids.extend(ids)
+        self.decoded.extend([bytes_of[d] for d in ids])
 
-    return code
+    def code(self, texts: list[str | None]) -> tuple[list[memoryview], list[memoryview]]:
+        """Ids (little-endian unsigned 32-bit) and decoded bytes of each text."""
+        import itertools
+
+        import numpy as np
+        if len(self.numbers) > self.cache:
+            self.clear()
+        split = [self.find(t) if t else [] for t in texts]
+        try:
+            numbers = np.fromiter(map(self.numbers.__getitem__, itertools.chain.from_iterable(split)), np.int64)
+            self.learn()
+        except BaseException:
+            self.clear()  # numbers without codes must not stay for the next task
+            raise
+        ends = np.cumsum([0, *map(len, split)])
+        out = []
+        for codes in (self.ids, self.decoded):
+            data, cuts = codes.joined(numbers, ends)
+            out.append([data[a:b] for a, b in zip(cuts, cuts[1:])])
+        return tuple(out)
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text",
@@ -224,19 +243,19 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str
 
     def run(batches):
         import numpy as np
-        code = piece_coder(read_ranks(ranks_path), pattern)
+        # the merge table and the pieces already coded serve the worker's later tasks too
+        coder = per_worker(("bpe", ranks_path, pattern), lambda: PieceCoder(read_ranks(ranks_path), pattern))
         for batch in batches:
             rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
             for part in batches_of(rows, lambda r: len(r[1] or ""), TEXT_CHARS):
                 ids, texts = zip(*part)
-                coded = code(texts)
-                cols = [ids, [len(c) // 4 for c, _ in coded],
-                        [hashlib.sha256(c).hexdigest() for c, _ in coded],
-                        [hashlib.sha256(b).hexdigest() for _, b in coded]]
+                coded, decoded = coder.code(texts)
+                cols = [ids, [len(c) // 4 for c in coded], [hashlib.sha256(c).hexdigest() for c in coded],
+                        [hashlib.sha256(b).hexdigest() for b in decoded]]
                 if keep_ids:
-                    cols.append([np.frombuffer(c, "<u4").astype(np.int32) for c, _ in coded])
+                    cols.append([np.frombuffer(c, "<u4").astype(np.int32) for c in coded])
                 if keep_decoded:
-                    cols.append([b.decode("utf-8", "replace") for _, b in coded])
+                    cols.append([str(b, "utf-8", "replace") for b in decoded])
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], schema=schema)
 
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -73,6 +73,49 @@ def per_row(df: DataFrame, fn, schema: str, *, names: list[str], types: list[pa.
     return df.mapInArrow(run, schema)
 
 
+def per_worker(key: tuple, make):
+    """``make()``, kept by the Python worker for its later tasks.  One object at a time, so
+    another operator's does not add to it; a new worker makes its own."""
+    import sys
+    kept = sys.__dict__.setdefault("_barline_kept", {})
+    if key not in kept:
+        kept.clear()
+        kept[key] = make()
+    return kept[key]
+
+
+class Numbers(dict):
+    """Running number of each different item, from 0; ``new`` lists those not yet taken over."""
+
+    def __init__(self):
+        self.new: list = []
+
+    def __missing__(self, item) -> int:
+        n = self[item] = len(self)
+        self.new.append(item)
+        return n
+
+
+class Codes:
+    """One bytes value for each number, joined for runs of numbers in one gather."""
+
+    def __init__(self):
+        self.values = pa.array([], pa.large_binary())
+
+    def extend(self, values: list[bytes]) -> None:
+        if values:
+            self.values = pa.concat_arrays([self.values, pa.array(values, pa.large_binary())])
+
+    def joined(self, numbers, ends) -> tuple[memoryview, list[int]]:
+        """The values of ``numbers`` one after the other, and the places where the runs that end
+        before the ``ends`` end."""
+        import numpy as np
+        got = self.values.take(pa.array(numbers))
+        at = np.frombuffer(got.buffers()[1], np.int64)[got.offset:got.offset + len(got) + 1]
+        data = memoryview(got.buffers()[2] or b"").cast("B")[int(at[0]):int(at[-1])]
+        return data, (at[np.asarray(ends, np.int64)] - at[0]).tolist()
+
+
 # ---- shared folder -----------------------------------------------------------
 
 def shared_root(spark: SparkSession) -> str:

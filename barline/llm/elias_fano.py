@@ -4,8 +4,8 @@ A sorted sequence of n values below u keeps ``l = log2(u / n)`` low bits of each
 a packed array and the high parts in unary in a bit vector, about ``2 + l`` bits a value.
 A directory counts the zeros before every 512 bits.  ``find`` locates many values at once:
 two selects give the values that share a high part, a search on the low bits the rest.
-Where the queries are many against the length, the sequence is decoded front to back and
-merged with them instead; the results are the same.
+Where the queries are many against the length, the sequence is decoded front to back, in runs of
+bounded size, and merged with them instead; the results are the same.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ import json
 SUPER = 512
 #: Decode and merge when the sequence is at most so many times as long as the queries.
 MERGE_RATIO = 48
+#: Blocks of ``SUPER`` bits decoded at a time (about half a million values).
+RUN_BLOCKS = 1 << 11
 
 
 def pack_arrays(arrays: dict, meta: dict) -> bytes:
@@ -105,12 +107,22 @@ class EliasFano:
         lo[some] = self.select_zero(high[some] - 1) - (high[some] - 1)
         return lo, hi
 
+    def runs(self, blocks: int = RUN_BLOCKS):
+        """The values in order, in runs of bounded size: ``(index of the first, values)``."""
+        import numpy as np
+        last = len(self.zeros) - 1
+        for b in range(0, last, blocks):
+            words = self.high[b * (SUPER // 64):(b + blocks) * (SUPER // 64)]
+            start = b * SUPER - int(self.zeros[b])  # ones before
+            ones = np.flatnonzero(np.unpackbits(words.view(np.uint8), bitorder="little"))[:max(0, self.n - start)]
+            if len(ones):
+                i = np.arange(start, start + len(ones))
+                yield start, ((ones + (b * SUPER - i)).astype(np.uint64) << np.uint64(self.low_bits)) | self.lows(i)
+
     def decode(self):
         """All values, in order."""
         import numpy as np
-        ones = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))[:self.n]
-        i = np.arange(self.n)
-        return ((ones - i).astype(np.uint64) << np.uint64(self.low_bits)) | self.lows(i)
+        return np.concatenate([np.zeros(0, np.uint64), *[v for _, v in self.runs()]])
 
     def access(self, i):
         """Values at positions ``i`` (of monotone pointers)."""
@@ -137,9 +149,17 @@ class EliasFano:
         if not self.n or not len(x):
             return np.full(len(x), -1, np.int64)
         if self.n <= MERGE_RATIO * len(x):
-            v = self.decode()
-            i = np.minimum(np.searchsorted(v, x), self.n - 1)
-            return np.where(v[i] == x, i, -1)
+            if (x[1:] < x[:-1]).any():
+                order = np.argsort(x)
+                out = np.empty(len(x), np.int64)
+                out[order] = self.find(x[order])
+                return out
+            out = np.full(len(x), -1, np.int64)
+            for start, v in self.runs():
+                lo, hi = np.searchsorted(x, v[0]), np.searchsorted(x, v[-1], "right")
+                i = np.searchsorted(v, x[lo:hi])
+                out[lo:hi] = np.where(v[i] == x[lo:hi], start + i, -1)
+            return out
         out = np.full(len(x), -1, np.int64)
         at = np.flatnonzero(x < np.uint64(min(self.universe, 2**64 - 1))) if self.universe < 2**64 else np.arange(len(x))
         low = x[at] & np.uint64((1 << self.low_bits) - 1)

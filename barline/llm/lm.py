@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.llm import elias_fano as ef
-from barline.llm.common import map_file, remainder, scratch, staged, text_rows, write_file
+from barline.llm.common import Numbers, map_file, remainder, scratch, staged, text_rows, write_file
 
 ORDER = 3
 DISCOUNT = 0.5
-MIN_COUNT = 2
+MIN_COUNT = 1
 #: Tokens counted or scored together in a task, and bytes of training text per bucket.
 CHUNK_TOKENS = 2_000_000
 BUCKET_BYTES = 24 << 20
@@ -59,12 +59,11 @@ def probability(code):
 
 # ---- tokens ----------------------------------------------------------------------
 
-class Numbers(dict):
-    """Running number of each different word."""
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        return n
+def numbered() -> Numbers:
+    """Word numbers; number 0 is the end token."""
+    known = Numbers()
+    known[END] = 0
+    return known
 
 
 def token_chunks(batches, limit: int = CHUNK_TOKENS):
@@ -77,7 +76,7 @@ def token_chunks(batches, limit: int = CHUNK_TOKENS):
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
         return ids, np.array(lens, np.int64), hashes, np.concatenate(seq) if seq else np.zeros(0, np.int32)
 
-    ids, lens, seq, known, total = [], [], [], Numbers({END: 0}), 0
+    ids, lens, seq, known, total = [], [], [], numbered(), 0
     for batch in batches:
         for lo in range(0, batch.num_rows, 512):
             rows = batch.slice(lo, 512)
@@ -90,7 +89,7 @@ def token_chunks(batches, limit: int = CHUNK_TOKENS):
                 total += len(words)
                 if total >= limit:
                     yield chunk()
-                    ids, lens, seq, known, total = [], [], [], Numbers({END: 0}), 0
+                    ids, lens, seq, known, total = [], [], [], numbered(), 0
     if ids:
         yield chunk()
 

@@ -19,23 +19,21 @@ are ignored; an empty table gives an empty manifest.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barline.llm.common import map_file, scratch, staged, text_rows, write_file
+from barline.llm.common import Codes, Numbers, map_file, per_worker, scratch, staged, text_rows, write_file
 
-#: Distinct words remembered by one task before it starts afresh.
+#: Distinct words remembered by one worker before it starts afresh.
 CACHE_WORDS = 800_000
-#: Bytes of text in one part (about; ranges of ids are cut by sampling).  A task meets most
+#: Bytes of text in one part (about; ranges of ids are cut by sampling).  A worker meets most
 #: of its words again, so larger parts encode fewer words.
 PART_BYTES = 48 << 20
 MANIFEST = "part int, n_docs long, n_tokens long, dtype string"
 
 
-def word_encoder(tokenizer_path: str, dtype: str, lower: bool = False, cache_words: int = CACHE_WORDS) -> Callable:
+class WordEncoder:
     """Encodes texts with the tokenizers library, each distinct word once.
 
     Holds for tokenizers whose pre-tokenizer never joins across ASCII white space
@@ -43,39 +41,55 @@ def word_encoder(tokenizer_path: str, dtype: str, lower: bool = False, cache_wor
     ``lower`` says that the tokenizer lower-cases, so words that differ in the case of
     A-Z are one word here (not in texts with combining marks U+0300-U+037F, where
     composition comes before lower-casing)."""
-    import os
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    import numpy as np
-    from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(tokenizer_path)
-    tok.encode_special_tokens = True  # their strings in a text are ordinary text
-    known: dict[bytes, bytes] = {}
 
-    def encode_words(words: list[str]) -> list[bytes]:
+    def __init__(self, tokenizer_path: str, dtype: str, lower: bool = False, cache_words: int = CACHE_WORDS):
+        import os
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+        self.tok = Tokenizer.from_file(tokenizer_path)
+        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.dtype, self.lower, self.cache = dtype, lower, cache_words
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers, self.codes = Numbers(), Codes()
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word; many words go through the library as one text, and the
         tokens' places in it tell the words apart."""
-        e = tok.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(e.ids, dtype).tobytes()
+        import numpy as np
+        e = self.tok.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(e.ids, self.dtype).tobytes()
         ends = np.cumsum([len(w) + 1 for w in words])
         first = np.fromiter((a for a, _ in e.offsets), np.int64, len(e))
-        cuts = (np.searchsorted(first, ends) * np.dtype(dtype).itemsize).tolist()
+        cuts = (np.searchsorted(first, ends) * np.dtype(self.dtype).itemsize).tolist()
         return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
 
-    def words_of(text: str | None) -> list[bytes]:
+    def words_of(self, text: str | None) -> list[bytes]:
         data = (text or "").encode("utf-8", "surrogatepass")
-        return (data.lower() if lower and b"\xcc" not in data and b"\xcd" not in data else data).split()
+        return (data.lower() if self.lower and b"\xcc" not in data and b"\xcd" not in data else data).split()
 
-    def encode(texts: list[str | None]) -> list[bytes]:
-        split = [words_of(t) for t in texts]
-        if len(known) > cache_words:
-            known.clear()
-        new = list({w for ws in split for w in ws if w not in known})
-        for lo in range(0, len(new), 512):
-            part = new[lo:lo + 512]
-            known.update(zip(part, encode_words([w.decode("utf-8", "replace") for w in part])))
-        return [b"".join(map(known.__getitem__, ws)) for ws in split]
+    def encode(self, texts: list[str | None], end: bytes) -> tuple[memoryview, list[int]]:
+        """The texts' ids one after the other, ``end`` after each, and where each ends (in bytes)."""
+        import itertools
 
-    return encode
+        import numpy as np
+        if len(self.numbers) > self.cache:
+            self.clear()
+        if not self.numbers:  # number 0: the end of a text, which no word is
+            self.numbers[b" "] = 0
+            self.codes.extend([end])
+        split = [[*self.words_of(t), b" "] for t in texts]
+        try:
+            numbers = np.fromiter(map(self.numbers.__getitem__, itertools.chain.from_iterable(split)), np.int64)
+            new, self.numbers.new = self.numbers.new, []
+            found = [ids for lo in range(0, len(new), 512) for ids in self.encode_words([w.decode("utf-8", "replace") for w in new[lo:lo + 512]])]
+            self.codes.extend(found)
+        except BaseException:
+            self.clear()  # numbers without codes must not stay for the next task
+            raise
+        data, cuts = self.codes.joined(numbers, np.cumsum([0, *map(len, split)]))
+        return data, cuts[1:]
 
 
 def vocabulary_size(tokenizer_path: str) -> int:
@@ -96,22 +110,23 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, *, end_id: int, lowe
         import numpy as np
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        encode = word_encoder(tokenizer_path, dtype, lower)
+        # words met by the worker in earlier parts are known
+        encoder = per_worker(("words", tokenizer_path, dtype, lower, end_id), lambda: WordEncoder(tokenizer_path, dtype, lower))
         end = np.array([end_id], dtype).tobytes()
         ids, valid, ends = [], [], []
 
         def chunks():
             total = 0
             for batch in batches:
-                for lo in range(0, batch.num_rows, 256):
-                    rows = batch.slice(lo, 256)
-                    for i, data in zip(rows.column(0).to_pylist(), encode(rows.column(1).to_pylist())):
-                        total += len(data) // len(end) + 1
-                        ids.append(0 if i is None else i)
-                        valid.append(i is not None)
-                        ends.append(total)
-                        yield data
-                        yield end
+                for lo in range(0, batch.num_rows, 1024):
+                    rows = batch.slice(lo, 1024)
+                    data, cuts = encoder.encode(rows.column(1).to_pylist(), end)
+                    keys = rows.column(0).to_pylist()
+                    ids.extend(0 if i is None else i for i in keys)
+                    valid.extend(i is not None for i in keys)
+                    ends.extend(total + c // len(end) for c in cuts)
+                    total = ends[-1]
+                    yield data
 
         name = f"{url}/part-{part:06d}"
         write_file(name + ".bin", chunks())

@@ -47,10 +47,21 @@ def test_bpe_small_cache_and_batches(spark, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_PIECES", 5)
     monkeypatch.setattr(bpe, "ENCODE_BYTES", 50)
     monkeypatch.setattr(bpe, "DECODE_TOKENS", 20)
-    code = bpe.piece_coder(bpe.read_ranks(RANKS), P.PATTERN, 5)
+    coder = bpe.PieceCoder(bpe.read_ranks(RANKS), P.PATTERN, 5)
     texts = [t for _, t in ODD if t is None or len(t) < 200]
     for t in texts:
-        assert code([t])[0][1] == (t or "").encode()
+        assert coder.code([t])[1][0] == (t or "").encode()
+    assert [bytes(b) for b in coder.code(texts)[1]] == [(t or "").encode() for t in texts] and coder.code([]) == ([], [])
+
+
+def test_small_word_cache(monkeypatch):
+    lib = Tokenizer.from_file(WORDS)
+    encoder = token_files.WordEncoder(WORDS, "<u2", True, cache_words=3)
+    for k in range(4):
+        texts = ["a b c d", None, f"word{k} a", "", "\t x  b "]
+        data, ends = encoder.encode(texts, b"\2\0")
+        want = [i for t in texts for i in (*lib.encode(t or "", add_special_tokens=False).ids, 2)]
+        assert np.frombuffer(data, "<u2").tolist() == want and ends[-1] == len(data)
 
 
 def test_files_equal_the_library(spark):
