@@ -39,7 +39,7 @@ ORDER = 3
 DISCOUNT = 0.5
 MIN_COUNT = 1
 #: Tokens counted or scored together in a task, and bytes of training text per bucket.
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_200_000
 BUCKET_BYTES = 24 << 20
 END = b" "
 #: Codes of -log10 p; 65535 codes reach 10^-16.

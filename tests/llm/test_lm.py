@@ -56,7 +56,7 @@ def brute(rows, order, discount=0.5, min_count=2):
 
 def compare(df, rows, order):
     got = sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score)
-                  for r in lm.score_with_held_out(df, order=order).collect()), key=lambda r: repr(r[:3]))
+                  for r in lm.score_with_held_out(df, order=order, min_count=2).collect()), key=lambda r: repr(r[:3]))
     want = sorted(brute(rows, order), key=lambda r: repr(r[:3]))
     assert [r[:5] for r in got] == [r[:5] for r in want]
     for g, w in zip(got, want):
@@ -83,7 +83,7 @@ def test_many_buckets_and_hot_contexts(spark, monkeypatch):
     monkeypatch.setattr(lm, "CHUNK_TOKENS", 3000)
     docs = table(spark, SF_SMALL, "documents")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    model = lm.fit_model(docs.filter("crc32(CAST(CAST(doc_id AS string) AS binary)) % 5 <> 1"), bucket_bytes=40_000)
+    model = lm.fit_model(docs.filter("crc32(CAST(CAST(doc_id AS string) AS binary)) % 5 <> 1"), bucket_bytes=40_000, min_count=2)
     assert len(model.levels[0].files) > 8 and len(model.levels[1].bounds) > 8
     got = {r.doc_id: r.score for r in lm.score(docs, model).collect()}
     for i, _, n, _, _, _, s in brute(rows, 3):
