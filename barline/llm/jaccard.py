@@ -21,9 +21,8 @@ link when ``100 * intersection >= percent * union``.  The steps, all in Spark ta
 
 Defined cases: null and empty texts have an empty set, link with nothing and are their own
 class; with fewer than n words the whole sequence is the one shingle; repeated rows fall in
-one class (the id itself); rows with a null id have the class of the rows with an equal set, and a
-set that only such rows hold links with nothing and has a null class; extra columns are
-ignored.  Texts are read whole.
+one class (the id itself); rows with a null id link like any other, and their class is the smallest
+id they reach, null where there is none; extra columns are ignored.  Texts are read whole.
 """
 
 from __future__ import annotations
@@ -31,6 +30,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barline.llm.common import release, staged, text_rows
 from barline.llm.components import components
@@ -485,25 +485,38 @@ def join_groups(percent: int):
     return run
 
 
-def with_sets(members: DataFrame, rows: DataFrame, width: int) -> DataFrame:
-    """Adds the sets, as bytes, made again from the texts of the members alone."""
-    # the texts are far larger than the members; both sides are dealt by id at every size
-    joined = rows.hint("merge").join(members.withColumnRenamed("rep", "doc_id"), "doc_id")
-    joined = joined.select("doc_id", "text", "name", "cluster", "blocks")
-    schema = pa.schema([("name", pa.int64()), ("cluster", pa.int64()), ("blocks", pa.int32()), ("items", pa.binary())])
+MEMBERS = "name long, cluster long, blocks int, items binary"
 
+
+def _made(width: int, schema: pa.Schema):
+    """Makes the set of each text (column ``text``) and keeps the rows whose set has the ``name`` asked for, if any
+    is; the other columns of ``schema`` pass."""
     def run(batches):
         make = Shingler(width)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                sets = [make(t) for t in part.column(1).to_pylist()]
-                keep = [fingerprint(s) == f for s, f in zip(sets, part.column(2).to_pylist())]  # repeated ids
-                yield pa.RecordBatch.from_arrays([part.column(2), part.column(3), part.column(4),
-                                                  pa.array([s.tobytes() for s in sets], pa.binary())],
-                                                 schema=schema).filter(pa.array(keep))
+                sets = [make(t) for t in part.column("text").to_pylist()]
+                names = pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())
+                made = {"name": names, "items": pa.array([s.tobytes() for s in sets], pa.binary())}
+                rows = pa.RecordBatch.from_arrays([made[f.name] if f.name in made else part.column(f.name) for f in schema], schema=schema)
+                if "name" in part.schema.names:  # repeated ids
+                    rows = rows.filter(pa.array([a == b for a, b in zip(names.to_pylist(), part.column("name").to_pylist())]))
+                yield rows
+    return run
+
 
-    return joined.mapInArrow(run, "name long, cluster long, blocks int, items binary")
+def with_sets(members: DataFrame, rows: DataFrame, width: int) -> DataFrame:
+    """Adds the sets, as bytes, made again from the texts of the members alone.  A member whose rows all have a
+    null id is found by its name among the sets of those rows."""
+    # the texts are far larger than the members; both sides are dealt by id at every size
+    joined = rows.hint("merge").join(members.withColumnRenamed("rep", "doc_id"), "doc_id")
+    schema = pa.schema([("name", pa.int64()), ("cluster", pa.int64()), ("blocks", pa.int32()), ("items", pa.binary())])
+    known = joined.select("text", "name", "cluster", "blocks").mapInArrow(_made(width, schema), MEMBERS)
+    schema = pa.schema([("name", pa.int64()), ("items", pa.binary())])
+    without = rows.filter("doc_id IS NULL").select("text").mapInArrow(_made(width, schema), "name long, items binary")
+    without = without.groupBy("name").agg(F.first("items").alias("items"))
+    return known.unionByName(members.filter("rep IS NULL").join(without, "name").select(known.columns))
 
 
 def links_within(found: DataFrame, names: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
@@ -520,9 +533,9 @@ def links_within(found: DataFrame, names: DataFrame, rows: DataFrame, width: int
              .groupBy("cluster", "i", "j").applyInArrow(join_groups(percent), "a long, b long"))
 
 
-def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
-                    percent: int = PERCENT) -> DataFrame:
-    """Per document: ``doc_id, n_shingles, component_id``."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """Per document: ``doc_id, name`` (of its set, null without words), ``n, root`` (the set's name for its class) and
+    ``class`` (its smallest id)."""
     rows = text_rows(docs, id_col, text_col)
     hot, rank = shared_shingles(rows, width)
     sets = staged(prefixes(rows, width, percent, hot, rank), "sets")
@@ -531,23 +544,52 @@ def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     found = components(candidates(sets, percent)).select(F.col("node").alias("name"), F.col("root").alias("cluster"))
     linked = components(links_within(found, names, rows, width, percent))
     ids = (linked.join(names, linked.node == names.name).groupBy("root").agg(F.min("rep").alias("class")))
-    classes = linked.join(ids, "root").select(F.col("node").alias("name"), "class")
-    classes = names.join(classes, "name", "left").select("name", F.coalesce("class", "rep").alias("class"))
-    return (sets.select("doc_id", "name", F.col("n").cast("bigint").alias("n_shingles")).join(classes, "name", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("class")).alias("component_id")))
+    classes = linked.join(ids, "root").select(F.col("node").alias("name"), "root", "class")
+    classes = names.join(classes, "name", "left").select("name", F.coalesce("root", "name").alias("root"),
+                                                         F.when(F.col("root").isNull(), F.col("rep")).otherwise(F.col("class")).alias("class"))
+    return sets.select("doc_id", "name", F.col("n").cast("bigint").alias("n")).join(classes, "name", "left")
+
+
+def jaccard_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
+                    percent: int = PERCENT) -> DataFrame:
+    """Per document: ``doc_id, n_shingles, component_id``."""
+    return _classes(docs, id_col, text_col, width, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("class")).alias("component_id"))
+
+
+def _by_set(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """``_row`` (all columns), ``_id`` and ``_name`` of the set of each row."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").cast("bigint").alias("_id"),
+                       F.col(f"`{text_col}`").cast("string").alias("text"))
+
+    def run(batches):
+        make = Shingler(width)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                sets = [make(t) for t in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())],
+                                                 names=["_row", "_id", "_name"])
+
+    return rows.mapInArrow(run, T.StructType([rows.schema["_row"], rows.schema["_id"], T.StructField("_name", T.LongType())]))
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
              percent: int = PERCENT) -> DataFrame:
-    """The documents without those whose class holds a smaller id; all columns stay.  Of rows
-    that repeat an id one stays; rows with a null id have no place in the order and stay."""
-    classes = jaccard_classes(docs, id_col=id_col, text_col=text_col, width=width, percent=percent)
-    ids = (classes.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
-           .agg(F.count(F.lit(1)).alias("n"), F.max((F.col("component_id") == F.col("doc_id")) | (F.col("n_shingles") == 0)).alias("stays")))
-    ids = staged(ids.filter("stays").select("doc_id", "n"), "survivors")
+    """One row of each class, that of the smallest id; all columns stay.  Rows of one id with different sets are
+    different documents: each is judged by its own class.  Of rows that repeat id and set one stays, also
+    where they have no words; rows with a null id have no place in the order and stay."""
+    rows = _classes(docs, id_col, text_col, width, percent).filter("doc_id IS NOT NULL").select("doc_id", "name", "root")
+    first = rows.filter("name IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "name")).alias("s")).select("s.doc_id", "s.name")
+    first = first.unionByName(rows.filter("name IS NULL").select("doc_id", "name").distinct())
+    often = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    stay = staged(first.join(often, "doc_id").select("doc_id", "name", "rows"), "survivors")
     release(docs.sparkSession)
     key = F.col(id_col).cast("bigint") == F.col("_id")
     # as in with_sets: the texts are dealt by id at every size
-    once = docs.hint("merge").join(ids.filter("n = 1").select(F.col("doc_id").alias("_id")), key, "left_semi")
-    more = docs.join(ids.filter("n > 1").select(F.col("doc_id").alias("_id")), key, "left_semi").dropDuplicates([id_col])
+    once = docs.hint("merge").join(stay.filter("rows = 1").select(F.col("doc_id").alias("_id")), key, "left_semi")
+    more = docs.join(stay.filter("rows > 1").select(F.col("doc_id").alias("_id")), key, "left_semi")
+    wanted = stay.filter("rows > 1").select(F.col("doc_id").alias("_d"), F.col("name").alias("_n"))
+    more = _by_set(more, id_col, text_col, width).join(wanted, (F.col("_id") == F.col("_d")) & F.col("_name").eqNullSafe(F.col("_n")), "left_semi")
+    more = more.groupBy("_id", "_name").agg(F.first("_row").alias("_row")).select("_row.*")
     return once.unionByName(more).unionByName(docs.filter(F.col(id_col).isNull()))

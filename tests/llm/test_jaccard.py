@@ -152,3 +152,28 @@ def test_interval_sets_equal_all_pairs(seed):
         sets = [set(range(lo, lo + r.randint(60, 130))) for lo in lows]
         got = jaccard.linked_classes([np.array(sorted(s), np.uint64) for s in sets], 75)
         assert same_classes(got, all_pairs(sets))
+
+
+def test_links_run_through_rows_without_id(spark):
+    # of three excerpts only the middle one links with both others
+    texts = [" ".join(f"w{x}" for x in range(*c)) for c in ((0, 100), (12, 112), (24, 124))]
+    alone = " ".join(f"v{x}" for x in range(50))
+    for middle in (None, 3):
+        rows = [(1, texts[0]), (middle, texts[1]), (middle, texts[1]), (2, texts[2]), (None, alone), (None, alone + " end"), (None, "")]
+        got = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard.jaccard_classes(frame(spark, rows)).collect()}
+        assert got[1, 96] == got[2, 96] == got[middle, 96] == 1
+        assert got[None, 46] is None and got[None, 47] is None and got[None, 0] is None
+
+
+def test_keep_one_judges_rows_of_a_repeated_id_by_their_sets(spark):
+    x, y = " ".join(f"x{k}" for k in range(30)), " ".join(f"y{k}" for k in range(30))
+    kept = lambda rows: sorted((r.doc_id, r.text) for r in jaccard.keep_one(frame(spark, rows)).collect())
+    assert kept([(1, x), (5, x), (5, y)]) == [(1, x), (5, y)]
+    assert kept([(5, x), (5, y), (5, y), (6, y)]) == [(5, x), (5, y)]
+    assert kept([(5, x), (5, x + " end"), (5, ""), (5, ""), (4, y)]) in ([(4, y), (5, ""), (5, x)], [(4, y), (5, ""), (5, x + " end")])
+
+
+def test_keep_one_leaves_one_row_of_each_class(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert sorted(r.doc_id for r in jaccard.keep_one(docs).collect()) == sorted(i for i, n, c in brute(rows) if i == c or n == 0)
