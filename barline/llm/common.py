@@ -73,6 +73,33 @@ def per_row(df: DataFrame, fn, schema: str, *, names: list[str], types: list[pa.
     return df.mapInArrow(run, schema)
 
 
+# ---- arrays in SQL text ---------------------------------------------------------
+
+#: Elements summed one by one (two to this power); whole runs of them are summed once.
+_RUN = 7
+
+
+def sums_before(t: str) -> str:
+    """SQL: for each element of the int array ``t`` (a lambda variable) the sum of those before it.  Runs of 128 are
+    summed first, so a long array costs some 64 steps an element, not one for every element before."""
+    runs = f"transform(sequence(0, shiftright(size({t}) - 1, {_RUN})), b -> aggregate(slice({t}, b * {1 << _RUN} + 1, {1 << _RUN}), 0, (a, v) -> a + v))"
+    starts = (f"aggregate({runs}, named_struct('at', 0, 'out', CAST(array() AS array<int>)), "
+              "(a, v) -> named_struct('at', a.at + v, 'out', concat(a.out, array(a.at))), a -> a.out)")
+    inside = f"aggregate(slice({t}, shiftright(i, {_RUN}) * {1 << _RUN} + 1, i & {(1 << _RUN) - 1}), 0, (a, v) -> a + v)"
+    return (f"IF(size({t}) = 0, CAST(array() AS array<int>), "
+            f"flatten(transform(array({starts}), o -> transform({t}, (v, i) -> o[shiftright(i, {_RUN})] + {inside}))))")
+
+
+def last_before(array: str, condition: str) -> str:
+    """SQL: the last element ``y`` of ``array`` for which ``condition`` (over ``y``) holds, NULL if it does for none; it must hold
+    for a first part of the array only.  Found by halving."""
+    mid = "shiftright(w.lo + w.hi, 1)"
+    test = f"exists(array({array}[{mid}]), y -> {condition})"
+    at = (f"aggregate(sequence(1, length(bin(size({array})))), named_struct('lo', 0, 'hi', size({array})), (w, k) -> "
+          f"IF(w.lo >= w.hi, w, IF({test}, named_struct('lo', {mid} + 1, 'hi', w.hi), named_struct('lo', w.lo, 'hi', {mid}))), w -> w.lo)")
+    return f"get({array}, {at} - 1)"
+
+
 def per_worker(key: tuple, make):
     """``make()``, kept by the Python worker for its later tasks.  One object at a time, so
     another operator's does not add to it; a new worker makes its own."""

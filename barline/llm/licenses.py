@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.common import lower_ascii, text_rows
+from barline.llm.common import last_before, lower_ascii, sums_before, text_rows
 
 # Fixed values of the base: phrase -> label.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -212,19 +212,20 @@ def base_places(base: dict[str, str]) -> Column:
 
 
 #: Every match of one rule ``r`` in ``line`` as character intervals: matches and the pieces between.
-_MATCHES = """
+_MATCHES = f"""
 transform(filter(array(named_struct('m', regexp_extract_all(line, r.regex, 0), 'p', split(line, r.regex, -1))),
                  x -> size(x.m) > 0),
-  x -> transform(sequence(0, size(x.m) - 1), i -> named_struct(
-    'ord', r.ord, 'label', r.label, 'priority', r.priority, 'score', r.score,
-    'start', aggregate(slice(x.p, 1, i + 1), 0, (a, s) -> a + length(s))
-             + aggregate(slice(x.m, 1, i), 0, (a, s) -> a + length(s)),
-    'len', length(x.m[i]))))
+  x -> flatten(transform(array(transform(x.m, (m, i) -> length(x.p[i]) + length(m))), t -> flatten(transform(array({sums_before('t')}), s ->
+    transform(x.m, (m, i) -> named_struct(
+      'ord', r.ord, 'label', r.label, 'priority', r.priority, 'score', r.score, 'start', s[i] + length(x.p[i]), 'len', length(m))))))))
 """
 
-_INSIDE = """
-filter(found, d -> NOT exists(found, e -> e.start <= d.start AND e.start + e.len >= d.start + d.len
-  AND (e.priority > d.priority OR (e.priority = d.priority AND (e.len > d.len OR (e.len = d.len AND e.ord < d.ord))))))
+#: Detections that no detection of higher rank contains.  The matches of one rule are disjoint and in order, so only the
+#: last of them that starts at or before a detection can contain it.
+_INSIDE = f"""
+filter(flatten(found), d -> NOT exists(found, g -> coalesce(exists(array({last_before('g', 'y.start <= d.start')}), e ->
+  e.start + e.len >= d.start + d.len
+  AND (e.priority > d.priority OR (e.priority = d.priority AND (e.len > d.len OR (e.len = d.len AND e.ord < d.ord))))), false)))
 """
 
 
@@ -238,8 +239,8 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     df = df.withColumn("base", base_places(base)).withColumn("line", F.expr("replace(words, '  ', ' ')"))
     df = df.withColumn("rules", F.when(F.expr(open_), rules_column(rules)))
     df = df.withColumn("found", F.expr(
-        f"CASE WHEN rules IS NULL THEN NULL ELSE flatten(flatten(transform("
-        f"filter(rules, r -> contains(line, r.keyword)), r -> {_MATCHES}))) END"))
+        f"CASE WHEN rules IS NULL THEN NULL ELSE flatten(transform("
+        f"filter(rules, r -> contains(line, r.keyword)), r -> {_MATCHES})) END"))
     df = df.withColumn("detections", F.expr(f"CASE WHEN found IS NULL THEN NULL ELSE {_INSIDE} END"))
     scores = "concat(transform(base, b -> 0.5D), coalesce(transform(detections, d -> d.score), array()))"
     return df.select(

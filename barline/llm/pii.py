@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.common import lower_ascii, text_rows
+from barline.llm.common import last_before, lower_ascii, sums_before, text_rows
 
 # Fixed values of the base kinds.  Possessive forms: nothing after them could match by giving back.
 EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -52,13 +52,10 @@ def matches(text: str, pattern: str, gate: str, keep: str, build: str) -> str:
     return f"""
     CASE WHEN {gate} THEN
       transform(filter(
-        aggregate(
-          zip_with(regexp_extract_all({text}, {p}, 0), split({text}, {p}, -1), (m, g) -> named_struct('m', m, 'g', g)),
-          named_struct('at', 0, 'out', CAST(array() AS array<struct<m:string,s:int,e:int>>)),
-          (a, x) -> named_struct(
-            'at', a.at + length(x.g) + length(x.m),
-            'out', concat(a.out, array(named_struct('m', x.m, 's', a.at + length(x.g), 'e', a.at + length(x.g) + length(x.m))))),
-          a -> a.out),
+        flatten(transform(
+          array(zip_with(regexp_extract_all({text}, {p}, 0), split({text}, {p}, -1), (m, g) -> named_struct('m', m, 'g', g))),
+          z -> flatten(transform(array(transform(z, x -> length(x.g) + coalesce(length(x.m), 0))), t -> flatten(transform(array({sums_before('t')}), s ->
+            transform(z, (x, i) -> named_struct('m', x.m, 's', s[i] + length(x.g), 'e', s[i] + length(x.g) + length(x.m))))))))),
         x -> x.m IS NOT NULL AND {keep}), x -> {build})
     END"""
 
@@ -166,7 +163,9 @@ def with_candidates(docs: DataFrame, candidates: tuple[Candidate, ...] = CANDIDA
     parts = ", ".join(f"coalesce({candidate_spans(c)}, CAST(array() AS {CANDIDATE}))" for c in candidates)
     df = df.withColumn("_all", F.expr(f"concat({parts})"))
     return df.withColumn("_cands", F.expr(
-        "filter(_all, c -> NOT exists(_base, b -> b.start < c.end AND c.start < b.end))")).drop("low", "_all")
+        # the base spans of a kind are disjoint and in order: only the last that starts before a candidate's end can touch it
+        "filter(_all, c -> " + " AND ".join(f"NOT coalesce({last_before(f'_{k}', 'y.start < c.end')}.end > c.start, false)" for k in BASE_KINDS) + ")")
+        ).drop("low", "_all")
 
 
 @dataclass(frozen=True)

@@ -262,3 +262,44 @@ def test_license_scan_has_no_python(spark):
 def test_other_column_names(spark, op):
     df = frame(spark, [(3, "some text")]).select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
     assert op(df, id_col="id", text_col="body").first().doc_id == 3
+
+
+# ---- very long texts of nothing but matches ---------------------------------------
+
+def test_a_megabyte_of_license_names_takes_seconds(spark):
+    import time
+    text = "mit license apache license " * 38_000
+    scan = lambda t: licenses.scan_licenses(frame(spark, [(1, t)], 1)).collect()[0]
+    small, start = scan("mit license apache license " * 300), time.time()
+    big = scan(text)
+    assert time.time() - start < 60
+    assert big.n_base == 76_000 and big.labels == small.labels and big.last_word == 4 * 38_000 - 2
+    # the same detections at every repetition
+    shift = lambda d: (d.label, d.priority, d.start % 27, d.end - d.start)
+    assert {shift(d) for d in big.detections} == {shift(d) for d in small.detections} and len(big.detections) == 38_000 / 300 * len(small.detections)
+
+
+def test_positions_and_suppression_by_all_pairs(spark):
+    rules = [licenses.Rule("a", 90, "red", "red (fox|dog)( runs)?", 0.5), licenses.Rule("b", 80, "fox", "fox", 0.4),
+             licenses.Rule("c", 80, "red", "(the )?red (fox|dog|cat)", 0.4), licenses.Rule("d", 80, "cat", "red cat", 0.9)]
+    import random
+    r = random.Random(4)
+    for n in (1, 5, 127, 128, 129, 700):
+        words = [r.choice(["the", "red", "fox", "dog", "cat", "runs"]) for _ in range(n)]
+        line = " " + " ".join(words) + " "
+        found = [(k, x, m.start(), m.end()) for k, x in enumerate(rules) for m in re.finditer(f"(?<= )(?:{x.regex})(?= )", line)]
+        want = sorted((x.label, a - 1, b - 1) for k, x, a, b in found if not any(
+            c <= a and d >= b and (y.priority > x.priority or y.priority == x.priority and (d - c > b - a or d - c == b - a and j < k)) for j, y, c, d in found))
+        got = licenses.scan_licenses(frame(spark, [(1, " ".join(words))]), rules=rules, gate=("red", "fox", "cat")).collect()[0]
+        assert sorted((d.label, d.start, d.end) for d in got.detections) == want
+
+
+def test_a_megabyte_of_addresses_takes_seconds(spark):
+    import time
+    text = "write to some.one@example.com or 10.0.0.1 " * 24_000
+    model, start = pii.fit_span_model(frame(spark, PERSONAL)), time.time()
+    r = pii.find_pii(frame(spark, [(1, text)], 1), model).collect()[0]
+    assert time.time() - start < 60
+    want, listing = base6(1, text)
+    assert (1, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) == want
+    assert set(listing.split(",")) <= set(r.spans.split(","))
