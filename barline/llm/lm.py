@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.llm import elias_fano as ef
-from barline.llm.common import Numbers, map_file, remainder, scratch, staged, text_rows, write_file
+from barline.llm.common import Numbers, map_file, release, remainder, scratch, staged, text_rows, write_file
 
 ORDER = 3
 DISCOUNT = 0.5
@@ -450,6 +450,7 @@ def fit_chunks(rows: DataFrame, *, order: int = ORDER, min_count: int = MIN_COUN
                .applyInArrow(_builder(url, k, model, min_count, discount), SUMMARY).collect())
         level, points, hot = _level(got, bounds)
         model = Model([*model.levels, level], order, model.end)
+        release(rows.sparkSession)  # the blocks between tasks are in the files now
     return model
 
 
