@@ -233,9 +233,10 @@ class PieceCoder:
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text",
-                  keep_ids: bool = False, keep_decoded: bool = False) -> DataFrame:
+                  keep_ids: bool = False, keep_decoded: bool = False, keep_coder: bool = True) -> DataFrame:
     """Per document: ``n_tokens``, digests of the ids and of the bytes decoded from
-    them; on demand also ``ids`` and the ``decoded`` text."""
+    them; on demand also ``ids`` and the ``decoded`` text.  ``keep_coder``: the merge table and the pieces already coded
+    serve the worker's later tasks; without it each task makes its own, and no memory stays taken after it."""
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids + ["decoded"] * keep_decoded
     types = ([pa.int64(), pa.int64(), pa.string(), pa.string()] + [pa.list_(pa.int32())] * keep_ids
              + [pa.string()] * keep_decoded)
@@ -243,8 +244,8 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str
 
     def run(batches):
         import numpy as np
-        # the merge table and the pieces already coded serve the worker's later tasks too
-        coder = per_worker(("bpe", ranks_path, pattern), lambda: PieceCoder(read_ranks(ranks_path), pattern))
+        make = lambda: PieceCoder(read_ranks(ranks_path), pattern)
+        coder = per_worker(("bpe", ranks_path, pattern), make) if keep_coder else make()
         for batch in batches:
             rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
             for part in batches_of(rows, lambda r: len(r[1] or ""), TEXT_CHARS):
