@@ -44,7 +44,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of the decoded bytes."""
-    return encode_decode(docs, RANKS, PATTERN, keep_ids=True)
+    # workers go on to other stages, which need the memory
+    return encode_decode(docs, RANKS, PATTERN, keep_ids=True, keep_coder=False)
 
 
 STAGES = [
