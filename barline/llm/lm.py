@@ -15,8 +15,13 @@ share to the lower order (interpolated absolute discounting).
 Counting: each task counts its n-grams in chunks, cuts the sorted keys at bounds known
 beforehand and sends one compressed block per bucket; a bucket is merged by one task into
 one file of the shared folder.  Bounds follow the counts of the level below, and a hot
-context is cut by its successors, so buckets are even.  The model grows with the corpus;
-scoring tasks memory-map the files and touch the parts they need.
+context is cut by its successors, so buckets are even.  The model grows with the corpus.
+
+Looking up: a chunk sends its distinct keys, cut at the same bounds, to the tasks that own
+the buckets.  An owner memory-maps its bucket's file only and searches the keys of many
+chunks at once, so every file is read once a level however many chunks there are.  The
+answers of a chunk go to one file of the shared folder, which the next level and the score
+read; level k + 1 is counted from the answers of level k.
 
 Defined cases: null and empty texts are one end token; unknown words take the base's
 share of an unseen word and break the context; repeated rows count and score each; a null
@@ -27,6 +32,7 @@ training rows all words are unknown.  Texts are read whole.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import TYPE_CHECKING
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +41,9 @@ from pyspark.sql import functions as F
 from barline.llm import elias_fano as ef
 from barline.llm.common import Numbers, map_file, release, remainder, scratch, staged, text_rows, write_file
 
+if TYPE_CHECKING:
+    import numpy as np
+
 ORDER = 3
 DISCOUNT = 0.5
 MIN_COUNT = 1
@@ -94,29 +103,50 @@ def token_chunks(batches, limit: int = CHUNK_TOKENS):
         yield chunk()
 
 
-CHUNKS = "ids binary, valid binary, lens binary, hashes binary, seq binary"
-CHUNKS_SCHEMA = pa.schema([(c, pa.binary()) for c in ("ids", "valid", "lens", "hashes", "seq")])
+def press(array) -> bytes:
+    """An array, bytes of equal weight together and compressed."""
+    import numpy as np
+    import zstandard
+    a = np.ascontiguousarray(array)
+    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes())
+
+
+def unpress(data: bytes, dtype):
+    import numpy as np
+    import zstandard
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(planes.reshape(size, -1).T).view(dtype).ravel()
+
+
+CHUNKS = "chunk string, n long, ids binary, valid binary, lens binary, hashes binary, seq binary"
+CHUNKS_SCHEMA = pa.schema([("chunk", pa.string()), ("n", pa.int64()),
+                           *[(c, pa.binary()) for c in ("ids", "valid", "lens", "hashes", "seq")]])
+CHUNK_TYPES = ("<i8", "u1", "<i8", "<u8", "<i4")
 
 
 def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The chunks of ``token_chunks`` as rows in the shared folder: words are cut and numbered
-    once, counting and scoring read numbers."""
+    once, counting and scoring read numbers.  ``n`` counts a chunk's tokens."""
     def run(batches):
+        import uuid
+
         import numpy as np
         for ids, lens, hashes, seq in token_chunks(batches):
-            row = [np.array([i or 0 for i in ids], "<i8"), np.array([i is not None for i in ids], np.uint8),
-                   lens.astype("<i8"), hashes.astype("<u8"), seq.astype("<i4")]
-            yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in row], schema=CHUNKS_SCHEMA)
+            arrays = [np.array([i or 0 for i in ids], "<i8"), np.array([i is not None for i in ids], "u1"),
+                      lens.astype("<i8"), hashes.astype("<u8"), seq.astype("<i4")]
+            row = [uuid.uuid4().hex, len(seq), *map(press, arrays)]
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, CHUNKS_SCHEMA)], schema=CHUNKS_SCHEMA)
 
     return staged(text_rows(docs, id_col, text_col).mapInArrow(run, CHUNKS), "chunks")
 
 
 def read_chunks(batches):
-    """``(ids, valid, lens, hashes, seq)`` of every chunk."""
-    import numpy as np
+    """``(chunk, ids, valid, lens, hashes, seq)`` of every chunk."""
     for batch in batches:
-        for row in zip(*(batch.column(k) for k in range(5))):
-            yield tuple(np.frombuffer(x.as_buffer(), t) for x, t in zip(row, ("<i8", np.uint8, "<i8", "<u8", "<i4")))
+        for i in range(batch.num_rows):
+            yield batch.column(0)[i].as_py(), *(unpress(batch.column(k + 2)[i].as_buffer(), t)
+                                                for k, t in enumerate(CHUNK_TYPES))
 
 
 # ---- blocks between tasks -----------------------------------------------------------
@@ -125,36 +155,41 @@ BLOCK = "bucket long, keys binary, counts binary"
 BLOCK_SCHEMA = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
-def blocks(keys, counts, bounds):
-    """Sorted keys with counts, cut at the bounds, as compressed rows."""
+def cut(keys, bounds):
+    """``(bucket, lo, hi)`` of the sorted keys of each bucket that has some."""
     import numpy as np
-    import zstandard
-    press = zstandard.ZstdCompressor(level=1).compress
-    cuts = np.searchsorted(keys, np.array(bounds[1:], np.uint64))
-    rows = []
-    for b, (lo, hi) in enumerate(zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)])):
+    cuts = np.searchsorted(keys, np.asarray(bounds[1:], np.uint64)).tolist()
+    for b, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(keys)])):
         if hi > lo:
-            gaps = np.diff(keys[lo:hi], prepend=np.uint64(0))
-            planes = gaps.astype("<u8").view(np.uint8).reshape(-1, 8).T  # bytes of equal weight together
-            rows.append((b, press(planes.tobytes()), press(counts[lo:hi].astype("<u4").tobytes())))
+            yield b, lo, hi
+
+
+def press_keys(keys) -> bytes:
+    """Sorted keys as gaps."""
+    import numpy as np
+    return press(np.diff(keys, prepend=np.uint64(0)).astype("<u8"))
+
+
+def unpress_keys(data: bytes):
+    import numpy as np
+    return np.cumsum(unpress(data, "<u8"), dtype=np.uint64)
+
+
+def blocks(keys, counts, bounds):
+    """Sorted keys with counts, cut at the bounds, as compressed rows."""
+    rows = [(b, press_keys(keys[lo:hi]), press(counts[lo:hi].astype("<u4"))) for b, lo, hi in cut(keys, bounds)]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), BLOCK_SCHEMA)], schema=BLOCK_SCHEMA)
 
 
 def merge_blocks(t: pa.Table):
     """Sorted distinct keys of a bucket with their summed counts."""
     import numpy as np
-    import zstandard
-    unpress = zstandard.ZstdDecompressor().decompress
-    keys, counts = [], []
-    for k, c in zip(t.column("keys").to_pylist(), t.column("counts").to_pylist()):
-        planes = np.frombuffer(unpress(k), np.uint8).reshape(8, -1)
-        keys.append(np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64))
-        counts.append(np.frombuffer(unpress(c), "<u4").astype(np.int64))
-    k, c = np.concatenate(keys), np.concatenate(counts)
+    k = np.concatenate([unpress_keys(x) for x in t.column("keys").to_pylist()])
+    c = np.concatenate([unpress(x, "<u4") for x in t.column("counts").to_pylist()])
     order = np.argsort(k, kind="stable")
     k, c = k[order], c[order]
     first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-    return k[first], np.add.reduceat(c, first)
+    return k[first], np.add.reduceat(c, first, dtype=np.int64)
 
 
 def distinct(keys):
@@ -169,60 +204,105 @@ def distinct(keys):
     return seen[order], rank[codes]
 
 
-def count_keys(keys):
-    """Sorted distinct keys with their counts."""
+def packed_counts(counts) -> dict:
+    """Counts as bytes, with the places and values of those above 254."""
     import numpy as np
-    return np.unique(keys, return_counts=True)
+    large = np.flatnonzero(counts > 254)
+    return {"counts": np.minimum(counts, 255).astype(np.uint8), "large.at": large.astype("<i8"), "large": counts[large].astype("<i8")}
+
+
+def counts_at(arrays: dict, places):
+    """Counts of ``packed_counts`` at these places."""
+    import numpy as np
+    out = arrays["counts"][places].astype(np.int64)
+    over = np.flatnonzero(out == 255)
+    out[over] = arrays["large"][np.searchsorted(arrays["large.at"], places[over])]
+    return out
 
 
 # ---- the model -----------------------------------------------------------------------
 
 @dataclass
 class Level:
-    """One level: bucket bounds over its keys, the buckets' files and first positions."""
+    """One level: bucket bounds over its keys, the buckets that have a file, their first positions."""
 
-    bounds: list[int]
-    files: list[str | None]
-    bases: list[int]
+    name: str
+    bounds: np.ndarray
+    filled: np.ndarray
+    bases: np.ndarray
     n: int
     total: int
     #: Weight of contexts that buckets share, by context.
     shared: dict[int, float] = field(default_factory=dict)
 
-    def open(self, b: int):
-        cache = self.__dict__.setdefault("_open", {})
-        if b not in cache:
-            arrays, head = view_file(self.files[b])
-            names = [k for k in ("keys", "contexts", "pointers") if k in head]
-            cache[b] = arrays, {k: ef.EliasFano(arrays, head, k) for k in names}
-        return cache[b]
-
-    def by_bucket(self, keys):
-        """``(bucket, lo, hi)`` of the sorted keys of each bucket that has a file."""
-        import numpy as np
-        cuts = np.searchsorted(keys, np.array(self.bounds[1:], np.uint64)).tolist()
-        for b, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(keys)])):
-            if hi > lo and self.files[b]:
-                yield b, lo, hi
+    @property
+    def files(self) -> list[str | None]:
+        return [file_name(self.name, b) if f else None for b, f in enumerate(self.filled.tolist())]
 
-    def at(self, name: str, places):
-        """Entries of count array ``name`` at global positions (0 where negative)."""
+    def open(self, b: int):
+        """Arrays and sequences of a bucket's file; the one opened last stays open."""
+        last = self.__dict__.get("_open")
+        if last is None or last[0] != b:
+            arrays, head = view_file(file_name(self.name, b))
+            last = b, arrays, {k: ef.EliasFano(arrays, head, k) for k in ("keys", "contexts", "pointers") if k in head}
+            self.__dict__["_open"] = last
+        return last[1:]
+
+    def counts(self, places):
+        """Counts of the entries at these sorted global positions (0 or more)."""
         import numpy as np
         out = np.zeros(len(places), np.int64)
-        order = np.argsort(places, kind="stable")
-        p = places[order]
-        starts = [*self.bases, self.n]
-        cuts = np.searchsorted(p, np.array(starts))
-        for b in range(len(self.files)):
+        cuts = np.searchsorted(places, [*self.bases, self.n])
+        for b in np.flatnonzero((cuts[1:] > cuts[:-1]) & self.filled).tolist():
             lo, hi = int(cuts[b]), int(cuts[b + 1])
-            if hi > lo and self.files[b]:
-                out[order[lo:hi]] = self.open(b)[0][name][p[lo:hi] - self.bases[b]]
+            out[lo:hi] = counts_at(self.open(b)[0], places[lo:hi] - self.bases[b])
         return out
 
+    def words(self, b: int, hashes):
+        """Of sorted word hashes of bucket ``b``: ids (-1 for unknown words) and counts."""
+        import numpy as np
+        ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
+        if self.filled[b]:
+            arrays, seqs = self.open(b)
+            got = seqs["keys"].find(hashes)
+            some = np.flatnonzero(got >= 0)
+            ids[some], counts[some] = got[some] + self.bases[b], counts_at(arrays, got[some])
+        return ids, counts
+
+    def successors(self, b: int, keys, v: int):
+        """Of sorted keys ``context * v + word`` of bucket ``b``: positions (-1 where not kept), codes of
+        the shares, and codes of the weight left to the lower order."""
+        import numpy as np
+        v = np.uint64(v)
+        place, share, left = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.uint16), np.zeros(len(keys), np.uint16)
+        owner, word = (keys // v).astype(np.int64), keys % v
+        first = np.concatenate([[True], owner[1:] != owner[:-1]])
+        c, inv = owner[first], np.cumsum(first) - 1
+        left_of = np.zeros(len(c), np.uint16)  # code 0: all of it
+        if self.filled[b]:
+            arrays, seqs = self.open(b)
+            local = seqs["contexts"].find(c)
+            known = np.flatnonzero(local >= 0)
+            left_of[known] = arrays["left"][local[known]]
+            local = local[inv]
+            some = np.flatnonzero(local >= 0)
+            got = seqs["keys"].find(local[some].astype(np.uint64) * v + word[some])
+            some, got = some[got >= 0], got[got >= 0]
+            place[some], share[some] = got + self.bases[b], arrays["probs"][got]
+        if self.shared:
+            for i in np.flatnonzero(np.isin(c, np.fromiter(self.shared, np.int64, len(self.shared)))).tolist():
+                left_of[i] = quantise(np.array([1 - self.shared[int(c[i])]]))[0]
+        left[:] = left_of[inv]
+        return place, share, left
+
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_open"}
 
 
+def file_name(name: str, bucket: int) -> str:
+    return f"{name}-{bucket:06d}"
+
+
 def view_file(url: str):
     return ef.view_arrays(map_file(url))
 
@@ -245,76 +325,25 @@ class Model:
         """Ids of word hashes, -1 for unknown words."""
         import numpy as np
         order = np.argsort(hashes)
-        h, out = hashes[order], np.full(len(hashes), -1, np.int64)
-        level = self.levels[0]
-        for b, lo, hi in level.by_bucket(h):
-            got = level.open(b)[1]["keys"].find(h[lo:hi])
-            out[order[lo:hi]] = np.where(got >= 0, got + level.bases[b], -1)
+        out = np.full(len(hashes), -1, np.int64)
+        for b, lo, hi in cut(hashes[order], self.levels[0].bounds):
+            out[order[lo:hi]] = self.levels[0].words(b, hashes[order[lo:hi]])[0]
         return out
 
-    def find(self, k: int, ctx, word):
-        """Of the successors ``word`` of contexts ``ctx`` (both at least 0): positions at level
-        ``k``, shares (0 where not kept), and the weight left to the lower order."""
-        import numpy as np
-        level, v = self.levels[k - 1], self.n_words
-        keys, back = distinct(ctx.astype(np.uint64) * np.uint64(v) + word.astype(np.uint64))
-        place, share, left = np.full(len(keys), -1, np.int64), np.zeros(len(keys)), np.ones(len(keys))
-        owner, word = (keys // np.uint64(v)).astype(np.int64), keys % np.uint64(v)
-        for b, lo, hi in level.by_bucket(keys):
-            arrays, seqs = level.open(b)
-            first = np.concatenate([[True], owner[lo + 1:hi] != owner[lo:hi - 1]])  # keys are sorted
-            c, inv = owner[lo:hi][first], np.cumsum(first) - 1
-            local = seqs["contexts"].find(c)
-            left[lo:hi] = np.where(local >= 0, probability(arrays["left"][np.maximum(local, 0)]), 1.0)[inv]
-            local = local[inv]
-            some = np.flatnonzero(local >= 0)
-            got = seqs["keys"].find(local[some].astype(np.uint64) * np.uint64(v) + word[lo + some])
-            some, got = some[got >= 0], got[got >= 0]
-            place[lo + some] = got + level.bases[b]
-            share[lo + some] = probability(arrays["probs"][got])
-        if level.shared:
-            c = np.array(sorted(level.shared), np.int64)
-            i = np.minimum(np.searchsorted(c, owner), len(c) - 1)
-            hit = c[i] == owner
-            left[hit] = np.array([1 - level.shared[x] for x in c.tolist()])[i[hit]]
-        return place[back], share[back], left[back]
-
     def successors(self, k: int, ctx: int) -> list[tuple[int, int]]:
         """``(word id, count)`` of a context's kept successors, by its pointers."""
         import numpy as np
         level, v, out = self.levels[k - 1], self.n_words, []
-        for b, url in enumerate(level.files):
-            if url and level.bounds[b] < (ctx + 1) * v and (b + 1 == len(level.bounds) or level.bounds[b + 1] > ctx * v):
+        for b in np.flatnonzero(level.filled).tolist():
+            if int(level.bounds[b]) < (ctx + 1) * v and (b + 1 == len(level.bounds) or int(level.bounds[b + 1]) > ctx * v):
                 arrays, seqs = level.open(b)
                 c = seqs["contexts"].find(np.array([ctx]))
                 if c[0] >= 0:
                     lo, hi = seqs["pointers"].access(np.array([c[0], c[0] + 1])).astype(int)
                     words = seqs["keys"].access(np.arange(lo, hi)) - np.uint64(c[0]) * np.uint64(v)
-                    out += zip(words.astype(int).tolist(), arrays["counts"][lo:hi].tolist())
+                    out += zip(words.astype(int).tolist(), counts_at(arrays, np.arange(lo, hi)).tolist())
         return out
 
-    def contexts(self, upto: int, w):
-        """For tokens ``w`` (word ids, whole texts one after the other): per order from 2 to
-        ``upto`` the context of every token, its position and share, and the weight left."""
-        import numpy as np
-        before = np.concatenate([[self.end], w[:-1]])
-        ctx = before
-        for k in range(2, upto + 1):
-            ok = np.flatnonzero((ctx >= 0) & (w >= 0))
-            if len(ok) == len(w) and len(self.levels) >= k:
-                place, share, left = self.find(k, ctx, w)
-                yield k, ctx, place, share, left
-                ctx = np.concatenate([[-1], np.where(w[:-1] == self.end, -1, place[:-1])])
-                continue
-            place, share, left = np.full(len(w), -1, np.int64), np.zeros(len(w)), np.ones(len(w))
-            alone = np.flatnonzero((ctx >= 0) & (w < 0))
-            if len(self.levels) >= k:
-                place[ok], share[ok], left[ok] = self.find(k, ctx[ok], w[ok])
-                if len(alone):  # an unknown word still leaves through the context's weight
-                    left[alone] = self.find(k, ctx[alone], np.zeros(len(alone), np.int64))[2]
-            yield k, ctx, place, share, left
-            ctx = np.concatenate([[-1], np.where(w[:-1] == self.end, -1, place[:-1])])
-
 
 def even_bounds(points: list[tuple[int, int]], hot: list[tuple[int, int]], total: int, buckets: int, v: int) -> list[int]:
     """Key bounds of about equal counts; ``points`` are (position, count before it) in order.
@@ -332,35 +361,33 @@ def even_bounds(points: list[tuple[int, int]], hot: list[tuple[int, int]], total
     return sorted(out)
 
 
-SUMMARY = ("bucket long, file string, n long, total long, first long, last long, first_mass double, last_mass double, "
+SUMMARY = ("bucket long, filled boolean, n long, total long, first long, last long, first_mass double, last_mass double, "
            "points array<long>, hot array<long>")
-SUMMARY_SCHEMA = pa.schema([("bucket", pa.int64()), ("file", pa.string()), ("n", pa.int64()), ("total", pa.int64()),
+SUMMARY_SCHEMA = pa.schema([("bucket", pa.int64()), ("filled", pa.bool_()), ("n", pa.int64()), ("total", pa.int64()),
                             ("first", pa.int64()), ("last", pa.int64()), ("first_mass", pa.float64()),
                             ("last_mass", pa.float64()), ("points", pa.list_(pa.int64())), ("hot", pa.list_(pa.int64()))])
 
 
-def summary(bucket: int, url: str | None, counts, first=-1, last=-1, first_mass=0.0, last_mass=0.0) -> pa.Table:
-    """A bucket's row: sizes, positions and counts at 64 even steps, and its 16 largest."""
+def summary(bucket: int, filled: bool, counts, first=-1, last=-1, first_mass=0.0, last_mass=0.0) -> pa.Table:
+    """A bucket's row: sizes, positions and counts at 16 even steps, and the entries that hold more than such a step."""
     import numpy as np
     run = np.concatenate([[0], np.cumsum(counts)])
-    at = np.unique(np.searchsorted(run, np.linspace(0, run[-1], 65)[:-1], "right") - 1) if len(counts) else np.zeros(0, int)
-    top = np.sort(np.argsort(counts, kind="stable")[-16:]) if len(counts) else np.zeros(0, int)
+    at = np.unique(np.searchsorted(run, np.linspace(0, run[-1], 17)[:-1], "right") - 1) if len(counts) else np.zeros(0, int)
+    top = np.flatnonzero(np.asarray(counts) * 16 > run[-1]) if len(counts) else np.zeros(0, int)
     points = np.stack([at, run[at]], 1).ravel() if len(at) else []
     hot = np.stack([top, np.asarray(counts)[top]], 1).ravel() if len(top) else []
-    row = [bucket, url, len(counts), int(run[-1]), first, last, first_mass, last_mass, [int(x) for x in points], [int(x) for x in hot]]
+    row = [bucket, filled, len(counts), int(run[-1]), first, last, first_mass, last_mass, [int(x) for x in points], [int(x) for x in hot]]
     return pa.Table.from_arrays([pa.array([x], f.type) for x, f in zip(row, SUMMARY_SCHEMA)], schema=SUMMARY_SCHEMA)
 
 
 def build_words(t: pa.Table, url: str) -> pa.Table:
     """Merges a bucket of word counts into a file of level 1."""
-    import numpy as np
     bucket = t.column("bucket")[0].as_py()
     keys, counts = merge_blocks(t)
     arrays, head = ef.build(keys, HASH_SPACE, "keys")
-    arrays["counts"] = counts.astype("<i8" if counts.max() >> 32 else "<u4")
-    name = f"{url}/words-{bucket:06d}"
-    write_file(name, [ef.pack_arrays(arrays, head)])
-    return summary(bucket, name, counts.astype(np.int64))
+    arrays.update(packed_counts(counts))
+    write_file(file_name(url, bucket), [ef.pack_arrays(arrays, head)])
+    return summary(bucket, True, counts)
 
 
 def build_level(t: pa.Table, url: str, k: int, model: Model, min_count: int, discount: float) -> pa.Table:
@@ -371,11 +398,11 @@ def build_level(t: pa.Table, url: str, k: int, model: Model, min_count: int, dis
     keep = counts >= min_count
     keys, counts, v = keys[keep], counts[keep], np.uint64(model.n_words)
     if not len(keys):
-        return summary(bucket, None, counts)
+        return summary(bucket, False, counts)
     ctx, word = (keys // v).astype(np.int64), keys % v
     first = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
     owners = ctx[first]
-    seen = model.levels[k - 2].at("counts", owners)
+    seen = model.levels[k - 2].counts(owners)
     local = np.repeat(np.arange(len(first)), np.diff([*first, len(ctx)]))
     share = (counts - discount) / seen[local]
     mass = np.add.reduceat(share, first)
@@ -386,71 +413,222 @@ def build_level(t: pa.Table, url: str, k: int, model: Model, min_count: int, dis
         a, h = ef.build(values, universe, name)
         arrays.update(a)
         head.update(h)
-    arrays["counts"] = counts.astype("<i8" if counts.max() >> 32 else "<u4")
+    arrays.update(packed_counts(counts))
     arrays["probs"], arrays["left"] = quantise(share), quantise(1 - mass)
-    name = f"{url}/level{k}-{bucket:06d}"
-    write_file(name, [ef.pack_arrays(arrays, head)])
-    return summary(bucket, name, counts, int(owners[0]), int(owners[-1]), float(mass[0]), float(mass[-1]))
+    write_file(file_name(url, bucket), [ef.pack_arrays(arrays, head)])
+    return summary(bucket, True, counts, int(owners[0]), int(owners[-1]), float(mass[0]), float(mass[-1]))
 
 
-def _level(rows: list, bounds: list[int]) -> tuple[Level, list[tuple[int, int]], list[tuple[int, int]]]:
+def _level(name: str, rows: list, bounds: list[int]) -> tuple[Level, list[tuple[int, int]], list[tuple[int, int]]]:
     """The level from its buckets' rows, with points and hot entries at global positions."""
+    import numpy as np
     by = {r["bucket"]: r for r in rows}
-    files, bases, points, hot, n, total, mass = [], [], [], [], 0, 0, {}
+    filled, bases = np.zeros(len(bounds), bool), np.zeros(len(bounds), np.int64)
+    points, hot, n, total, mass, times = [], [], 0, 0, {}, {}
     for b in range(len(bounds)):
         r = by.get(b)
-        files.append(r["file"] if r else None)
-        bases.append(n)
+        bases[b] = n
         if not r or not r["n"]:
             continue
+        filled[b] = r["filled"]
         points += [(n + p, total + c) for p, c in zip(r["points"][::2], r["points"][1::2])]
         hot += [(n + p, c) for p, c in zip(r["hot"][::2], r["hot"][1::2])]
         for c, m in {r["first"]: r["first_mass"], r["last"]: r["last_mass"]}.items():
-            mass[c] = mass.get(c, 0.0) + m
+            mass[c], times[c] = mass.get(c, 0.0) + m, times.get(c, 0) + 1
         n, total = n + r["n"], total + r["total"]
-    return Level(bounds, files, bases, n, total, mass), points, hot
+    shared = {c: m for c, m in mass.items() if c >= 0 and times[c] > 1}
+    return Level(name, np.array(bounds, np.uint64), filled, bases, n, total, shared), points, hot
+
+
+# ---- answers: what the levels hold of a chunk's keys -----------------------------------
+
+#: Keys that an owner looks up together.
+ASKED_TOGETHER = 1 << 21
+
+
+def asked(ctx, w, v: int):
+    """Tokens with a context, the sorted distinct keys they ask for, and each token's place among these.
+    An unknown word asks for word 0: its context's weight is wanted."""
+    import numpy as np
+    ok = np.flatnonzero(ctx >= 0)
+    return ok, *distinct(ctx[ok].astype(np.uint64) * np.uint64(v) + np.maximum(w[ok], 0).astype(np.uint64))
+
+
+def press_answer(places, *codes) -> list[bytes]:
+    """Positions (rising but for the -1 of absent keys) and codes, compressed."""
+    import numpy as np
+    found = places >= 0
+    return [press(found.astype("u1")), press(np.diff(places[found], prepend=0).astype("<i8")), *(press(c) for c in codes)]
+
+
+def unpress_answer(found: bytes, places: bytes, *codes, types):
+    import numpy as np
+    found = unpress(found, "u1") > 0
+    out = np.full(len(found), -1, np.int64)
+    out[found] = np.cumsum(unpress(places, "<i8"))
+    return out, *(unpress(c, t) for c, t in zip(codes, types))
+
+
+ANSWER = "chunk string, bucket long, found binary, places binary, one binary, two binary"
+ANSWER_SCHEMA = pa.schema([("chunk", pa.string()), ("bucket", pa.int64()),
+                           *[(c, pa.binary()) for c in ("found", "places", "one", "two")]])
+ANSWER_TYPES = {1: ("<i8",), 2: ("<u2", "<u2")}
+
+
+def answer_types(k: int):
+    return ANSWER_TYPES[min(k, 2)]
+
+
+def _ask(model: Model, k: int, url: str):
+    """Sends every chunk's keys of level ``k`` to the owners of the buckets."""
+    bounds = model.levels[k - 1].bounds
+
+    def run(batches):
+        import numpy as np
+        for chunk, *_, hashes, seq in read_chunks(batches):
+            keys = np.sort(hashes)
+            if k > 1:
+                keys = walk(model, url, chunk, word_answers(url, chunk, hashes)[0][seq], k)[1][1]
+            for b, lo, hi in cut(keys, bounds):
+                yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int64()), "chunk": pa.array([chunk]),
+                                                  "keys": pa.array([press_keys(keys[lo:hi])], pa.binary())})
+    return run
+
+
+def _own(model: Model, k: int):
+    """Answers the keys of each bucket, many chunks at a time; rows come sorted by bucket."""
+    level = model.levels[k - 1]
+
+    def answer(bucket, chunks, keys):
+        import numpy as np
+        ends = np.cumsum([len(x) for x in keys])
+        merged, back = distinct(np.concatenate(keys))
+        got = level.words(bucket, merged) if k == 1 else level.successors(bucket, merged, model.n_words)
+        got = [x[back] for x in got]
+        for chunk, lo, hi in zip(chunks, [0, *ends[:-1].tolist()], ends.tolist()):
+            data = press_answer(*(x[lo:hi].astype(t) for x, t in zip(got, ("<i8", *answer_types(k)))))
+            row = [chunk, bucket, *data, *[b""] * (4 - len(data))]
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, ANSWER_SCHEMA)], schema=ANSWER_SCHEMA)
+
+    def run(batches):
+        at, chunks, keys, size = -1, [], [], 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                bucket = batch.column(0)[i].as_py()
+                if chunks and (bucket != at or size >= ASKED_TOGETHER):
+                    yield from answer(at, chunks, keys)
+                    chunks, keys, size = [], [], 0
+                at = bucket
+                chunks.append(batch.column(1)[i].as_py())
+                keys.append(unpress_keys(batch.column(2)[i].as_buffer()))
+                size += len(keys[-1])
+        if chunks:
+            yield from answer(at, chunks, keys)
+    return run
+
+
+def answer_file(url: str, k: int, chunk: str) -> str:
+    return f"{url}/answers{k}-{chunk}"
+
+
+def _keep(url: str, k: int):
+    """Writes a chunk's answers, in the order of its keys, as one file."""
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("bucket")
+        types = answer_types(k)
+        parts = [unpress_answer(*row[:2 + len(types)], types=types)
+                 for row in zip(*(t.column(c).to_pylist() for c in ANSWER_SCHEMA.names[2:]))]
+        import numpy as np
+        data = press_answer(*(np.concatenate(x) for x in zip(*parts)))
+        chunk = t.column("chunk")[0].as_py()
+        write_file(answer_file(url, k, chunk), [b"".join(len(x).to_bytes(8, "little") for x in data), *data])
+        return pa.table({"chunk": [chunk]})
+    return run
+
+
+def read_answer(url: str, k: int, chunk: str):
+    """Level 1: ids and counts of the chunk's sorted word hashes; above: positions and codes of its keys."""
+    types = answer_types(k)
+    image = map_file(answer_file(url, k, chunk))
+    sizes, at, parts = image[:8 * (2 + len(types))].view("<i8").tolist(), 8 * (2 + len(types)), []
+    for size in sizes:
+        parts.append(image[at:at + size].tobytes())
+        at += size
+    return unpress_answer(*parts, types=types)
+
+
+def look_up(rows: DataFrame, model: Model, k: int, url: str) -> None:
+    """Writes the answers of level ``k`` for every chunk."""
+    (rows.mapInArrow(_ask(model, k, url), "bucket long, chunk string, keys binary")
+     .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_own(model, k), ANSWER)
+     .groupBy("chunk").applyInArrow(_keep(url, k), "chunk string").write.format("noop").mode("overwrite").save())
+    release(rows.sparkSession)  # keys and answers between tasks are in the files now
+
+
+def word_answers(url: str, chunk: str, hashes):
+    """Ids and counts of a chunk's words, in the order of ``hashes``."""
+    import numpy as np
+    order = np.argsort(hashes, kind="stable")
+    out = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
+    for o, x in zip(out, read_answer(url, 1, chunk)):
+        o[order] = x
+    return out
+
+
+def following(place, w, end: int):
+    """Contexts of the next order: the position of the token before, none across texts."""
+    import numpy as np
+    return np.concatenate([[-1], np.where(w[:-1] == end, -1, place[:-1])])
+
+
+def walk(model: Model, url: str, chunk: str, w, upto: int):
+    """``(ctx, (ok, keys, back))`` of order ``upto`` for tokens ``w`` (word ids), by the answers of the orders below."""
+    import numpy as np
+    ctx = np.concatenate([[model.end], w[:-1]])
+    for k in range(2, upto):
+        ok, _, back = asked(ctx, w, model.n_words)
+        place = np.full(len(w), -1, np.int64)
+        if len(ok):  # without keys there is no file
+            place[ok] = read_answer(url, k, chunk)[0][back]
+        ctx = following(np.where(w < 0, -1, place), w, model.end)
+    return ctx, asked(ctx, w, model.n_words)
 
 
 def fit_model(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
               min_count: int = MIN_COUNT, discount: float = DISCOUNT, bucket_bytes: int = BUCKET_BYTES) -> Model:
     """Builds the trie from all rows of ``docs``; its files lie in the shared folder."""
-    return fit_chunks(tokenise(docs, id_col, text_col), order=order, min_count=min_count, discount=discount,
-                      bucket_bytes=bucket_bytes)
+    return fit_chunks(tokenise(docs, id_col, text_col), scratch(docs.sparkSession, "answers"), order=order,
+                      min_count=min_count, discount=discount, bucket_bytes=bucket_bytes)
 
 
-def fit_chunks(rows: DataFrame, *, order: int = ORDER, min_count: int = MIN_COUNT, discount: float = DISCOUNT,
-               bucket_bytes: int = BUCKET_BYTES) -> Model:
-    """Builds the trie from all chunks of ``tokenise``."""
+def fit_chunks(train: DataFrame, answers: str, others: DataFrame | None = None, *, order: int = ORDER, min_count: int = MIN_COUNT,
+               discount: float = DISCOUNT, bucket_bytes: int = BUCKET_BYTES) -> Model:
+    """Builds the trie from all chunks ``train`` of ``tokenise``.  The folder ``answers`` then holds what the levels below
+    the highest say of these chunks and of ``others``."""
     import xxhash
-    url = scratch(rows.sparkSession, "lm")
-    size = 1.5 * (rows.agg(F.sum(F.octet_length("seq"))).first()[0] or 0)  # about six bytes of text a word
+    spark, url = train.sparkSession, scratch(train.sparkSession, "lm")
+    rows = train if others is None else train.unionByName(others)
+    size = 6 * (train.agg(F.sum("n")).first()[0] or 0)  # about six bytes of text a word
     buckets = int(size) // bucket_bytes + 1
-    bounds = [HASH_SPACE * b // buckets for b in range(buckets)]
-
-    def words(batches):
-        import numpy as np
-        for *_, hashes, seq in read_chunks(batches):
-            order_ = np.argsort(hashes)
-            yield blocks(hashes[order_], np.bincount(seq, minlength=len(hashes))[order_], bounds)
-
-    got = rows.mapInArrow(words, BLOCK).groupBy("bucket").applyInArrow(lambda t: build_words(t, url), SUMMARY).collect()
-    level, points, hot = _level(got, bounds)
-    level.shared = {}
-    model = Model([level], order, -1)
-    end = xxhash.xxh3_64_intdigest(END)
-    if not level.n:
-        return model
-    ends = rows.sparkSession.range(1, numPartitions=1).mapInArrow(_finder(model, end), "id long").collect()
-    model.end = ends[0][0]
-    for k in range(2, order + 1):
-        if model.levels[-1].n * model.n_words >= 1 << 64:
-            raise ValueError("n-gram keys exceed 64 bits")
-        bounds = even_bounds(points, hot, level.total, buckets * (2 if k > 2 else 1), model.n_words)
-        got = (rows.mapInArrow(_ngrams(model, k, bounds), BLOCK).groupBy("bucket")
-               .applyInArrow(_builder(url, k, model, min_count, discount), SUMMARY).collect())
-        level, points, hot = _level(got, bounds)
+    bounds, points, hot, model = [HASH_SPACE * b // buckets for b in range(buckets)], [], [], Model([], order, -1)
+    for k in range(1, order + 1):
+        if k > 1:
+            if model.levels[-1].n * model.n_words >= 1 << 64:
+                raise ValueError("n-gram keys exceed 64 bits")
+            bounds = even_bounds(points, hot, model.levels[-1].total, buckets * (2 if k > 2 else 1), model.n_words)
+        name = f"{url}/level{k}"
+        got = (train.mapInArrow(_count(model, k, bounds, answers), BLOCK).groupBy("bucket")
+               .applyInArrow(_builder(name, k, model, min_count, discount), SUMMARY).collect())
+        level, points, hot = _level(name, got, bounds)
         model = Model([*model.levels, level], order, model.end)
-        release(rows.sparkSession)  # the blocks between tasks are in the files now
+        release(spark)  # the blocks between tasks are in the files now
+        if not model.n_words:
+            break
+        if k == 1:
+            find = _finder(model, xxhash.xxh3_64_intdigest(END))
+            model.end = spark.range(1, numPartitions=1).mapInArrow(find, "id long").collect()[0][0]
+        if k < order:
+            look_up(rows, model, k, answers)
     return model
 
 
@@ -462,49 +640,59 @@ def _finder(model: Model, value: int):
     return run
 
 
-def _ngrams(model: Model, k: int, bounds: list[int]):
-    """Counts the tokens' level-``k`` keys, chunk by chunk."""
+def _count(model: Model, k: int, bounds: list[int], url: str):
+    """Counts the chunks' keys of level ``k``."""
     def run(batches):
         import numpy as np
-        for *_, hashes, seq in read_chunks(batches):
-            w = model.word_ids(hashes)[seq]
-            ctx = None
-            for j, ctx, *_ in model.contexts(k, w):
-                if j == k:
-                    break
-            ok = ctx >= 0
-            if ok.any():
-                keys, counts = count_keys(ctx[ok].astype(np.uint64) * np.uint64(model.n_words) + w[ok].astype(np.uint64))
-                yield blocks(keys, counts, bounds)
+        for chunk, *_, hashes, seq in read_chunks(batches):
+            if k == 1:
+                order = np.argsort(hashes)
+                yield blocks(hashes[order], np.bincount(seq, minlength=len(hashes))[order], bounds)
+                continue
+            _, (_, keys, back) = walk(model, url, chunk, word_answers(url, chunk, hashes)[0][seq], k)
+            if len(keys):
+                yield blocks(keys, np.bincount(back), bounds)
     return run
 
 
-def _builder(url: str, k: int, model: Model, min_count: int, discount: float):
-    return lambda t: build_level(t, url, k, model, min_count, discount)
+def _builder(name: str, k: int, model: Model, min_count: int, discount: float):
+    if k == 1:
+        return lambda t: build_words(t, name)
+    return lambda t: build_level(t, name, k, model, min_count, discount)
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: token counts, the add-half base and the model's log10 probability."""
-    return score_chunks(tokenise(docs, id_col, text_col), model)
+    return score_chunks(tokenise(docs, id_col, text_col), model, scratch(docs.sparkSession, "answers"))
 
 
-def score_chunks(rows: DataFrame, model: Model) -> DataFrame:
-    """``score`` over the chunks of ``tokenise``."""
+def score_chunks(rows: DataFrame, model: Model, answers: str, known: int = 0) -> DataFrame:
+    """``score`` over the chunks of ``tokenise``; the folder ``answers`` holds those of the first ``known`` levels."""
+    top = min(model.order, len(model.levels)) if model.n_words else 1
+    for k in range(known + 1, top + 1):
+        look_up(rows, model, k, answers)
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches):
         import numpy as np
         total, v = model.n_tokens, model.n_words
-        for ids, valid, lens, hashes, seq in read_chunks(batches):
-            known = model.word_ids(hashes)
-            counts = np.where(known >= 0, model.levels[0].at("counts", known), 0)
+        for chunk, ids, valid, lens, hashes, seq in read_chunks(batches):
+            found, counts = word_answers(answers, chunk, hashes)
             base = (counts + 0.5) / (total + 0.5 * (v + 1))
             starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-            w = known[seq]
-            p = base[seq]
-            for *_, share, left in model.contexts(min(model.order, len(model.levels)), w):
-                p = share + left * p  # without a context: 0 and 1
+            w, p = found[seq], base[seq]
+            ctx = np.concatenate([[model.end], w[:-1]])
+            for k in range(2, top + 1):
+                ok, _, back = asked(ctx, w, v)
+                if not len(ok):  # no keys, no file; nor at higher orders
+                    break
+                at, share, left = (x[back] for x in read_answer(answers, k, chunk))
+                at[w[ok] < 0] = -1
+                p[ok] = np.where(at >= 0, probability(share), 0.0) + probability(left) * p[ok]
+                place = np.full(len(w), -1, np.int64)
+                place[ok] = at
+                ctx = following(place, w, model.end)
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.int64(), mask=valid == 0), pa.array(lens), pa.array(np.add.reduceat((w >= 0).astype(np.int64), starts)),
                 pa.array(np.full(len(ids), total, np.int64)), pa.array(np.add.reduceat(np.log10(base)[seq], starts)),
@@ -518,6 +706,7 @@ def score_with_held_out(docs: DataFrame, *, fold: int = 5, held_out: int = 1, or
                         min_count: int = MIN_COUNT) -> DataFrame:
     """Fits on the rows outside the held-out fold and scores all rows."""
     out = remainder(F.col("doc_id"), fold) == held_out
-    train = tokenise(docs.filter(~out))
-    scored = score_chunks(train.unionByName(tokenise(docs.filter(out))), fit_chunks(train, order=order, min_count=min_count))
-    return scored.withColumn("held_out", out)
+    train, others, answers = tokenise(docs.filter(~out)), tokenise(docs.filter(out)), scratch(docs.sparkSession, "answers")
+    model = fit_chunks(train, answers, others, order=order, min_count=min_count)
+    known = min(order - 1, len(model.levels)) if model.n_words else 0
+    return score_chunks(train.unionByName(others), model, answers, known).withColumn("held_out", out)

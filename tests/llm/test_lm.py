@@ -101,6 +101,25 @@ def test_no_rows_and_no_training_rows(spark):
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in rows] == [(3, 0, 0)] * 2
 
 
+def test_held_out_rows_of_unknown_words(spark):
+    held = [i for i in range(40) if remainder(i, 5) == 1][:2]
+    train = [i for i in range(40) if remainder(i, 5) != 1][:6]
+    rows = [(i, "a b c a b") for i in train] + [(held[0], "zz yy"), (held[1], "qq")]
+    compare(frame(spark, rows), rows, 3)
+
+
+def test_small_chunks_and_few_keys_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 2000)
+    monkeypatch.setattr(lm, "ASKED_TOGETHER", 500)
+    docs = table(spark, SF_SMALL, "documents")
+    compare(docs, [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], 3)
+
+
+def test_counts_above_a_byte():
+    counts = np.array([1, 254, 255, 256, 70_000, 3, 1 << 40])
+    assert lm.counts_at(lm.packed_counts(counts), np.array([6, 0, 2, 2, 4, 1])).tolist() == [1 << 40, 1, 255, 255, 70_000, 254]
+
+
 def test_successors_by_pointers(spark):
     model = lm.fit_model(frame(spark, [(k, "a b a c a b") for k in range(4)]), order=2)
     import xxhash
