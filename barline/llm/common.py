@@ -6,6 +6,7 @@ ASCII-delimited, so UTF-8 bytes can be split without decoding.
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import os
 import tempfile
@@ -189,6 +190,19 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+@contextlib.contextmanager
+def shuffles_end_with_query(spark: SparkSession):
+    """Queries made and run in here remove their shuffle files as they end, for results that lie in the
+    shared folder or on the driver."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def open_fs(url: str):
     """``(pyarrow filesystem, path)`` of a shared folder."""
     from pyarrow import fs

@@ -20,8 +20,8 @@ context is cut by its successors, so buckets are even.  The model grows with the
 Looking up: a chunk sends its distinct keys, cut at the same bounds, to the tasks that own
 the buckets.  An owner memory-maps its bucket's file only and searches the keys of many
 chunks at once, so every file is read once a level however many chunks there are.  The
-answers of a chunk go to one file of the shared folder, which the next level and the score
-read; level k + 1 is counted from the answers of level k.
+answers of a chunk go to one file of the shared folder; level k + 1 is counted from the
+answers of level k.  Those of the highest level go to the task that scores the chunk.
 
 Defined cases: null and empty texts are one end token; unknown words take the base's
 share of an unseen word and break the context; repeated rows count and score each; a null
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.llm import elias_fano as ef
-from barline.llm.common import Numbers, map_file, release, remainder, scratch, staged, text_rows, write_file
+from barline.llm.common import Numbers, discard, map_file, remainder, scratch, shuffles_end_with_query, staged, text_rows, write_file
 
 if TYPE_CHECKING:
     import numpy as np
@@ -114,39 +114,57 @@ def press(array) -> bytes:
 def unpress(data: bytes, dtype):
     import numpy as np
     import zstandard
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    size = np.dtype(dtype).itemsize
+    data, size = zstandard.ZstdDecompressor().decompress(data), np.dtype(dtype).itemsize
+    if not data:
+        return np.zeros(0, dtype)
+    planes = np.frombuffer(data, np.uint8)
     return np.ascontiguousarray(planes.reshape(size, -1).T).view(dtype).ravel()
 
 
-CHUNKS = "chunk string, n long, ids binary, valid binary, lens binary, hashes binary, seq binary"
-CHUNKS_SCHEMA = pa.schema([("chunk", pa.string()), ("n", pa.int64()),
-                           *[(c, pa.binary()) for c in ("ids", "valid", "lens", "hashes", "seq")]])
-CHUNK_TYPES = ("<i8", "u1", "<i8", "<u8", "<i4")
+def write_parts(url: str, parts: list[bytes]) -> None:
+    write_file(url, [len(parts).to_bytes(8, "little"), *(len(x).to_bytes(8, "little") for x in parts), *parts])
 
 
-def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The chunks of ``token_chunks`` as rows in the shared folder: words are cut and numbered
-    once, counting and scoring read numbers.  ``n`` counts a chunk's tokens."""
+def read_parts(url: str) -> list[bytes]:
+    image = map_file(url)
+    n = int(image[:8].view("<i8")[0])
+    at, parts = 8 * (n + 1), []
+    for size in image[8:at].view("<i8").tolist():
+        parts.append(image[at:at + size].tobytes())
+        at += size
+    return parts
+
+
+def tokenise(docs: DataFrame, url: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Writes the chunks of ``token_chunks`` as files of the folder ``url``: words are cut and numbered once, counting
+    and scoring read numbers.  Returns the chunks' names and numbers of tokens."""
     def run(batches):
         import uuid
 
         import numpy as np
         for ids, lens, hashes, seq in token_chunks(batches):
-            arrays = [np.array([i or 0 for i in ids], "<i8"), np.array([i is not None for i in ids], "u1"),
-                      lens.astype("<i8"), hashes.astype("<u8"), seq.astype("<i4")]
-            row = [uuid.uuid4().hex, len(seq), *map(press, arrays)]
-            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, CHUNKS_SCHEMA)], schema=CHUNKS_SCHEMA)
+            chunk = uuid.uuid4().hex
+            write_parts(f"{url}/hashes/{chunk}", [press(hashes.astype("<u8"))])
+            write_parts(f"{url}/tokens/{chunk}", [
+                press(x) for x in (np.array([i or 0 for i in ids], "<i8"), np.array([i is not None for i in ids], "u1"),
+                                   lens.astype("<i8"), seq.astype("<i4"))])
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk]), "n": pa.array([len(seq)], pa.int64())})
 
-    return staged(text_rows(docs, id_col, text_col).mapInArrow(run, CHUNKS), "chunks")
+    return staged(text_rows(docs, id_col, text_col).mapInArrow(run, "chunk string, n long"), "chunks")
 
 
-def read_chunks(batches):
-    """``(chunk, ids, valid, lens, hashes, seq)`` of every chunk."""
+def names(batches):
     for batch in batches:
-        for i in range(batch.num_rows):
-            yield batch.column(0)[i].as_py(), *(unpress(batch.column(k + 2)[i].as_buffer(), t)
-                                                for k, t in enumerate(CHUNK_TYPES))
+        yield from batch.column(0).to_pylist()
+
+
+def read_hashes(url: str, chunk: str):
+    return unpress(read_parts(f"{url}/hashes/{chunk}")[0], "<u8")
+
+
+def read_tokens(url: str, chunk: str):
+    """``(ids, valid, lens, seq)`` of a chunk."""
+    return tuple(unpress(x, t) for x, t in zip(read_parts(f"{url}/tokens/{chunk}"), ("<i8", "u1", "<i8", "<i4")))
 
 
 # ---- blocks between tasks -----------------------------------------------------------
@@ -274,6 +292,8 @@ class Level:
         the shares, and codes of the weight left to the lower order."""
         import numpy as np
         v = np.uint64(v)
+        if not len(keys):
+            return np.zeros(0, np.int64), np.zeros(0, np.uint16), np.zeros(0, np.uint16)
         place, share, left = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.uint16), np.zeros(len(keys), np.uint16)
         owner, word = (keys // v).astype(np.int64), keys % v
         first = np.concatenate([[True], owner[1:] != owner[:-1]])
@@ -454,42 +474,44 @@ def asked(ctx, w, v: int):
     return ok, *distinct(ctx[ok].astype(np.uint64) * np.uint64(v) + np.maximum(w[ok], 0).astype(np.uint64))
 
 
-def press_answer(places, *codes) -> list[bytes]:
-    """Positions (rising but for the -1 of absent keys) and codes, compressed."""
+ANSWER = "chunk string, bucket long, found binary, places binary, one binary, two binary"
+ANSWER_SCHEMA = pa.schema([("chunk", pa.string()), ("bucket", pa.int64()),
+                           *[(c, pa.binary()) for c in ("found", "places", "one", "two")]])
+
+
+def code_types(k: int):
+    """Above level 1 codes of share and weight left come with a position; at level 1 counts."""
+    return ("<i8",) if k == 1 else ("<u2", "<u2")
+
+
+def press_answer(places, codes, top: bool) -> list[bytes]:
+    """Positions (rising but for the -1 of absent keys) and codes, compressed.  Nothing follows the
+    highest level, so only whether a key was found is kept of its position."""
     import numpy as np
     found = places >= 0
-    return [press(found.astype("u1")), press(np.diff(places[found], prepend=0).astype("<i8")), *(press(c) for c in codes)]
+    return [press(found.astype("u1")), b"" if top else press(np.diff(places[found], prepend=0).astype("<i8")), *map(press, codes)]
 
 
-def unpress_answer(found: bytes, places: bytes, *codes, types):
+def unpress_answer(found: bytes, places: bytes, *codes, k: int):
     import numpy as np
     found = unpress(found, "u1") > 0
     out = np.full(len(found), -1, np.int64)
-    out[found] = np.cumsum(unpress(places, "<i8"))
-    return out, *(unpress(c, t) for c, t in zip(codes, types))
-
-
-ANSWER = "chunk string, bucket long, found binary, places binary, one binary, two binary"
-ANSWER_SCHEMA = pa.schema([("chunk", pa.string()), ("bucket", pa.int64()),
-                           *[(c, pa.binary()) for c in ("found", "places", "one", "two")]])
-ANSWER_TYPES = {1: ("<i8",), 2: ("<u2", "<u2")}
-
-
-def answer_types(k: int):
-    return ANSWER_TYPES[min(k, 2)]
+    out[found] = np.cumsum(unpress(places, "<i8")) if places else 0
+    return out, *(unpress(c, t) for c, t in zip(codes, code_types(k)))
 
 
 def _ask(model: Model, k: int, url: str):
-    """Sends every chunk's keys of level ``k`` to the owners of the buckets."""
+    """Sends every chunk's keys of level ``k`` to the owners of the buckets; a chunk without keys asks the first for none."""
     bounds = model.levels[k - 1].bounds
 
     def run(batches):
         import numpy as np
-        for chunk, *_, hashes, seq in read_chunks(batches):
-            keys = np.sort(hashes)
-            if k > 1:
-                keys = walk(model, url, chunk, word_answers(url, chunk, hashes)[0][seq], k)[1][1]
-            for b, lo, hi in cut(keys, bounds):
+        for chunk in names(batches):
+            if k == 1:
+                keys = np.sort(read_hashes(url, chunk))
+            else:
+                keys = walk(model, url, chunk, read_words(url, chunk)[0][read_tokens(url, chunk)[3]], k)[1][1]
+            for b, lo, hi in cut(keys, bounds) if len(keys) else [(0, 0, 0)]:
                 yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int64()), "chunk": pa.array([chunk]),
                                                   "keys": pa.array([press_keys(keys[lo:hi])], pa.binary())})
     return run
@@ -497,16 +519,16 @@ def _ask(model: Model, k: int, url: str):
 
 def _own(model: Model, k: int):
     """Answers the keys of each bucket, many chunks at a time; rows come sorted by bucket."""
-    level = model.levels[k - 1]
+    level, top = model.levels[k - 1], k == model.order
 
     def answer(bucket, chunks, keys):
         import numpy as np
-        ends = np.cumsum([len(x) for x in keys])
+        ends = np.cumsum([len(x) for x in keys]).tolist()
         merged, back = distinct(np.concatenate(keys))
-        got = level.words(bucket, merged) if k == 1 else level.successors(bucket, merged, model.n_words)
-        got = [x[back] for x in got]
-        for chunk, lo, hi in zip(chunks, [0, *ends[:-1].tolist()], ends.tolist()):
-            data = press_answer(*(x[lo:hi].astype(t) for x, t in zip(got, ("<i8", *answer_types(k)))))
+        place, *codes = level.words(bucket, merged) if k == 1 else level.successors(bucket, merged, model.n_words)
+        for chunk, lo, hi in zip(chunks, [0, *ends], ends):
+            at = back[lo:hi]
+            data = press_answer(place[at], [x[at].astype(t) for x, t in zip(codes, code_types(k))], top and k > 1)
             row = [chunk, bucket, *data, *[b""] * (4 - len(data))]
             yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, ANSWER_SCHEMA)], schema=ANSWER_SCHEMA)
 
@@ -527,52 +549,50 @@ def _own(model: Model, k: int):
     return run
 
 
-def answer_file(url: str, k: int, chunk: str) -> str:
-    return f"{url}/answers{k}-{chunk}"
+def whole_answer(t: pa.Table, k: int):
+    """A chunk's answers from all buckets, in the order of its keys."""
+    import numpy as np
+    t = t.sort_by("bucket")
+    columns = [t.column(c).to_pylist() for c in ANSWER_SCHEMA.names[2:4 + len(code_types(k))]]
+    return [np.concatenate(x) for x in zip(*(unpress_answer(*row, k=k) for row in zip(*columns)))]
+
+
+def answers_by_chunk(rows: DataFrame, model: Model, k: int, url: str):
+    return (rows.mapInArrow(_ask(model, k, url), "bucket long, chunk string, keys binary")
+            .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_own(model, k), ANSWER).groupBy("chunk"))
 
 
 def _keep(url: str, k: int):
-    """Writes a chunk's answers, in the order of its keys, as one file."""
+    """Writes a chunk's answers as one file; those of words in the order of their numbers."""
     def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by("bucket")
-        types = answer_types(k)
-        parts = [unpress_answer(*row[:2 + len(types)], types=types)
-                 for row in zip(*(t.column(c).to_pylist() for c in ANSWER_SCHEMA.names[2:]))]
         import numpy as np
-        data = press_answer(*(np.concatenate(x) for x in zip(*parts)))
-        chunk = t.column("chunk")[0].as_py()
-        write_file(answer_file(url, k, chunk), [b"".join(len(x).to_bytes(8, "little") for x in data), *data])
+        chunk, (place, *codes) = t.column("chunk")[0].as_py(), whole_answer(t, k)
+        if k == 1:
+            rank = np.argsort(np.argsort(read_hashes(url, chunk)))
+            parts = [press(x[rank]) for x in (place, *codes)]
+        else:
+            parts = press_answer(place, codes, False)
+        write_parts(f"{url}/answers{k}/{chunk}", parts)
         return pa.table({"chunk": [chunk]})
     return run
 
 
-def read_answer(url: str, k: int, chunk: str):
-    """Level 1: ids and counts of the chunk's sorted word hashes; above: positions and codes of its keys."""
-    types = answer_types(k)
-    image = map_file(answer_file(url, k, chunk))
-    sizes, at, parts = image[:8 * (2 + len(types))].view("<i8").tolist(), 8 * (2 + len(types)), []
-    for size in sizes:
-        parts.append(image[at:at + size].tobytes())
-        at += size
-    return unpress_answer(*parts, types=types)
-
-
 def look_up(rows: DataFrame, model: Model, k: int, url: str) -> None:
     """Writes the answers of level ``k`` for every chunk."""
-    (rows.mapInArrow(_ask(model, k, url), "bucket long, chunk string, keys binary")
-     .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_own(model, k), ANSWER)
-     .groupBy("chunk").applyInArrow(_keep(url, k), "chunk string").write.format("noop").mode("overwrite").save())
-    release(rows.sparkSession)  # keys and answers between tasks are in the files now
+    with shuffles_end_with_query(rows.sparkSession):
+        answers_by_chunk(rows, model, k, url).applyInArrow(_keep(url, k), "chunk string").agg(F.count("chunk")).collect()
+    if k == 1:
+        discard(rows.sparkSession, f"{url}/hashes")
 
 
-def word_answers(url: str, chunk: str, hashes):
-    """Ids and counts of a chunk's words, in the order of ``hashes``."""
-    import numpy as np
-    order = np.argsort(hashes, kind="stable")
-    out = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
-    for o, x in zip(out, read_answer(url, 1, chunk)):
-        o[order] = x
-    return out
+def read_words(url: str, chunk: str):
+    """Ids (-1 for unknown words) and counts of a chunk's words, by their numbers in the chunk."""
+    return tuple(unpress(x, "<i8") for x in read_parts(f"{url}/answers1/{chunk}"))
+
+
+def read_answer(url: str, k: int, chunk: str):
+    """Positions and codes of a chunk's keys."""
+    return unpress_answer(*read_parts(f"{url}/answers{k}/{chunk}"), k=k)
 
 
 def following(place, w, end: int):
@@ -588,8 +608,7 @@ def walk(model: Model, url: str, chunk: str, w, upto: int):
     for k in range(2, upto):
         ok, _, back = asked(ctx, w, model.n_words)
         place = np.full(len(w), -1, np.int64)
-        if len(ok):  # without keys there is no file
-            place[ok] = read_answer(url, k, chunk)[0][back]
+        place[ok] = read_answer(url, k, chunk)[0][back]
         ctx = following(np.where(w < 0, -1, place), w, model.end)
     return ctx, asked(ctx, w, model.n_words)
 
@@ -597,16 +616,18 @@ def walk(model: Model, url: str, chunk: str, w, upto: int):
 def fit_model(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
               min_count: int = MIN_COUNT, discount: float = DISCOUNT, bucket_bytes: int = BUCKET_BYTES) -> Model:
     """Builds the trie from all rows of ``docs``; its files lie in the shared folder."""
-    return fit_chunks(tokenise(docs, id_col, text_col), scratch(docs.sparkSession, "answers"), order=order,
-                      min_count=min_count, discount=discount, bucket_bytes=bucket_bytes)
+    url = scratch(docs.sparkSession, "lm")
+    return fit_chunks(tokenise(docs, url, id_col, text_col), url, order=order, min_count=min_count, discount=discount,
+                      bucket_bytes=bucket_bytes)
 
 
-def fit_chunks(train: DataFrame, answers: str, others: DataFrame | None = None, *, order: int = ORDER, min_count: int = MIN_COUNT,
-               discount: float = DISCOUNT, bucket_bytes: int = BUCKET_BYTES) -> Model:
-    """Builds the trie from all chunks ``train`` of ``tokenise``.  The folder ``answers`` then holds what the levels below
-    the highest say of these chunks and of ``others``."""
+def fit_chunks(train: DataFrame, url: str, others: DataFrame | None = None, *, order: int = ORDER, min_count: int = MIN_COUNT,
+               discount: float = DISCOUNT, bucket_bytes: int = BUCKET_BYTES, keep: bool = True) -> Model:
+    """Builds the trie from all chunks ``train`` of ``tokenise``.  The folder ``url`` then holds what the levels below
+    the highest say of these chunks and of ``others``.  Unless ``keep``, a level is removed when the next one is built:
+    only the highest stays."""
     import xxhash
-    spark, url = train.sparkSession, scratch(train.sparkSession, "lm")
+    spark = train.sparkSession
     rows = train if others is None else train.unionByName(others)
     size = 6 * (train.agg(F.sum("n")).first()[0] or 0)  # about six bytes of text a word
     buckets = int(size) // bucket_bytes + 1
@@ -616,19 +637,21 @@ def fit_chunks(train: DataFrame, answers: str, others: DataFrame | None = None,
             if model.levels[-1].n * model.n_words >= 1 << 64:
                 raise ValueError("n-gram keys exceed 64 bits")
             bounds = even_bounds(points, hot, model.levels[-1].total, buckets * (2 if k > 2 else 1), model.n_words)
-        name = f"{url}/level{k}"
-        got = (train.mapInArrow(_count(model, k, bounds, answers), BLOCK).groupBy("bucket")
-               .applyInArrow(_builder(name, k, model, min_count, discount), SUMMARY).collect())
+        name = f"{url}/level{k}/bucket"
+        with shuffles_end_with_query(spark):
+            got = (train.mapInArrow(_count(model, k, bounds, url), BLOCK).groupBy("bucket")
+                   .applyInArrow(_builder(name, k, model, min_count, discount), SUMMARY).collect())
         level, points, hot = _level(name, got, bounds)
         model = Model([*model.levels, level], order, model.end)
-        release(spark)  # the blocks between tasks are in the files now
+        if k > 1 and not keep:
+            discard(spark, f"{url}/level{k - 1}")
         if not model.n_words:
             break
         if k == 1:
             find = _finder(model, xxhash.xxh3_64_intdigest(END))
             model.end = spark.range(1, numPartitions=1).mapInArrow(find, "id long").collect()[0][0]
         if k < order:
-            look_up(rows, model, k, answers)
+            look_up(rows, model, k, url)
     return model
 
 
@@ -644,12 +667,14 @@ def _count(model: Model, k: int, bounds: list[int], url: str):
     """Counts the chunks' keys of level ``k``."""
     def run(batches):
         import numpy as np
-        for chunk, *_, hashes, seq in read_chunks(batches):
+        for chunk in names(batches):
+            seq = read_tokens(url, chunk)[3]
             if k == 1:
+                hashes = read_hashes(url, chunk)
                 order = np.argsort(hashes)
                 yield blocks(hashes[order], np.bincount(seq, minlength=len(hashes))[order], bounds)
                 continue
-            _, (_, keys, back) = walk(model, url, chunk, word_answers(url, chunk, hashes)[0][seq], k)
+            _, (_, keys, back) = walk(model, url, chunk, read_words(url, chunk)[0][seq], k)
             if len(keys):
                 yield blocks(keys, np.bincount(back), bounds)
     return run
@@ -663,50 +688,64 @@ def _builder(name: str, k: int, model: Model, min_count: int, discount: float):
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: token counts, the add-half base and the model's log10 probability."""
-    return score_chunks(tokenise(docs, id_col, text_col), model, scratch(docs.sparkSession, "answers"))
+    url = scratch(docs.sparkSession, "lm-score")
+    return score_chunks(tokenise(docs, url, id_col, text_col), model, url)
 
 
-def score_chunks(rows: DataFrame, model: Model, answers: str, known: int = 0) -> DataFrame:
-    """``score`` over the chunks of ``tokenise``; the folder ``answers`` holds those of the first ``known`` levels."""
-    top = min(model.order, len(model.levels)) if model.n_words else 1
-    for k in range(known + 1, top + 1):
-        look_up(rows, model, k, answers)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                        ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+SCORES = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+SCORES_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
+                           ("base_score", pa.float64()), ("score", pa.float64())])
 
-    def run(batches):
-        import numpy as np
-        total, v = model.n_tokens, model.n_words
-        for chunk, ids, valid, lens, hashes, seq in read_chunks(batches):
-            found, counts = word_answers(answers, chunk, hashes)
-            base = (counts + 0.5) / (total + 0.5 * (v + 1))
-            starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-            w, p = found[seq], base[seq]
-            ctx = np.concatenate([[model.end], w[:-1]])
-            for k in range(2, top + 1):
-                ok, _, back = asked(ctx, w, v)
-                if not len(ok):  # no keys, no file; nor at higher orders
-                    break
-                at, share, left = (x[back] for x in read_answer(answers, k, chunk))
-                at[w[ok] < 0] = -1
-                p[ok] = np.where(at >= 0, probability(share), 0.0) + probability(left) * p[ok]
-                place = np.full(len(w), -1, np.int64)
-                place[ok] = at
-                ctx = following(place, w, model.end)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64(), mask=valid == 0), pa.array(lens), pa.array(np.add.reduceat((w >= 0).astype(np.int64), starts)),
-                pa.array(np.full(len(ids), total, np.int64)), pa.array(np.add.reduceat(np.log10(base)[seq], starts)),
-                pa.array(np.add.reduceat(np.log10(p), starts))], schema=schema)
-
-    return rows.mapInArrow(
-        run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+def score_chunk(model: Model, url: str, chunk: str, highest=None) -> pa.Table:
+    """Scores of a chunk's texts; ``highest`` are its answers of the highest level, the others are in files."""
+    import numpy as np
+    total, v = model.n_tokens, model.n_words
+    ids, valid, lens, seq = read_tokens(url, chunk)
+    found, counts = read_words(url, chunk)
+    base = (counts + 0.5) / (total + 0.5 * (v + 1))
+    starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
+    w, p = found[seq], base[seq]
+    top = len(model.levels) if highest else 1
+    ctx = np.concatenate([[model.end], w[:-1]])
+    for k in range(2, top + 1):
+        ok, _, back = asked(ctx, w, v)
+        at, share, left = (x[back] for x in (highest if k == top else read_answer(url, k, chunk)))
+        at[w[ok] < 0] = -1
+        p[ok] = np.where(at >= 0, probability(share), 0.0) + probability(left) * p[ok]
+        place = np.full(len(w), -1, np.int64)
+        place[ok] = at
+        ctx = following(place, w, model.end)
+    return pa.Table.from_arrays([
+        pa.array(ids, pa.int64(), mask=valid == 0), pa.array(lens), pa.array(np.add.reduceat((w >= 0).astype(np.int64), starts)),
+        pa.array(np.full(len(ids), total, np.int64)), pa.array(np.add.reduceat(np.log10(base)[seq], starts)),
+        pa.array(np.add.reduceat(np.log10(p), starts))], schema=SCORES_SCHEMA)
+
+
+def score_chunks(rows: DataFrame, model: Model, url: str, known: int = 0) -> DataFrame:
+    """``score`` over the chunks of ``tokenise``; the folder ``url`` holds the answers of the first ``known`` levels."""
+    top = len(model.levels) if model.n_words else 1
+    for k in range(known + 1, max(2, top)):
+        look_up(rows, model, k, url)
+
+    if top == 1:
+        def words_only(batches):
+            for chunk in names(batches):
+                yield from score_chunk(model, url, chunk).to_batches()
+
+        return rows.mapInArrow(words_only, SCORES)
+
+    def with_highest(t: pa.Table) -> pa.Table:
+        return score_chunk(model, url, t.column("chunk")[0].as_py(), whole_answer(t, top))
+
+    return answers_by_chunk(rows, model, top, url).applyInArrow(with_highest, SCORES)
 
 
 def score_with_held_out(docs: DataFrame, *, fold: int = 5, held_out: int = 1, order: int = ORDER,
                         min_count: int = MIN_COUNT) -> DataFrame:
     """Fits on the rows outside the held-out fold and scores all rows."""
-    out = remainder(F.col("doc_id"), fold) == held_out
-    train, others, answers = tokenise(docs.filter(~out)), tokenise(docs.filter(out)), scratch(docs.sparkSession, "answers")
-    model = fit_chunks(train, answers, others, order=order, min_count=min_count)
-    known = min(order - 1, len(model.levels)) if model.n_words else 0
-    return score_chunks(train.unionByName(others), model, answers, known).withColumn("held_out", out)
+    out, url = remainder(F.col("doc_id"), fold) == held_out, scratch(docs.sparkSession, "lm")
+    train, others = tokenise(docs.filter(~out), url), tokenise(docs.filter(out), url)
+    model = fit_chunks(train, url, others, order=order, min_count=min_count, keep=False)
+    known = len(model.levels) - 1 if model.n_words else 0
+    return score_chunks(train.unionByName(others), model, url, known).withColumn("held_out", out)
