@@ -15,8 +15,8 @@ source and labels never are.  The fit reads at most ``MAX_POSITIVE`` positives a
 ``MAX_UNLABELLED`` unlabelled rows, those of the lowest id hash; every document is scored.
 
 Defined cases: null and empty texts have all counts 0 and get the score of that point, as
-has every text; repeated rows give repeated results; a null id stays null and takes no
-part in the fit; extra columns are ignored; without positives every score is 0.5.
+has every text; repeated rows give repeated results, and of rows of one id that with the
+least counts takes part in the fit; a null id stays null and takes no part in it; extra columns are ignored; without positives every score is 0.5.
 """
 
 from __future__ import annotations
@@ -148,7 +148,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(list(x), pa.list_(pa.float64()))],
                                              names=["doc_id", "trusted", "x"])
 
-    got = found.mapInArrow(run, "doc_id long, trusted boolean, x array<double>").toArrow()
+    # one row an id, so that rows that repeat one cannot add to the sample
+    got = (found.mapInArrow(run, "doc_id long, trusted boolean, x array<double>")
+           .groupBy("doc_id", "trusted").agg(F.min("x").alias("x")).toArrow())
     ids, trust = got.column("doc_id").to_numpy(), got.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
     x = np.array(got.column("x").to_pylist(), float).reshape(-1, N_FEATURES)
     by_id = np.lexsort((x[:, 0], ids))

@@ -178,6 +178,23 @@ def test_quality_awkward(spark):
     assert quality.score_quality(frame(spark, []), none).collect() == []
 
 
+def test_quality_fit_takes_one_row_an_id(spark):
+    docs, labels = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "labels")
+    some = docs.filter("doc_id < 5")
+    assert quality.fit_quality(docs.union(some).union(some), labels) == quality.fit_quality(docs, labels)
+
+
+def test_keep_quality_awkward(spark):
+    labels = spark.createDataFrame([(4, 1, 0), (5, None, 0), (None, 1, 1), (6, 1, 0), (10, 1, 0), (6, 1, 0)], "doc_id long, quality int, toxic int")
+    df = frame(spark, AWKWARD)
+    model = quality.fit_quality(df, labels)
+    kept = quality.keep_quality(df, model)
+    scored = quality.score_quality(df, model).collect()
+    assert kept.schema == df.schema
+    assert rows_of(kept, "doc_id") == sorted(((r.doc_id,) for r in scored if r.score >= quality.THRESHOLD), key=repr)
+    assert quality.keep_quality(frame(spark, []), model).collect() == []
+
+
 def test_nonnegative_risk_recovers_the_class():
     rng = np.random.default_rng(7)
     p = rng.normal(1.5, 1, (600, 2))
@@ -228,3 +245,22 @@ def test_pipeline_stages(spark):
 def test_pipeline_run(spark):
     rows = corpus_pipeline.run(spark, SF_SMALL)
     assert rows.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"] and rows.count() > 50
+
+
+@pytest.mark.parametrize("rows", [AWKWARD, []], ids=["awkward", "empty"])
+def test_pipeline_awkward(spark, tmp_root, rows):
+    frame(spark, rows).write.parquet(f"{tmp_root}/documents.parquet")
+    spark.createDataFrame([(4, 1, 0), (5, None, 0), (None, 1, 1), (6, 1, 0), (6, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_root}/labels.parquet")
+    bench(spark, ITEMS).write.parquet(f"{tmp_root}/benchmark.parquet")
+    docs, names = table(spark, tmp_root, "documents"), frame(spark, []).columns
+    for name, stage in corpus_pipeline.STAGES:
+        path = f"{tmp_root}/out-{name}"
+        stage(spark, docs, tmp_root).write.parquet(path)
+        before, docs = docs, spark.read.parquet(path)
+        assert name == "tokens" or docs.columns == names
+        if name not in ("quality", "near_duplicates"):
+            assert docs.count() == before.count()
+    got = [(r.doc_id, r.n_tokens) for r in docs.collect()]
+    assert {i for i, _ in got} <= {i for i, _ in rows}
+    assert len({i for i, _ in got if i is not None}) == sum(i is not None for i, _ in got)
