@@ -4,6 +4,13 @@ data, tokens.
 Every stage works on all documents that the one before kept.  ``run`` writes each stage's
 result as Parquet into the shared folder and reads it back, so a lost executor costs at
 most a part of one stage.
+
+Defined cases: an empty table gives empty stages; without trusted positives every score is
+0.5 and the first stage drops all; null and empty texts are scored like any text, are
+linked with nothing, hold no passage and no personal data and have no tokens; of rows that
+repeat id and text one stays, rows of one id with different texts are judged each; rows
+with a null id stay unless the classifier rejects them; all columns of ``documents`` pass
+through, whatever their names.
 """
 
 from __future__ import annotations
