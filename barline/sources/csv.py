@@ -57,7 +57,9 @@ def _text_groups(spark: SparkSession, path: str | Sequence[str], names: Sequence
 
 
 def _too_many(fields: int) -> Column:
-    return F.size(F.split(_CORRUPT, ",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)", -1)) > fields
+    commas = F.length(_CORRUPT) - F.length(F.replace(F.col(_CORRUPT), F.lit(","), F.lit("")))
+    outside_quotes = F.size(F.split(_CORRUPT, ",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)", -1))
+    return F.when(F.contains(F.col(_CORRUPT), F.lit('"')), outside_quotes).otherwise(commas + 1) > fields
 
 
 def read_text_csv(spark: SparkSession, path: str | Sequence[str], names: Sequence[str] = tuple(CSV_COLUMNS),
@@ -116,15 +118,17 @@ def line_outcomes(lines: DataFrame, header: str, tokens: Sequence[str] = NA_TOKE
     require_names(cols, [*CSV_COLUMNS, *keys])
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*cols, _CORRUPT]])
     fields = F.from_csv("line", schema.simpleString()[7:-1].replace(":", " "), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    df = lines.select("file", F.regexp_replace("value", "\r$", "").alias("line")).filter(F.trim("line") != "").select("file", "line", fields.alias("_f"))
+    # exploded, not selected: a filter on the outcome would else move below and parse the line once per field it names
+    parsed = F.explode(F.when(F.trim("line") != "", F.array(fields)))
+    df = lines.select("file", F.regexp_replace("value", "\r$", "").alias("line")).select("file", "line", parsed.alias("_f"))
     df = df.select("file", "line", *[F.when(F.col(f"_f.{c}").isin(list(tokens)), None).otherwise(F.col(f"_f.{c}")).alias(c) for c in cols],
                    F.col(f"_f.{_CORRUPT}").alias(_CORRUPT))
     types = {f.name: f.dataType for f in RAW_BARS.fields}
     value = {n: parse_bar_time(c, time_format, strict=False) if c == "date" else F.col(c).try_cast(types[n]) for c, n in CSV_COLUMNS.items()}
-    any_null = lambda names: F.exists(F.array(*names), lambda x: x.isNull())
-    numbers = F.exists(F.array(*[value[n].cast("string") for n in types if n != "trade_timestamp"]), lambda x: x.isNull())
-    outcome = (F.when(F.coalesce(_too_many(len(cols)), F.lit(False)), "fields").when(any_null(cols), MISSING)
-               .when(value["trade_timestamp"].isNull(), "time").when(numbers, "number").otherwise(GOOD))
+    any_null = lambda values: reduce(Column.__or__, [v.isNull() for v in values])
+    outcome = (F.when(F.coalesce(_too_many(len(cols)), F.lit(False)), "fields").when(any_null([F.col(c) for c in cols]), MISSING)
+               .when(value["trade_timestamp"].isNull(), "time")
+               .when(any_null([value[n] for n in types if n != "trade_timestamp"]), "number").otherwise(GOOD))
     df = df.withColumn("outcome", outcome)
     good = F.col("outcome") == GOOD
     return df.select("file", "line", "outcome", *[F.when(good, F.col(k)).alias(k) for k in keys], *[F.when(good, value[n]).alias(n) for n in types])

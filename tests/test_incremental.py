@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barline.operators import reconcile as rec
-from barline.plans import incremental, stages
+from barline.plans import catalog, incremental, stages
 from barline.plans.incremental import analyze_changed, ingest_files, reconcile
 from barline.plans.stages import Paths
 from barline.schemas import DEFAULT_SPEC, FEATURES
@@ -111,6 +111,24 @@ def test_outcomes_add_up(spark):
     assert line_outcomes(lines.filter("false"), HEADER).count() == 0
 
 
+def test_a_filter_on_the_outcome_parses_each_line_once(spark):
+    stamp = "20080102 09:30:00"
+    rows = {f"{stamp},1,1,1,1,1,1,1": "good", f"{stamp},1,1,1,1,1,1,1,9": "fields", f"{stamp},1,1,1,1,1,1,1,": "fields",
+            f'{stamp},"1",1,1,1,1,1,1': "good", f'{stamp},"1,5",1,1,1,1,1,1': "number", f'{stamp},"1,5",1,1,1,1,1': "missing",
+            f'{stamp},"1,5",1,1,1,1,1,1,9': "fields", f"{stamp},1,1": "missing", f"{stamp},1,NA,1,1,1,1,1": "missing", "x,1,1,1,1,1,1,1": "time",
+            "x,1,NA,1,1,1,1,1": "missing", "x,y,1,1,1,1,1,1": "time", f"{stamp},1,1,1,1,1.5,1,1": "number"}
+    lines = spark.createDataFrame([(f, x) for f in ("f", None) for x in [*rows, None, "", " ", "\r"]], "file string, value string")
+    bad = line_outcomes(lines, HEADER).filter("outcome <> 'good'").select("file", "line", "outcome")
+    assert sorted(map(tuple, bad.collect()), key=repr) == sorted([(f, x, o) for f in ("f", None) for x, o in rows.items() if o != "good"], key=repr)
+    plan = bad._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == 1
+
+
+def test_rejected_rows_read_each_event_once(spark):
+    plan = catalog.q_rejected_rows(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == 1 and plan.count("date_format(") == 2  # either form of a time
+
+
 def _features(spark, paths):
     """Rows with floats rounded: a day's features are the same however many days a task holds, but the merged
     metrics add up in another order."""
